@@ -23,7 +23,7 @@ from weft.functions.tokens import DEFAULT_TOKENIZER
 
 
 def running_offset(df: DataFrame, group: str, order: str, length: str, chunk_width: int = 4096,
-                   out: str = "offset") -> DataFrame:
+                   out: str = "offset", cast: str | None = "bigint") -> DataFrame:
     """Exclusive running sum of ``length`` within ``group`` ordered by the
     numeric ``order`` column, computed as chunk offsets + in-chunk offsets.
     Chunks are ``order div chunk_width``; only per-chunk totals go through a
@@ -35,7 +35,7 @@ def running_offset(df: DataFrame, group: str, order: str, length: str, chunk_wid
     wc = Window.partitionBy(group, "_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     d = d.withColumn("_ioff", F.coalesce(F.sum(length).over(wc), F.lit(0)))
     return (d.join(chunk_off, [group, "_chunk"])
-             .withColumn(out, (F.col("_coff") + F.col("_ioff")).cast("bigint"))
+             .withColumn(out, (F.col("_coff") + F.col("_ioff")).cast(cast) if cast else F.col("_coff") + F.col("_ioff"))
              .drop("_chunk", "_coff", "_ioff"))
 
 

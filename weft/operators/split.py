@@ -139,22 +139,29 @@ def subset_by_index(df: DataFrame, index: DataFrame, on: str = "rank") -> DataFr
     return df.join(index.select(on).distinct(), on, "left_semi")
 
 
-def ordered_index(df: DataFrame, order_cols: list[str], out: str = "row_idx", max_buckets: int = 65536) -> DataFrame:
-    """Dense 0-based row index in ``order_cols`` order, without a
-    single-partition window.  The first order column must be numeric: its
-    range is cut into at most ``max_buckets`` equal-width buckets (one
-    min/max aggregate), bucket sizes become broadcast offsets (bounded by
-    ``max_buckets``), and rows are numbered inside their bucket."""
+def ordered_index(df: DataFrame, order_cols: list[str], out: str = "row_idx", partition_cols: list[str] | None = None,
+                  max_buckets: int = 65536) -> DataFrame:
+    """Dense 0-based row index in ``order_cols`` order (within
+    ``partition_cols`` if given) without a single-partition window.
+
+    The first order column must be numeric: its global range is cut into
+    at most ``max_buckets`` equal-width buckets (one min/max aggregate);
+    bucket sizes become start offsets (a window over at most
+    ``max_buckets`` rows per partition key) and rows are numbered inside
+    their bucket, so a large key is spread over many buckets/tasks."""
+    keys = list(partition_cols or [])
     first = order_cols[0]
     lo, hi = df.agg(F.min(first), F.max(first)).first()
     if lo is None:
         return df.withColumn(out, F.lit(None).cast("bigint"))
     width = max(1, math.ceil((hi - lo + 1) / max_buckets))
     d = df.withColumn("_ob", F.floor((F.col(first) - F.lit(lo)) / width).cast("int"))
-    sizes = d.groupBy("_ob").agg(F.count(F.lit(1)).alias("_n"))
-    offs = sizes.select("_ob", F.coalesce(F.sum("_n").over(
-        Window.orderBy("_ob").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    w = Window.partitionBy("_ob").orderBy(*order_cols)
-    return (d.join(F.broadcast(offs), "_ob")
+    sizes = d.groupBy(*keys, "_ob").agg(F.count(F.lit(1)).alias("_n"))
+    wo = (Window.partitionBy(*keys) if keys else Window).orderBy("_ob").rowsBetween(Window.unboundedPreceding, -1)
+    offs = sizes.select(*keys, "_ob", F.coalesce(F.sum("_n").over(wo), F.lit(0)).alias("_off"))
+    if not keys:
+        offs = F.broadcast(offs)  # at most max_buckets rows
+    w = Window.partitionBy(*keys, "_ob").orderBy(*order_cols)
+    return (d.join(offs, keys + ["_ob"])
              .withColumn(out, (F.col("_off") + F.row_number().over(w) - 1).cast("bigint"))
              .drop("_ob", "_off"))

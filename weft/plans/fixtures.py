@@ -68,3 +68,24 @@ instructions AS (
          CASE WHEN conv_id % 2 = 1 THEN substr(response, 1, 40) ELSE '' END AS input,
          response AS output
   FROM pairs)"""
+
+
+def predictions(spark: SparkSession, sf: str) -> DataFrame:
+    """Long predictions (conv_id, turn, model, text): m1 = first half of the
+    answer, m2 = the answer at the same turn of the next conversation
+    (absent where that turn does not exist)."""
+    p = pairs(spark, sf)
+    m1 = p.select("conv_id", "turn", F.lit("m1").alias("model"),
+                  F.expr("substring(response, 1, CAST(length(response) DIV 2 AS INT))").alias("text"))
+    m2 = p.select((F.col("conv_id") - 1).alias("conv_id"), "turn", F.lit("m2").alias("model"),
+                  F.col("response").alias("text"))
+    m2 = m2.join(p.select("conv_id", "turn"), ["conv_id", "turn"], "left_semi")
+    return m1.unionByName(m2)
+
+
+PREDICTIONS_SQL = PAIRS_SQL + """,
+predictions AS (
+  SELECT conv_id, turn, 'm1' AS model, substr(response, 1, CAST(length(response) // 2 AS INTEGER)) AS text FROM pairs
+  UNION ALL
+  SELECT o.conv_id - 1, o.turn, 'm2', o.response FROM pairs o
+  JOIN pairs p ON p.conv_id = o.conv_id - 1 AND p.turn = o.turn)"""
