@@ -1 +1,294 @@
-"""Queries (filled in below)."""
+"""Queries for sources, sinks and the registry.
+
+Each query writes data derived from the driver tables to a fresh folder
+under the session's shared checkpoint directory and reads it back through
+the operator under test, so its work grows with the tables.
+"""
+
+from __future__ import annotations
+
+import json
+import os
+import uuid
+
+from pyspark.sql import functions as F
+
+from weft.functions.tokens import DEFAULT_TOKENIZER as TK, IGNORE_INDEX, right_pad, truncate
+from weft.operators import split as SP
+from weft.operators.align import instruction_to_chat
+from weft.operators.evaluate import attach_predictions
+from weft.operators.metrics import segment, with_rouge_n
+from weft.plans import fixtures as X
+from weft.plans.catalog import lit, register
+from weft.sources import readers as RD
+from weft.sources import registry as RG
+from weft.sources import sinks as SK
+
+NL = chr(10)
+
+
+def _dir(spark, name):
+    return SK.scratch_path(spark, "io", name, uuid.uuid4().hex)
+
+
+# -- S1 / S2 ------------------------------------------------------------------
+@register("S2_scan_by_extension", sql=f"WITH {X.INSTRUCTIONS_SQL} SELECT conv_id, turn, instruction, input, output FROM instructions")
+def s2(spark, sf):
+    out = _dir(spark, "s2")
+    X.instructions(spark, sf).write.json(out)
+    schema = "conv_id bigint, turn bigint, instruction string, input string, output string"
+    return RD.scan(spark, out, schema).select("conv_id", "turn", "instruction", "input", "output")
+
+
+@register("S1_registry_load", sql=f"""
+WITH {X.INSTRUCTIONS_SQL}
+SELECT conv_id, turn, instruction AS prompt, input AS query, output AS response, 'chat: ' AS prefix FROM instructions
+UNION ALL
+SELECT NULL, NULL, text, NULL, NULL, 'doc: ' FROM (SELECT text FROM documents ORDER BY doc_id LIMIT 50)
+""")
+def s1(spark, sf):
+    base = _dir(spark, "s1")
+    X.instructions(spark, sf).write.json(os.path.join(base, "chat_data"))
+    X.documents(spark, sf).select("doc_id", "text").write.json(os.path.join(base, "docs"))
+    registry = {
+        "chat": {"file_name": "chat_data"},
+        "docs": {"file_name": "docs", "columns": {"prompt": "text", "query": None, "response": None}},
+    }
+    chat = RG.load_datasets(spark, "chat", registry, base, "chat: ")
+    docs = RG.load_datasets(spark, "docs", registry, base, "doc: ", max_samples=50, order=["doc_id"])
+    return (chat.select("conv_id", "turn", "prompt", "query", "response", "prefix")
+            .unionByName(docs.select(F.lit(None).cast("bigint").alias("conv_id"), F.lit(None).cast("bigint").alias("turn"),
+                                     "prompt", "query", "response", "prefix")))
+
+
+# -- S3 / S5 ------------------------------------------------------------------
+PAIRS_SCHEMA = "conv_id bigint, turn bigint, query string, response string, prompt string"
+
+
+@register("S3_recursive_scan", sql=f"WITH {X.PAIRS_SQL} SELECT conv_id, turn, query FROM pairs")
+def s3(spark, sf):
+    out = _dir(spark, "s3")
+    X.pairs(spark, sf).withColumn("bucket", F.col("conv_id") % 7).write.partitionBy("bucket").json(out)
+    return RD.scan_recursive(spark, out, "json", PAIRS_SCHEMA).select("conv_id", "turn", "query")
+
+
+@register("S5_jsonl_parse", sql=f"WITH {X.PAIRS_SQL} SELECT conv_id, turn, query, response, prompt FROM pairs")
+def s5(spark, sf):
+    out = _dir(spark, "s5")
+    X.pairs(spark, sf).write.json(out)
+    return RD.read_json(spark, out, PAIRS_SCHEMA, mode="FAILFAST")
+
+
+# -- S4 -----------------------------------------------------------------------
+@register("S4_pretrain_lines", sql=f"SELECT unnest(string_split(text, {lit(NL)})) AS value FROM documents")
+def s4(spark, sf):
+    out = _dir(spark, "s4")
+    d = X.documents(spark, sf).select("text", (F.col("doc_id") % 5).alias("bucket"))
+    d.write.partitionBy("bucket").option("lineSep", "\n").text(out)
+    # the partitioned layout has no .txt names; read it as the pretraining
+    # reader does, with a glob matching Spark's part files
+    df = RD.read_text(spark, out, recursive=True, glob="part-*")
+    bad = df.withColumn("file", F.input_file_name()).where(~F.is_valid_utf8("value")).select("file").distinct()
+    return df.withColumn("file", F.input_file_name()).join(bad, "file", "left_anti").select("value")
+
+
+# -- S6 / A2 ------------------------------------------------------------------
+def _json_arrays(spark, sf):
+    """One JSON array file per 100 documents (a group bounded by construction)."""
+    out = _dir(spark, "s6")
+    d = X.documents(spark, sf).select("doc_id", "source", F.col("text").alias("data"),
+                                      F.floor(F.col("doc_id") / 100).alias("bucket"))
+    g = d.groupBy("bucket").agg(F.concat(F.lit("["), F.array_join(F.collect_list(F.to_json(F.struct("doc_id", "source", "data"))), ","),
+                                         F.lit("]")).alias("value"))
+    g.write.partitionBy("bucket").text(out)
+    # rename-free: the text writer emits .txt files; expose them as .json via a glob-free multiLine read
+    return out
+
+
+@register("S6_json_array", sql="SELECT doc_id, source FROM documents")
+def s6(spark, sf):
+    out = _json_arrays(spark, sf)
+    df = (spark.read.option("multiLine", True).option("recursiveFileLookup", True)
+          .schema("doc_id bigint, source string, data string").json(out))
+    return df.select("doc_id", "source")
+
+
+@register("A2_samples_per_file", sql="""
+SELECT CAST(doc_id // 100 AS BIGINT) AS bucket, count(*) AS samples FROM documents GROUP BY ROLLUP (doc_id // 100)
+""")
+def a2(spark, sf):
+    out = _json_arrays(spark, sf)
+    df = (spark.read.option("multiLine", True).option("recursiveFileLookup", True)
+          .schema("doc_id bigint, source string, data string").json(out))
+    df = df.withColumn("file", F.col("_metadata.file_path"))
+    per = df.rollup("file").agg(F.count(F.lit(1)).alias("samples"))
+    return per.select(F.regexp_extract("file", "bucket=([0-9]+)", 1).cast("bigint").alias("bucket"), "samples")
+
+
+# -- S7 / S8 ------------------------------------------------------------------
+@register("S7_parquet_named_splits", sql=f"""
+WITH dr AS (SELECT doc_id, row_number() OVER (ORDER BY md5('42:' || CAST(doc_id AS VARCHAR)), CAST(doc_id AS VARCHAR)) - 1 AS rank FROM documents),
+nn AS (SELECT count(*) AS n FROM documents),
+b AS (SELECT 0 AS b0, least(greatest((CAST(round_even(0.9 * n, 0) AS BIGINT)) - ((CAST(round_even(0.9 * n, 0) AS BIGINT) + CAST(round_even(0.1 * n, 0) AS BIGINT)) - n), 0), n) AS b1 FROM nn)
+SELECT doc_id, CASE WHEN rank < b1 THEN 'train' ELSE 'test' END AS split FROM dr, b
+""")
+def s7(spark, sf):
+    base = _dir(spark, "s7")
+    c = SP.carve_eval(X.documents(spark, sf).select("doc_id"), ["doc_id"], 42)
+    c.where(F.col("split") == "train").select("doc_id").write.parquet(os.path.join(base, "train.parquet"))
+    c.where(F.col("split") == "eval").select("doc_id").write.parquet(os.path.join(base, "test.parquet"))
+    return RD.read_named_splits(spark, base, {"train": "train.parquet", "test": "test.parquet", "dev": "dev.parquet"})
+
+
+@register("S8_json_named_splits", sql="SELECT doc_id, 'train' AS split FROM documents WHERE doc_id % 3 <> 0")
+def s8(spark, sf):
+    base = _dir(spark, "s8")
+    X.documents(spark, sf).where(F.col("doc_id") % 3 != 0).select("doc_id").write.json(os.path.join(base, "train.json"))
+    return RD.read_named_splits(spark, base, {"train": "train.json", "eval": "eval.json"}, fmt="json")
+
+
+# -- S9 / K1 ------------------------------------------------------------------
+def _csv(spark, sf):
+    out = _dir(spark, "s9")
+    p = X.pairs(spark, sf).select("conv_id", "turn", "query",
+                                  F.when(F.col("conv_id") % 9 == 0, F.lit(None)).otherwise(F.col("response")).alias("response"))
+    p.write.option("header", True).option("escape", '"').option("lineSep", "\n").csv(out)
+    return out
+
+
+CSV_SQL = f"""{X.PAIRS_SQL},
+c AS (SELECT CAST(conv_id AS VARCHAR) AS conv_id, CAST(turn AS VARCHAR) AS turn, query,
+             CASE WHEN conv_id % 9 = 0 THEN '' ELSE response END AS response FROM pairs)"""
+
+
+@register("S9_csv_all_strings", sql=f"WITH {CSV_SQL} SELECT * FROM c")
+def s9(spark, sf):
+    return RD.read_csv(spark, _csv(spark, sf))
+
+
+@register("K1_csv_to_json", sql=f"WITH {CSV_SQL} SELECT * FROM c")
+def k1(spark, sf):
+    df = RD.read_csv(spark, _csv(spark, sf))
+    out = _dir(spark, "k1")
+    SK.csv_to_json(df, out)
+    return spark.read.schema("conv_id string, turn string, query string, response string").json(out)
+
+
+# -- K2 -----------------------------------------------------------------------
+@register("K2_json_to_pretrain", sql="""
+SELECT CAST(sum(length(text) + 2) AS BIGINT) AS total_chars, count(*) AS items
+FROM (SELECT text FROM documents ORDER BY doc_id LIMIT 100)
+""")
+def k2(spark, sf):
+    src = _json_arrays(spark, sf)
+    items = (spark.read.option("multiLine", True).option("recursiveFileLookup", True)
+             .schema("doc_id bigint, source string, data string").json(src))
+    out = _dir(spark, "k2")
+    written = SK.json_to_pretrain(items, out, n=100, order="doc_id")
+    back = spark.read.text(out, wholetext=True)
+    total = back.agg(F.sum(F.length("value")).cast("bigint").alias("total_chars"))
+    return total.crossJoin(written.agg(F.count(F.lit(1)).alias("items")))
+
+
+# -- K3 / K4 ------------------------------------------------------------------
+@register("K3_instruction_to_chat", sql=f"""
+WITH {X.INSTRUCTIONS_SQL}
+SELECT CASE WHEN length(input) > 0 THEN instruction || {lit(NL)} || input ELSE instruction END AS input, output FROM instructions
+""")
+def k3(spark, sf):
+    out = _dir(spark, "k3")
+    SK.instructions_to_chat(X.instructions(spark, sf), out)
+    back = spark.read.schema("chat array<struct<input:string,output:string>>").json(out)
+    return back.select(F.col("chat")[0]["input"].alias("input"), F.col("chat")[0]["output"].alias("output"))
+
+
+@register("K4_predictions_sink", sql=f"""
+WITH {X.PREDICTIONS_SQL}
+SELECT p.conv_id, p.turn, list(pr.model ORDER BY pr.model) AS models, list(pr.text ORDER BY pr.model) AS texts
+FROM pairs p JOIN predictions pr USING (conv_id, turn) GROUP BY p.conv_id, p.turn
+""")
+def k4(spark, sf):
+    rows = X.pairs(spark, sf).select("conv_id", "turn", F.array(F.struct(F.col("query").alias("input"),
+                                                                        F.col("response").alias("output"))).alias("chat"))
+    rows = attach_predictions(rows, X.predictions(spark, sf), ["conv_id", "turn"])
+    out = _dir(spark, "k4")
+    SK.write_predictions(rows.where(F.col("predict").isNotNull()), out)
+    back = spark.read.schema("conv_id bigint, turn bigint, chat array<struct<input:string,output:string>>, "
+                             "predict map<string,string>").json(out)
+    e = F.array_sort(F.map_entries("predict"))
+    return back.select("conv_id", "turn", F.transform(e, lambda x: x["key"]).alias("models"),
+                       F.transform(e, lambda x: x["value"]).alias("texts"))
+
+
+# -- K5 -----------------------------------------------------------------------
+K5_SQL = f"""
+WITH {X.PREDICTIONS_SQL},
+toks AS (SELECT unnest({TK.sql_tokens('query')}) AS t FROM pairs UNION ALL
+         SELECT unnest({TK.sql_tokens('response')}) FROM pairs),
+vocab AS (SELECT CAST({TK.reserved} + (('0x' || substr(md5(t), 1, 7))::BIGINT % {TK.vocab_size - TK.reserved}) AS INTEGER) AS id,
+                 min(t) AS tok FROM toks GROUP BY 1),
+vm AS (SELECT map_from_entries(list({{'key': id, 'value': tok}})) AS m FROM vocab),
+e AS (SELECT list_slice({TK.sql_ids('pa.response')}, 1, 32) AS l0, list_slice({TK.sql_ids('pr.text')}, 1, 32) AS p0
+      FROM predictions pr JOIN pairs pa USING (conv_id, turn) WHERE pr.model = 'm1'),
+pad AS (SELECT list_concat(l0, list_transform(range(40 - len(l0)), lambda x: {IGNORE_INDEX})) AS l,
+               list_concat(p0, list_transform(range(40 - len(p0)), lambda x: {TK.pad_id})) AS p FROM e)
+SELECT array_to_string(list_transform(list_filter(l, lambda i: i NOT IN ({IGNORE_INDEX}, {TK.pad_id}, {TK.bos_id}, {TK.eos_id})),
+                                      lambda i: coalesce(vm.m[i], '')), ' ') AS label,
+       array_to_string(list_transform(list_filter(p, lambda i: i NOT IN ({TK.pad_id}, {TK.bos_id}, {TK.eos_id})),
+                                      lambda i: coalesce(vm.m[i], '')), ' ') AS predict
+FROM pad, vm
+"""
+
+
+@register("K5_generated_predictions", sql=K5_SQL)
+def k5(spark, sf):
+    p = X.pairs(spark, sf)
+    toks = p.select(F.explode(TK.tokens(F.col("query"))).alias("t")).unionByName(
+        p.select(F.explode(TK.tokens(F.col("response"))).alias("t")))
+    vocab_df = toks.groupBy(TK.token_id(F.col("t")).alias("id")).agg(F.min("t").alias("tok"))
+    # bounded by the vocabulary size (ids lie in [0, vocab_size))
+    vocab = {r["id"]: r["tok"] for r in vocab_df.collect()}
+    decode = SK.decode_ids(vocab, {TK.pad_id, TK.bos_id, TK.eos_id})
+    pr = X.predictions(spark, sf).where(F.col("model") == "m1").join(p, ["conv_id", "turn"])
+    ids = pr.select(right_pad(truncate(TK.ids(F.col("response")), 32), 40, IGNORE_INDEX).alias("labels"),
+                    right_pad(truncate(TK.ids(F.col("text")), 32), 40, TK.pad_id).alias("preds"))
+    out = _dir(spark, "k5")
+    SK.generated_predictions(ids, decode, TK.pad_id, out=out)
+    return spark.read.schema("label string, predict string").json(out)
+
+
+# -- K6 / K7 ------------------------------------------------------------------
+@register("K6_model_reports", sql=f"""
+WITH {X.PREDICTIONS_SQL},
+e AS (SELECT pr.conv_id, pr.turn, pr.model, {TK.sql_tokens('pr.text')} AS ht, {TK.sql_tokens('pa.response')} AS rt
+      FROM predictions pr JOIN pairs pa USING (conv_id, turn)),
+g AS (SELECT *, list_distinct(ht) AS h, list_distinct(rt) AS r FROM e)
+SELECT conv_id, turn, model,
+  round(CASE WHEN len(r) > 0 THEN CAST(len(list_intersect(h, r)) AS DOUBLE) / len(r) ELSE 0.0 END, 6) AS rouge_1_r
+FROM g
+""")
+def k6(spark, sf):
+    e = X.predictions(spark, sf).join(X.pairs(spark, sf).select("conv_id", "turn", "response"), ["conv_id", "turn"])
+    e = e.withColumn("_pt", segment(F.col("text"))).withColumn("_et", segment(F.col("response")))
+    m = with_rouge_n(e, "_pt", "_et", ns=(1,)).select("conv_id", "turn", "model", F.round("rouge_1_r", 6).alias("rouge_1_r"))
+    out = _dir(spark, "k6")
+    SK.model_reports(m, out)
+    return spark.read.parquet(out).select("conv_id", "turn", "model", "rouge_1_r")
+
+
+@register("K7_materialize_by_params", sql=f"SELECT doc_id, CAST(len({TK.sql_tokens('text')}) AS INTEGER) AS n_tokens FROM documents")
+def k7(spark, sf):
+    params = {"op": "tokenize", "sf": os.path.basename(sf.rstrip("/")), "vocab": TK.vocab_size, "run": uuid.uuid4().hex}
+    build = lambda: X.documents(spark, sf).select("doc_id", TK.ids(F.col("text")).alias("input_ids"))
+    first = SK.materialize(spark, build, params)
+    again = SK.materialize(spark, build, params)  # reused: _SUCCESS exists
+    assert first.inputFiles() == again.inputFiles()
+    return again.select("doc_id", F.size("input_ids").alias("n_tokens"))
+
+
+def registry_json(base: str) -> str:
+    """Helper for tests: write a registry file next to the data."""
+    path = os.path.join(base, "dataset_info.json")
+    with open(path, "w", encoding="utf-8") as f:
+        json.dump({}, f)
+    return path
