@@ -35,7 +35,7 @@ def register(name: str, sql: str | None = None):
 def _load_all() -> None:
     # importing the modules fills the registry
     from weft.plans import (q_history, q_align, q_tokens, q_split, q_clean,  # noqa: F401
-                            q_metrics, q_eval, q_io)
+                            q_metrics, q_eval, q_io, q_stages)
 
 
 def entries() -> dict[str, Entry]:
