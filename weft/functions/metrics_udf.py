@@ -47,11 +47,11 @@ def sentence_bleu_chars(ref: str, hyp: str, max_n: int = 4) -> float:
     """Sentence BLEU-4 over characters with NIST geometric smoothing
     (smoothing "method 3"): a zero numerator at order k becomes
     1 / (2**j * denominator) for the j-th zero; no unigram match -> 0."""
-    r, h = list(ref), list(hyp)
+    r, h = ref, hyp  # str slices are code-point n-grams, same as list(str) tuples
     nums, dens = [], []
     for n in range(1, max_n + 1):
-        hc = Counter(tuple(h[i:i + n]) for i in range(len(h) - n + 1))
-        rc = Counter(tuple(r[i:i + n]) for i in range(len(r) - n + 1))
+        hc = Counter(h[i:i + n] for i in range(len(h) - n + 1))
+        rc = Counter(r[i:i + n] for i in range(len(r) - n + 1))
         nums.append(sum(min(c, rc[g]) for g, c in hc.items()))
         dens.append(max(1, sum(hc.values())))
     if nums[0] == 0:

@@ -90,9 +90,10 @@ def word_tokens(c) -> Column:
 
 
 def drop_stop_words(tokens: Column, stop_words=STOP_WORDS) -> Column:   # C9
-    """Keep order and duplicates (unlike array_except)."""
-    stop = F.array(*[F.lit(w) for w in stop_words])
-    return F.filter(tokens, lambda t: ~F.array_contains(stop, t))
+    """Keep order and duplicates (unlike array_except).  ``isin`` over the
+    literal list becomes a hash-set lookup (InSet) instead of a linear scan."""
+    words = list(stop_words)
+    return F.filter(tokens, lambda t: ~t.isin(*words))
 
 
 def strip_ws(c) -> Column:

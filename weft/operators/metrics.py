@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from weft.functions.metrics_udf import bleu_udf, rouge_l_udf
 from weft.functions.tokens import TOKEN_PATTERN
-from weft.operators.pack import running_offset
+from weft.operators.pack import running_sums
 
 METRICS = ("bleu", "rouge_1_r", "rouge_1_p", "rouge_1_f", "rouge_2_r", "rouge_2_p", "rouge_2_f",
            "rouge_l_r", "rouge_l_p", "rouge_l_f")
@@ -87,8 +87,7 @@ def cumulative_mean(df: DataFrame, key: str, order: str, val: str, chunk_width:
     """Running mean of ``val`` in ``order`` within ``key`` (order must be
     numeric); two-level prefix sums so a long series spreads over tasks."""
     d = df.withColumn("_one", F.lit(1))
-    d = running_offset(d, key, order, val, chunk_width, out="_s", cast=None)
-    d = running_offset(d, key, order, "_one", chunk_width, out="_n")
+    d = running_sums(d, key, order, {val: "_s", "_one": "_n"}, chunk_width)
     return d.withColumn("mean", (F.col("_s") + F.col(val)) / (F.col("_n") + 1)).drop("_one", "_s", "_n")
 
 

@@ -22,33 +22,54 @@ from pyspark.sql import functions as F
 from weft.functions.tokens import DEFAULT_TOKENIZER
 
 
-def running_offset(df: DataFrame, group: str, order: str, length: str, chunk_width: int = 4096,
-                   out: str = "offset", cast: str | None = "bigint") -> DataFrame:
-    """Exclusive running sum of ``length`` within ``group`` ordered by the
-    numeric ``order`` column, computed as chunk offsets + in-chunk offsets.
-    Chunks are ``order div chunk_width``; only per-chunk totals go through a
-    group-wide window."""
-    d = df.withColumn("_chunk", F.floor(F.col(order) / chunk_width))
-    totals = d.groupBy(group, "_chunk").agg(F.sum(length).alias("_ctot"))
+def running_sums(df: DataFrame, group: str, order: str, cols: dict[str, str], chunk_width: int = 4096) -> DataFrame:
+    """Exclusive running sums of several columns within ``group`` in the
+    numeric ``order``: ``cols`` maps input column -> output column.
+
+    Rows are hash-partitioned once by (group, order div chunk_width); the
+    per-chunk totals and the in-chunk window both read that one shuffle
+    (the exchange is reused), only the small chunk totals go through a
+    group-wide window, and the join back is co-partitioned, so the row
+    payload crosses the network once and no group sits in a single task."""
+    d = df.withColumn("_chunk", F.floor(F.col(order) / chunk_width)).repartition(group, "_chunk")
+    totals = d.groupBy(group, "_chunk").agg(*[F.sum(c).alias(f"_t_{o}") for c, o in cols.items()])
     wg = Window.partitionBy(group).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    chunk_off = totals.withColumn("_coff", F.coalesce(F.sum("_ctot").over(wg), F.lit(0))).drop("_ctot")
+    chunk_off = totals.select(group, "_chunk", *[F.coalesce(F.sum(f"_t_{o}").over(wg), F.lit(0)).alias(f"_c_{o}")
+                                                 for o in cols.values()])
     wc = Window.partitionBy(group, "_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    d = d.withColumn("_ioff", F.coalesce(F.sum(length).over(wc), F.lit(0)))
-    return (d.join(chunk_off, [group, "_chunk"])
-             .withColumn(out, (F.col("_coff") + F.col("_ioff")).cast(cast) if cast else F.col("_coff") + F.col("_ioff"))
-             .drop("_chunk", "_coff", "_ioff"))
+    for c, o in cols.items():
+        d = d.withColumn(f"_i_{o}", F.coalesce(F.sum(c).over(wc), F.lit(0)))
+    d = d.join(chunk_off, [group, "_chunk"])
+    for o in cols.values():
+        d = d.withColumn(o, F.col(f"_c_{o}") + F.col(f"_i_{o}"))
+    return d.drop("_chunk", *[f"_c_{o}" for o in cols.values()], *[f"_i_{o}" for o in cols.values()])
+
+
+def running_offset(df: DataFrame, group: str, order: str, length: str, chunk_width: int = 4096,
+                   out: str = "offset", cast: str | None = "bigint") -> DataFrame:
+    """Exclusive running sum of ``length`` (see :func:`running_sums`)."""
+    d = running_sums(df, group, order, {length: out}, chunk_width)
+    return d.withColumn(out, F.col(out).cast(cast)) if cast else d
 
 
-def _pieces(df: DataFrame, group: str, order: str, ids: str, block: int, chunk_width: int) -> DataFrame:
-    d = df.select(group, order, ids).withColumn("_len", F.size(ids)).where(F.col("_len") > 0)
+def _pieces(df: DataFrame, group: str, order: str, text: str, block: int, chunk_width: int,
+            tokenizer, add_special: bool) -> DataFrame:
+    """Offsets from token counts (regex only), then ids and one slice per
+    overlapped block, built directly by ``transform`` (the document's id
+    array is never copied per block)."""
+    d = df.select(group, order, text).withColumn("_len", tokenizer.count(F.col(text), add_special)).where(F.col("_len") > 0)
     d = running_offset(d, group, order, "_len", chunk_width)
-    first = F.floor(F.col("offset") / block)
-    last = F.floor((F.col("offset") + F.col("_len") - 1) / block)
-    d = d.withColumn("block", F.explode(F.sequence(first, last)))
-    s = F.greatest(F.col("offset"), F.col("block") * block)
-    e = F.least(F.col("offset") + F.col("_len"), (F.col("block") + 1) * block)
-    return d.select(group, "block", (s - F.col("block") * block).alias("pos"),
-                    F.slice(F.col(ids), (s - F.col("offset") + 1).cast("int"), (e - s).cast("int")).alias("piece"))
+    d = d.withColumn("_ids", tokenizer.ids(F.col(text), add_special))
+    off, n = F.col("offset"), F.col("_len")
+    blocks = F.sequence(F.floor(off / block), F.floor((off + n - 1) / block))
+
+    def piece(b):
+        s = F.greatest(off, b * block)
+        e = F.least(off + n, (b + 1) * block)
+        return F.struct(b.alias("block"), (s - b * block).alias("pos"),
+                        F.slice(F.col("_ids"), (s - off + 1).cast("int"), (e - s).cast("int")).alias("piece"))
+
+    return d.select(group, F.explode(F.transform(blocks, piece)).alias("_p")).select(group, "_p.block", "_p.pos", "_p.piece")
 
 
 def _assemble(pieces: DataFrame, group: str) -> DataFrame:
@@ -61,8 +82,7 @@ def pack_pretrain(df: DataFrame, max_source: int, group: str = "pack_group", ord
     """T5: concatenate the token lists of a group in ``order``, cut into
     blocks of ``max_source - 1``, drop the remainder, prepend bos; labels = ids."""
     b = max_source - 1
-    d = df.select(group, order, tokenizer.ids(F.col(text)).alias("_ids"))
-    blocks = _assemble(_pieces(d, group, order, "_ids", b, chunk_width), group).where(F.size("ids") == b)
+    blocks = _assemble(_pieces(df, group, order, text, b, chunk_width, tokenizer, False), group).where(F.size("ids") == b)
     ids = F.concat(F.array(F.lit(tokenizer.bos_id)), F.col("ids"))
     return blocks.select(group, "block", ids.alias("input_ids"), ids.alias("labels"))
 
@@ -71,10 +91,10 @@ def group_texts(df: DataFrame, block_size: int, group: str = "pack_group", order
                 text: str | None = None, tokenizer=DEFAULT_TOKENIZER, chunk_width: int = 4096) -> DataFrame:
     """As T5 without bos and with ``block_size``; a group shorter than one
     block keeps its single short block.  Text column: ``text`` if present,
-    else the first column."""
+    else the first column.  Documents are encoded with specials, as the
+    reference's tokenizer call does."""
     col = text or ("text" if "text" in df.columns else df.columns[0])
-    d = df.select(group, order, tokenizer.ids(F.col(col), add_special=True).alias("_ids"))
-    blocks = _assemble(_pieces(d, group, order, "_ids", block_size, chunk_width), group)
+    blocks = _assemble(_pieces(df, group, order, col, block_size, chunk_width, tokenizer, True), group)
     blocks = blocks.where((F.size("ids") == block_size) | (F.col("block") == 0))
     return blocks.select(group, "block", F.col("ids").alias("input_ids"),
                          F.transform("ids", lambda _: F.lit(1)).alias("attention_mask"), F.col("ids").alias("labels"))
