@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,20 +44,59 @@ def rouge_l(hyp: list, ref: list) -> tuple[float, float, float]:
     return r, p, num / (den + 1e-12)
 
 
+def _clipped_counts(ref: str, hyp: str, max_n: int) -> tuple[list[int], list[int]] | None:
+    """Per order n: (sum of min(hyp count, ref count) over hyp n-grams,
+    number of hyp n-grams), with numpy: characters are ranked over the joint
+    alphabet and each n-gram is packed into one uint64 (16 bits per rank).
+    Returns None when the alphabet is too large to pack."""
+    codes = np.frombuffer((ref + hyp).encode("utf-32-le"), dtype=np.uint32)
+    alphabet, ranks = np.unique(codes, return_inverse=True)
+    if len(alphabet) >= 1 << 16:
+        return None
+    ranks = ranks.astype(np.uint64)
+    r, h = ranks[:len(ref)], ranks[len(ref):]
+    nums, dens = [], []
+    for n in range(1, max_n + 1):
+        if len(h) < n:
+            nums.append(0)
+            dens.append(0)
+            continue
+        hk = np.zeros(len(h) - n + 1, dtype=np.uint64)
+        for i in range(n):
+            hk = (hk << np.uint64(16)) | h[i:len(h) - n + 1 + i]
+        hu, hc = np.unique(hk, return_counts=True)
+        if len(r) >= n:
+            rk = np.zeros(len(r) - n + 1, dtype=np.uint64)
+            for i in range(n):
+                rk = (rk << np.uint64(16)) | r[i:len(r) - n + 1 + i]
+            ru, rc = np.unique(rk, return_counts=True)
+            _, hi, ri = np.intersect1d(hu, ru, assume_unique=True, return_indices=True)
+            nums.append(int(np.minimum(hc[hi], rc[ri]).sum()))
+        else:
+            nums.append(0)
+        dens.append(int(hc.sum()))
+    return nums, dens
+
+
+def _clipped_counts_slow(ref: str, hyp: str, max_n: int) -> tuple[list[int], list[int]]:
+    nums, dens = [], []
+    for n in range(1, max_n + 1):
+        hc = Counter(hyp[i:i + n] for i in range(len(hyp) - n + 1))
+        rc = Counter(ref[i:i + n] for i in range(len(ref) - n + 1))
+        nums.append(sum(min(c, rc[g]) for g, c in hc.items()))
+        dens.append(sum(hc.values()))
+    return nums, dens
+
+
 def sentence_bleu_chars(ref: str, hyp: str, max_n: int = 4) -> float:
     """Sentence BLEU-4 over characters with NIST geometric smoothing
     (smoothing "method 3"): a zero numerator at order k becomes
     1 / (2**j * denominator) for the j-th zero; no unigram match -> 0."""
-    r, h = ref, hyp  # str slices are code-point n-grams, same as list(str) tuples
-    nums, dens = [], []
-    for n in range(1, max_n + 1):
-        hc = Counter(h[i:i + n] for i in range(len(h) - n + 1))
-        rc = Counter(r[i:i + n] for i in range(len(r) - n + 1))
-        nums.append(sum(min(c, rc[g]) for g, c in hc.items()))
-        dens.append(max(1, sum(hc.values())))
+    counts = _clipped_counts(ref, hyp, max_n) or _clipped_counts_slow(ref, hyp, max_n)
+    nums, dens = counts[0], [max(1, d) for d in counts[1]]
     if nums[0] == 0:
         return 0.0
-    hl, rl = len(h), len(r)
+    hl, rl = len(hyp), len(ref)
     if hl > rl:
         bp = 1.0
     elif hl == 0:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from weft.functions.metrics_udf import bleu_udf, rouge_l_udf
 from weft.functions.tokens import TOKEN_PATTERN
 from weft.operators.pack import running_sums
+from weft.session import materialize
 
 METRICS = ("bleu", "rouge_1_r", "rouge_1_p", "rouge_1_f", "rouge_2_r", "rouge_2_p", "rouge_2_f",
            "rouge_l_r", "rouge_l_p", "rouge_l_f")
@@ -92,7 +93,8 @@ def cumulative_mean(df: DataFrame, key: str, order: str, val: str, chunk_width:
 
 
 # -- W2 ---------------------------------------------------------------------------
-def _affine_level(df: DataFrame, keys: list[str], pos: str, chunk: int) -> tuple[DataFrame, DataFrame]:
+def _affine_level(df: DataFrame, keys: list[str], pos: str, chunk: int,
+                  materialize_level: bool = False) -> tuple[DataFrame, DataFrame]:
     """Chunk-local prefix composition of s -> a*s + b.  Returns per-row
     (A, B) with s_row = A * s_in(chunk) + B, and per-chunk summaries."""
     d = df.withColumn("_c", F.floor(F.col(pos) / chunk).cast("bigint")).withColumn("_p", F.pmod(F.col(pos), F.lit(chunk)))
@@ -106,7 +108,11 @@ def _affine_level(df: DataFrame, keys: list[str], pos: str, chunk: int) -> tuple
         return F.struct(a2.alias("A"), b2.alias("B"),
                         F.concat(acc["L"], F.array(F.struct(a2.alias("A"), b2.alias("B")))).alias("L"))
 
-    g = g.withColumn("_acc", F.aggregate(F.col("_xs"), init, step))
+    g = g.withColumn("_acc", F.aggregate(F.col("_xs"), init, step)).drop("_xs")
+    if materialize_level:
+        # rows and summaries both read this level; a reliable checkpoint in the
+        # shared folder keeps the upper levels from recomputing it
+        g = materialize(g)
     rows = g.select(*keys, "_c", F.posexplode(F.col("_acc")["L"]).alias("_p", "_ab")).select(
         *keys, "_c", (F.col("_c") * chunk + F.col("_p")).alias(pos), F.col("_ab")["A"].alias("A"), F.col("_ab")["B"].alias("B"))
     summ = g.select(*keys, F.col("_c").alias(pos), F.col("_acc")["A"].alias("a"), F.col("_acc")["B"].alias("b"))
@@ -121,7 +127,7 @@ def affine_scan(df: DataFrame, keys: list[str], pos: str, chunk: int = 256, max_
     elements.  Returns (keys, pos, s)."""
     if max_len is None:
         max_len = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    rows, summ = _affine_level(df.select(*keys, pos, "a", "b"), keys, pos, chunk)
+    rows, summ = _affine_level(df.select(*keys, pos, "a", "b"), keys, pos, chunk, materialize_level=max_len > chunk)
     if max_len <= chunk:
         s_in = rows.select(*keys, "_c").distinct().withColumn("_sin", F.lit(0.0))
     else:
@@ -143,6 +149,7 @@ def smooth(df: DataFrame, key: str, order: str, val: str, chunk: int = 256) -> D
     d = d.join(n, key).withColumn("_w", F.lit(1.8) * (F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-0.05) * F.col("_len"))) - 0.5))
     d = (d.withColumn("a", F.when(F.col("_pos") == 0, F.lit(0.0)).otherwise(F.col("_w")))
           .withColumn("b", F.when(F.col("_pos") == 0, F.col(val)).otherwise((1 - F.col("_w")) * F.col(val))))
+    d = materialize(d)   # read by the scan and by the final join
     s = affine_scan(d.select(key, "_pos", "a", "b"), [key], "_pos", chunk)
     return d.join(s, [key, "_pos"]).select(key, order, val, F.col("s").alias("smoothed"))
 

@@ -26,11 +26,12 @@ def running_sums(df: DataFrame, group: str, order: str, cols: dict[str, str], ch
     """Exclusive running sums of several columns within ``group`` in the
     numeric ``order``: ``cols`` maps input column -> output column.
 
-    Rows are hash-partitioned once by (group, order div chunk_width); the
-    per-chunk totals and the in-chunk window both read that one shuffle
-    (the exchange is reused), only the small chunk totals go through a
-    group-wide window, and the join back is co-partitioned, so the row
-    payload crosses the network once and no group sits in a single task."""
+    Rows are hash-partitioned once by (group, order div chunk_width) for
+    the in-chunk window; the per-chunk totals come from a narrow (group,
+    chunk, length) projection, so only small rows take the group-wide
+    window; the join back goes to the already partitioned rows (or is
+    broadcast by AQE when the chunk table is small).  The row payload
+    crosses the network once and no group sits in a single task."""
     d = df.withColumn("_chunk", F.floor(F.col(order) / chunk_width)).repartition(group, "_chunk")
     totals = d.groupBy(group, "_chunk").agg(*[F.sum(c).alias(f"_t_{o}") for c, o in cols.items()])
     wg = Window.partitionBy(group).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)

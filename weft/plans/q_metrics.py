@@ -131,7 +131,7 @@ GROUP BY t.event_type, t.event_id, t.v
 def w2(spark, sf):
     e = read_table(spark, sf, "events")
     e = e.select("event_type", "event_id", F.when(F.col("event_id") % 13 == 0, F.lit(None)).otherwise(F.col("value")).alias("value"))
-    out = M.smooth(e, "event_type", "event_id", "value", chunk=64)
+    out = M.smooth(e, "event_type", "event_id", "value")
     return out.select("event_type", "event_id", "value", F.round("smoothed", R6).alias("smoothed"))
 
 
