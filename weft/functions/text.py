@@ -84,9 +84,11 @@ def remove_numbers(c) -> Column:        # C10
     return F.regexp_replace(_c(c), DIGITS, " ")
 
 
-def word_tokens(c) -> Column:
-    """Whitespace word tokens (empty pieces dropped)."""
-    return F.filter(F.split(_c(c), f"{WS}+"), lambda t: t != "")
+def word_tokens(c, collapsed: bool = False) -> Column:
+    """Whitespace word tokens (empty pieces dropped).  ``collapsed`` text
+    holds single spaces only, so a literal split (Java's fast path) suffices."""
+    pattern = " " if collapsed else f"{WS}+"
+    return F.filter(F.split(_c(c), pattern), lambda t: t != "")
 
 
 def drop_stop_words(tokens: Column, stop_words=STOP_WORDS) -> Column:   # C9
@@ -109,7 +111,7 @@ def clean_tweet(c, lower: bool = False, numbers: bool = False, stop_words=STOP_W
     x = remove_punctuation(x)
     if numbers:
         x = remove_numbers(x)
-    return strip_ws(F.array_join(drop_stop_words(word_tokens(x), stop_words), " "))
+    return strip_ws(F.array_join(drop_stop_words(word_tokens(x, collapsed=True), stop_words), " "))
 
 
 def split_links(c) -> Column:
