@@ -72,3 +72,15 @@ def test_cumulative_questions(spark):
     pairs = spark.createDataFrame([(1, 0, "q1", "a1"), (1, 2, "q2", "a2")], "conv_id long, turn long, query string, response string")
     out = {r["turn"]: r["question"] for r in H.cumulative_questions(pairs).collect()}
     assert out == {0: "input: q1", 2: "input: q1output: a1input: q2"}
+
+
+def test_bounded_look_back_is_exact(spark):
+    rows = [(1, t, f"q{t} " + "w " * (t % 5), f"a{t}") for t in range(0, 60, 2)]
+    pairs = spark.createDataFrame(rows, "conv_id long, turn long, query string, response string").withColumn("prompt", F.lit(None).cast("string"))
+    budget = 60
+    k = H.max_fitting_turns(budget)
+    assert H.min_turn_cost() == 10 and k == 6
+    full = {r["turn"]: (r["n_history"], r["input_ids"]) for r in H.fit_history(H.expand_history(pairs), budget).collect()}
+    bounded = {r["turn"]: (r["n_history"], r["input_ids"])
+               for r in H.fit_history(H.expand_history(pairs, max_history=k), budget).collect()}
+    assert full == bounded

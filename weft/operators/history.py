@@ -42,10 +42,16 @@ def chat_pairs(turns: DataFrame, conv: str = "conv_id", turn: str = "turn",
 
 
 def expand_history(pairs: DataFrame, conv: str = "conv_id", order: str = "turn",
-                   query: str = "query", response: str = "response") -> DataFrame:
+                   query: str = "query", response: str = "response", max_history: int | None = None) -> DataFrame:
     """One row per turn with all earlier turns of the conversation as
-    ``history`` ARRAY<STRUCT<query, answer>> (chronological)."""
-    w = Window.partitionBy(conv).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    ``history`` ARRAY<STRUCT<query, answer>> (chronological).
+
+    ``max_history`` bounds the look-back frame.  With a token budget it can
+    be set exactly (see :func:`max_fitting_turns`): turns beyond it could
+    never be kept, so results are unchanged while rows stop growing with the
+    conversation length."""
+    start = Window.unboundedPreceding if max_history is None else -max_history
+    w = Window.partitionBy(conv).orderBy(order).rowsBetween(start, -1)
     hist = F.collect_list(F.struct(F.col(query).alias("query"), F.col(response).alias("answer"))).over(w)
     return pairs.withColumn("history", hist)
 
@@ -61,6 +67,23 @@ def expand_nested(df: DataFrame, chat: str = "chat", q: str = "input", a: str =
             .drop("_cur"))
 
 
+def min_turn_cost(tokenizer=DEFAULT_TOKENIZER, style: dict | None = None) -> int | None:
+    """Fewest tokens any rendered history turn can cost (the role markers of
+    an empty turn), or None when the tokenizer gives no static bound."""
+    import re
+    s = style or ROLE_MARKER_STYLE
+    pattern = getattr(tokenizer, "pattern", None)
+    if pattern is None:
+        return None
+    return len(re.findall(pattern, s["user_token"] + "\n" + s["assistant_token"] + "\n" + s.get("eos_token", "")))
+
+
+def max_fitting_turns(budget: int, tokenizer=DEFAULT_TOKENIZER, style: dict | None = None) -> int | None:
+    """Upper bound on history turns a budget fit can keep (exact look-back)."""
+    c = min_turn_cost(tokenizer, style)
+    return None if not c else budget // c
+
+
 def drop_missing_chat(df: DataFrame, chat: str = "chat") -> DataFrame:
     """skip rows without a turn list."""
     return df.where(F.col(chat).isNotNull())
