@@ -181,8 +181,10 @@ def phase_record(df: DataFrame, phase: int, pad_id: int = 0) -> DataFrame:
     raise ValueError(f"unknown phase {phase}")
 
 
-def has_answer(seq, prompt_length: int, pad_id: int) -> Column:
-    """keep sequences with more than one non-pad token after the prompt."""
+def has_answer(seq, prompt_length, pad_id: int) -> Column:
+    """keep sequences with more than one non-pad token after the prompt
+    (``prompt_length`` is the padded prompt width, an int or a Column)."""
     s = _c(seq)
-    ans = F.slice(s, F.lit(prompt_length + 1), F.greatest(F.size(s) - prompt_length, F.lit(0)))
+    pl = prompt_length if isinstance(prompt_length, Column) else F.lit(prompt_length)
+    ans = F.slice(s, (pl + 1).cast("int"), F.greatest(F.size(s) - pl, F.lit(0)).cast("int"))
     return F.size(F.filter(ans, lambda x: x != pad_id)) > 1

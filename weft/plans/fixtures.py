@@ -54,29 +54,31 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
 
 def instructions(spark: SparkSession, sf: str) -> DataFrame:
     """Instruction rows: instruction = user text, input = '' on even
-    conversations and the first 40 characters of the answer on odd ones,
-    output = assistant text."""
+    conversations and the conversation's whole system text (or '') on odd
+    ones, output = assistant text."""
     p = pairs(spark, sf)
     return p.select("conv_id", "turn", F.col("query").alias("instruction"),
-                    F.when(F.col("conv_id") % 2 == 1, F.substring("response", 1, 40)).otherwise(F.lit("")).alias("input"),
+                    F.when(F.col("conv_id") % 2 == 1, F.coalesce(F.col("prompt"), F.lit(""))).otherwise(F.lit("")).alias("input"),
                     F.col("response").alias("output"))
 
 
 INSTRUCTIONS_SQL = PAIRS_SQL + """,
 instructions AS (
   SELECT conv_id, turn, query AS instruction,
-         CASE WHEN conv_id % 2 = 1 THEN substr(response, 1, 40) ELSE '' END AS input,
+         CASE WHEN conv_id % 2 = 1 THEN coalesce(prompt, '') ELSE '' END AS input,
          response AS output
   FROM pairs)"""
 
 
 def predictions(spark: SparkSession, sf: str) -> DataFrame:
-    """Long predictions (conv_id, turn, model, text): m1 = first half of the
-    answer, m2 = the answer at the same turn of the next conversation
-    (absent where that turn does not exist)."""
+    """Long predictions (conv_id, turn, model, text), whole texts: m1 = the
+    answer two turns earlier in the same conversation, m2 = the answer at
+    the same turn of the next conversation (each absent where that pair
+    does not exist)."""
     p = pairs(spark, sf)
-    m1 = p.select("conv_id", "turn", F.lit("m1").alias("model"),
-                  F.expr("substring(response, 1, CAST(length(response) DIV 2 AS INT))").alias("text"))
+    m1 = p.select("conv_id", (F.col("turn") + 2).alias("turn"), F.lit("m1").alias("model"),
+                  F.col("response").alias("text"))
+    m1 = m1.join(p.select("conv_id", "turn"), ["conv_id", "turn"], "left_semi")
     m2 = p.select((F.col("conv_id") - 1).alias("conv_id"), "turn", F.lit("m2").alias("model"),
                   F.col("response").alias("text"))
     m2 = m2.join(p.select("conv_id", "turn"), ["conv_id", "turn"], "left_semi")
@@ -85,7 +87,8 @@ def predictions(spark: SparkSession, sf: str) -> DataFrame:
 
 PREDICTIONS_SQL = PAIRS_SQL + """,
 predictions AS (
-  SELECT conv_id, turn, 'm1' AS model, substr(response, 1, CAST(length(response) // 2 AS INTEGER)) AS text FROM pairs
+  SELECT o.conv_id AS conv_id, o.turn + 2 AS turn, 'm1' AS model, o.response AS text FROM pairs o
+  JOIN pairs p ON p.conv_id = o.conv_id AND p.turn = o.turn + 2
   UNION ALL
   SELECT o.conv_id - 1, o.turn, 'm2', o.response FROM pairs o
   JOIN pairs p ON p.conv_id = o.conv_id - 1 AND p.turn = o.turn)"""

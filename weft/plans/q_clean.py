@@ -121,15 +121,15 @@ def c11(spark, sf):
 
 # -- C12 - C14 ------------------------------------------------------------------
 def _dialog_text():
-    q = F.substring("query", 1, 60)
-    a = F.substring("response", 1, 60)
+    q = F.col("query")
+    a = F.col("response")
     return F.when(F.col("conv_id") % 3 == 0, F.concat(F.lit("student: "), q)).otherwise(
         F.concat(F.lit("<dialog><student> "), q, F.lit(" </student>\n<teacher>"), a, F.lit("</teacher></dialog>")))
 
 
-DIALOG_TEXT_SQL = (f"CASE WHEN conv_id % 3 = 0 THEN 'student: ' || substr(query, 1, 60) ELSE "
-                   f"'<dialog><student> ' || substr(query, 1, 60) || {lit(' </student>' + NL + '<teacher>')} || "
-                   f"substr(response, 1, 60) || '</teacher></dialog>' END")
+DIALOG_TEXT_SQL = (f"CASE WHEN conv_id % 3 = 0 THEN 'student: ' || query ELSE "
+                   f"'<dialog><student> ' || query || {lit(' </student>' + NL + '<teacher>')} || "
+                   f"response || '</teacher></dialog>' END")
 
 
 def _tag_sql(kind):
@@ -187,8 +187,8 @@ def c14(spark, sf):
 @register("F4_turn_quality", sql=f"""
 WITH {X.PAIRS_SQL},
 m AS (SELECT conv_id, turn,
-        CASE WHEN conv_id % 10 = 0 THEN MAP {{'dany_input': substr(query, 1, 6), 'output': response}}
-             ELSE MAP {{'input': CASE WHEN turn % 4 = 1 THEN substr(query, 1, 6) ELSE query END, 'output': response}} END AS m
+        CASE WHEN conv_id % 10 = 0 THEN MAP {{'dany_input': CAST(conv_id AS VARCHAR), 'output': response}}
+             ELSE MAP {{'input': CASE WHEN turn % 4 = 1 THEN CAST(turn AS VARCHAR) ELSE query END, 'output': response}} END AS m
       FROM pairs)
 SELECT conv_id, turn FROM m
 WHERE len(list_filter(map_values(m), lambda v: len({s_tokens('v')}) <= 1)) = 0
@@ -196,8 +196,8 @@ WHERE len(list_filter(map_values(m), lambda v: len({s_tokens('v')}) <= 1)) = 0
 """)
 def f4(spark, sf):
     p = X.pairs(spark, sf)
-    short = F.substring("query", 1, 6)
-    m = F.when(F.col("conv_id") % 10 == 0, F.create_map(F.lit("dany_input"), short, F.lit("output"), F.col("response"))) \
-        .otherwise(F.create_map(F.lit("input"), F.when(F.col("turn") % 4 == 1, short).otherwise(F.col("query")),
+    m = F.when(F.col("conv_id") % 10 == 0, F.create_map(F.lit("dany_input"), F.col("conv_id").cast("string"),
+                                                        F.lit("output"), F.col("response"))) \
+        .otherwise(F.create_map(F.lit("input"), F.when(F.col("turn") % 4 == 1, F.col("turn").cast("string")).otherwise(F.col("query")),
                                 F.lit("output"), F.col("response")))
     return p.where(TX.turn_passes(m)).select("conv_id", "turn")

@@ -82,21 +82,21 @@ def j2(spark, sf):
     return _map_cols(out.where(F.col("predict").isNotNull()), ["conv_id", "turn"])
 
 
-def _stub_head(texts):
-    return [t[:20] + "..." for t in texts]
+def _stub_echo(texts):
+    return ["echo: " + t for t in texts]
 
 
-def _stub_tail(texts):
-    return [t[-20:] for t in texts]
+def _stub_underscore(texts):
+    return [t.replace(" ", "_") for t in texts]
 
 
 @register("G4_batch_predict", sql=f"""
 WITH {X.PAIRS_SQL}
-SELECT conv_id, turn, ['head', 'tail'] AS models, [substr(query, 1, 20) || '...', right(query, 20)] AS texts FROM pairs
+SELECT conv_id, turn, ['echo', 'underscore'] AS models, ['echo: ' || query, replace(query, ' ', '_')] AS texts FROM pairs
 """)
 def g4(spark, sf):
     rows = X.pairs(spark, sf).select("conv_id", "turn", "query")
-    preds = EV.batch_predict(rows, ["conv_id", "turn"], "query", {"head": _stub_head, "tail": _stub_tail})
+    preds = EV.batch_predict(rows, ["conv_id", "turn"], "query", {"echo": _stub_echo, "underscore": _stub_underscore})
     out = EV.attach_predictions(rows.select("conv_id", "turn"), preds, ["conv_id", "turn"])
     return _map_cols(out, ["conv_id", "turn"])
 
@@ -212,17 +212,17 @@ PLACEHOLDER = TX.TRANSLATION_PLACEHOLDERS[1]
 
 def _turn_maps(spark, sf):
     p = X.pairs(spark, sf)
-    short = F.substring("query", 1, 6)
-    m = F.when(F.col("conv_id") % 10 == 0, F.create_map(F.lit("dany_input"), short, F.lit("output"), F.col("response"))) \
-        .otherwise(F.create_map(F.lit("input"), F.when(F.col("turn") % 4 == 1, short).otherwise(F.col("query")),
+    m = F.when(F.col("conv_id") % 10 == 0, F.create_map(F.lit("dany_input"), F.col("conv_id").cast("string"),
+                                                        F.lit("output"), F.col("response"))) \
+        .otherwise(F.create_map(F.lit("input"), F.when(F.col("turn") % 4 == 1, F.col("turn").cast("string")).otherwise(F.col("query")),
                                 F.lit("output"), F.col("response")))
     return p.select("conv_id", "turn", m.alias("turn_map"))
 
 
 TURN_MAPS_SQL = f"""{X.PAIRS_SQL},
 m AS (SELECT conv_id, turn,
-        CASE WHEN conv_id % 10 = 0 THEN MAP {{'dany_input': substr(query, 1, 6), 'output': response}}
-             ELSE MAP {{'input': CASE WHEN turn % 4 = 1 THEN substr(query, 1, 6) ELSE query END, 'output': response}} END AS m
+        CASE WHEN conv_id % 10 = 0 THEN MAP {{'dany_input': CAST(conv_id AS VARCHAR), 'output': response}}
+             ELSE MAP {{'input': CASE WHEN turn % 4 = 1 THEN CAST(turn AS VARCHAR) ELSE query END, 'output': response}} END AS m
       FROM pairs)"""
 
 
@@ -233,7 +233,7 @@ ok AS (SELECT * FROM m
           OR len(list_filter(map_keys(m), lambda k: contains(k, 'dany') OR contains(k, '霍金'))) > 0),
 kv AS (SELECT conv_id, turn, m, unnest(map_keys(m)) AS k, unnest(map_values(m)) AS v FROM ok),
 tr AS (SELECT DISTINCT v AS source,
-         CASE WHEN length(v) % 6 = 1 THEN {lit(PLACEHOLDER)} ELSE 'T:' || substr(v, 1, 30) || ' ' END AS target
+         CASE WHEN length(v) % 6 = 1 THEN {lit(PLACEHOLDER)} ELSE 'T:' || v || ' ' END AS target
        FROM kv WHERE length(v) % 6 <> 0),
 j AS (SELECT kv.*, {s_strip('tr.target')} AS t,
              tr.target IS NOT NULL AND {s_strip('tr.target')} NOT IN ('', {lit(PLACEHOLDER)}, {lit(TX.TRANSLATION_PLACEHOLDERS[2])}) AS good
@@ -254,7 +254,7 @@ def j5(spark, sf):
     vals = turns.select(F.explode(F.map_values("turn_map")).alias("source")).distinct()
     tr = vals.where(F.length("source") % 6 != 0).select(
         "source", F.when(F.length("source") % 6 == 1, F.lit(PLACEHOLDER))
-                   .otherwise(F.concat(F.lit("T:"), F.substring("source", 1, 30), F.lit(" "))).alias("target"))
+                   .otherwise(F.concat(F.lit("T:"), F.col("source"), F.lit(" "))).alias("target"))
     out = EV.apply_translations(turns, tr, ["conv_id", "turn"], "turn_map")
     e = F.array_sort(F.map_entries("entry"))
     return out.select("conv_id", "turn", "output", F.col("seq").cast("int").alias("seq"),

@@ -71,19 +71,21 @@ def a5(spark, sf):
 # -- A6 -----------------------------------------------------------------------
 @register("A6_token_accuracy", sql=f"""
 WITH {X.PREDICTIONS_SQL},
-j AS (SELECT pr.conv_id, pr.turn, list_slice({TK.sql_ids('pr.text')}, 1, 64) AS p0,
-             list_slice({TK.sql_ids('pa.response')}, 1, 64) AS l0
+j AS (SELECT pr.conv_id, pr.turn, {TK.sql_ids('pr.text')} AS p0, {TK.sql_ids('pa.response')} AS l0
       FROM predictions pr JOIN pairs pa USING (conv_id, turn) WHERE pr.model = 'm1'),
-pad AS (SELECT list_concat(p0, list_transform(range(64 - len(p0)), lambda x: 0)) AS p,
-               list_concat(l0, list_transform(range(64 - len(l0)), lambda x: {IGNORE_INDEX})) AS l FROM j),
-h AS (SELECT len(list_filter(range(1, 64), lambda i: p[i] = l[i + 1])) AS hit, 63 AS n FROM pad)
+w AS (SELECT *, greatest(len(p0), len(l0)) AS w FROM j),
+pad AS (SELECT w, list_concat(p0, list_transform(range(w - len(p0)), lambda x: 0)) AS p,
+               list_concat(l0, list_transform(range(w - len(l0)), lambda x: {IGNORE_INDEX})) AS l FROM w),
+h AS (SELECT len(list_filter(range(1, w), lambda i: p[i] = l[i + 1])) AS hit, greatest(w - 1, 0) AS n FROM pad)
 SELECT round(sum(hit) / sum(n), {R6}) AS accuracy, CAST(sum(n) AS BIGINT) AS n FROM h
 """)
 def a6(spark, sf):
     pr = X.predictions(spark, sf).where(F.col("model") == "m1")
     j = pr.join(X.pairs(spark, sf), ["conv_id", "turn"])
-    j = j.select(right_pad(truncate(TK.ids(F.col("text")), 64), 64, 0).alias("preds"),
-                 right_pad(truncate(TK.ids(F.col("response")), 64), 64, IGNORE_INDEX).alias("labels"))
+    j = j.select(TK.ids(F.col("text")).alias("p0"), TK.ids(F.col("response")).alias("l0"))
+    j = j.withColumn("w", F.greatest(F.size("p0"), F.size("l0")))
+    j = j.select(F.concat("p0", F.array_repeat(F.lit(0), F.col("w") - F.size("p0"))).alias("preds"),
+                 F.concat("l0", F.array_repeat(F.lit(IGNORE_INDEX), F.col("w") - F.size("l0"))).alias("labels"))
     out = M.token_accuracy(j)
     return out.select(F.round("accuracy", R6).alias("accuracy"), "n")
 

@@ -179,8 +179,8 @@ def t14(spark, sf):
 # -- T15 ----------------------------------------------------------------------
 @register("T15_batch_pad", sql=f"""
 WITH {X.PAIRS_SQL},
-e AS (SELECT conv_id, turn, conv_id // 8 AS batch_id, list_slice({ids('query', True)}, 1, 200) AS input_ids,
-             list_slice({ids('response')}, 1, 100) AS labels FROM pairs),
+e AS (SELECT conv_id, turn, conv_id // 8 AS batch_id, {ids('query', True)} AS input_ids,
+             {ids('response')} AS labels FROM pairs),
 m AS (SELECT *, max(len(input_ids)) OVER (PARTITION BY batch_id) AS w FROM e)
 SELECT conv_id, turn, batch_id,
   list_concat(input_ids, list_transform(range(w - len(input_ids)), lambda x: {PAD})) AS input_ids,
@@ -189,35 +189,36 @@ FROM m
 """)
 def t15(spark, sf):
     p = X.pairs(spark, sf).select("conv_id", "turn", (F.col("conv_id") / 8).cast("bigint").alias("batch_id"),
-                                  truncate(TK.ids(F.col("query"), True), 200).alias("input_ids"),
-                                  truncate(TK.ids(F.col("response")), 100).alias("labels"))
+                                  TK.ids(F.col("query"), True).alias("input_ids"),
+                                  TK.ids(F.col("response")).alias("labels"))
     return EN.batch_pad(p, "batch_id").select("conv_id", "turn", "batch_id", "input_ids", "labels")
 
 
 # -- T16 / T17 ----------------------------------------------------------------
 @register("T16_pad_to_target", sql=f"""
 WITH {X.PAIRS_SQL},
-e AS (SELECT conv_id, turn, list_slice({ids('response')}, 1, 32) AS src, {ids('query')} AS tgt FROM pairs)
+e AS (SELECT conv_id, turn, {ids('response')} AS src, {ids('query')} AS tgt FROM pairs)
 SELECT conv_id, turn, list_concat(list_transform(range(greatest(len(tgt) - len(src), 0)), lambda x: {PAD}), src) AS padded
 FROM e
 """)
 def t16(spark, sf):
     p = X.pairs(spark, sf)
-    src = truncate(TK.ids(F.col("response")), 32)
+    src = TK.ids(F.col("response"))
     return p.select("conv_id", "turn", EN.pad_to_target(src, TK.ids(F.col("query")), PAD).alias("padded"))
 
 
 @register("T17_strip_padding", sql=f"""
 WITH {X.PAIRS_SQL}
-SELECT conv_id, turn, list_slice({ids('query')}, 1, 64) AS query_ids,
-       list_slice({ids('response')}, 1, CASE WHEN conv_id % 9 = 0 THEN 0 ELSE 64 END) AS response_ids
+SELECT conv_id, turn, {ids('query')} AS query_ids,
+       CASE WHEN conv_id % 9 = 0 THEN []::INTEGER[] ELSE {ids('response')} END AS response_ids
 FROM pairs
 """)
 def t17(spark, sf):
     p = X.pairs(spark, sf)
-    q = left_pad(truncate(TK.ids(F.col("query")), 64), 64, PAD)
-    r_ids = F.when(F.col("conv_id") % 9 == 0, F.array().cast("array<int>")).otherwise(truncate(TK.ids(F.col("response")), 64))
-    r = right_pad(r_ids, 64, PAD)
+    q_ids = TK.ids(F.col("query"))
+    q = left_pad(q_ids, F.size(q_ids) + 5, PAD)                      # left padding of a generated batch
+    r_ids = F.when(F.col("conv_id") % 9 == 0, F.array().cast("array<int>")).otherwise(TK.ids(F.col("response")))
+    r = F.concat(r_ids, F.array_repeat(F.lit(PAD), 5))               # right padding
     qs, rs = EN.strip_padding(q, r, PAD)
     return p.select("conv_id", "turn", qs.alias("query_ids"), rs.alias("response_ids"))
 
@@ -310,12 +311,17 @@ def t20(spark, sf):
 # -- F5 -----------------------------------------------------------------------
 @register("F5_drop_short_answers", sql=f"""
 WITH {X.PAIRS_SQL},
-s AS (SELECT conv_id, turn, list_slice({ids('response')}, 1, CAST(conv_id % 4 AS INTEGER)) AS ans FROM pairs)
+s AS (SELECT conv_id, turn,
+        {ids("CASE turn % 4 WHEN 1 THEN CAST(turn AS VARCHAR) WHEN 3 THEN '' ELSE response END")} AS ans FROM pairs)
 SELECT conv_id, turn FROM s WHERE len(ans) > 1
 """)
 def f5(spark, sf):
+    """Generated sequences = left-padded prompt + answer + right padding;
+    answers are a one-token text, an empty text or the whole response."""
     p = X.pairs(spark, sf)
-    prompt = left_pad(truncate(TK.ids(F.col("query")), 32), 32, PAD)
-    ans = right_pad(F.slice(TK.ids(F.col("response")), F.lit(1), (F.col("conv_id") % 4).cast("int")), 16, PAD)
-    seq = F.concat(prompt, ans)
-    return p.where(EN.has_answer(seq, 32, PAD)).select("conv_id", "turn")
+    q_ids = TK.ids(F.col("query"))
+    prompt = left_pad(q_ids, F.size(q_ids) + 3, PAD)
+    text = F.when(F.col("turn") % 4 == 1, F.col("turn").cast("string")).when(F.col("turn") % 4 == 3, F.lit("")) \
+        .otherwise(F.col("response"))
+    seq = F.concat(prompt, TK.ids(text), F.array_repeat(F.lit(PAD), 4))
+    return p.where(EN.has_answer(seq, F.size(q_ids) + 3, PAD)).select("conv_id", "turn")
