@@ -10,7 +10,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from weft.functions.templates import get_template
 from weft.functions.tokens import DEFAULT_TOKENIZER
@@ -79,9 +78,3 @@ def create_dataset(train: DataFrame, eval_: DataFrame, dataset_name: str, phase:
     return (create_split(train, dataset_name, phase, data_split, key_cols, seed, eoc_token, max_seq, tokenizer),
             create_split(eval_, dataset_name, phase, data_split, key_cols, seed, eoc_token, max_seq, tokenizer))
 
-
-def with_keys(df: DataFrame, *cols: str) -> DataFrame:
-    return df.select(*cols, *[c for c in df.columns if c not in cols])
-
-
-__all__ = ["StageConfig", "prepare", "create_dataset", "create_split", "with_keys", "F"]

@@ -7,15 +7,13 @@ the operator under test, so its work grows with the tables.
 
 from __future__ import annotations
 
-import json
 import os
 import uuid
 
 from pyspark.sql import functions as F
 
-from weft.functions.tokens import DEFAULT_TOKENIZER as TK, IGNORE_INDEX, right_pad, truncate
+from weft.functions.tokens import DEFAULT_TOKENIZER as TK, IGNORE_INDEX
 from weft.operators import split as SP
-from weft.operators.align import instruction_to_chat
 from weft.operators.evaluate import attach_predictions
 from weft.operators.metrics import segment, with_rouge_n
 from weft.plans import fixtures as X
@@ -285,10 +283,3 @@ def k7(spark, sf):
     assert first.inputFiles() == again.inputFiles()
     return again.select("doc_id", F.size("input_ids").alias("n_tokens"))
 
-
-def registry_json(base: str) -> str:
-    """Helper for tests: write a registry file next to the data."""
-    path = os.path.join(base, "dataset_info.json")
-    with open(path, "w", encoding="utf-8") as f:
-        json.dump({}, f)
-    return path

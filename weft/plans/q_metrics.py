@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weft.functions.tokens import DEFAULT_TOKENIZER as TK, IGNORE_INDEX, TOKEN_PATTERN, right_pad, truncate
+from weft.functions.tokens import DEFAULT_TOKENIZER as TK, IGNORE_INDEX, TOKEN_PATTERN
 from weft.operators import metrics as M
 from weft.operators.split import ordered_index
 from weft.plans import fixtures as X

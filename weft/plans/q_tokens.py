@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from weft.functions.templates import get_dialog, get_prompt, get_template, sql_dialog, sql_prompt
-from weft.functions.tokens import DEFAULT_TOKENIZER as TK, left_pad, right_pad, truncate
+from weft.functions.tokens import DEFAULT_TOKENIZER as TK, left_pad
 from weft.operators import adapters as AD
 from weft.operators import encode as EN
 from weft.operators import pack as PK
