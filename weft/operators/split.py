@@ -26,9 +26,24 @@ def seeded_key(seed: int, *cols: str) -> Column:
     return F.md5(F.concat_ws(":", *parts))
 
 
-def seeded_rank(df: DataFrame, key_cols: list[str], seed: int, out: str = "rank", digits: int = 4) -> DataFrame:
+ROWS_PER_BUCKET = 2_000_000
+
+
+def bucket_digits(n: int | None, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
+    """Hex digits of the md5 bucket: 4 (65,536 buckets) by default, growing
+    with the row count so a bucket stays near ``rows_per_bucket`` rows, capped
+    at 5 (about 1 M buckets, a ~16 MB broadcast offset table)."""
+    if not n:
+        return 4
+    return max(4, min(5, math.ceil(math.log(max(n / rows_per_bucket, 1.0), 16))))
+
+
+def seeded_rank(df: DataFrame, key_cols: list[str], seed: int, out: str = "rank", digits: int | None = None,
+                n: int | None = None) -> DataFrame:
     """L2: 0-based position of each row in the permutation defined by
-    ``md5(seed:key)`` (ties broken by the key columns)."""
+    ``md5(seed:key)`` (ties broken by the key columns).  ``digits`` defaults
+    to :func:`bucket_digits` of ``n`` when the row count is known."""
+    digits = bucket_digits(n) if digits is None else digits
     if not 1 <= digits <= 6:
         raise ValueError("digits must be in 1..6")
     d = (df.withColumn("_pk", seeded_key(seed, *key_cols))
@@ -68,8 +83,8 @@ def train_dev_split(df: DataFrame, dev_ratio: float, do_train: bool, key_cols: l
         return df.withColumn("split", F.lit("eval"))
     if dev_ratio <= 1e-6:
         return df.withColumn("split", F.lit("train"))
-    r = seeded_rank(df, key_cols, seed)
-    n = r.count() if n is None else n
+    n = df.count() if n is None else n
+    r = seeded_rank(df, key_cols, seed, n=n)
     n_test = math.ceil(dev_ratio * n)
     return r.withColumn("split", F.when(F.col("rank") < n_test, "eval").otherwise("train")).drop("rank")
 
@@ -92,8 +107,8 @@ def phase_split(df: DataFrame, weights: str, key_cols: list[str], seed: int = 42
                 out: str = "part") -> DataFrame:
     """Label every row with its phase index ``part`` (0-based): rows whose
     permutation rank falls in [b_i, b_{i+1}).  Empty parts are allowed."""
-    r = seeded_rank(df, key_cols, seed)
-    n = r.count() if n is None else n
+    n = df.count() if n is None else n
+    r = seeded_rank(df, key_cols, seed, n=n)
     b = split_boundaries(weights, n)
     part = F.lit(None).cast("int")
     for i in range(len(b) - 2, -1, -1):
@@ -116,8 +131,8 @@ def shard(df: DataFrame, world: int, batch_size: int, key_cols: list[str], seed:
           n: int | None = None) -> DataFrame:
     """Permutation rank strided over ``world`` workers; fixed batches per
     shard; each shard's last partial batch is dropped."""
-    r = seeded_rank(df, key_cols, seed)
-    n = r.count() if n is None else n
+    n = df.count() if n is None else n
+    r = seeded_rank(df, key_cols, seed, n=n)
     s = F.pmod(F.col("rank"), F.lit(world))
     pos = F.floor(F.col("rank") / world)
     n_s = F.floor((F.lit(n) - s + world - 1) / world)
