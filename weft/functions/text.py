@@ -42,6 +42,8 @@ STOP_WORDS = (
 
 # Translation results treated as failures.
 TRANSLATION_PLACEHOLDERS = ("", "翻译数据正在路上...", "对不起，我正在学习该语种中")
+# Key substrings that exempt a turn from the word-count rule.
+ALLOWED_KEY_SUBSTRINGS = ("dany", "霍金")
 
 
 def _c(c) -> Column:
@@ -160,7 +162,7 @@ def word_count(c) -> Column:
     return F.size(word_tokens(c))
 
 
-def turn_passes(m, allow_keys=("dany", "霍金")) -> Column:
+def turn_passes(m, allow_keys=ALLOWED_KEY_SUBSTRINGS) -> Column:
     """every value has more than one word, or a key contains an
     allow-listed substring."""
     m = _c(m)

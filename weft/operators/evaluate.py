@@ -123,7 +123,7 @@ def judge_scores(members: DataFrame, parsed: DataFrame, key: str = "batch", n_mo
 # -- J5 -------------------------------------------------------------------------
 def apply_translations(turns: DataFrame, translations: DataFrame, keys: list[str], turn_map: str = "turn",
                        source: str = "source", target: str = "target",
-                       allow_keys=("dany", "霍金")) -> DataFrame:
+                       allow_keys=TX.ALLOWED_KEY_SUBSTRINGS) -> DataFrame:
     """Translate every value of each accepted turn (F4) through a
     (source, target) table.  A value fails when its translation is missing
     or a placeholder; each failure records the original turn as missing; a

@@ -18,19 +18,20 @@ from weft.plans.q_clean import s_strip, s_tokens
 
 NL = chr(10)
 
-# Role prompt table used by the J1 query (the key "Dragon Mother" leaves the
-# role "Mother of Dragons" unmatched, as in the reference's sample data).
-ROLE_PROMPTS = [("AI", "Hello. "), ("Musk", "Suppose you are an entrepreneur. "),
-                ("Hawking", "Suppose you are a physicist. "), ("Dragon Mother", "You are a queen. ")]
-ROLE_SQL = ("CASE conv_id % 4 WHEN 0 THEN 'AI' WHEN 1 THEN 'Musk' WHEN 2 THEN 'Hawking' "
-            "ELSE 'Mother of Dragons' END")
+# Role prompt table used by the J1 query.  The key "Sea Captain" leaves the
+# role "Captain of the Sea" unmatched: a role spelled differently from its
+# prompt key, the situation J1 must report.
+ROLE_PROMPTS = [("Tutor", "You are a patient tutor. "), ("Chef", "You are a chef. "),
+                ("Poet", "You answer in verse. "), ("Sea Captain", "You are a ship's captain. ")]
+ROLE_SQL = ("CASE conv_id % 4 WHEN 0 THEN 'Tutor' WHEN 1 THEN 'Chef' WHEN 2 THEN 'Poet' "
+            "ELSE 'Captain of the Sea' END")
 ROLE_VALUES = ", ".join(f"({lit(r)}, {lit(p)})" for r, p in ROLE_PROMPTS)
 
 
 def _questions(spark, sf):
     q = cumulative_questions(X.pairs(spark, sf)).drop("prompt")
-    role = (F.when(F.col("conv_id") % 4 == 0, "AI").when(F.col("conv_id") % 4 == 1, "Musk")
-             .when(F.col("conv_id") % 4 == 2, "Hawking").otherwise("Mother of Dragons"))
+    role = (F.when(F.col("conv_id") % 4 == 0, "Tutor").when(F.col("conv_id") % 4 == 1, "Chef")
+             .when(F.col("conv_id") % 4 == 2, "Poet").otherwise("Captain of the Sea"))
     return q.withColumn("role", role)
 
 
