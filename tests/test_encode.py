@@ -43,3 +43,16 @@ def test_pairwise_requires_two_answers(spark):
     df = spark.createDataFrame([("p", "a")], "prompt string, response string")
     with pytest.raises(TypeError):
         EN.split_pair_response(df)
+
+
+def test_python_tokenizer_works_in_array_encoders(spark):
+    from weft.functions.tokens import PandasTokenizer
+    from weft.operators import history as H
+    tk = PandasTokenizer(lambda texts: [[len(w) + 3 for w in t.split()] for t in texts])
+    df = spark.createDataFrame([(["a bb", "ccc", "dddd e", "ff"],)], "dialog array<string>")
+    r = EN.encode_supervised(df, max_source=8, max_target=8, tokenizer=tk).first()
+    assert r["input_ids"] == [tk.bos_id, 4, 5, 6, tk.eos_id, 7, 4, 5, tk.eos_id]
+    hist = spark.createDataFrame([("q", "a", None, [("x y", "z")])],
+                                 "query string, response string, prompt string, history array<struct<query:string,answer:string>>")
+    out = H.fit_history_rounds(hist, 100, tokenizer=tk).first()
+    assert out["n_history"] == 1 and out["labels"][-2:] == out["input_ids"][-2:]

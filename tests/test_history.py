@@ -84,3 +84,17 @@ def test_bounded_look_back_is_exact(spark):
     bounded = {r["turn"]: (r["n_history"], r["input_ids"])
                for r in H.fit_history(H.expand_history(pairs, max_history=k), budget).collect()}
     assert full == bounded
+
+
+def test_encode_style_registry(spark):
+    import pytest
+    from weft.functions.tokens import PandasTokenizer
+    df = _row(spark, HISTORY)
+    a = H.encode_chat(df, "role_marker", 40).first()
+    assert a["n_history"] == 1
+    tk = PandasTokenizer(lambda texts: [[len(w) + 3 for w in t.split()] for t in texts])
+    H.register_encode_style("words", lambda d, b, t: H.fit_history(d, b, t))
+    w = H.encode_chat(df, "words", 1000, tk).first()
+    assert w["n_history"] == 3
+    with pytest.raises(KeyError):
+        H.encode_chat(df, "nope", 10)

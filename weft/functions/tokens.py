@@ -70,6 +70,14 @@ class HashTokenizer:
         n = F.size(self.tokens(text))
         return n + 1 if add_special else n
 
+    def ids_many(self, texts) -> Column:
+        """ARRAY<STRING> -> ARRAY<ARRAY<INT>>."""
+        return F.transform(_col(texts), lambda t: self.ids(t))
+
+    def count_many(self, texts) -> Column:
+        """ARRAY<STRING> -> ARRAY<INT> of token counts (no hashing)."""
+        return F.transform(_col(texts), lambda t: self.count(t))
+
     # -- DuckDB oracle text ------------------------------------------
     def sql_tokens(self, text_sql: str) -> str:
         return f"regexp_extract_all({text_sql}, '{self.pattern}')"
@@ -108,7 +116,26 @@ class PandasTokenizer:
                 out[~mask.values] = pd.Series([list(map(int, e)) for e in enc], dtype=object).values
             return out
 
+        @F.pandas_udf(T.ArrayType(T.ArrayType(T.IntegerType())))
+        def _ids_many(s: pd.Series) -> pd.Series:
+            # one encode call per Arrow batch for all texts of all rows
+            flat, sizes = [], []
+            for arr in s:
+                items = [] if arr is None else ["" if t is None else t for t in arr]
+                sizes.append(None if arr is None else len(items))
+                flat.extend(items)
+            enc = [list(map(int, e)) for e in fn(flat)] if flat else []
+            out, pos = [], 0
+            for n in sizes:
+                if n is None:
+                    out.append(None)
+                else:
+                    out.append(enc[pos:pos + n])
+                    pos += n
+            return pd.Series(out, dtype=object)
+
         self._udf = _ids
+        self._udf_many = _ids_many
 
     def ids(self, text, add_special: bool = False) -> Column:
         out = self._udf(_col(text))
@@ -120,6 +147,14 @@ class PandasTokenizer:
         n = F.size(self.ids(text))
         return n + 1 if add_special else n
 
+    def ids_many(self, texts) -> Column:
+        """ARRAY<STRING> -> ARRAY<ARRAY<INT>> in one UDF call (Python UDFs
+        cannot run inside higher-order-function lambdas)."""
+        return self._udf_many(_col(texts))
+
+    def count_many(self, texts) -> Column:
+        return F.transform(self.ids_many(texts), lambda x: F.size(x))
+
 
 DEFAULT_TOKENIZER = HashTokenizer()
 

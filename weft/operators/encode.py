@@ -31,11 +31,15 @@ def encode_supervised(df: DataFrame, max_source: int, max_target: int, tokenizer
     max_len = max_source + max_target
     d = F.col(dialog)
     n_turns = F.floor(F.size(d) / 2).cast("int")
-    idx = F.sequence(F.lit(0), n_turns - 1)
-    turns = F.transform(F.when(n_turns > 0, idx).otherwise(F.array().cast(EMPTY_INT)), lambda i: F.struct(
-        truncate(F.when(i == 0, tk.ids(d[2 * i], add_special=True)).otherwise(tk.ids(d[2 * i])), max_source).alias("src"),
-        truncate(tk.ids(d[2 * i + 1]), max_target - 1).alias("tgt")))
-    out = df.withColumn("_turns", turns)
+    idx = F.when(n_turns > 0, F.sequence(F.lit(0), n_turns - 1)).otherwise(F.array().cast(EMPTY_INT))
+    # sources/targets are gathered as text arrays and tokenised per array, so
+    # a Python tokenizer never runs inside a lambda
+    out = (df.withColumn("_src", tk.ids_many(F.transform(idx, lambda i: d[2 * i])))
+             .withColumn("_tgt", tk.ids_many(F.transform(idx, lambda i: d[2 * i + 1]))))
+    src = F.transform("_src", lambda x, i: truncate(F.when(i == 0, F.concat(F.array(F.lit(tk.bos_id)), x)).otherwise(x),
+                                                    max_source))
+    tgt = F.transform("_tgt", lambda x: truncate(x, max_target - 1))
+    out = out.withColumn("_turns", F.zip_with(src, tgt, lambda a, b: F.struct(a.alias("src"), b.alias("tgt")))).drop("_src", "_tgt")
     init = F.struct(F.lit(0).alias("used"), F.lit(0).alias("n"), F.lit(False).alias("stop"))
 
     def step(acc, t):

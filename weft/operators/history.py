@@ -138,16 +138,18 @@ def fit_history(df: DataFrame, budget: int, tokenizer=DEFAULT_TOKENIZER, style:
              .withColumn("_hist", hist)
              .withColumn("_start", F.size("_cur_ids") + (F.size("_prompt_ids") if count_prompt else F.lit(0))))
     out = out.where(F.col("_start") <= budget)
-    lens = F.transform(F.col("_hist"), lambda h: tk.count(turn_text(h["query"], h["answer"])))
-    out = out.withColumn("n_history", _fit_count(F.reverse(lens), F.col("_start"), budget))
+    # turn texts are rendered in the JVM, then tokenised as one array (a
+    # Python tokenizer cannot run inside a higher-order lambda)
+    out = out.withColumn("_htexts", F.transform(F.col("_hist"), lambda h: turn_text(h["query"], h["answer"])))
+    out = out.withColumn("n_history", _fit_count(F.reverse(tk.count_many(F.col("_htexts"))), F.col("_start"), budget))
     kept = _suffix(F.col("_hist"), F.col("n_history"))
     out = (out.withColumn("kept_history", kept)
               .withColumn("input_ids", F.concat(
                   F.col("_prompt_ids"),
-                  F.flatten(F.transform(F.col("kept_history"), lambda h: tk.ids(turn_text(h["query"], h["answer"])))),
+                  F.flatten(tk.ids_many(_suffix(F.col("_htexts"), F.col("n_history")))),
                   F.col("_cur_ids")))
               .withColumn("labels", F.col("input_ids")))
-    return out.drop("_cur_ids", "_prompt_ids", "_hist", "_start")
+    return out.drop("_cur_ids", "_prompt_ids", "_hist", "_start", "_htexts")
 
 
 def fit_history_rounds(df: DataFrame, budget: int, tokenizer=DEFAULT_TOKENIZER, style: dict | None = None,
@@ -178,11 +180,15 @@ def fit_history_rounds(df: DataFrame, budget: int, tokenizer=DEFAULT_TOKENIZER,
              .withColumn("_start", F.size("_head") + tk.count(round_text(F.lit(1))) + F.size("_q_ids") + F.size("_a_ids")))
     out = out.where(F.col("_start") <= budget)
     # newest-first cost of history entry k (0-based): its ids + header "[Round k+2]"
-    costs = F.transform(F.reverse(F.col("_hist")),
-                        lambda h, k: tk.count(h_text(h["query"], h["answer"])) + tk.count(round_text(k + 2)))
+    rev = F.reverse(F.col("_hist"))
+    costs = F.zip_with(tk.count_many(F.transform(rev, lambda h: h_text(h["query"], h["answer"]))),
+                       tk.count_many(F.transform(rev, lambda h, k: round_text(k + 2))), lambda a, b: a + b)
     out = out.withColumn("n_history", _fit_count(costs, F.col("_start"), budget))
     kept = _suffix(F.col("_hist"), F.col("n_history"))
-    body = F.flatten(F.transform(kept, lambda h, j: F.concat(tk.ids(round_text(j + 1)), tk.ids(h_text(h["query"], h["answer"])))))
+    out = out.withColumn("_kept", kept)
+    body = F.flatten(F.zip_with(tk.ids_many(F.transform("_kept", lambda h, j: round_text(j + 1))),
+                                tk.ids_many(F.transform("_kept", lambda h: h_text(h["query"], h["answer"]))),
+                                lambda a, b: F.concat(a, b)))
     ctx = F.concat(F.col("_head"), body, tk.ids(round_text(F.col("n_history") + 1)), F.col("_q_ids"))
     labels = F.concat(F.array_repeat(F.lit(pad), F.size(ctx)), F.col("_a_ids"))
     if mask_pad:
@@ -190,7 +196,7 @@ def fit_history_rounds(df: DataFrame, budget: int, tokenizer=DEFAULT_TOKENIZER,
     out = (out.withColumn("kept_history", kept)
               .withColumn("input_ids", F.concat(ctx, F.col("_a_ids")))
               .withColumn("labels", labels))
-    return out.drop("_hist", "_head", "_q_ids", "_a_ids", "_start")
+    return out.drop("_hist", "_head", "_q_ids", "_a_ids", "_start", "_kept")
 
 
 def encode_classification(df: DataFrame, budget: int, tokenizer=DEFAULT_TOKENIZER, style: dict | None = None,
@@ -212,15 +218,15 @@ def encode_classification(df: DataFrame, budget: int, tokenizer=DEFAULT_TOKENIZE
     out = out.where(F.size("_cur_ids") + F.size("_prompt_ids") <= budget)
     if history:
         hist = F.coalesce(F.col(history), F.array().cast(HISTORY_TYPE))
-        lens = F.transform(hist, lambda h: tk.count(t(h["query"])))
-        n = _fit_count(F.reverse(lens), F.size("_cur_ids"), budget)
+        out = out.withColumn("_htexts", F.transform(hist, lambda h: t(h["query"])))
+        n = _fit_count(F.reverse(tk.count_many(F.col("_htexts"))), F.size("_cur_ids"), budget)
         out = out.withColumn("n_history", n)
-        hist_ids = F.flatten(F.transform(_suffix(hist, F.col("n_history")), lambda h: tk.ids(t(h["query"]))))
+        hist_ids = F.flatten(tk.ids_many(_suffix(F.col("_htexts"), F.col("n_history"))))
     else:
         out = out.withColumn("n_history", F.lit(0))
         hist_ids = F.array().cast("array<int>")
     out = out.withColumn("input_ids", F.concat(F.col("_prompt_ids"), hist_ids, F.col("_cur_ids")))
-    return out.withColumn("label", F.col(label)).drop("_cur_ids", "_prompt_ids")
+    return out.withColumn("label", F.col(label)).drop("_cur_ids", "_prompt_ids", "_htexts")
 
 
 def inference_context(df: DataFrame, budget: int, tokenizer=DEFAULT_TOKENIZER, style: dict | None = None,
@@ -244,21 +250,21 @@ def inference_context(df: DataFrame, budget: int, tokenizer=DEFAULT_TOKENIZER, s
     out = (df.withColumn("_prompt_ids", F.when(F.coalesce(prompt_col, F.lit("")) != "", tk.ids(prompt_col)).otherwise(empty))
              .withColumn("_q_ids", tk.ids(F.concat(F.lit(s["user_token"]), F.coalesce(F.col(query), F.lit("")),
                                                    F.lit("\n"), F.lit(s["assistant_token"]))))
-             .withColumn("_lock_ids", F.flatten(F.transform(locked_col, lambda h: tk.ids(turn_text(h["query"], h["answer"])))))
+             .withColumn("_lock_ids", F.flatten(tk.ids_many(F.transform(locked_col, lambda h: turn_text(h["query"], h["answer"])))))
              .withColumn("_len1", F.size("_q_ids") + F.size("_prompt_ids"))
              .withColumn("_len2", F.col("_len1") + F.size("_lock_ids"))
              .withColumn("_hist", hist))
-    lens = F.transform(F.col("_hist"), lambda h: tk.count(turn_text(h["query"], h["answer"])))
-    n = _fit_count(F.reverse(lens), F.col("_len2"), budget)
+    out = out.withColumn("_htexts", F.transform(F.col("_hist"), lambda h: turn_text(h["query"], h["answer"])))
+    n = _fit_count(F.reverse(tk.count_many(F.col("_htexts"))), F.col("_len2"), budget)
     status = (F.when(F.col("_len1") > budget, F.lit("query_too_long"))
                .when(F.col("_len2") > budget, F.lit("locked_too_long")).otherwise(F.lit("ok")))
     out = out.withColumn("status", status).withColumn("n_history", F.when(F.col("status") == "ok", n).otherwise(F.lit(0)))
     kept = _suffix(F.col("_hist"), F.col("n_history"))
     ids = F.concat(F.col("_prompt_ids"), F.col("_lock_ids"),
-                   F.flatten(F.transform(kept, lambda h: tk.ids(turn_text(h["query"], h["answer"])))), F.col("_q_ids"))
+                   F.flatten(tk.ids_many(_suffix(F.col("_htexts"), F.col("n_history")))), F.col("_q_ids"))
     out = (out.withColumn("kept_history", F.when(F.col("status") == "ok", kept))
               .withColumn("input_ids", F.when(F.col("status") == "ok", ids)))
-    return out.drop("_prompt_ids", "_q_ids", "_lock_ids", "_len1", "_len2", "_hist")
+    return out.drop("_prompt_ids", "_q_ids", "_lock_ids", "_len1", "_len2", "_hist", "_htexts")
 
 
 def cumulative_questions(pairs: DataFrame, conv: str = "conv_id", order: str = "turn",
@@ -283,3 +289,25 @@ def role_play_transcript(pairs: DataFrame, instruction: str, conv: str = "conv_i
         parts.append(F.coalesce(F.col(profile), F.lit("")))
     return (out.withColumn("next_prompt", F.concat(*parts))
                .withColumn("key", F.concat(F.lit("turn_"), (F.row_number().over(Window.partitionBy(conv).orderBy(order)) - 1).cast("string"))))
+
+
+# Encode styles by model family; users may register their own
+# ``fn(df, budget, tokenizer) -> DataFrame`` (plug a tokenizer in through
+# :class:`weft.functions.tokens.PandasTokenizer`).
+ENCODE_STYLES = {
+    "role_marker": lambda df, budget, tk: fit_history(df, budget, tk),
+    "rounds": lambda df, budget, tk: fit_history_rounds(df, budget, tk),
+    "classification": lambda df, budget, tk: encode_classification(df, budget, tk, text="query", label="label",
+                                                                   history="history", prompt="prompt"),
+}
+
+
+def register_encode_style(name: str, fn) -> None:
+    ENCODE_STYLES[name] = fn
+
+
+def encode_chat(df: DataFrame, style: str, budget: int, tokenizer=DEFAULT_TOKENIZER) -> DataFrame:
+    """Dispatch a chat encode by style name; unknown names raise."""
+    if style not in ENCODE_STYLES:
+        raise KeyError(f"unknown encode style {style}; known: {sorted(ENCODE_STYLES)}")
+    return ENCODE_STYLES[style](df, budget, tokenizer)
