@@ -179,22 +179,11 @@ def a8(spark, sf):
                                                   for n in (1, 2) for m in ("r", "p", "f")])
 
 
-@register("A8_rouge_l")
-def a8l(spark, sf):
-    """ROUGE-L via the LCS UDF (checked against hand-computed values in tests)."""
-    e = X.predictions(spark, sf).join(X.pairs(spark, sf).select("conv_id", "turn", "response"), ["conv_id", "turn"])
-    from weft.functions.metrics_udf import rouge_l_udf
-    s = rouge_l_udf(M.segment(F.col("text")), M.segment(F.col("response")))
-    return e.select("conv_id", "turn", "model", *[F.round(s[m], R6).alias(f"rouge_l_{m}") for m in ("r", "p", "f")])
-
-
 def _seg_str(x):
     return f"array_to_string({_seg(x)}, ' ')"
 
 
-@register("A9_bleu", sql=f"""
-WITH {EVAL_SQL},
-s AS (SELECT conv_id, turn, model, {_seg_str('expect')} AS r, {_seg_str('predict')} AS h FROM e),
+BLEU_CTES = f"""s AS (SELECT conv_id, turn, model, {_seg_str('expect')} AS r, {_seg_str('predict')} AS h FROM e),
 ns AS (SELECT unnest([1, 2, 3, 4]) AS n),
 hg AS (SELECT conv_id, turn, model, n, g, count(*) AS c FROM (
          SELECT conv_id, turn, model, n, substr(h, unnest(generate_series(1, length(h) - n + 1)), n) AS g FROM s, ns)
@@ -213,11 +202,39 @@ z AS (SELECT *, sum(CASE WHEN num = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY conv
                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS k FROM f),
 l AS (SELECT *, CASE WHEN num = 0 THEN ln(1.0 / (pow(2, k) * den)) ELSE ln(CAST(num AS DOUBLE) / den) END AS lp FROM z),
 a AS (SELECT conv_id, turn, model, max(hl) AS hl, max(rl) AS rl, sum(0.25 * lp) AS s,
-             max(CASE WHEN n = 1 THEN num END) AS p1 FROM l GROUP BY ALL)
-SELECT conv_id, turn, model,
-  round(CASE WHEN p1 = 0 THEN 0.0 ELSE
-    (CASE WHEN hl > rl THEN 1.0 WHEN hl = 0 THEN 0.0 ELSE exp(1 - CAST(rl AS DOUBLE) / hl) END) * exp(s) END, {R6}) AS bleu
-FROM a
+             max(CASE WHEN n = 1 THEN num END) AS p1 FROM l GROUP BY ALL),
+bleu AS (SELECT conv_id, turn, model,
+  CASE WHEN p1 = 0 THEN 0.0 ELSE
+    (CASE WHEN hl > rl THEN 1.0 WHEN hl = 0 THEN 0.0 ELSE exp(1 - CAST(rl AS DOUBLE) / hl) END) * exp(s) END AS bleu
+  FROM a)"""
+
+# ROUGE-L: LCS by an anti-diagonal dynamic programme in a recursive CTE
+# (one row per (conv_id, turn, model), replaced each step via USING KEY).
+LCS_CTES = """base AS (SELECT conv_id, turn, model, ht AS a, rt AS b, len(ht) AS m, len(rt) AS n FROM e),
+dp(conv_id, turn, model, d, p2, p1) USING KEY (conv_id, turn, model) AS (
+  SELECT conv_id, turn, model, 1, list_transform(range(0, m + 1), lambda x: 0), list_transform(range(0, m + 1), lambda x: 0)
+  FROM base
+  UNION
+  SELECT dp.conv_id, dp.turn, dp.model, dp.d + 1, dp.p1,
+    list_transform(range(0, base.m + 1), lambda i:
+       CASE WHEN i = 0 OR dp.d + 1 - i <= 0 OR dp.d + 1 - i > base.n THEN 0
+            WHEN base.a[i] = base.b[dp.d + 1 - i] THEN dp.p2[i] + 1
+            ELSE greatest(dp.p1[i], dp.p1[i + 1]) END)
+  FROM dp JOIN base ON base.conv_id = dp.conv_id AND base.turn = dp.turn AND base.model = dp.model
+  WHERE dp.d < base.m + base.n),
+lcs AS (SELECT dp.conv_id, dp.turn, dp.model, base.m, base.n, CAST(dp.p1[base.m + 1] AS DOUBLE) AS lcs
+        FROM dp JOIN base ON base.conv_id = dp.conv_id AND base.turn = dp.turn AND base.model = dp.model),
+rl AS (SELECT conv_id, turn, model,
+         CASE WHEN m = 0 OR n = 0 THEN 0.0 ELSE lcs / n END AS r,
+         CASE WHEN m = 0 OR n = 0 THEN 0.0 ELSE lcs / m END AS p FROM lcs),
+rl2 AS (SELECT conv_id, turn, model, r, p,
+          (1 + pow(p / (r + 1e-12), 2)) * r * p / (r + pow(p / (r + 1e-12), 2) * p + 1e-12) AS f FROM rl)"""
+
+
+@register("A9_bleu", sql=f"""
+WITH {EVAL_SQL},
+{BLEU_CTES}
+SELECT conv_id, turn, model, round(bleu, {R6}) AS bleu FROM bleu
 """)
 def a9(spark, sf):
     e = X.predictions(spark, sf).join(X.pairs(spark, sf).select("conv_id", "turn", "response"), ["conv_id", "turn"])
@@ -226,10 +243,36 @@ def a9(spark, sf):
     return e.select("conv_id", "turn", "model", F.round(b, R6).alias("bleu"))
 
 
-@register("A10_evaluate_predictions")
+@register("A8_rouge_l", sql=f"""
+WITH RECURSIVE {EVAL_SQL},
+{LCS_CTES}
+SELECT conv_id, turn, model, round(r, {R6}) AS rouge_l_r, round(p, {R6}) AS rouge_l_p, round(f, {R6}) AS rouge_l_f FROM rl2
+""")
+def a8l(spark, sf):
+    """ROUGE-L via the LCS UDF; the oracle runs the LCS dynamic programme in SQL."""
+    e = X.predictions(spark, sf).join(X.pairs(spark, sf).select("conv_id", "turn", "response"), ["conv_id", "turn"])
+    from weft.functions.metrics_udf import rouge_l_udf
+    s = rouge_l_udf(M.segment(F.col("text")), M.segment(F.col("response")))
+    return e.select("conv_id", "turn", "model", *[F.round(s[m], R6).alias(f"rouge_l_{m}") for m in ("r", "p", "f")])
+
+
+def _rouge_cols3(n):
+    p, rc = _rouge_sql(n)
+    return (f"round_even({rc}, 3) AS rouge_{n}_r, round_even({p}, 3) AS rouge_{n}_p, "
+            f"round_even(2 * {p} * {rc} / ({p} + {rc} + 1e-8), 3) AS rouge_{n}_f")
+
+
+@register("A10_evaluate_predictions", sql=f"""
+WITH RECURSIVE {EVAL_SQL},
+{BLEU_CTES},
+{LCS_CTES}
+SELECT e.conv_id, e.turn, e.model, e.expect, e.predict, round_even(bleu.bleu, 3) AS bleu,
+       {_rouge_cols3(1)}, {_rouge_cols3(2)},
+       round_even(rl2.r, 3) AS rouge_l_r, round_even(rl2.p, 3) AS rouge_l_p, round_even(rl2.f, 3) AS rouge_l_f
+FROM e JOIN bleu USING (conv_id, turn, model) JOIN rl2 USING (conv_id, turn, model)
+""")
 def a10(spark, sf):
-    """Every (row, model): the 10 metrics rounded to 3 places (rows-only check;
-    the ROUGE-1/2 and BLEU parts are oracle-checked by A8_rouge_n and A9_bleu)."""
+    """Every (row, model): the 10 metrics rounded half-even to 3 places."""
     from weft.operators.evaluate import attach_predictions
     rows = X.pairs(spark, sf).select("conv_id", "turn", F.col("response").alias("expect"))
     rows = attach_predictions(rows, X.predictions(spark, sf), ["conv_id", "turn"])
