@@ -164,7 +164,9 @@ _USER_ADAPTERS: list[tuple[str, Callable[[DataFrame], DataFrame]]] = []
 
 
 def register_adapter(name: str, fn: Callable[[DataFrame], DataFrame]) -> None:
-    """A user adapter, matched before the built-ins."""
+    """A user adapter, matched before the built-ins (re-registering a
+    name replaces it)."""
+    _USER_ADAPTERS[:] = [(k, f) for k, f in _USER_ADAPTERS if k != name]
     _USER_ADAPTERS.insert(0, (name, fn))
 
 

@@ -75,14 +75,21 @@ def first_n_per_source(df: DataFrame, n: int | None, source: str, order: list[st
 
 
 def train_dev_split(df: DataFrame, dev_ratio: float, do_train: bool, key_cols: list[str], seed: int = 42,
-                    n: int | None = None) -> DataFrame:
+                    n: int | None = None, exact: bool = True) -> DataFrame:
     """Adds ``split``: with training and ratio > 1e-6 the first
     ceil(n * ratio) rows of the permutation are 'eval', the rest 'train';
-    ratio <= 1e-6 -> all 'train'; not training -> all 'eval'."""
+    ratio <= 1e-6 -> all 'train'; not training -> all 'eval'.
+
+    ``exact=False`` draws the same seeded md5 key but keeps a row for eval
+    when its key falls below ``ratio`` of the key space: no count, no
+    shuffle, and the eval share is ``ratio`` only in expectation."""
     if not do_train:
         return df.withColumn("split", F.lit("eval"))
     if dev_ratio <= 1e-6:
         return df.withColumn("split", F.lit("train"))
+    if not exact:
+        u = F.conv(F.substring(seeded_key(seed, *key_cols), 1, 12), 16, 10).cast("double") / float(16 ** 12)
+        return df.withColumn("split", F.when(u < dev_ratio, "eval").otherwise("train"))
     n = df.count() if n is None else n
     r = seeded_rank(df, key_cols, seed, n=n)
     n_test = math.ceil(dev_ratio * n)

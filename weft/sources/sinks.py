@@ -83,6 +83,13 @@ def generated_predictions(df: DataFrame, decode: Callable, pad_id: int, preds: s
     return res
 
 
+def write_shards(sharded: DataFrame, out: str, fmt: str = "parquet") -> None:
+    """X4 sink: one folder per data-parallel worker (``shard=<k>``), rows
+    ordered by (batch, pos) inside each shard's files."""
+    (sharded.repartition("shard").sortWithinPartitions("batch", "pos")
+     .write.mode("overwrite").partitionBy("shard").format(fmt).save(out))
+
+
 def model_reports(metrics: DataFrame, out: str, fmt: str = "parquet") -> None:
     """K6: the long metrics table, one folder per model."""
     w = metrics.write.mode("overwrite").partitionBy("model")
