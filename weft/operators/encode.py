@@ -165,13 +165,16 @@ def stack_pairs(df: DataFrame, batch: str, pos: str, chosen: str, rejected: str,
     base = df.withColumn("_n", n).withColumn("_r", F.dense_rank().over(Window.partitionBy(batch).orderBy(pos)) - 1)
 
     def side(s, ids, mask):
-        cols = [F.col(batch), (F.lit(s) * F.col("_n") + F.col("_r")).alias("row"), F.lit(s).alias("side"),
-                F.col(ids).alias("input_ids")]
+        fields = [(F.lit(s) * F.col("_n") + F.col("_r")).alias("row"), F.lit(s).alias("side"), F.col(ids).alias("input_ids")]
         if chosen_mask:
-            cols.append(F.col(mask).alias("attention_mask"))
-        return base.select(*cols)
-
-    return side(0, chosen, chosen_mask).unionByName(side(1, rejected, rejected_mask))
+            fields.append(F.col(mask).alias("attention_mask"))
+        return F.struct(*fields)
+
+    # both sides from one pass over the batch window (explode, not a union)
+    both = F.array(side(0, chosen, chosen_mask), side(1, rejected, rejected_mask))
+    out = base.select(F.col(batch), F.explode(both).alias("_s"))
+    cols = ["row", "side", "input_ids"] + (["attention_mask"] if chosen_mask else [])
+    return out.select(batch, *[F.col(f"_s.{c}").alias(c) for c in cols])
 
 
 def phase_record(df: DataFrame, phase: int, pad_id: int = 0) -> DataFrame:

@@ -144,13 +144,18 @@ def apply_translations(turns: DataFrame, translations: DataFrame, keys: list[str
     good = F.filter("_xs", lambda x: x["_ok"])
     new = F.map_from_entries(F.transform(good, lambda x: F.struct(x["_key"], x["_t"])))
     g = g.withColumn("_new", new).withColumn("_nfail", F.size(F.filter("_xs", lambda x: ~x["_ok"])))
-    chats = g.where(F.size("_new") > 1).select(*keys, F.lit("chats").alias("output"), F.lit(0).alias("seq"),
-                                               F.col("_new").alias("entry"))
-    fails = g.where(F.col("_nfail") > 0).select(*keys, "_orig", F.explode(F.sequence(F.lit(0), F.col("_nfail") - 1)).alias("seq"))
-    fails = fails.select(*keys, F.lit("missing").alias("output"), "seq", F.col("_orig").alias("entry"))
-    partial = g.where(F.size("_new") <= 1).select(*keys, F.lit("missing").alias("output"), F.col("_nfail").alias("seq"),
-                                                  F.col("_new").alias("entry"))
-    return chats.unionByName(fails).unionByName(partial)
+
+    def entry(output, seq, m):
+        return F.struct(F.lit(output).alias("output"), seq.cast("int").alias("seq"), m.alias("entry"))
+
+    none = F.array().cast("array<struct<output:string,seq:int,entry:map<string,string>>>")
+    chats = F.when(F.size("_new") > 1, F.array(entry("chats", F.lit(0), F.col("_new")))).otherwise(none)
+    fails = F.when(F.col("_nfail") > 0, F.transform(F.sequence(F.lit(0), F.col("_nfail") - 1),
+                                                    lambda i: entry("missing", i, F.col("_orig")))).otherwise(none)
+    partial = F.when(F.size("_new") <= 1, F.array(entry("missing", F.col("_nfail"), F.col("_new")))).otherwise(none)
+    # all outputs of a turn from one pass over the grouped turns
+    out = g.select(*keys, F.explode(F.concat(chats, fails, partial)).alias("_o"))
+    return out.select(*keys, "_o.output", "_o.seq", "_o.entry")
 
 
 # -- G1 / G4 ------------------------------------------------------------------

@@ -104,11 +104,13 @@ def p4(spark, sf):
     for n in template_names()))
 def p5(spark, sf):
     df = _hist(spark, sf)
-    # one projection per registered template; the union is narrow (no shuffle)
-    parts = [df.select("conv_id", "turn", F.lit(n).alias("template"),
-                       get_prompt(get_template(n), F.col("query"), F.col("history"), AL.clean_prefix()).alias("prompt_text"))
-             for n in template_names()]
-    return AL.concat_aligned(parts)
+    # every registered template rendered in one projection and exploded: the
+    # input is read and windowed once (a union would recompute it per template)
+    rendered = F.array(*[F.struct(F.lit(n).alias("template"),
+                                  get_prompt(get_template(n), F.col("query"), F.col("history"),
+                                             AL.clean_prefix()).alias("prompt_text"))
+                         for n in template_names()])
+    return df.select("conv_id", "turn", F.explode(rendered).alias("_t")).select("conv_id", "turn", "_t.template", "_t.prompt_text")
 
 
 # -- P6..P17 adapters ---------------------------------------------------------
