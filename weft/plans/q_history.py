@@ -138,7 +138,8 @@ FROM ctx
 
 @register("T10_history_fit_rounds", sql=T10_SQL)
 def t10(spark, sf):
-    df = H.fit_history_rounds(H.expand_history(X.pairs(spark, sf)), T10_BUDGET)
+    look_back = H.max_fitting_turns(T10_BUDGET, style=RS)   # markers alone bound the turns a fit can keep
+    df = H.fit_history_rounds(H.expand_history(X.pairs(spark, sf), max_history=look_back), T10_BUDGET)
     return df.select("conv_id", "turn", F.col("n_history").cast("bigint").alias("n_history"), "input_ids", "labels")
 
 
