@@ -98,3 +98,14 @@ def test_encode_style_registry(spark):
     assert w["n_history"] == 3
     with pytest.raises(KeyError):
         H.encode_chat(df, "nope", 10)
+
+
+def test_role_play_transcript_format(spark):
+    pairs = spark.createDataFrame([(1, 0, "q1", "a1", "P"), (1, 2, "q2", "a2", "P")],
+                                  "conv_id long, turn long, query string, response string, prompt string")
+    out = {r["key"]: r for r in H.role_play_transcript(pairs, "S:", "T:", "{dialog}|{user_profile}", profile="prompt").collect()}
+    one = "<student>: q1\n</student>\n<teacher>: a1\n</teacher>\n"
+    assert out["turn_1"]["student_prompt"] == "S:"
+    assert out["turn_2"]["student_prompt"] == "S:" + one
+    assert out["turn_2"]["teacher_prompt"] == "T:" + one + "<student>: q2\n</student>\n"
+    assert out["turn_2"]["profiler_prompt"] == one + "<student>: q2\n</student>\n|P"

@@ -275,20 +275,38 @@ def cumulative_questions(pairs: DataFrame, conv: str = "conv_id", order: str = "
     return pairs.withColumn("question", F.concat(F.array_join(prev, ""), F.lit("input: "), F.col(query)))
 
 
-def role_play_transcript(pairs: DataFrame, instruction: str, conv: str = "conv_id", order: str = "turn",
-                         query: str = "query", response: str = "response", profile: str | None = None,
-                         student_tag: str = "student", teacher_tag: str = "teacher") -> DataFrame:
-    """Running transcript of tagged student/teacher lines; the next-step
-    prompt is the instruction + transcript (+ profile); rows keyed ``turn_i``."""
-    line = F.concat(F.lit(f"<{student_tag}>"), F.col(query), F.lit(f"</{student_tag}>\n"),
-                    F.lit(f"<{teacher_tag}>"), F.col(response), F.lit(f"</{teacher_tag}>\n"))
-    w = Window.partitionBy(conv).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    out = pairs.withColumn("transcript", F.array_join(F.collect_list(line).over(w), ""))
-    parts = [F.lit(instruction), F.col("transcript")]
-    if profile:
-        parts.append(F.coalesce(F.col(profile), F.lit("")))
-    return (out.withColumn("next_prompt", F.concat(*parts))
-               .withColumn("key", F.concat(F.lit("turn_"), (F.row_number().over(Window.partitionBy(conv).orderBy(order)) - 1).cast("string"))))
+def _fill(template: str, values: dict[str, Column]) -> Column:
+    """Substitute ``{name}`` placeholders of a Python template with columns in
+    one pass (as an f-string would; inserted text is never re-scanned)."""
+    import re
+    pieces = re.split("(" + "|".join(re.escape("{" + k + "}") for k in values) + ")", template)
+    return F.concat(*[values[p[1:-1]] if p[1:-1] in values and p.startswith("{") else F.lit(p) for p in pieces if p])
+
+
+def role_play_transcript(pairs: DataFrame, student_instruction: str, teacher_instruction: str,
+                         profiler_template: str | None = None, conv: str = "conv_id", order: str = "turn",
+                         query: str = "query", response: str = "response", profile: str | None = None) -> DataFrame:
+    """Role-play transcript assembly.  Per turn ``i`` (1-based key
+    ``turn_i``): the student prompt is the instruction + the transcript so
+    far; the student line ``<student>: q\n</student>\n`` is appended and the
+    teacher prompt is the instruction + that transcript; the teacher line
+    ``<teacher>: a\n</teacher>\n`` closes the turn.  A profiler template may
+    reference ``{dialog}`` (transcript through the student line) and
+    ``{user_profile}`` (the ``profile`` column)."""
+    s_line = F.concat(F.lit("<student>: "), F.col(query), F.lit("\n</student>\n"))
+    t_line = F.concat(F.lit("<teacher>: "), F.col(response), F.lit("\n</teacher>\n"))
+    w_before = Window.partitionBy(conv).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    out = (pairs.withColumn("_sl", s_line).withColumn("_tl", t_line)
+                .withColumn("_before", F.array_join(F.collect_list(F.concat(s_line, t_line)).over(w_before), "")))
+    out = (out.withColumn("key", F.concat(F.lit("turn_"), F.row_number().over(Window.partitionBy(conv).orderBy(order)).cast("string")))
+              .withColumn("student_prompt", F.concat(F.lit(student_instruction), F.col("_before")))
+              .withColumn("teacher_prompt", F.concat(F.lit(teacher_instruction), F.col("_before"), F.col("_sl")))
+              .withColumn("transcript", F.concat(F.col("_before"), F.col("_sl"), F.col("_tl"))))
+    if profiler_template is not None:
+        prof = F.coalesce(F.col(profile), F.lit("")) if profile else F.lit("")
+        out = out.withColumn("profiler_prompt", _fill(profiler_template, {
+            "dialog": F.concat(F.col("_before"), F.col("_sl")), "user_profile": prof}))
+    return out.drop("_sl", "_tl", "_before")
 
 
 # Encode styles by model family; users may register their own

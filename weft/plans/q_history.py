@@ -242,18 +242,32 @@ def w1(spark, sf):
 
 
 # -- W6 -----------------------------------------------------------------------
-W6_INSTRUCTION = "Continue the dialogue between the student and the teacher.\n"
+W6_STUDENT = "Ask the teacher your next question.\n"
+W6_TEACHER = "Answer the student's last question.\n"
+W6_PROFILER = "Dialog so far:\n{dialog}\nPrevious profile: {user_profile}\nUpdate the profile."
+
+
+def _w6_sql():
+    before = ("coalesce(string_agg('<student>: ' || query || {nl} || '</student>' || {nl} || "
+              "'<teacher>: ' || response || {nl} || '</teacher>' || {nl}, '') OVER wb, '')").format(nl=lit(chr(10)))
+    sline = "'<student>: ' || query || {nl} || '</student>' || {nl}".format(nl=lit(chr(10)))
+    tline = "'<teacher>: ' || response || {nl} || '</teacher>' || {nl}".format(nl=lit(chr(10)))
+    pre, rest = W6_PROFILER.split("{dialog}")
+    mid, post = rest.split("{user_profile}")
+    return f"""
+WITH {X.PAIRS_SQL},
+b AS (SELECT *, {before} AS bf, {sline} AS sl, {tline} AS tl,
+             'turn_' || CAST(row_number() OVER w AS VARCHAR) AS key FROM pairs
+      WINDOW wb AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+             w AS (PARTITION BY conv_id ORDER BY turn))
+SELECT conv_id, turn, key, {lit(W6_STUDENT)} || bf AS student_prompt, {lit(W6_TEACHER)} || bf || sl AS teacher_prompt,
+       bf || sl || tl AS transcript,
+       {lit(pre)} || bf || sl || {lit(mid)} || coalesce(prompt, '') || {lit(post)} AS profiler_prompt
+FROM b
+"""
 
 
-@register("W6_role_play_transcript", sql=f"""
-WITH {X.PAIRS_SQL},
-l AS (SELECT *, '<student>' || query || {lit('</student>' + chr(10))} || '<teacher>' || response || {lit('</teacher>' + chr(10))} AS line FROM pairs)
-SELECT conv_id, turn,
-  'turn_' || CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS VARCHAR) AS key,
-  {lit(W6_INSTRUCTION)} || string_agg(line, '') OVER (PARTITION BY conv_id ORDER BY turn
-      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) || coalesce(prompt, '') AS next_prompt
-FROM l
-""")
+@register("W6_role_play_transcript", sql=_w6_sql())
 def w6(spark, sf):
-    df = H.role_play_transcript(X.pairs(spark, sf), W6_INSTRUCTION, profile="prompt")
-    return df.select("conv_id", "turn", "key", "next_prompt")
+    df = H.role_play_transcript(X.pairs(spark, sf), W6_STUDENT, W6_TEACHER, W6_PROFILER, profile="prompt")
+    return df.select("conv_id", "turn", "key", "student_prompt", "teacher_prompt", "transcript", "profiler_prompt")
