@@ -109,3 +109,14 @@ def test_role_play_transcript_format(spark):
     assert out["turn_2"]["student_prompt"] == "S:" + one
     assert out["turn_2"]["teacher_prompt"] == "T:" + one + "<student>: q2\n</student>\n"
     assert out["turn_2"]["profiler_prompt"] == one + "<student>: q2\n</student>\n|P"
+
+
+def test_halo_chunks_equal_single_window(spark):
+    rows = [(c, t, f"q{c}_{t}", f"a{t}") for c in (1, 2) for t in range(0, 2 * (40 if c == 1 else 3), 2)]
+    pairs = spark.createDataFrame(rows, "conv_id long, turn long, query string, response string")
+    ref = {(r["conv_id"], r["turn"]): [h["query"] for h in r["history"]]
+           for r in H.expand_history(pairs).collect()}
+    for k, chunk in ((6, 7), (6, 6), (3, 10), (1, 1)):
+        got = {(r["conv_id"], r["turn"]): [h["query"] for h in r["history"]]
+               for r in H.expand_history(pairs, max_history=k, chunk=chunk).collect()}
+        assert got == {key: v[-k:] for key, v in ref.items()}, (k, chunk)

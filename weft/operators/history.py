@@ -42,18 +42,38 @@ def chat_pairs(turns: DataFrame, conv: str = "conv_id", turn: str = "turn",
 
 
 def expand_history(pairs: DataFrame, conv: str = "conv_id", order: str = "turn",
-                   query: str = "query", response: str = "response", max_history: int | None = None) -> DataFrame:
+                   query: str = "query", response: str = "response", max_history: int | None = None,
+                   chunk: int = 4096) -> DataFrame:
     """One row per turn with all earlier turns of the conversation as
     ``history`` ARRAY<STRUCT<query, answer>> (chronological).
 
     ``max_history`` bounds the look-back frame.  With a token budget it can
     be set exactly (see :func:`max_fitting_turns`): turns beyond it could
     never be kept, so results are unchanged while rows stop growing with the
-    conversation length."""
-    start = Window.unboundedPreceding if max_history is None else -max_history
-    w = Window.partitionBy(conv).orderBy(order).rowsBetween(start, -1)
-    hist = F.collect_list(F.struct(F.col(query).alias("query"), F.col(response).alias("answer"))).over(w)
-    return pairs.withColumn("history", hist)
+    conversation length.  A bounded frame also lets a huge conversation be
+    split: pairs get a dense position (skew-resistant ordered index), are cut
+    into chunks of ``chunk`` positions, and the last ``max_history`` rows of
+    each chunk are copied (one ``explode``, no self-union) into the next
+    chunk as a halo.  The window then runs per (conversation, chunk), so no
+    partition holds more than ``chunk + max_history`` rows."""
+    struct = F.struct(F.col(query).alias("query"), F.col(response).alias("answer"))
+    if max_history is None:
+        w = Window.partitionBy(conv).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return pairs.withColumn("history", F.collect_list(struct).over(w))
+    if max_history <= 0:
+        return pairs.withColumn("history", F.array().cast(HISTORY_TYPE))
+    from weft.operators.split import ordered_index
+    k, size = max_history, max(chunk, max_history)
+    d = ordered_index(pairs, [order], out="_pos", partition_cols=[conv]).withColumn(
+        "_chunk", F.floor(F.col("_pos") / size).cast("bigint"))
+    tail = F.pmod(F.col("_pos"), F.lit(size)) >= size - k
+    copies = F.when(tail, F.array(F.struct(F.col("_chunk").alias("c"), F.lit(False).alias("halo")),
+                                  F.struct((F.col("_chunk") + 1).alias("c"), F.lit(True).alias("halo")))) \
+              .otherwise(F.array(F.struct(F.col("_chunk").alias("c"), F.lit(False).alias("halo"))))
+    d = d.withColumn("_copy", F.explode(copies)).withColumn("_chunk", F.col("_copy.c"))
+    w = Window.partitionBy(conv, "_chunk").orderBy("_pos").rowsBetween(-k, -1)
+    out = d.withColumn("history", F.collect_list(struct).over(w)).where(~F.col("_copy.halo"))
+    return out.drop("_pos", "_chunk", "_copy")
 
 
 def expand_nested(df: DataFrame, chat: str = "chat", q: str = "input", a: str = "output") -> DataFrame:
