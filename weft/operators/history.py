@@ -3,9 +3,10 @@ budget fitting (T9-T12, F2, F6) and cumulative transcripts (W1, W6).
 
 All budget logic is row-local: per-turn lengths are carried in an array and
 folded newest-first with ``aggregate``; only the kept suffix of the history
-is materialised as text/ids.  The only shuffles are the pair join on
-``(conv_id, turn)`` (unique keys, so no hot key) and the per-conversation
-running window of T8.
+is materialised as text/ids.  The shuffles are the pair join on
+``(conv_id, turn)`` (unique keys, so no hot key) and the history window of
+T8, which with a bounded look-back runs per (conversation, chunk) with a
+halo of the previous rows, so a huge conversation spreads over many tasks.
 """
 
 from __future__ import annotations
