@@ -92,3 +92,13 @@ def test_materialize_reuses(spark):
     assert a.count() == b.count() == 5 and len(calls) == 1
     SK.materialize(spark, build, key, reload=True)
     assert len(calls) == 2
+
+
+def test_jsonl_permissive_keeps_corrupt_lines(spark, tmp_dir):
+    _w(f"{tmp_dir}/j/a.jsonl", '{"input": "ok", "label": 1}\n{"input": broken\n')
+    df = RD.read_json(spark, f"{tmp_dir}/j/a.jsonl", "input string, label int, _corrupt_record string",
+                      mode="PERMISSIVE", corrupt_column="_corrupt_record")
+    rows = sorted(df.collect(), key=lambda r: r["_corrupt_record"] or "")
+    assert rows[0]["input"] == "ok" and rows[1]["_corrupt_record"] == '{"input": broken'
+    with pytest.raises(Exception):
+        RD.read_json(spark, f"{tmp_dir}/j/a.jsonl", "input string, label int", mode="FAILFAST").collect()
