@@ -120,3 +120,14 @@ def test_halo_chunks_equal_single_window(spark):
         got = {(r["conv_id"], r["turn"]): [h["query"] for h in r["history"]]
                for r in H.expand_history(pairs, max_history=k, chunk=chunk).collect()}
         assert got == {key: v[-k:] for key, v in ref.items()}, (k, chunk)
+
+
+def test_carried_lengths_match_recount(spark):
+    rows = [(1, t, f"q{t} " + "w " * (t % 7), f"a{t} x") for t in range(0, 80, 2)]
+    pairs = spark.createDataFrame(rows, "conv_id long, turn long, query string, response string") \
+        .withColumn("prompt", F.lit("sys")).withColumn("_n", H.turn_token_count())
+    k = H.max_fitting_turns(70)
+    a = {r["turn"]: (r["n_history"], r["input_ids"]) for r in H.fit_history(H.expand_history(pairs, max_history=k), 70).collect()}
+    b = {r["turn"]: (r["n_history"], r["input_ids"]) for r in H.fit_history(
+        H.expand_history(pairs, max_history=k, chunk=5, carry={"n_tokens": "_n"}), 70, length_field="n_tokens").collect()}
+    assert a == b

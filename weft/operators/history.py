@@ -44,7 +44,7 @@ def chat_pairs(turns: DataFrame, conv: str = "conv_id", turn: str = "turn",
 
 def expand_history(pairs: DataFrame, conv: str = "conv_id", order: str = "turn",
                    query: str = "query", response: str = "response", max_history: int | None = None,
-                   chunk: int = 4096) -> DataFrame:
+                   chunk: int = 4096, carry: dict[str, str] | None = None) -> DataFrame:
     """One row per turn with all earlier turns of the conversation as
     ``history`` ARRAY<STRUCT<query, answer>> (chronological).
 
@@ -57,12 +57,13 @@ def expand_history(pairs: DataFrame, conv: str = "conv_id", order: str = "turn",
     each chunk are copied (one ``explode``, no self-union) into the next
     chunk as a halo.  The window then runs per (conversation, chunk), so no
     partition holds more than ``chunk + max_history`` rows."""
-    struct = F.struct(F.col(query).alias("query"), F.col(response).alias("answer"))
+    extra = [F.col(src).alias(name) for name, src in (carry or {}).items()]
+    struct = F.struct(F.col(query).alias("query"), F.col(response).alias("answer"), *extra)
     if max_history is None:
         w = Window.partitionBy(conv).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
         return pairs.withColumn("history", F.collect_list(struct).over(w))
-    if max_history <= 0:
-        return pairs.withColumn("history", F.array().cast(HISTORY_TYPE))
+    if max_history <= 0:   # an empty array of the history struct type
+        return pairs.withColumn("history", F.filter(F.array(struct), lambda x: F.lit(False)))
     from weft.operators.split import ordered_index
     k, size = max_history, max(chunk, max_history)
     d = ordered_index(pairs, [order], out="_pos", partition_cols=[conv]).withColumn(
@@ -132,9 +133,20 @@ def _suffix(arr: Column, n: Column) -> Column:
     return F.when(n > 0, F.slice(arr, F.size(arr) - n + 1, n)).otherwise(F.slice(arr, 1, 0))
 
 
+def turn_token_count(tokenizer=DEFAULT_TOKENIZER, style: dict | None = None, query: str = "query",
+                     response: str = "response") -> Column:
+    """Tokens of one rendered role-marker turn; carry it through
+    :func:`expand_history` (``carry={"n_tokens": ...}``) so the budget fit
+    folds precomputed lengths instead of re-tokenising every history turn."""
+    s = style or ROLE_MARKER_STYLE
+    return tokenizer.count(F.concat(F.lit(s["user_token"]), F.coalesce(F.col(query), F.lit("")), F.lit("\n"),
+                                    F.lit(s["assistant_token"]), F.coalesce(F.col(response), F.lit("")), F.lit("\n"),
+                                    F.lit(s["eos_token"])))
+
+
 def fit_history(df: DataFrame, budget: int, tokenizer=DEFAULT_TOKENIZER, style: dict | None = None,
                 count_prompt: bool = False, query: str = "query", response: str = "response",
-                history: str = "history", prompt: str | None = "prompt") -> DataFrame:
+                history: str = "history", prompt: str | None = "prompt", length_field: str | None = None) -> DataFrame:
     """T9 (role-marker style) + F2.
 
     Each turn renders as ``user q \\n assistant a \\n eos``.  Rows whose
@@ -153,7 +165,10 @@ def fit_history(df: DataFrame, budget: int, tokenizer=DEFAULT_TOKENIZER, style:
 
     prompt_col = F.col(prompt) if prompt else F.lit(None).cast("string")
     prompt_ids = F.when(F.coalesce(prompt_col, F.lit("")) != "", tk.ids(prompt_col)).otherwise(F.array().cast("array<int>"))
-    hist = F.coalesce(F.col(history), F.array().cast(HISTORY_TYPE))
+    hist_type = df.schema[history].dataType if history in df.columns else None
+    if hist_type is None or hist_type.typeName() != "array":
+        hist_type = HISTORY_TYPE
+    hist = F.coalesce(F.col(history), F.array().cast(hist_type))
     out = (df.withColumn("_cur_ids", tk.ids(turn_text(F.col(query), F.col(response))))
              .withColumn("_prompt_ids", prompt_ids)
              .withColumn("_hist", hist)
@@ -161,16 +176,21 @@ def fit_history(df: DataFrame, budget: int, tokenizer=DEFAULT_TOKENIZER, style:
     out = out.where(F.col("_start") <= budget)
     # turn texts are rendered in the JVM, then tokenised as one array (a
     # Python tokenizer cannot run inside a higher-order lambda)
-    out = out.withColumn("_htexts", F.transform(F.col("_hist"), lambda h: turn_text(h["query"], h["answer"])))
-    out = out.withColumn("n_history", _fit_count(F.reverse(tk.count_many(F.col("_htexts"))), F.col("_start"), budget))
-    kept = _suffix(F.col("_hist"), F.col("n_history"))
-    out = (out.withColumn("kept_history", kept)
-              .withColumn("input_ids", F.concat(
-                  F.col("_prompt_ids"),
-                  F.flatten(tk.ids_many(_suffix(F.col("_htexts"), F.col("n_history")))),
-                  F.col("_cur_ids")))
+    if length_field:
+        # lengths carried from the pairs: no history turn is rendered or
+        # tokenised except the kept suffix
+        lens = F.transform(F.col("_hist"), lambda h: h[length_field])
+        out = out.withColumn("n_history", _fit_count(F.reverse(lens), F.col("_start"), budget))
+        out = out.withColumn("kept_history", _suffix(F.col("_hist"), F.col("n_history")))
+        kept_texts = F.transform(F.col("kept_history"), lambda h: turn_text(h["query"], h["answer"]))
+    else:
+        out = out.withColumn("_htexts", F.transform(F.col("_hist"), lambda h: turn_text(h["query"], h["answer"])))
+        out = out.withColumn("n_history", _fit_count(F.reverse(tk.count_many(F.col("_htexts"))), F.col("_start"), budget))
+        out = out.withColumn("kept_history", _suffix(F.col("_hist"), F.col("n_history")))
+        kept_texts = _suffix(F.col("_htexts"), F.col("n_history"))
+    out = (out.withColumn("input_ids", F.concat(F.col("_prompt_ids"), F.flatten(tk.ids_many(kept_texts)), F.col("_cur_ids")))
               .withColumn("labels", F.col("input_ids")))
-    return out.drop("_cur_ids", "_prompt_ids", "_hist", "_start", "_htexts")
+    return out.drop(*[c for c in ("_cur_ids", "_prompt_ids", "_hist", "_start", "_htexts") if c in out.columns])
 
 
 def fit_history_rounds(df: DataFrame, budget: int, tokenizer=DEFAULT_TOKENIZER, style: dict | None = None,

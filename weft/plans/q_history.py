@@ -67,7 +67,9 @@ FROM cur c LEFT JOIN kept k ON k.conv_id = c.conv_id AND k.turn = c.turn
 def flagship(spark, sf):
     """conversations -> pairs -> T8 history -> T9 budget fit (F2 drop) -> P4 default template."""
     look_back = H.max_fitting_turns(BUDGET)          # exact: no kept history can be longer
-    df = H.fit_history(H.expand_history(X.pairs(spark, sf), max_history=look_back), BUDGET)
+    pairs = X.pairs(spark, sf).withColumn("_n_tokens", H.turn_token_count())   # counted once per pair
+    hist = H.expand_history(pairs, max_history=look_back, carry={"n_tokens": "_n_tokens"})
+    df = H.fit_history(hist, BUDGET, length_field="n_tokens")
     return df.select("conv_id", "turn", F.col("n_history").cast("bigint").alias("n_history"), "input_ids",
                      get_prompt(DEFAULT, F.col("query"), F.col("kept_history")).alias("prompt_text"))
 
