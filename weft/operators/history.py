@@ -193,9 +193,19 @@ def fit_history(df: DataFrame, budget: int, tokenizer=DEFAULT_TOKENIZER, style:
     return out.drop(*[c for c in ("_cur_ids", "_prompt_ids", "_hist", "_start", "_htexts") if c in out.columns])
 
 
+def round_turn_token_count(tokenizer=DEFAULT_TOKENIZER, style: dict | None = None, query: str = "query",
+                           response: str = "response") -> Column:
+    """Tokens of one round-style history turn (``user q \\n\\n assistant a \\n\\n``),
+    to carry through :func:`expand_history` for :func:`fit_history_rounds`."""
+    s = style or ROUND_STYLE
+    return tokenizer.count(F.concat(F.lit(s["user_token"]), F.coalesce(F.col(query), F.lit("")), F.lit("\n\n"),
+                                    F.lit(s["assistant_token"]), F.coalesce(F.col(response), F.lit("")), F.lit("\n\n")))
+
+
 def fit_history_rounds(df: DataFrame, budget: int, tokenizer=DEFAULT_TOKENIZER, style: dict | None = None,
                        prefix_ids: tuple[int, ...] = (), mask_pad: bool = True, query: str = "query",
-                       response: str = "response", history: str = "history", prompt: str | None = "prompt") -> DataFrame:
+                       response: str = "response", history: str = "history", prompt: str | None = "prompt",
+                       length_field: str | None = None) -> DataFrame:
     """``[Round i]`` headers, prompt counted, labels masked except the
     answer (+eos).  Rows whose current turn does not fit are dropped."""
     s = style or ROUND_STYLE
@@ -214,7 +224,10 @@ def fit_history_rounds(df: DataFrame, budget: int, tokenizer=DEFAULT_TOKENIZER,
     prompt_col = F.col(prompt) if prompt else F.lit(None).cast("string")
     head = F.concat(F.array(*[F.lit(x) for x in prefix_ids]).cast("array<int>"),
                     F.when(F.coalesce(prompt_col, F.lit("")) != "", tk.ids(prompt_col)).otherwise(F.array().cast("array<int>")))
-    out = (df.withColumn("_hist", F.coalesce(F.col(history), F.array().cast(HISTORY_TYPE)))
+    hist_type = df.schema[history].dataType if history in df.columns else None
+    if hist_type is None or hist_type.typeName() != "array":
+        hist_type = HISTORY_TYPE
+    out = (df.withColumn("_hist", F.coalesce(F.col(history), F.array().cast(hist_type)))
              .withColumn("_head", head)
              .withColumn("_q_ids", tk.ids(q_text(F.col(query))))
              .withColumn("_a_ids", F.concat(tk.ids(F.coalesce(F.col(response), F.lit(""))), F.array(F.lit(tk.eos_id))))
@@ -222,8 +235,11 @@ def fit_history_rounds(df: DataFrame, budget: int, tokenizer=DEFAULT_TOKENIZER,
     out = out.where(F.col("_start") <= budget)
     # newest-first cost of history entry k (0-based): its ids + header "[Round k+2]"
     rev = F.reverse(F.col("_hist"))
-    costs = F.zip_with(tk.count_many(F.transform(rev, lambda h: h_text(h["query"], h["answer"]))),
-                       tk.count_many(F.transform(rev, lambda h, k: round_text(k + 2))), lambda a, b: a + b)
+    if length_field:   # carried per-pair counts: history turns are not re-tokenised
+        h_lens = F.transform(rev, lambda h: h[length_field])
+    else:
+        h_lens = tk.count_many(F.transform(rev, lambda h: h_text(h["query"], h["answer"])))
+    costs = F.zip_with(h_lens, tk.count_many(F.transform(rev, lambda h, k: round_text(k + 2))), lambda a, b: a + b)
     out = out.withColumn("n_history", _fit_count(costs, F.col("_start"), budget))
     kept = _suffix(F.col("_hist"), F.col("n_history"))
     out = out.withColumn("_kept", kept)

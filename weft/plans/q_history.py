@@ -141,7 +141,9 @@ FROM ctx
 @register("T10_history_fit_rounds", sql=T10_SQL)
 def t10(spark, sf):
     look_back = H.max_fitting_turns(T10_BUDGET, style=RS)   # markers alone bound the turns a fit can keep
-    df = H.fit_history_rounds(H.expand_history(X.pairs(spark, sf), max_history=look_back), T10_BUDGET)
+    pairs = X.pairs(spark, sf).withColumn("_n_tokens", H.round_turn_token_count())
+    hist = H.expand_history(pairs, max_history=look_back, carry={"n_tokens": "_n_tokens"})
+    df = H.fit_history_rounds(hist, T10_BUDGET, length_field="n_tokens")
     return df.select("conv_id", "turn", F.col("n_history").cast("bigint").alias("n_history"), "input_ids", "labels")
 
 
