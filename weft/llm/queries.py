@@ -4,12 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from weft.llm import simhash_index
+from weft.llm import bpe, entropy_mix, langid, simhash_index
 from weft.session import read_table
 
 
+#: Vocabulary of op6, and the weights that op9's sources take in turn.
+VOCABULARY = "byte_bpe_50k.json"
+WEIGHTS = [5.0, 2.0, 1.0]
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.with_language(read_table(spark, sf_dir, "documents"), modulus=4, held=2)
+
+
+def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(read_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
+
+
+def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return entropy_mix.mix(docs, WEIGHTS, cap=3).select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_index.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
