@@ -167,13 +167,13 @@ def decode(rows: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "i
                        "doc_id long, text string")
 
 
-def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """``(doc_id, n_tokens, ids_sha256, decoded_sha256)`` for every row, encoded and decoded again.
 
-    Null and empty texts have no tokens and the digests of nothing.  Repeated
-    rows come back as often; other columns are ignored; a null id stays null.
-    One narrow stage: texts never shuffle, and only a bounded cache of pieces
-    is kept between rows.
+    ``with_ids`` adds the ids themselves.  Null and empty texts have no tokens
+    and the digests of nothing.  Repeated rows come back as often; other
+    columns are ignored; a null id stays null.  One narrow stage: texts never
+    shuffle, and only a bounded cache of pieces is kept between rows.
     """
     definition = _definition(docs, path)
 
@@ -181,13 +181,14 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
         bpe = _tokenizer(definition.value)
         number = {i: str(i) for i in bpe.bytes_of}
         sha = hashlib.sha256
-        out: tuple[list, list, list] = ([], [], [])
+        out: list[list] = [[], [], [], []]
         for text in c[1]:
             ids = bpe.encode(text)
             out[0].append(len(ids))
             out[1].append(sha(",".join(map(number.__getitem__, ids)).encode()).hexdigest())
             out[2].append(sha(bpe.decode(ids).encode()).hexdigest())
-        return [c[0], *out]
+            out[3].append(ids)
+        return [c[0], *out[:4 if with_ids else 3]]
 
     return map_columns(docs, [F.col(id_col).alias("doc_id"), F.col(text_col).alias("t")], run,
-                       "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+                       "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)

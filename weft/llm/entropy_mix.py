@@ -87,7 +87,7 @@ def tilts(cells: DataFrame, targets: DataFrame, cap: float = 3.0, tolerance: flo
 
 def mix(docs: DataFrame, weights: list[float], cap: int = 3, id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source", keep: list[str] | None = None) -> DataFrame:
-    """Every row with ``size, source_size, target, copies, taken`` (``keep`` names columns to carry; default the id).
+    """Every row with ``size, source_size, target, copies, taken`` (``keep`` names small columns to carry; default the id).
 
     Sizes and their counts are aggregated to (source, size) cells before any
     shuffle of one source's rows.  Tilted rates become copies of whole
@@ -106,12 +106,8 @@ def mix(docs: DataFrame, weights: list[float], cap: int = 3, id_col: str = "doc_
     made = [F.col(c) for c in keep]
     rows = docs.select(*[c.alias(f"k{i}") for i, c in enumerate(made)], F.col(source_col).alias("source"), n_words(text_col).alias("size"),
                        F.xxhash64(F.col(id_col).cast("string")).alias("h"))
-    if source_col not in keep and text_col not in keep:
-        rows = materialise(rows, "sizes")
-        plain = rows
-    else:  # carried texts stay where they are; the sizes alone are written
-        plain = materialise(rows.select("source", "size", "h"), "sizes")
-    buckets = materialise(plain.groupBy("source", "size", F.pmod("h", F.lit(64)).alias("bucket")).agg(F.count("*").alias("n")), "cells")
+    rows = materialise(rows, "sizes")
+    buckets = materialise(rows.groupBy("source", "size", F.pmod("h", F.lit(64)).alias("bucket")).agg(F.count("*").alias("n")), "cells")
     cells = materialise(buckets.groupBy("source", "size").agg(F.sum("n").alias("n")), "cells")
     sizes = cells.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
     targets = materialise(source_targets(sizes, weights, float(cap)), "targets")
@@ -158,6 +154,7 @@ def repeat_copies(docs: DataFrame, weights: list[float], cap: int = 3) -> DataFr
 
     Rows without a word weigh nothing and are not taken.
     """
-    mixed = mix(docs, weights, cap, keep=docs.columns)
+    rows = materialise(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    mixed = mix(rows, weights, cap, keep=["__row"]).where(F.col("copies") > 0).select("__row", "copies")
     times = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
-    return mixed.where(F.col("copies") > 0).select(*docs.columns, times.alias("__copy")).drop("__copy")
+    return rows.join(mixed, "__row").select(*docs.columns, times.alias("__copy")).drop("__copy")

@@ -43,10 +43,12 @@ def fingerprint(text: bytes | None, shingle: int = 4) -> int:
     return int(np.packbits(2 * count > len(votes), bitorder="little").view("<i8")[0])
 
 
-def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4) -> DataFrame:
-    """``(doc_id, fp)`` for every row."""
-    return map_columns(docs, [F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("t")],
-                       lambda c: [c[0], [fingerprint(t, shingle) for t in c[1]]], "doc_id long, fp long")
+def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
+                      row_col: str | None = None) -> DataFrame:
+    """``(doc_id, fp, row)`` for every row; ``row`` is ``row_col`` or null."""
+    row = F.col(row_col) if row_col else F.lit(None)
+    return map_columns(docs, [F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("t"), row.cast("long").alias("r")],
+                       lambda c: [c[0], [fingerprint(t, shingle) for t in c[1]], c[2]], "doc_id long, fp long, row long")
 
 
 def _byte(position: int):
@@ -162,8 +164,8 @@ def links(nodes: DataFrame, max_bits: int = 4, key_bytes: int = 3, chunk: int =
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
-                    max_bits: int = 4, key_bytes: int = 3, chunk: int = 4096) -> DataFrame:
-    """``(doc_id, fingerprint, component_id)`` for every row.
+                    max_bits: int = 4, key_bytes: int = 3, chunk: int = 4096, row_col: str | None = None) -> DataFrame:
+    """``(doc_id, fingerprint, component_id)`` for every row (and ``row_col``, a number, if one is named).
 
     ``component_id`` is the smallest id reachable over links of at most
     ``max_bits`` differing bits.  Equal fingerprints collapse to one node before
@@ -172,7 +174,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     the component of their fingerprint (null if no other row has one).
     Repeated rows come back as often as they came.  Other columns are ignored.
     """
-    marked = materialise(with_fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+    marked = materialise(with_fingerprints(docs, id_col, text_col, shingle, row_col), "fingerprints")
     nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("node"))
     known = materialise(nodes, "nodes")
     found = links(known.where(F.col("node").isNotNull()), max_bits, key_bytes, chunk)
@@ -180,4 +182,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of = (known.join(label, "node", "left")
           .select("fp", F.coalesce("component", "node").alias("component_id")))
     return (marked.join(of, "fp")
-            .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
+            .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id",
+                    *([F.col("row").alias(row_col)] if row_col else [])))
+
+
+def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
+    """One document of each group of near-duplicates, columns unchanged.
+
+    It is the one with the smallest id (null last); of rows with that id, any
+    one.  Rows are numbered and written first, so that ids may repeat.
+    """
+    rows = materialise(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    found = near_duplicates(rows, shingle=shingle, max_bits=max_bits, row_col="__row")
+    alone = F.when(F.col("component_id").isNull(), F.col("fingerprint"))
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row")
+    kept = found.groupBy("component_id", alone.alias("fp")).agg(F.min_by("__row", first).alias("__row"))
+    return rows.join(kept.select("__row"), "__row", "left_semi").select(*docs.columns)
