@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from weft.llm import bpe, entropy_mix, langid, simhash_index, suffix_dedup
+from weft.llm import bpe, entropy_mix, langid, license_rules, quality_rules, simhash_index, suffix_dedup
 from weft.session import read_table
 
 
@@ -21,6 +21,10 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op3_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_rules.scan(read_table(spark, sf_dir, "documents"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.with_language(read_table(spark, sf_dir, "documents"), modulus=4, held=2)
 
@@ -29,6 +33,12 @@ def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    return quality_rules.judge(docs, labels, alpha=0.01, delta=0.05).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed_rules")
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return entropy_mix.mix(docs, WEIGHTS, cap=3).select("doc_id", "size", "source_size", "target", "taken", "copies")
