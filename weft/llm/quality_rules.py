@@ -13,13 +13,13 @@ from weft.llm.common import map_columns, materialise
 SPACES = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
 CELLS = 200
-#: Rule -> value in [0, 1] of which a document is rejected if it lies above the cutoff.
+#: Rule -> value in [0, 1] of which a document is rejected if it lies above the cutoff; no cutoff goes below the floor.
 RULES = {
-    "symbols": "n_symbols / greatest(word_chars, 1)",
-    "repeated_words": "n_repeat_words / greatest(n_words, 1)",
-    "repeated_lines": "n_dup_lines / greatest(n_lines, 1)",
-    "long_words": "least(word_chars / greatest(n_words, 1) / 40, 1)",
-    "short_words": "1 - least(word_chars / greatest(n_words, 1) / 10, 1)",
+    "symbols": ("n_symbols / greatest(word_chars, 1)", 0.1),
+    "repeated_words": ("n_repeat_words / greatest(n_words, 1)", 0.3),
+    "repeated_lines": ("n_dup_lines / greatest(n_lines, 1)", 0.3),
+    "long_words": ("least(word_chars / greatest(n_words, 1) / 40, 1)", 0.3),
+    "short_words": ("1 - least(word_chars / greatest(n_words, 1) / 10, 1)", 0.7),
 }
 
 
@@ -63,13 +63,33 @@ def with_measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def _tail(k: int, n: int, p: float) -> float:
-    """P(Binomial(n, p) <= k)."""
-    logs = [math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p) for i in range(k + 1)]
-    top = max(logs)
-    return math.exp(top) * sum(math.exp(x - top) for x in logs)
+    """P(Binomial(n, p) <= k), exactly: the regularised incomplete beta function at 1 - p.
+
+    Its continued fraction takes about sqrt(n) steps, so that any number of labels is affordable.
+    """
+    if k >= n:
+        return 1.0
+    a, b, x = float(n - k), k + 1.0, 1.0 - p
+    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log(p))
+    swap = x > (a + 1) / (a + b + 2)
+    if swap:
+        a, b, x = b, a, p
+    tiny, c, d = 1e-300, 1.0, 1.0 / (1.0 - (a + b) * x / (a + 1))
+    total, m = d, 0
+    while True:
+        m += 1
+        before = total
+        for term in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
+            d = 1.0 / ((1.0 + term * d) or tiny)
+            c = (1.0 + term / c) or tiny
+            total *= d * c
+        if abs(total / before - 1) < 1e-13:
+            break
+    part = front * total / a
+    return 1 - part if swap else part
 
 
-def certified_cutoff(rejected: list[int], good: int, limit: float, error: float) -> int:
+def certified_cutoff(rejected: list[int], good: int, limit: float, error: float, floor: int = 0) -> int:
     """The tightest cell whose false-rejection rate is below ``limit`` with confidence 1 - ``error``.
 
     ``rejected[c]`` counts the good documents above cell c.  Cells are tested
@@ -77,7 +97,7 @@ def certified_cutoff(rejected: list[int], good: int, limit: float, error: float)
     fails: a fixed sequence, which needs no further correction.
     """
     cut = CELLS
-    for cell in range(CELLS, -1, -1):
+    for cell in range(CELLS, floor - 1, -1):
         k = rejected[cell]
         if good == 0 or k > limit * good or _tail(k, good, limit) > error:
             break
@@ -85,7 +105,7 @@ def certified_cutoff(rejected: list[int], good: int, limit: float, error: float)
     return cut
 
 
-def fit_cutoffs(measured: DataFrame, labels: DataFrame, alpha: float = 0.01, delta: float = 0.05,
+def fit_cutoffs(measured: DataFrame, labels: DataFrame, alpha: float = 0.02, delta: float = 0.05,
                 id_col: str = "doc_id", label_col: str = "quality") -> list[tuple[str | None, str, float]]:
     """``(stratum, rule, cutoff)``: certified on every labelled good document that passes the base rules.
 
@@ -99,23 +119,23 @@ def fit_cutoffs(measured: DataFrame, labels: DataFrame, alpha: float = 0.01, del
     """
     good = labels.where(F.col(label_col) == 1).select(F.col(id_col).alias("doc_id")).where("doc_id is not null").distinct()
     rows = measured.where(~F.col("base_failed")).join(good, "doc_id")
-    cell = [F.struct(F.lit(r).alias("rule"), F.ceil(F.expr(v) * CELLS).cast("int").alias("cell")) for r, v in RULES.items()]
+    cell = [F.struct(F.lit(r).alias("rule"), F.ceil(F.expr(v) * CELLS).cast("int").alias("cell")) for r, (v, _) in RULES.items()]
     counts = rows.select("stratum", F.explode(F.array(*cell)).alias("x")).groupBy("stratum", "x.rule", "x.cell").count().collect()
     strata = {r["stratum"] for r in counts}
     found = []
     for s in sorted(strata, key=lambda x: (x is None, x or "")):
-        for rule in RULES:
+        for rule, (_, floor) in RULES.items():
             by = [0] * (CELLS + 1)
             for r in counts:
                 if r["stratum"] == s and r["rule"] == rule:
                     by[r["cell"]] += r["count"]
             above = (np.cumsum(by[::-1])[::-1] - by).tolist()
-            cut = certified_cutoff(above, sum(by), alpha / len(RULES), delta / (len(RULES) * len(strata)))
+            cut = certified_cutoff(above, sum(by), alpha / len(RULES), delta / (len(RULES) * len(strata)), round(floor * CELLS))
             found.append((s, rule, cut / CELLS))
     return found
 
 
-def judge(docs: DataFrame, labels: DataFrame, alpha: float = 0.01, delta: float = 0.05, id_col: str = "doc_id",
+def judge(docs: DataFrame, labels: DataFrame, alpha: float = 0.02, delta: float = 0.05, id_col: str = "doc_id",
           text_col: str = "text", stratum_col: str | None = "lang") -> DataFrame:
     """Every row's measures, ``base_failed`` and ``kept``; ``failed_rules`` names what rejected it.
 
@@ -127,7 +147,7 @@ def judge(docs: DataFrame, labels: DataFrame, alpha: float = 0.01, delta: float
     """
     measured = materialise(with_measures(docs, id_col, text_col, stratum_col), "measures")
     cutoffs = [c for c in fit_cutoffs(measured, labels, alpha, delta, id_col) if c[2] < 1]
-    hits = [F.when(F.col("stratum").eqNullSafe(F.lit(s)) & (F.ceil(F.expr(RULES[rule]) * CELLS) > round(cut * CELLS)), F.lit(rule))
+    hits = [F.when(F.col("stratum").eqNullSafe(F.lit(s)) & (F.ceil(F.expr(RULES[rule][0]) * CELLS) > round(cut * CELLS)), F.lit(rule))
             for s, rule, cut in cutoffs]
     failed = F.array_compact(F.array(*hits)) if hits else F.array().cast("array<string>")
     return (measured.withColumn("failed_rules", F.concat_ws(",", failed))

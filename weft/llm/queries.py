@@ -35,7 +35,7 @@ def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
-    return quality_rules.judge(docs, labels, alpha=0.01, delta=0.05).select(
+    return quality_rules.judge(docs, labels, alpha=0.02, delta=0.05).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed_rules")
 
 
