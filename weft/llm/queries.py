@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from weft.llm import bpe, entropy_mix, langid, license_rules, quality_rules, simhash_index, suffix_dedup
+from weft.llm import bpe, entropy_mix, html_template, langid, license_rules, quality_rules, simhash_index, suffix_dedup
 from weft.session import read_table
 
 
@@ -16,6 +16,10 @@ VOCABULARY = "byte_bpe_50k.json"
 WEIGHTS = [5.0, 2.0, 1.0]
 
 
+def op1_html_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_template.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = suffix_dedup.mark_repeats(read_table(spark, sf_dir, "documents"), length=50)
     return marked.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
