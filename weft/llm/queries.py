@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from weft.llm import bpe, entropy_mix, html_template, langid, license_rules, quality_rules, simhash_index, suffix_dedup
+from weft.llm import bpe, cross_polytope, entropy_mix, html_template, langid, license_rules, quality_rules, simhash_index, suffix_dedup
 from weft.session import read_table
 
 
@@ -33,6 +34,11 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.with_language(read_table(spark, sf_dir, "documents"), modulus=4, held=2)
 
 
+def op5_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return cross_polytope.nearest(vectors, F.col("vec_id") % 20 == 0, cross_polytope.Plan(tables=16, probes=8, k=20))
+
+
 def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
