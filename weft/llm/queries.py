@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm import bpe, cross_polytope, entropy_mix, html_template, langid, license_rules, quality_rules, simhash_index, suffix_dedup
+from weft.llm import bpe, cross_polytope, entropy_mix, html_template, langid, license_rules, ngram_trie, quality_rules, simhash_index, suffix_dedup
 from weft.session import read_table
 
 
@@ -43,6 +43,10 @@ def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op7_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_trie.score(read_table(spark, sf_dir, "documents"), modulus=7, held=2)
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     return quality_rules.judge(docs, labels, alpha=0.02, delta=0.05).select(

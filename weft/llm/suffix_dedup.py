@@ -26,49 +26,22 @@ passage in a third of all documents costs each shard a tuple a block.
 from __future__ import annotations
 
 import hashlib
-import io
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from weft.llm.common import materialise
+from weft.llm.blocks import ARROW_MESSAGE, MESSAGE, U, mix, pack, pack_documents, read_block, steps, to_batches, unpack
 
-U = np.uint64
 PLACE = 31  # low bits of a sliding minimum that hold the place
 #: Windows handled at once; a longer text is cut, and the units at a cut go on to the next level.
 SLICE = 1 << 20
 #: Names of one anchor in one block above which a marker stands for them.
 MANY = 8
-LAST = np.iinfo(np.int64).max
-MESSAGE = "block string, shard long, body binary"
-ARROW_MESSAGE = pa.schema([("block", pa.string()), ("shard", pa.int64()), ("body", pa.binary())])
-
-
-# ---- byte columns -----------------------------------------------------------------------------------
-
-def pack(*columns: np.ndarray) -> bytes:
-    """Unsigned columns of one length, byte plane after byte plane, so that empty high bytes cost nothing."""
-    planes = [np.ascontiguousarray(c.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes() for c in columns]
-    return zstandard.ZstdCompressor(level=1).compress(len(columns[0]).to_bytes(8, "little") + b"".join(planes))
-
-
-def unpack(body: bytes) -> list[np.ndarray]:
-    raw = zstandard.ZstdDecompressor().decompress(body)
-    n = int.from_bytes(raw[:8], "little")
-    if not n:
-        return [np.zeros(0, U)] * 8
-    return [np.ascontiguousarray(p.T).view("<u8").reshape(-1) for p in np.frombuffer(raw, np.uint8, offset=8).reshape(-1, 8, n)]
-
-
-def _steps(sorted_values: np.ndarray) -> np.ndarray:
-    return np.diff(sorted_values, prepend=U(0))
 
 
 # ---- hashes of all positions ------------------------------------------------------------------------
@@ -77,12 +50,6 @@ def _table() -> np.ndarray:
     return np.frombuffer(b"".join(hashlib.blake2b(bytes([b]), digest_size=8).digest() for b in range(256)), "<u8")
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    for _ in range(2):
-        x = (x ^ (x >> U(32))) * U(0xD6E8FEB86659FD93)
-    return x ^ (x >> U(32))
-
-
 def _hashes(letters: np.ndarray, width: int) -> np.ndarray:
     """A hash of the ``width`` bytes from each position, from doubled widths."""
     power, size, part, out, done = 0x9E3779B97F4A7C15, 1, letters, None, 0
@@ -94,7 +61,7 @@ def _hashes(letters: np.ndarray, width: int) -> np.ndarray:
                 m = len(letters) - done - size + 1
                 out, done = out[:m] * U(power) + part[done:done + m], done + size
         if done == width:
-            return _mix(out)
+            return mix(out)
         part = part[:-size] * U(power) + part[size:]
         power, size = power * power % (1 << 64), size * 2
 
@@ -132,7 +99,7 @@ class Units:
         new = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
         count = np.diff(np.append(new, len(place)))
         first = inside[new]
-        name = _mix(names[first] * U(3) + names[first + count - 1] * U(7) + count.astype(U))
+        name = mix(names[first] * U(3) + names[first + count - 1] * U(7) + count.astype(U))
         return first + at, count, k[place[new]], name >> U(16)
 
     def windows(self, chosen: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -147,34 +114,11 @@ class Units:
             power = 1
             for j in range(length - 1, -1, -1):
                 value, power = value + rows[:, j] * U(power), power * 0x9E3779B97F4A7C15 % (1 << 64)
-            names[i:i + SLICE // 16] = _mix(value)
+            names[i:i + SLICE // 16] = mix(value)
         return place, names
 
 
-# ---- blocks -----------------------------------------------------------------------------------------
-
-def _pack_rows(schema: pa.Schema, block_bytes: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            size = np.array([len(t) if t is not None else 0 for t in batch.column(1).to_pylist()], np.int64)
-            group = (np.cumsum(size) - size) // block_bytes
-            cuts = [*np.flatnonzero(np.diff(group, prepend=-1)).tolist(), batch.num_rows] if batch.num_rows else [0]
-            for a, b in zip(cuts, cuts[1:]):
-                sink = io.BytesIO()
-                with pa.ipc.new_stream(sink, schema) as out:
-                    out.write_batch(pa.RecordBatch.from_arrays(batch.slice(a, b - a).columns, schema=schema))
-                body = zstandard.ZstdCompressor(level=3).compress(sink.getvalue())
-                yield pa.RecordBatch.from_arrays([[uuid.uuid4().hex], [int(size[a:b].sum())], [body]], ["block", "size", "body"])
-
-    return run
-
-
-def _rows(body: bytes) -> tuple[pa.Table, list[bytes], np.ndarray]:
-    """A block's rows, its texts and ids; a null text is empty, a null id comes after all others."""
-    table = pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(body)).read_all()
-    ids = table.column(0).fill_null(LAST).to_numpy()
-    return table, [t or b"" for t in table.column(1).to_pylist()], ids
-
+# ---- tuples and messages -----------------------------------------------------------------------------
 
 def _code(ids: np.ndarray) -> np.ndarray:
     """Signed ids as unsigned numbers of the same order."""
@@ -209,7 +153,7 @@ class Tuples:
         for s in np.unique(shard):
             at = self.sent[shard == s]
             name = np.where(self.many[at], U(0), self.name[at] + U(1))
-            yield block, int(s), pack(_steps(self.anchor[at]), name, self.least[at])
+            yield block, int(s), pack(steps(self.anchor[at]), name, self.least[at])
 
     def answers(self, replies: list[tuple[int, bytes]]) -> tuple[np.ndarray, np.ndarray]:
         """For every tuple: the least id anywhere, and whether its anchor has several names."""
@@ -224,11 +168,6 @@ class Tuples:
         return least, several
 
 
-def _to_batch(messages) -> Iterator[pa.RecordBatch]:
-    for block, shard, body in messages:
-        yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([shard], pa.int64()), pa.array([body], pa.binary())], schema=ARROW_MESSAGE)
-
-
 def _resolve_tuples(table: pa.Table) -> pa.Table:
     """One shard: merge the blocks' sorted runs; answer each run tuple by tuple."""
     parts = [unpack(b)[:3] for b in table.column("body").to_pylist()]
@@ -274,7 +213,7 @@ class Block:
                 body = raw
             else:
                 replies.append((shard, raw))
-        self.rows, self.texts, self.ids = _rows(body)
+        self.rows, self.texts, self.ids = read_block(body)
         self.units = units = Units(self.texts, length, anchor)
         self.code = _code(self.ids)
         tuples = Tuples(units, self.ids, shards)
@@ -312,27 +251,21 @@ def mark_repeats(docs: DataFrame, length: int = 50, anchor: int = 22, id_col: st
     """
     if not 1 <= anchor < length:
         raise ValueError("anchor must be shorter than length")
-    fields = [StructField("__id", LongType()), StructField("__text", BinaryType())]
-    fields += [StructField(f"__c{i}", docs.schema[c].dataType) for i, c in enumerate(carry)]
-    schema = to_arrow_schema(StructType(fields))
-    rows = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).cast("binary").alias("__text"),
-                       *[F.col(c).alias(f"__c{i}") for i, c in enumerate(carry)])
-    packed = materialise(rows.mapInArrow(_pack_rows(schema, block_bytes), "block string, size long, body binary"), "blocks")
-    size = packed.agg(F.sum("size")).first()[0] or 0
+    packed, size = pack_documents(docs, id_col, text_col, [F.col(c) for c in carry], block_bytes)
     shards = max(8, -(-size // shard_bytes))
 
     def ask(batches):
         for batch in batches:
             for block, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                _, texts, ids = _rows(body)
-                yield from _to_batch(Tuples(Units(texts, length, anchor), ids, shards).messages(block))
+                _, texts, ids = read_block(body)
+                yield from to_batches(Tuples(Units(texts, length, anchor), ids, shards).messages(block))
 
     def ask_windows(table):
         found = Block(table, length, anchor, shards)
         _, _, _, shard, name, least = found.windows(length, shards)
         block = table.column("block")[0].as_py()
-        out = [(block, int(s), pack(_steps(name[shard == s]), least[shard == s])) for s in np.unique(shard)]
-        return pa.Table.from_batches(_to_batch(out), schema=ARROW_MESSAGE)
+        out = [(block, int(s), pack(steps(name[shard == s]), least[shard == s])) for s in np.unique(shard)]
+        return pa.Table.from_batches(to_batches(out), schema=ARROW_MESSAGE)
 
     result = StructType([StructField("doc_id", LongType()), *[StructField(c, docs.schema[c].dataType) for c in carry],
                          StructField("n_bytes", LongType()), StructField("n_removed", LongType()),
