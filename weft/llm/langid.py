@@ -26,17 +26,19 @@ def fit_dictionaries(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """Language -> dictionary, the most frequent language first.
 
     The sample is bounded: for each language, ``sample_chars`` characters of the
-    ``samples`` labelled texts that come first by a hash of their id, cut to
-    ``dictionary_bytes``.  The row limit is applied before the shuffle, so each
-    task sends at most ``samples`` short rows a language.  Rows with a null
+    ``samples`` labelled texts that come first by a hash of their id (an equal
+    number from each of 20 hash buckets, so that no task ranks a language), cut
+    to ``dictionary_bytes``.  The row limit is applied before the shuffle, so
+    each task sends at most ``samples`` short rows a language.  Rows with a null
     label or text teach nothing.
     """
+    buckets = 20
     known = docs.where(F.col(lang_col).isNotNull() & (F.length(text_col) > 0))
-    order = Window.partitionBy("lang").orderBy("h", "piece")
+    order = Window.partitionBy("lang", F.pmod("h", F.lit(buckets))).orderBy("h", "piece")
     rows = (known.select(F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col).cast("string")).alias("h"),
                          F.substring(text_col, 1, sample_chars).alias("piece"))
-            .withColumn("n", F.row_number().over(order)).where(F.col("n") <= samples)
-            .orderBy("lang", "n").collect())
+            .withColumn("n", F.row_number().over(order)).where(F.col("n") <= -(-samples // buckets)).collect())
+    rows.sort(key=lambda r: (r["n"], r["h"], r["piece"]))
     sizes = {r["lang"]: r["count"] for r in known.groupBy(F.col(lang_col).alias("lang")).count().collect()}
     found: dict[str, bytes] = {}
     for lang in sorted(sizes, key=lambda x: (-sizes[x], x)):

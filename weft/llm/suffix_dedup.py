@@ -315,8 +315,9 @@ def cut_repeats(docs: DataFrame, length: int = 50, anchor: int = 22) -> DataFram
     null text stays null.  No row is dropped: one with nothing of its own
     keeps an empty text.
     """
-    carry = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    marked = mark_repeats(docs.withColumn("__null", F.col("text").isNull()), length, anchor, carry=(*carry, "__null"))
+    carry = {c: f"__c{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
+    rows = docs.select("doc_id", "text", *[F.col(c).alias(n) for c, n in carry.items()], F.col("text").isNull().alias("__null"))
+    marked = mark_repeats(rows, length, anchor, carry=(*carry.values(), "__null"))
 
     def decode(batches):
         for batch in batches:
@@ -325,5 +326,5 @@ def cut_repeats(docs: DataFrame, length: int = 50, anchor: int = 22) -> DataFram
 
     shape = StructType([f if f.name != "kept" else StructField("kept", StringType()) for f in marked.schema])
     text = F.when(~F.col("__null"), F.col("kept"))
-    made = {"text": text, "n_chars": F.length(text).cast("long")}
-    return marked.mapInArrow(decode, shape).select(*[made[c].alias(c) if c in made else F.col(c) for c in docs.columns])
+    made = {"doc_id": F.col("doc_id"), "text": text, "n_chars": F.length(text).cast("long")}
+    return marked.mapInArrow(decode, shape).select(*[made.get(c, F.col(carry.get(c, c))).alias(c) for c in docs.columns])
