@@ -23,14 +23,55 @@ def test_recursive_scan_exact_extension(spark, tmp_dir):
     assert sorted(r["input"] for r in df.collect()) == ["1", "2"]
 
 
-def test_pretrain_lines_keep_blanks_and_drop_bad_files(spark, tmp_dir):
+def test_pretrain_lines_keep_blanks_and_drop_bad_lines(spark, tmp_dir):
     _w(f"{tmp_dir}/t/good.txt", "line one\n\nline three\n")
     os.makedirs(f"{tmp_dir}/t/sub", exist_ok=True)
     with open(f"{tmp_dir}/t/sub/bad.txt", "wb") as f:
         f.write(b"ok line\n\xff\xfe broken\n")
     _w(f"{tmp_dir}/t/skip.md", "not text\n")
     got = sorted(r["value"] for r in RD.read_pretrain_lines(spark, f"{tmp_dir}/t").collect())
-    assert got == ["", "line one", "line three"]
+    assert got == ["", "line one", "line three", "ok line"]
+    strict = RD.read_pretrain_lines(spark, f"{tmp_dir}/t", drop_invalid_files=True)
+    assert sorted(r["value"] for r in strict.collect()) == ["", "line one", "line three"]
+    assert [bytes(r["value"]) for r in RD.invalid_lines(spark, f"{tmp_dir}/t").collect()] == [b"\xff\xfe broken"]
+
+
+def test_a_folder_may_mix_json_arrays_and_lines(spark, tmp_dir):
+    _w(f"{tmp_dir}/mix/a.json", json.dumps([{"data": "x"}, {"data": "y"}]))
+    _w(f"{tmp_dir}/mix/b.json", '{"data": "z"}\n{"data": "v"}\n{"data": "w"}\n')
+    _w(f"{tmp_dir}/mix/c.json", "\n  [" + json.dumps({"data": "u", "more": 1}) + "]")
+    assert sorted(r["data"] for r in RD.scan(spark, f"{tmp_dir}/mix").collect()) == ["u", "v", "w", "x", "y", "z"]
+
+
+def test_broken_records_stop_the_read(spark, tmp_dir):
+    _w(f"{tmp_dir}/bad/a.jsonl", '{"a": "1"}\n{"a": bro\n')
+    with pytest.raises(Exception):
+        RD.scan_recursive(spark, f"{tmp_dir}/bad", "jsonl", "a string").collect()
+    assert RD.scan_recursive(spark, f"{tmp_dir}/bad", "jsonl", "a string", mode="DROPMALFORMED").count() >= 1
+    _w(f"{tmp_dir}/short/a.csv", "a,b\n1,2\n5\n")
+    with pytest.raises(Exception):
+        RD.read_csv(spark, f"{tmp_dir}/short").collect()
+    _w(f"{tmp_dir}/heads/a.csv", "a,b\n1,2\n")
+    _w(f"{tmp_dir}/heads/b.csv", "b,a\n3,4\n")
+    with pytest.raises(Exception):
+        RD.read_csv(spark, f"{tmp_dir}/heads").collect()
+
+
+def test_limits_need_an_order(spark, tmp_dir):
+    _w(f"{tmp_dir}/l/one.jsonl", '{"instruction": "i", "input": "", "output": "o"}\n')
+    with pytest.raises(ValueError):
+        RG.load_datasets(spark, "one", {"one": {"file_name": "one.jsonl"}}, f"{tmp_dir}/l", max_samples=1)
+    items = spark.createDataFrame([(i, f"t{i}") for i in range(150)], "k long, data string")
+    with pytest.raises(ValueError):
+        SK.json_to_pretrain(items, f"{tmp_dir}/k2", n=3)
+    SK.json_to_pretrain(items, f"{tmp_dir}/k2")
+    assert RD.read_text(spark, f"{tmp_dir}/k2").where("value <> ''").count() == 150
+
+
+def test_decoding_skips_specials_and_unknown_ids(spark):
+    vocab = SK.vocabulary(spark.createDataFrame([(3, "c"), (3, "b"), (5, "e"), (99, "z")], "id int, token string"), 8)
+    rows = spark.createDataFrame([([3, 1, 5, -100], [5, 4, 3])], "labels array<int>, preds array<int>")
+    assert [tuple(r) for r in SK.generated_predictions(rows, vocab, {0, 1}, 0).collect()] == [("b e", "e  b")]
 
 
 def test_json_array_vs_lines(spark, tmp_dir):
@@ -55,18 +96,16 @@ def test_scan_rejects_mixed_extensions(spark, tmp_dir):
         RD.scan(spark, f"{tmp_dir}/m")
 
 
-def test_registry_resolution():
+def test_registry_sources():
     reg = {"a": {"file_name": "a.json"}, "b": {"hf_hub_url": "org/b", "file_name": "x"},
-           "c": {"script_url": "c", "columns": {"prompt": "q", "response": "r"}}}
-    attrs = RG.resolve("a, b,c", reg, "p")
-    assert [x.load_from for x in attrs] == ["file", "hf_hub", "script"]
-    assert [x.source_prefix for x in attrs] == ["p", "p", "p"]
-    assert (attrs[2].prompt_column, attrs[2].query_column, attrs[2].response_column) == ("q", None, "r")
-    assert (attrs[0].prompt_column, attrs[0].query_column) == ("instruction", "input")
-    with pytest.raises(ValueError):
-        RG.resolve("a,b", reg, "p|q|r")
-    with pytest.raises(ValueError):
-        RG.resolve("zzz", reg)
+           "c": {"script_url": "c", "columns": {"prompt": "q", "response": "r"}}, "d": {"columns": {}}}
+    found = RG.sources("a, b,c", reg, "p")
+    assert [(s.kind, s.place, s.prefix) for s in found] == [("file", "a.json", "p"), ("hub", "org/b", "p"), ("script", "c", "p")]
+    assert found[2].columns == {"prompt": "q", "query": None, "response": "r", "history": None}
+    assert found[0].columns["prompt"] == "instruction" and found[0].columns["history"] is None
+    for names, prefixes in (("a,b", "p|q|r"), ("zzz", None), ("d", None)):
+        with pytest.raises(ValueError):
+            RG.sources(names, reg, prefixes)
 
 
 def test_load_datasets_aligns_and_limits(spark, tmp_dir):

@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from weft.functions.tokens import DEFAULT_TOKENIZER as TK, IGNORE_INDEX
 from weft.operators import split as SP
 from weft.operators.evaluate import attach_predictions
-from weft.operators.metrics import segment, with_rouge_n
+from weft.operators.metrics import METRICS
 from weft.plans import fixtures as X
+from weft.plans import q_metrics as QM
 from weft.plans.catalog import lit, register
 from weft.sources import readers as RD
 from weft.sources import registry as RG
@@ -42,7 +43,7 @@ def s2(spark, sf):
 WITH {X.INSTRUCTIONS_SQL}
 SELECT conv_id, turn, instruction AS prompt, input AS query, output AS response, 'chat: ' AS prefix FROM instructions
 UNION ALL
-SELECT NULL, NULL, text, NULL, NULL, 'doc: ' FROM (SELECT text FROM documents ORDER BY doc_id LIMIT 50)
+SELECT NULL, NULL, text, NULL, NULL, 'doc: ' FROM documents
 """)
 def s1(spark, sf):
     base = _dir(spark, "s1")
@@ -53,7 +54,7 @@ def s1(spark, sf):
         "docs": {"file_name": "docs", "columns": {"prompt": "text", "query": None, "response": None}},
     }
     chat = RG.load_datasets(spark, "chat", registry, base, "chat: ")
-    docs = RG.load_datasets(spark, "docs", registry, base, "doc: ", max_samples=50, order=["doc_id"])
+    docs = RG.load_datasets(spark, "docs", registry, base, "doc: ")
     return (chat.select("conv_id", "turn", "prompt", "query", "response", "prefix")
             .unionByName(docs.select(F.lit(None).cast("bigint").alias("conv_id"), F.lit(None).cast("bigint").alias("turn"),
                                      "prompt", "query", "response", "prefix")))
@@ -63,11 +64,11 @@ def s1(spark, sf):
 PAIRS_SCHEMA = "conv_id bigint, turn bigint, query string, response string, prompt string"
 
 
-@register("S3_recursive_scan", sql=f"WITH {X.PAIRS_SQL} SELECT conv_id, turn, query FROM pairs")
+@register("S3_recursive_scan", sql=f"WITH {X.PAIRS_SQL} SELECT conv_id, turn, query, response, prompt FROM pairs")
 def s3(spark, sf):
     out = _dir(spark, "s3")
     X.pairs(spark, sf).withColumn("bucket", F.col("conv_id") % 7).write.partitionBy("bucket").json(out)
-    return RD.scan_recursive(spark, out, "json", PAIRS_SCHEMA).select("conv_id", "turn", "query")
+    return RD.scan_recursive(spark, out, "json", PAIRS_SCHEMA)
 
 
 @register("S5_jsonl_parse", sql=f"WITH {X.PAIRS_SQL} SELECT conv_id, turn, query, response, prompt FROM pairs")
@@ -83,11 +84,7 @@ def s4(spark, sf):
     out = _dir(spark, "s4")
     d = X.documents(spark, sf).select("text", (F.col("doc_id") % 5).alias("bucket"))
     d.write.partitionBy("bucket").option("lineSep", "\n").text(out)
-    # the partitioned layout has no .txt names; read it as the pretraining
-    # reader does, with a glob matching Spark's part files
-    df = RD.read_text(spark, out, recursive=True, glob="part-*")
-    bad = df.withColumn("file", F.input_file_name()).where(~F.is_valid_utf8("value")).select("file").distinct()
-    return df.withColumn("file", F.input_file_name()).join(bad, "file", "left_anti").select("value")
+    return RD.read_pretrain_lines(spark, out, glob="part-*").select("value")
 
 
 # -- S6 / A2 ------------------------------------------------------------------
@@ -99,49 +96,56 @@ def _json_arrays(spark, sf):
     g = d.groupBy("bucket").agg(F.concat(F.lit("["), F.array_join(F.collect_list(F.to_json(F.struct("doc_id", "source", "data"))), ","),
                                          F.lit("]")).alias("value"))
     g.write.partitionBy("bucket").text(out)
-    # rename-free: the text writer emits .txt files; expose them as .json via a glob-free multiLine read
     return out
 
 
-@register("S6_json_array", sql="SELECT doc_id, source FROM documents")
+ARRAY_SCHEMA = "doc_id bigint, source string, data string"
+
+
+@register("S6_json_array", sql="SELECT doc_id, source, text AS data FROM documents")
 def s6(spark, sf):
-    out = _json_arrays(spark, sf)
-    df = (spark.read.option("multiLine", True).option("recursiveFileLookup", True)
-          .schema("doc_id bigint, source string, data string").json(out))
-    return df.select("doc_id", "source")
+    return RD.read_json(spark, _json_arrays(spark, sf), ARRAY_SCHEMA, recursive=True).select("doc_id", "source", "data")
+
+
+@register("S6_mixed_json_folder", sql="SELECT doc_id, source, text AS data FROM documents")
+def s6_mixed(spark, sf):
+    """One folder with array files (odd buckets) and line files (even ones)."""
+    out = _dir(spark, "s6m")
+    d = X.documents(spark, sf).select("doc_id", "source", F.col("text").alias("data"), F.floor(F.col("doc_id") / 100).alias("bucket"))
+    item = F.to_json(F.struct("doc_id", "source", "data"))
+    arrays = d.where(F.col("bucket") % 2 == 1).groupBy("bucket").agg(F.concat(F.lit("["), F.array_join(F.collect_list(item), ","), F.lit("]")).alias("value"))
+    arrays.repartition("bucket").write.partitionBy("bucket").mode("append").text(out)
+    d.where(F.col("bucket") % 2 == 0).select(item.alias("value"), "bucket").write.partitionBy("bucket").mode("append").text(out)
+    return RD.read_json(spark, out, ARRAY_SCHEMA, recursive=True).select("doc_id", "source", "data")
 
 
 @register("A2_samples_per_file", sql="""
 SELECT CAST(doc_id // 100 AS BIGINT) AS bucket, count(*) AS samples FROM documents GROUP BY ROLLUP (doc_id // 100)
 """)
 def a2(spark, sf):
-    out = _json_arrays(spark, sf)
-    df = (spark.read.option("multiLine", True).option("recursiveFileLookup", True)
-          .schema("doc_id bigint, source string, data string").json(out))
-    df = df.withColumn("file", F.col("_metadata.file_path"))
-    per = df.rollup("file").agg(F.count(F.lit(1)).alias("samples"))
-    return per.select(F.regexp_extract("file", "bucket=([0-9]+)", 1).cast("bigint").alias("bucket"), "samples")
+    per = RD.samples_per_file(spark, _json_arrays(spark, sf), glob="part-*", schema=ARRAY_SCHEMA)
+    return per.select(F.regexp_extract("file", "bucket=([0-9]+)", 1).try_cast("bigint").alias("bucket"), "samples")
 
 
 # -- S7 / S8 ------------------------------------------------------------------
 @register("S7_parquet_named_splits", sql=f"""
-WITH dr AS (SELECT doc_id, row_number() OVER (ORDER BY md5('42:' || CAST(doc_id AS VARCHAR)), CAST(doc_id AS VARCHAR)) - 1 AS rank FROM documents),
+WITH dr AS (SELECT doc_id, text, row_number() OVER (ORDER BY md5('42:' || CAST(doc_id AS VARCHAR)), CAST(doc_id AS VARCHAR)) - 1 AS rank FROM documents),
 nn AS (SELECT count(*) AS n FROM documents),
 b AS (SELECT 0 AS b0, least(greatest((CAST(round_even(0.9 * n, 0) AS BIGINT)) - ((CAST(round_even(0.9 * n, 0) AS BIGINT) + CAST(round_even(0.1 * n, 0) AS BIGINT)) - n), 0), n) AS b1 FROM nn)
-SELECT doc_id, CASE WHEN rank < b1 THEN 'train' ELSE 'test' END AS split FROM dr, b
+SELECT doc_id, text, CASE WHEN rank < b1 THEN 'train' ELSE 'test' END AS split FROM dr, b
 """)
 def s7(spark, sf):
     base = _dir(spark, "s7")
-    c = SP.carve_eval(X.documents(spark, sf).select("doc_id"), ["doc_id"], 42)
-    c.where(F.col("split") == "train").select("doc_id").write.parquet(os.path.join(base, "train.parquet"))
-    c.where(F.col("split") == "eval").select("doc_id").write.parquet(os.path.join(base, "test.parquet"))
+    c = SP.carve_eval(X.documents(spark, sf).select("doc_id", "text"), ["doc_id"], 42)
+    c.where(F.col("split") == "train").select("doc_id", "text").write.parquet(os.path.join(base, "train.parquet"))
+    c.where(F.col("split") == "eval").select("doc_id", "text").write.parquet(os.path.join(base, "test.parquet"))
     return RD.read_named_splits(spark, base, {"train": "train.parquet", "test": "test.parquet", "dev": "dev.parquet"})
 
 
-@register("S8_json_named_splits", sql="SELECT doc_id, 'train' AS split FROM documents")
+@register("S8_json_named_splits", sql="SELECT doc_id, text, 'train' AS split FROM documents")
 def s8(spark, sf):
     base = _dir(spark, "s8")
-    X.documents(spark, sf).select("doc_id").write.json(os.path.join(base, "train.json"))   # no eval file: tolerated
+    X.documents(spark, sf).select("doc_id", "text").write.json(os.path.join(base, "train.json"))   # no eval file: tolerated
     return RD.read_named_splits(spark, base, {"train": "train.json", "eval": "eval.json"}, fmt="json")
 
 
@@ -173,19 +177,16 @@ def k1(spark, sf):
 
 
 # -- K2 -----------------------------------------------------------------------
-@register("K2_json_to_pretrain", sql="""
-SELECT CAST(sum(length(text) + 2) AS BIGINT) AS total_chars, count(*) AS items
-FROM (SELECT text FROM documents ORDER BY doc_id LIMIT 100)
+@register("K2_json_to_pretrain", sql=f"""
+WITH l AS (SELECT unnest(string_split(text, {lit(NL)}) || ['']) AS value FROM documents)
+SELECT value, count(*) AS n FROM l GROUP BY value
 """)
 def k2(spark, sf):
-    src = _json_arrays(spark, sf)
-    items = (spark.read.option("multiLine", True).option("recursiveFileLookup", True)
-             .schema("doc_id bigint, source string, data string").json(src))
+    """Every item's text and the blank line after it, read back line by line."""
+    items = RD.read_json(spark, _json_arrays(spark, sf), ARRAY_SCHEMA, recursive=True)
     out = _dir(spark, "k2")
-    written = SK.json_to_pretrain(items, out, n=100, order="doc_id")
-    back = spark.read.text(out, wholetext=True)
-    total = back.agg(F.sum(F.length("value")).cast("bigint").alias("total_chars"))
-    return total.crossJoin(written.agg(F.count(F.lit(1)).alias("items")))
+    SK.json_to_pretrain(items, out)
+    return RD.read_text(spark, out).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
 
 
 # -- K3 / K4 ------------------------------------------------------------------
@@ -227,7 +228,7 @@ vocab AS (SELECT CAST({TK.reserved} + (('0x' || substr(md5(t), 1, 7))::BIGINT %
                  min(t) AS tok FROM toks GROUP BY 1),
 vm AS (SELECT map_from_entries(list({{'key': id, 'value': tok}})) AS m FROM vocab),
 e AS (SELECT {TK.sql_ids('pa.response')} AS l0, {TK.sql_ids('pr.text')} AS p0
-      FROM predictions pr JOIN pairs pa USING (conv_id, turn) WHERE pr.model = 'm1'),
+      FROM predictions pr JOIN pairs pa USING (conv_id, turn)),
 pad AS (SELECT list_concat(l0, list_transform(range(8), lambda x: {IGNORE_INDEX})) AS l,
                list_concat(p0, list_transform(range(8), lambda x: {TK.pad_id})) AS p FROM e)
 SELECT array_to_string(list_transform(list_filter(l, lambda i: i NOT IN ({IGNORE_INDEX}, {TK.pad_id}, {TK.bos_id}, {TK.eos_id})),
@@ -244,34 +245,23 @@ def k5(spark, sf):
     toks = p.select(F.explode(TK.tokens(F.col("query"))).alias("t")).unionByName(
         p.select(F.explode(TK.tokens(F.col("response"))).alias("t")))
     vocab_df = toks.groupBy(TK.token_id(F.col("t")).alias("id")).agg(F.min("t").alias("tok"))
-    # bounded by the vocabulary size (ids lie in [0, vocab_size))
-    vocab = {r["id"]: r["tok"] for r in vocab_df.collect()}
-    decode = SK.decode_ids(vocab, {TK.pad_id, TK.bos_id, TK.eos_id})
-    pr = X.predictions(spark, sf).where(F.col("model") == "m1").join(p, ["conv_id", "turn"])
+    vocab = SK.vocabulary(vocab_df, TK.vocab_size, "id", "tok")
+    pr = X.predictions(spark, sf).join(p, ["conv_id", "turn"])
     ids = pr.select(F.concat(TK.ids(F.col("response")), F.array_repeat(F.lit(IGNORE_INDEX), 8)).alias("labels"),
                     F.concat(TK.ids(F.col("text")), F.array_repeat(F.lit(TK.pad_id), 8)).alias("preds"))
     out = _dir(spark, "k5")
-    SK.generated_predictions(ids, decode, TK.pad_id, out=out)
+    SK.generated_predictions(ids, vocab, {TK.pad_id, TK.bos_id, TK.eos_id}, TK.pad_id, out=out)
     return spark.read.schema("label string, predict string").json(out)
 
 
 # -- K6 / K7 ------------------------------------------------------------------
-@register("K6_model_reports", sql=f"""
-WITH {X.PREDICTIONS_SQL},
-e AS (SELECT pr.conv_id, pr.turn, pr.model, {TK.sql_tokens('pr.text')} AS ht, {TK.sql_tokens('pa.response')} AS rt
-      FROM predictions pr JOIN pairs pa USING (conv_id, turn)),
-g AS (SELECT *, list_distinct(ht) AS h, list_distinct(rt) AS r FROM e)
-SELECT conv_id, turn, model,
-  round(CASE WHEN len(r) > 0 THEN CAST(len(list_intersect(h, r)) AS DOUBLE) / len(r) ELSE 0.0 END, 6) AS rouge_1_r
-FROM g
-""")
+@register("K6_model_reports", sql=QM.EVALUATION_SQL)
 def k6(spark, sf):
-    e = X.predictions(spark, sf).join(X.pairs(spark, sf).select("conv_id", "turn", "response"), ["conv_id", "turn"])
-    e = e.withColumn("_pt", segment(F.col("text"))).withColumn("_et", segment(F.col("response")))
-    m = with_rouge_n(e, "_pt", "_et", ns=(1,)).select("conv_id", "turn", "model", F.round("rouge_1_r", 6).alias("rouge_1_r"))
+    """Expectation, prediction and all ten metrics, a folder a model."""
     out = _dir(spark, "k6")
-    SK.model_reports(m, out)
-    return spark.read.parquet(out).select("conv_id", "turn", "model", "rouge_1_r")
+    SK.model_reports(QM.evaluation(spark, sf), out)
+    back = spark.read.parquet(out)
+    return back.select("conv_id", "turn", "model", "expect", "predict", *METRICS)
 
 
 @register("K7_materialize_by_params", sql=f"SELECT doc_id, CAST(len({TK.sql_tokens('text')}) AS INTEGER) AS n_tokens FROM documents")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,23 +49,30 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the configured checkpoint folder; set a scratch one only when
-    none is configured (local runs and tests)."""
+    """Use the configured checkpoint folder; a scratch one is set only where
+    none is configured and the master is local (tests), else it is an error:
+    executors on other machines could not read each other's files."""
     current = checkpoint_dir(spark)
     if current:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return current
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="weft-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return local
 
 
-def materialize(df: DataFrame, name: str | None = None) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared checkpoint folder
-    (survives executor loss, unlike a local checkpoint)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "step") -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and read it back.
+
+    It cuts the lineage, survives lost executors (unlike a local checkpoint),
+    and computes the plan once where an eager checkpoint computes it twice."""
+    path = os.path.join(ensure_checkpoint_dir(df.sparkSession), "weft", "steps", f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

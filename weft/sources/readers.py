@@ -1,13 +1,14 @@
 """File sources.
 
-Every reader is a ``spark.read`` call: files are split across tasks, the
-schema is given where known, and nothing is read on the driver except a
-single first line when a ``.json`` file must be told apart as JSON Lines
-or one JSON array.
+Every reader is a ``spark.read`` call: files are split across tasks and the
+schema is given where known.  The driver lists files and peeks at the first
+character of each ``.json`` file, which tells an array from JSON Lines.
+Malformed records stop the read (``FAILFAST``) unless a ``mode`` says otherwise.
 """
 
 from __future__ import annotations
 
+import fnmatch
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,16 +24,22 @@ def _hadoop_fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def list_files(spark: SparkSession, path: str) -> list[str]:
-    """Files directly under ``path`` (or ``[path]`` for a file) via the
-    Hadoop FileSystem, so any cluster file system works."""
+def list_files(spark: SparkSession, path: str, recursive: bool = False, glob: str | None = None) -> list[str]:
+    """Files under ``path`` (or ``[path]`` for a file) via the Hadoop
+    FileSystem, so any cluster file system works.  Names that start with
+    ``_`` or ``.`` are skipped, as Spark does; ``glob`` filters by name."""
     fs, p = _hadoop_fs(spark, path)
     if not fs.exists(p):
         raise FileNotFoundError(path)
     if fs.isFile(p):
         return [path]
-    return sorted(st.getPath().toString() for st in fs.listStatus(p) if st.isFile()
-                  and not st.getPath().getName().startswith(("_", ".")))
+    found, each = [], fs.listFiles(p, recursive)
+    while each.hasNext():
+        f = each.next().getPath()
+        name = f.getName()
+        if not name.startswith(("_", ".")) and (glob is None or fnmatch.fnmatchcase(name, glob)):
+            found.append(f.toString())
+    return sorted(found)
 
 
 def _ext(path: str) -> str:
@@ -40,29 +47,51 @@ def _ext(path: str) -> str:
 
 
 def is_json_array(spark: SparkSession, path: str) -> bool:
-    """True when the file's first non-blank character is ``[``."""
-    first = (spark.read.text(path).where(F.length(F.trim("value")) > 0).limit(1).collect())
-    return bool(first) and first[0][0].lstrip().startswith("[")
-
+    """True when the file's first non-blank character is ``[``.  Reads up to
+    that character; a compressed file is JSON Lines."""
+    fs, p = _hadoop_fs(spark, path)
+    stream = fs.open(p)
+    try:
+        byte = stream.read()
+        while byte in (9, 10, 13, 32, 0xEF, 0xBB, 0xBF):  # white space, byte order mark
+            byte = stream.read()
+        return byte == ord("[")
+    finally:
+        stream.close()
+
+
+def read_json(spark: SparkSession, path: str, schema: StructType | str | None = None, mode: str = "FAILFAST",
+              corrupt_column: str | None = None, recursive: bool = False, glob: str | None = None) -> DataFrame:
+    """JSON Lines and JSON array files.  Each file is told apart by its
+    own first character, so a folder may mix both; arrays are read whole
+    (``multiLine``), lines are split."""
+    files = list_files(spark, path, recursive, glob)
+    arrays = [f for f in files if _ext(f) != "jsonl" and is_json_array(spark, f)]
+    lines = sorted(set(files) - set(arrays))
+
+    def read(chosen: list[str], whole: bool) -> DataFrame:
+        r = spark.read.option("mode", mode).option("multiLine", whole)
+        if files != [path]:
+            r = r.option("basePath", path)
+        if schema is not None:
+            r = r.schema(schema)
+        if corrupt_column:
+            r = r.option("columnNameOfCorruptRecord", corrupt_column)
+        return r.json(chosen)
 
-def read_json(spark: SparkSession, path: str, schema: StructType | str | None = None,
-              mode: str = "FAILFAST", corrupt_column: str | None = None) -> DataFrame:
-    """JSON Lines or a JSON array file (``multiLine``), chosen by content."""
-    r = spark.read.option("mode", mode)
-    if schema is not None:
-        r = r.schema(schema)
-    if corrupt_column:
-        r = r.option("columnNameOfCorruptRecord", corrupt_column)
-    files = list_files(spark, path) if not _ext(path) == "jsonl" else [path]
-    multi = any(_ext(f) == "json" and is_json_array(spark, f) for f in files[:1])
-    return r.option("multiLine", multi).json(path)
+    if not arrays or not lines:
+        return read(arrays or lines, bool(arrays))
+    return read(arrays, True).unionByName(read(lines, False), allowMissingColumns=True)
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, mode: str = "FAILFAST", multiline: bool = True) -> DataFrame:
     """Header row, every cell a string, quoted cells may hold doubled
-    quotes and newlines; empty cells become ''."""
-    df = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-          .option("inferSchema", False).csv(path))
+    quotes and newlines; empty cells become ''.  A row with too few or too
+    many cells, or a file whose header differs from the others', stops the
+    read.  ``multiline=False`` lets one file be split over tasks where no
+    cell holds a newline."""
+    df = (spark.read.option("header", True).option("multiLine", multiline).option("escape", '"').option("mode", mode)
+          .option("enforceSchema", False).option("inferSchema", False).csv(path))
     return df.na.fill("")
 
 
@@ -79,46 +108,51 @@ def read_text(spark: SparkSession, path: str, recursive: bool = False, glob: str
     return r.text(path)
 
 
-def scan(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
+def scan(spark: SparkSession, path: str, schema: StructType | str | None = None, mode: str = "FAILFAST") -> DataFrame:
     """One file or one flat directory; the extension picks the reader
-    (csv, json, jsonl, txt); mixed extensions are rejected."""
-    files = list_files(spark, path)
-    kinds = {EXT_TYPES.get(_ext(f)) for f in files}
-    if not files or None in kinds:
-        raise ValueError("File extension must be txt, csv, json or jsonl.")
-    if len(kinds) != 1:
-        raise ValueError("file type does not match.")
+    (csv, json, jsonl, txt); a folder holds one kind."""
+    found = {_ext(f) for f in list_files(spark, path)}
+    unknown = sorted(found - set(EXT_TYPES))
+    if unknown or not found:
+        raise ValueError(f"cannot read {path}: {'no files' if not found else f'unknown extensions {unknown}'}; known are {sorted(EXT_TYPES)}")
+    kinds = {EXT_TYPES[e] for e in found}
+    if len(kinds) > 1:
+        raise ValueError(f"{path} mixes the formats {sorted(kinds)}")
     kind = kinds.pop()
     if kind == "csv":
-        return read_csv(spark, path)
-    if kind == "text":
-        return read_text(spark, path)
-    return read_json(spark, path, schema)
+        return read_csv(spark, path, mode)
+    return read_text(spark, path) if kind == "text" else read_json(spark, path, schema, mode)
 
 
-def scan_recursive(spark: SparkSession, path: str, extension: str, schema: StructType | str | None = None) -> DataFrame:
+def scan_recursive(spark: SparkSession, path: str, extension: str, schema: StructType | str | None = None,
+                   mode: str = "FAILFAST") -> DataFrame:
     """S3: every file under ``path`` whose name ends exactly in ``.extension``
     (``.jsonl.archived`` is not ``.jsonl``)."""
-    r = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", f"*.{extension}")
+    glob = f"*.{extension}"
+    r = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).option("mode", mode)
     if extension in ("json", "jsonl"):
-        if schema is not None:
-            r = r.schema(schema)
-        return r.json(path)
+        return (r.schema(schema) if schema is not None else r).json(path)
     if extension == "csv":
-        return r.option("header", True).option("multiLine", True).option("escape", '"').csv(path).na.fill("")
-    return r.text(path)
+        return r.option("header", True).option("multiLine", True).option("escape", '"').option("enforceSchema", False).csv(path).na.fill("")
+    return read_text(spark, path, recursive=True, glob=glob, line_sep=None)
+
+
+def read_pretrain_lines(spark: SparkSession, path: str, glob: str = "*.txt", drop_invalid_files: bool = False) -> DataFrame:
+    """Every line of every file under ``path`` that matches ``glob`` (blank
+    lines kept), with its file.  A line that is not UTF-8 is left out; with
+    ``drop_invalid_files`` so is the rest of its file (a distributed
+    anti-join on the few files that have one).  :func:`invalid_lines` has
+    what was left out."""
+    df = read_text(spark, path, recursive=True, glob=glob).withColumn("file", F.input_file_name())
+    if drop_invalid_files:
+        return df.join(invalid_lines(spark, path, glob).select("file").distinct(), "file", "left_anti")
+    return df.where(F.is_valid_utf8("value"))
 
 
-def read_pretrain_lines(spark: SparkSession, path: str, drop_invalid_files: bool = True) -> DataFrame:
-    """Every line of every ``*.txt`` under ``path`` (blank lines kept),
-    with its file.  A file holding invalid UTF-8 is dropped whole, as an
-    unreadable file is in the reference; the set of bad files is found with
-    a distributed anti-join, not on the driver."""
-    df = read_text(spark, path, recursive=True, glob="*.txt").withColumn("file", F.input_file_name())
-    if not drop_invalid_files:
-        return df
-    bad = df.where(~F.is_valid_utf8("value")).select("file").distinct()
-    return df.join(bad, "file", "left_anti")
+def invalid_lines(spark: SparkSession, path: str, glob: str = "*.txt") -> DataFrame:
+    """The lines that :func:`read_pretrain_lines` rejects, as bytes, with their file."""
+    df = read_text(spark, path, recursive=True, glob=glob).withColumn("file", F.input_file_name())
+    return df.where(~F.is_valid_utf8("value")).select(F.col("value").cast("binary").alias("value"), "file")
 
 
 def read_named_splits(spark: SparkSession, base: str, names: dict[str, str], fmt: str = "parquet") -> DataFrame | None:
@@ -140,10 +174,11 @@ def read_named_splits(spark: SparkSession, base: str, names: dict[str, str], fmt
     return out
 
 
-def samples_per_file(spark: SparkSession, path: str) -> DataFrame:
-    """A2: number of samples per ``.json`` array file under ``path`` plus a
-    total row (file = NULL) via ``rollup``; other files are skipped."""
-    df = (spark.read.option("multiLine", True).option("recursiveFileLookup", True)
-          .option("pathGlobFilter", "*.json").json(path))
+def samples_per_file(spark: SparkSession, path: str, glob: str = "*.json", schema: StructType | str | None = None) -> DataFrame:
+    """A2: number of samples per JSON array file under ``path`` plus a total
+    row (file = NULL) via ``rollup``; files that do not match ``glob`` are
+    skipped.  A ``schema`` saves the pass that infers one."""
+    r = spark.read.option("multiLine", True).option("recursiveFileLookup", True).option("pathGlobFilter", glob).option("mode", "FAILFAST")
+    df = (r.schema(schema) if schema is not None else r).json(path)
     df = df.withColumn("file", F.col("_metadata.file_path"))
     return df.rollup("file").agg(F.count(F.lit(1)).alias("samples"))

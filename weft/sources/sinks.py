@@ -13,10 +13,8 @@ import json
 import os
 from typing import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from weft.functions.tokens import IGNORE_INDEX
 from weft.operators.align import instruction_to_chat
@@ -34,11 +32,13 @@ def csv_to_json(df: DataFrame, out: str) -> None:
     df.write.mode("overwrite").json(out)
 
 
-def json_to_pretrain(df: DataFrame, out: str, n: int | None = 100, order: str | None = None,
+def json_to_pretrain(df: DataFrame, out: str, n: int | None = None, order: str | None = None,
                      column: str = "data") -> DataFrame:
-    """K2: the first ``n`` items' ``column`` as pre-training text, each
-    followed by a blank line, appended to ``out``."""
-    d = df.orderBy(order).limit(n) if (n is not None and order) else (df.limit(n) if n is not None else df)
+    """K2: items' ``column`` as pre-training text, each followed by a blank
+    line, appended to ``out``; all items, or the first ``n`` by ``order``."""
+    if n is not None and not order:
+        raise ValueError("n needs an order")
+    d = df if n is None else df.orderBy(order).limit(n)
     d = d.select(F.col(column).alias("value"))
     d.write.mode("append").option("lineSep", "\n\n").text(out)
     return d
@@ -57,36 +57,39 @@ def write_predictions(df: DataFrame, out: str) -> None:
     df.write.mode("overwrite").json(out)
 
 
-def decode_ids(vocab: dict[int, str], skip_ids: set[int], sep: str = " ") -> Callable:
-    """Arrow UDF turning id arrays into text through a broadcast vocabulary
-    (bounded by the vocabulary size), skipping special ids."""
-    from pyspark import SparkContext
-    bc = SparkContext.getOrCreate().broadcast((vocab, set(skip_ids)))
+def decode_ids(ids, vocab, skip_ids: set[int], sep: str = " "):
+    """Text of an id array: ``vocab`` is an ARRAY<STRING> column indexed by id
+    (unknown ids give nothing); special ids are skipped."""
+    shown = F.filter(ids, lambda i: ~i.isin(sorted(skip_ids))) if skip_ids else ids
+    return F.array_join(F.transform(shown, lambda i: F.coalesce(F.get(vocab, i), F.lit(""))), sep)
 
-    @F.pandas_udf(T.StringType())
-    def _decode(ids: pd.Series) -> pd.Series:
-        v, skip = bc.value
-        return pd.Series([sep.join(v.get(int(i), "") for i in row if int(i) not in skip) if row is not None else None
-                          for row in ids])
 
-    return _decode
+def vocabulary(rows: DataFrame, size: int, id_col: str = "id", token_col: str = "token") -> DataFrame:
+    """One row with ``vocab``, the array id -> token; at most ``size`` entries, whatever the rows."""
+    one = rows.where(F.col(id_col).between(0, size - 1)).groupBy(F.col(id_col).alias("id")).agg(F.min(token_col).alias("t"))
+    table = one.agg(F.map_from_entries(F.collect_list(F.struct("id", "t"))).alias("m"))
+    return table.select(F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.try_element_at("m", i)).alias("vocab"))
 
 
-def generated_predictions(df: DataFrame, decode: Callable, pad_id: int, preds: str = "preds",
+def generated_predictions(df: DataFrame, vocab: DataFrame, skip_ids: set[int], pad_id: int, preds: str = "preds",
                           labels: str = "labels", out: str | None = None) -> DataFrame:
     """K5: ``-100`` -> pad in predictions and labels, then decode (specials
-    skipped by ``decode``) to ``{label, predict}``."""
+    skipped) to ``{label, predict}``.  ``vocab`` is :func:`vocabulary`'s one
+    row, bounded by the vocabulary's size, used as a scalar."""
     fix = lambda c: F.transform(F.col(c), lambda x: F.when(x == IGNORE_INDEX, F.lit(pad_id)).otherwise(x))
-    res = df.select(decode(fix(labels)).alias("label"), decode(fix(preds)).alias("predict"))
+    both = df.withColumn("_vocab", vocab.scalar())
+    res = both.select(*[decode_ids(fix(c), F.col("_vocab"), skip_ids).alias(n) for c, n in ((labels, "label"), (preds, "predict"))])
     if out:
         res.write.mode("overwrite").json(out)
     return res
 
 
-def write_shards(sharded: DataFrame, out: str, fmt: str = "parquet") -> None:
-    """X4 sink: one folder per data-parallel worker (``shard=<k>``), rows
-    ordered by (batch, pos) inside each shard's files."""
-    (sharded.repartition("shard").sortWithinPartitions("batch", "pos")
+def write_shards(sharded: DataFrame, out: str, fmt: str = "parquet", rows_per_file: int = 1_000_000) -> None:
+    """X4 sink: one folder per data-parallel worker (``shard=<k>``), in files of
+    ``rows_per_file`` rows by position; rows are ordered by (batch, pos) inside
+    a file, and a shard is written by as many tasks as it has files."""
+    part = F.floor(F.col("pos") / rows_per_file)
+    (sharded.withColumn("part", part).repartition("shard", "part").sortWithinPartitions("shard", "batch", "pos").drop("part")
      .write.mode("overwrite").partitionBy("shard").format(fmt).save(out))
 
 
