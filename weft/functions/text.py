@@ -1,7 +1,8 @@
 """Text cleaning and extraction as Column expressions.
 
 Everything is a built-in string/regex/array function, so cleaning runs in
-the JVM inside whole-stage code and needs no shuffle.  Character classes
+the JVM and needs no shuffle (array lambdas are interpreted, the rest is
+generated code).  Character classes
 are written out so Spark (Java regex) and DuckDB (RE2) agree: Python's
 ``\\s`` on text is the Unicode whitespace set below, and ``.`` excludes
 only ``\\n``.

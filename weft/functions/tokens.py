@@ -2,8 +2,8 @@
 
 The default :class:`HashTokenizer` splits text with one regular expression
 and maps each token to a stable id with md5, entirely inside the JVM (no
-Python per row), so tokenisation stays in whole-stage code and scales with
-the executors.  :class:`PandasTokenizer` plugs any Python tokenizer in through
+Python per row).  The regex call is generated code; the array lambdas
+(``transform``, ``aggregate``, ``filter``) are interpreted by Spark.  :class:`PandasTokenizer` plugs any Python tokenizer in through
 an Arrow-batched pandas UDF.
 """
 

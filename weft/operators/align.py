@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weft.functions.templates import Template, get_dialog as _dialog, get_prompt as _prompt
+from weft.functions.templates import ChatFormat, render_dialog as _dialog, render_prompt as _prompt
 
 HISTORY_TYPE = "array<struct<query:string,answer:string>>"
 TARGETS = ("prompt", "query", "response", "history")
@@ -59,7 +59,7 @@ def clean_prefix(prefix: str = "prefix") -> Column:
     return F.coalesce(F.col(prefix), F.lit(""))
 
 
-def with_dialog(df: DataFrame, template: Template, prompt="prompt", query="query", response="response",
+def with_dialog(df: DataFrame, template: ChatFormat, prompt="prompt", query="query", response="response",
                 history="history", prefix="prefix") -> DataFrame:
     """F1 -> P2 -> P3: adds ``dialog`` (alternating query/response array)."""
     kept = keep_nonempty(df, prompt, response)
@@ -68,7 +68,7 @@ def with_dialog(df: DataFrame, template: Template, prompt="prompt", query="query
                                              clean_prefix(prefix) if prefix in df.columns else None))
 
 
-def with_prompt(df: DataFrame, template: Template, prompt="prompt", query="query", history="history",
+def with_prompt(df: DataFrame, template: ChatFormat, prompt="prompt", query="query", history="history",
                 prefix="prefix", out: str = "prompt_text") -> DataFrame:
     """The inference prompt as one string."""
     return df.withColumn(out, _prompt(template, dialog_query(prompt, query),
