@@ -37,12 +37,12 @@ def _brute(groups, block, bos, keep_short, special):
     return out
 
 
-@pytest.mark.parametrize("chunk_width", [1, 2, 4096])
-def test_pack_pretrain_matches_brute_force(spark, chunk_width):
+@pytest.mark.parametrize("chunk", [1, 2, 4096])
+def test_pack_pretrain_matches_brute_force(spark, chunk):
     rows = [(i, 0 if i < 4 else 1, TEXTS[i]) for i in range(len(TEXTS))]
     df = spark.createDataFrame(rows, "doc_id long, pack_group long, text string")
     got = {(r["pack_group"], r["block"]): r["input_ids"]
-           for r in PK.pack_pretrain(df, 4, chunk_width=chunk_width).collect()}
+           for r in PK.pack_pretrain(df, 4, chunk=chunk).collect()}
     groups = {0: TEXTS[:4], 1: TEXTS[4:]}
     assert got == _brute(groups, 3, True, False, False)
 
@@ -57,7 +57,21 @@ def test_group_texts_keeps_lone_short_block(spark):
 def test_one_hot_group_conserves_tokens(spark):
     df = spark.range(0, 300).select(F.col("id").alias("doc_id"), F.lit(7).alias("pack_group"),
                                     F.concat(F.lit("w"), F.col("id").cast("string"), F.lit(" x y")).alias("text"))
-    out = PK.pack_pretrain(df, 9, chunk_width=16)
+    out = PK.pack_pretrain(df, 9, chunk=16)
     total = 300 * 3
     assert out.count() == total // 8
     assert out.select(F.sum(F.size("input_ids"))).first()[0] == (total // 8) * 9
+
+
+def test_sparse_float_and_null_keys_lose_no_token(spark):
+    rows = [(1e12 * i if i % 2 else i / 1000.0, None if i % 3 == 0 else 1, f"w{i} x y") for i in range(60)] + [(None, 1, "a b c")]
+    df = spark.createDataFrame(rows, "doc_id double, pack_group long, text string")
+    for chunk in (4, 4096):
+        out = PK.group_texts(df, 1000, chunk=chunk).collect()
+        assert {r["pack_group"]: len(r["input_ids"]) for r in out} == {None: 20 * 4, 1: 41 * 4}
+
+
+def test_one_tokenising_pass(spark):
+    df = spark.createDataFrame([(0, 0, "a b c")], "doc_id long, pack_group long, text string")
+    plan = PK.pack_pretrain(df, 4)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan       # it ran once, before the ids were written

@@ -10,8 +10,8 @@ Packing never gathers a group's tokens into one row or one task:
 3. ``groupBy(group, block)`` reassembles a block from its (at most
    block-size) pieces in offset order.
 
-The shuffle moves each token once (as part of a slice), plus one row per
-chunk for the offsets.
+Each text is tokenised once, before the first shuffle; from there on ids
+travel, not texts.
 """
 
 from __future__ import annotations
@@ -20,47 +20,45 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weft.functions.tokens import DEFAULT_TOKENIZER
+from weft.operators.split import ordered_index
 
 
-def running_sums(df: DataFrame, group: str, order: str, cols: dict[str, str], chunk_width: int = 4096) -> DataFrame:
-    """Exclusive running sums of several columns within ``group`` in the
-    numeric ``order``: ``cols`` maps input column -> output column.
-
-    Rows are hash-partitioned once by (group, order div chunk_width) for
-    the in-chunk window; the per-chunk totals come from a narrow (group,
-    chunk, length) projection, so only small rows take the group-wide
-    window; the join back goes to the already partitioned rows (or is
-    broadcast by AQE when the chunk table is small).  The row payload
-    crosses the network once and no group sits in a single task."""
-    d = df.withColumn("_chunk", F.floor(F.col(order) / chunk_width)).repartition(group, "_chunk")
-    totals = d.groupBy(group, "_chunk").agg(*[F.sum(c).alias(f"_t_{o}") for c, o in cols.items()])
-    wg = Window.partitionBy(group).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    chunk_off = totals.select(group, "_chunk", *[F.coalesce(F.sum(f"_t_{o}").over(wg), F.lit(0)).alias(f"_c_{o}")
-                                                 for o in cols.values()])
-    wc = Window.partitionBy(group, "_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+def running_sums(df: DataFrame, group: str, order: str, cols: dict[str, str], chunk: int = 4096) -> DataFrame:
+    """Exclusive running sums of several columns within ``group`` in
+    ``order``: ``cols`` maps input column -> output column.
+
+    Rows get their dense place in the group (:func:`ordered_index`, so sparse,
+    float or null orders and one huge group are all alike) and are cut into
+    chunks of ``chunk`` places.  A window runs inside each chunk; chunk totals
+    (one row per ``chunk`` rows) take the group-wide window."""
+    d = ordered_index(df, [order], out="_place", partition_cols=[group])
+    d = d.withColumn("_chunk", F.floor(F.col("_place") / chunk))
+    inside = Window.partitionBy(group, "_chunk").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
     for c, o in cols.items():
-        d = d.withColumn(f"_i_{o}", F.coalesce(F.sum(c).over(wc), F.lit(0)))
-    d = d.join(chunk_off, [group, "_chunk"])
+        d = d.withColumn(o, F.coalesce(F.sum(c).over(inside), F.lit(0)))
+    totals = d.groupBy(F.col(group).alias("_g"), F.col("_chunk").alias("_c")).agg(*[F.sum(c).alias(f"_t_{o}") for c, o in cols.items()])
+    before = Window.partitionBy("_g").orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
+    start = totals.select("_g", "_c", *[F.coalesce(F.sum(f"_t_{o}").over(before), F.lit(0)).alias(f"_s_{o}") for o in cols.values()])
+    d = d.join(start, F.col(group).eqNullSafe(F.col("_g")) & (F.col("_chunk") == F.col("_c")))
     for o in cols.values():
-        d = d.withColumn(o, F.col(f"_c_{o}") + F.col(f"_i_{o}"))
-    return d.drop("_chunk", *[f"_c_{o}" for o in cols.values()], *[f"_i_{o}" for o in cols.values()])
+        d = d.withColumn(o, F.col(o) + F.col(f"_s_{o}"))
+    return d.drop("_place", "_chunk", "_g", "_c", *[f"_s_{o}" for o in cols.values()])
 
 
-def running_offset(df: DataFrame, group: str, order: str, length: str, chunk_width: int = 4096,
+def running_offset(df: DataFrame, group: str, order: str, length: str, chunk: int = 4096,
                    out: str = "offset", cast: str | None = "bigint") -> DataFrame:
     """Exclusive running sum of ``length`` (see :func:`running_sums`)."""
-    d = running_sums(df, group, order, {length: out}, chunk_width)
+    d = running_sums(df, group, order, {length: out}, chunk)
     return d.withColumn(out, F.col(out).cast(cast)) if cast else d
 
 
-def _pieces(df: DataFrame, group: str, order: str, text: str, block: int, chunk_width: int,
+def _pieces(df: DataFrame, group: str, order: str, text: str, block: int, chunk: int,
             tokenizer, add_special: bool) -> DataFrame:
-    """Offsets from token counts (regex only), then ids and one slice per
-    overlapped block, built directly by ``transform`` (the document's id
-    array is never copied per block)."""
-    d = df.select(group, order, text).withColumn("_len", tokenizer.count(F.col(text), add_special)).where(F.col("_len") > 0)
-    d = running_offset(d, group, order, "_len", chunk_width)
-    d = d.withColumn("_ids", tokenizer.ids(F.col(text), add_special))
+    """Each text is tokenised once and leaves as ids; offsets are running sums
+    of their lengths; one slice per overlapped block, built directly by
+    ``transform`` (a document's id array is never copied per block)."""
+    d = df.select(group, order, tokenizer.ids(F.col(text), add_special).alias("_ids"))
+    d = running_offset(d.withColumn("_len", F.size("_ids")), group, order, "_len", chunk).where(F.col("_len") > 0)
     off, n = F.col("offset"), F.col("_len")
     blocks = F.sequence(F.floor(off / block), F.floor((off + n - 1) / block))
 
@@ -79,23 +77,23 @@ def _assemble(pieces: DataFrame, group: str) -> DataFrame:
 
 
 def pack_pretrain(df: DataFrame, max_source: int, group: str = "pack_group", order: str = "doc_id",
-                  text: str = "text", tokenizer=DEFAULT_TOKENIZER, chunk_width: int = 4096) -> DataFrame:
+                  text: str = "text", tokenizer=DEFAULT_TOKENIZER, chunk: int = 4096) -> DataFrame:
     """T5: concatenate the token lists of a group in ``order``, cut into
     blocks of ``max_source - 1``, drop the remainder, prepend bos; labels = ids."""
     b = max_source - 1
-    blocks = _assemble(_pieces(df, group, order, text, b, chunk_width, tokenizer, False), group).where(F.size("ids") == b)
+    blocks = _assemble(_pieces(df, group, order, text, b, chunk, tokenizer, False), group).where(F.size("ids") == b)
     ids = F.concat(F.array(F.lit(tokenizer.bos_id)), F.col("ids"))
     return blocks.select(group, "block", ids.alias("input_ids"), ids.alias("labels"))
 
 
 def group_texts(df: DataFrame, block_size: int, group: str = "pack_group", order: str = "doc_id",
-                text: str | None = None, tokenizer=DEFAULT_TOKENIZER, chunk_width: int = 4096) -> DataFrame:
+                text: str | None = None, tokenizer=DEFAULT_TOKENIZER, chunk: int = 4096) -> DataFrame:
     """As T5 without bos and with ``block_size``; a group shorter than one
     block keeps its single short block.  Text column: ``text`` if present,
     else the first column.  Documents are encoded with specials, as the
     reference's tokenizer call does."""
     col = text or ("text" if "text" in df.columns else df.columns[0])
-    blocks = _assemble(_pieces(df, group, order, col, block_size, chunk_width, tokenizer, True), group)
+    blocks = _assemble(_pieces(df, group, order, col, block_size, chunk, tokenizer, True), group)
     blocks = blocks.where((F.size("ids") == block_size) | (F.col("block") == 0))
     return blocks.select(group, "block", F.col("ids").alias("input_ids"),
                          F.transform("ids", lambda _: F.lit(1)).alias("attention_mask"), F.col("ids").alias("labels"))

@@ -6,7 +6,9 @@ pick one of ``16**digits`` buckets; bucket sizes (at most 16**digits rows)
 are turned into start offsets and broadcast -- that table has a proven
 size bound independent of the data -- and each row's rank is its bucket
 offset plus its position inside the bucket (a window partitioned by
-bucket).  md5 spreads rows evenly over buckets, so no bucket is hot even
+bucket).  A split only compares ranks with boundaries, so it labels whole
+buckets from the offsets alone and ranks rows in the few buckets that hold a
+boundary; no other row moves.  md5 spreads rows evenly over buckets, so no bucket is hot even
 when one source holds a third of the data.  The result is deterministic
 and independent of partitioning, so a recomputed task gets the same ranks.
 """
@@ -14,11 +16,14 @@ and independent of partitioning, so a recomputed task gets the same ranks.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from weft.session import materialize
+
 
 def seeded_key(seed: int, *cols: str) -> Column:
     """md5 of ``seed:col1:col2...`` (portable; DuckDB computes the same)."""
@@ -26,38 +31,59 @@ def seeded_key(seed: int, *cols: str) -> Column:
     return F.md5(F.concat_ws(":", *parts))
 
 
-ROWS_PER_BUCKET = 2_000_000
+DIGITS = 4
+
 
+def _in_buckets(df: DataFrame, key_cols: list[str], seed: int, digits: int) -> DataFrame:
+    return (df.withColumn("_pk", seeded_key(seed, *key_cols))
+              .withColumn("_pb", F.conv(F.substring("_pk", 1, digits), 16, 10).cast("int")))
 
-def bucket_digits(n: int | None, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
-    """Hex digits of the md5 bucket: 4 (65,536 buckets) by default, growing
-    with the row count so a bucket stays near ``rows_per_bucket`` rows, capped
-    at 5 (about 1 M buckets, a ~16 MB broadcast offset table)."""
-    if not n:
-        return 4
-    return max(4, min(5, math.ceil(math.log(max(n / rows_per_bucket, 1.0), 16))))
+
+def _offsets(d: DataFrame) -> DataFrame:
+    """``(_pb, _n, _off)``: at most 16**digits rows, so one ordered window is bounded."""
+    sizes = d.groupBy("_pb").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_pb").rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.select("_pb", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
 
 
-def seeded_rank(df: DataFrame, key_cols: list[str], seed: int, out: str = "rank", digits: int | None = None,
-                n: int | None = None) -> DataFrame:
+def seeded_rank(df: DataFrame, key_cols: list[str], seed: int, out: str = "rank", digits: int = DIGITS) -> DataFrame:
     """L2: 0-based position of each row in the permutation defined by
-    ``md5(seed:key)`` (ties broken by the key columns).  ``digits`` defaults
-    to :func:`bucket_digits` of ``n`` when the row count is known."""
-    digits = bucket_digits(n) if digits is None else digits
+    ``md5(seed:key)`` (ties broken by the key columns)."""
     if not 1 <= digits <= 6:
         raise ValueError("digits must be in 1..6")
-    d = (df.withColumn("_pk", seeded_key(seed, *key_cols))
-           .withColumn("_pb", F.conv(F.substring("_pk", 1, digits), 16, 10).cast("int")))
-    sizes = d.groupBy("_pb").agg(F.count(F.lit(1)).alias("_n"))
-    # at most 16**digits rows: a single ordered window over them is bounded
-    offs = sizes.select("_pb", F.coalesce(F.sum("_n").over(
-        Window.orderBy("_pb").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    d = _in_buckets(df, key_cols, seed, digits)
     w = Window.partitionBy("_pb").orderBy("_pk", *key_cols)
-    return (d.join(F.broadcast(offs), "_pb")
+    return (d.join(F.broadcast(_offsets(d).drop("_n")), "_pb")
              .withColumn(out, (F.col("_off") + F.row_number().over(w) - 1).cast("bigint"))
              .drop("_pk", "_pb", "_off"))
 
 
+def label_ranges(df: DataFrame, key_cols: list[str], seed: int, boundaries: Callable[[int], list[int]], out: str,
+                 digits: int = DIGITS) -> DataFrame:
+    """``out`` = i for rows whose rank in the permutation lies in
+    [b_i, b_i+1), with ``boundaries(n) = [b_0, ...]`` of the row count.
+
+    One aggregate of the keys gives the bucket sizes.  Buckets inside one
+    range take its label from a broadcast table; only rows of the buckets that
+    hold a boundary are shuffled and ranked."""
+    d = _in_buckets(df, key_cols, seed, digits)
+    offs = materialize(_offsets(d), "buckets")   # at most 16**digits rows
+    b = boundaries(offs.agg(F.sum("_n")).first()[0] or 0)
+
+    def label(lo, hi):
+        found = F.lit(None).cast("int")
+        for i in range(len(b) - 2, -1, -1):
+            found = F.when((lo >= b[i]) & (hi <= b[i + 1]), F.lit(i)).otherwise(found)
+        return found
+
+    table = F.broadcast(offs.select("_pb", "_off", label(F.col("_off"), F.col("_off") + F.col("_n")).alias(out)))
+    both = d.join(table, "_pb")
+    rank = F.col("_off") + F.row_number().over(Window.partitionBy("_pb").orderBy("_pk", *key_cols)) - 1
+    edge = both.where(F.col(out).isNull()).withColumn("_rank", rank)
+    edge = edge.withColumn(out, label(F.col("_rank"), F.col("_rank") + 1)).drop("_rank")
+    return both.where(F.col(out).isNotNull()).unionByName(edge).drop("_pk", "_pb", "_off")
+
+
 def first_n(df: DataFrame, n: int | None, order: list[str]) -> DataFrame:
     """L1 for one source: its first ``n`` rows by ``order`` (a distributed
     top-k: each partition keeps n rows before the merge)."""
@@ -75,7 +101,7 @@ def first_n_per_source(df: DataFrame, n: int | None, source: str, order: list[st
 
 
 def train_dev_split(df: DataFrame, dev_ratio: float, do_train: bool, key_cols: list[str], seed: int = 42,
-                    n: int | None = None, exact: bool = True) -> DataFrame:
+                    exact: bool = True) -> DataFrame:
     """Adds ``split``: with training and ratio > 1e-6 the first
     ceil(n * ratio) rows of the permutation are 'eval', the rest 'train';
     ratio <= 1e-6 -> all 'train'; not training -> all 'eval'.
@@ -90,10 +116,8 @@ def train_dev_split(df: DataFrame, dev_ratio: float, do_train: bool, key_cols: l
     if not exact:
         u = F.conv(F.substring(seeded_key(seed, *key_cols), 1, 12), 16, 10).cast("double") / float(16 ** 12)
         return df.withColumn("split", F.when(u < dev_ratio, "eval").otherwise("train"))
-    n = df.count() if n is None else n
-    r = seeded_rank(df, key_cols, seed, n=n)
-    n_test = math.ceil(dev_ratio * n)
-    return r.withColumn("split", F.when(F.col("rank") < n_test, "eval").otherwise("train")).drop("rank")
+    s = label_ranges(df, key_cols, seed, lambda n: [0, math.ceil(dev_ratio * n), n], "_eval")
+    return s.withColumn("split", F.when(F.col("_eval") == 0, "eval").otherwise("train")).drop("_eval")
 
 
 def split_boundaries(weights: str | list[float], n: int) -> list[int]:
@@ -110,17 +134,10 @@ def split_boundaries(weights: str | list[float], n: int) -> list[int]:
     return [min(max(x, 0), n) for x in b]
 
 
-def phase_split(df: DataFrame, weights: str, key_cols: list[str], seed: int = 42, n: int | None = None,
-                out: str = "part") -> DataFrame:
+def phase_split(df: DataFrame, weights: str, key_cols: list[str], seed: int = 42, out: str = "part") -> DataFrame:
     """Label every row with its phase index ``part`` (0-based): rows whose
     permutation rank falls in [b_i, b_{i+1}).  Empty parts are allowed."""
-    n = df.count() if n is None else n
-    r = seeded_rank(df, key_cols, seed, n=n)
-    b = split_boundaries(weights, n)
-    part = F.lit(None).cast("int")
-    for i in range(len(b) - 2, -1, -1):
-        part = F.when((F.col("rank") >= b[i]) & (F.col("rank") < b[i + 1]), F.lit(i)).otherwise(part)
-    return r.withColumn(out, part)
+    return label_ranges(df, key_cols, seed, lambda n: split_boundaries(weights, n), out)
 
 
 def take_part(df: DataFrame, weights: str, index: int, key_cols: list[str], seed: int = 42) -> DataFrame:
@@ -134,17 +151,19 @@ def carve_eval(df: DataFrame, key_cols: list[str], seed: int = 42, weights: str
     return s.withColumn("split", F.when(F.col("part") == 0, "train").otherwise("eval"))
 
 
-def shard(df: DataFrame, world: int, batch_size: int, key_cols: list[str], seed: int = 42,
-          n: int | None = None) -> DataFrame:
-    """Permutation rank strided over ``world`` workers; fixed batches per
-    shard; each shard's last partial batch is dropped."""
-    n = df.count() if n is None else n
-    r = seeded_rank(df, key_cols, seed, n=n)
-    s = F.pmod(F.col("rank"), F.lit(world))
-    pos = F.floor(F.col("rank") / world)
-    n_s = F.floor((F.lit(n) - s + world - 1) / world)
-    full = F.floor(n_s / batch_size) * batch_size
-    return (r.withColumn("shard", s.cast("int")).withColumn("pos", pos.cast("bigint"))
+def shard(df: DataFrame, world: int, batch_size: int, key_cols: list[str], seed: int = 42) -> DataFrame:
+    """The permutation strided over ``world`` workers, each with the same
+    number of rows: the first rows are dealt again at the end until every
+    worker has ceil(n / world).  Fixed batches per worker; the last partial
+    batch is dropped."""
+    r = materialize(seeded_rank(df, key_cols, seed, out="_rank"), "ranks")
+    n = r.count()
+    each = -(-n // world)
+    place = F.explode(F.sequence(F.col("_rank"), F.lit(each * world - 1), F.lit(max(n, 1))))
+    full = each // batch_size * batch_size
+    return (r.withColumn("_place", place).drop("_rank")
+             .withColumn("shard", F.pmod("_place", F.lit(world)).cast("int"))
+             .withColumn("pos", F.floor(F.col("_place") / world).cast("bigint")).drop("_place")
              .where(F.col("pos") < full)
              .withColumn("batch", F.floor(F.col("pos") / batch_size).cast("bigint")))
 
@@ -155,35 +174,45 @@ def blend(dfs: list[DataFrame], key_cols: list[str], seed: int = 42) -> DataFram
     return seeded_rank(u, key_cols, seed)
 
 
+def append_sft_only(pairs: list[DataFrame], sft_only: list[DataFrame], weights: str, key_cols: list[str],
+                    seed: int = 42) -> DataFrame:
+    """The phase-1 part of every preference dataset, all rows of the
+    datasets that only serve phase 1 (their split is "all to phase 1"), and
+    one permutation over both."""
+    keys = [k for k in key_cols if k != "source"]
+    first = [take_part(p, weights, 0, keys, seed).drop("part") for p in pairs]
+    return blend([*first, *sft_only], key_cols, seed)
+
+
 def subset_by_index(df: DataFrame, index: DataFrame, on: str = "rank") -> DataFrame:
     """Rows whose index appears in ``index`` (a left-semi join; the
     index side is hashed, never collected)."""
     return df.join(index.select(on).distinct(), on, "left_semi")
 
 
-def ordered_index(df: DataFrame, order_cols: list[str], out: str = "row_idx", partition_cols: list[str] | None = None,
-                  max_buckets: int = 65536) -> DataFrame:
+def ordered_index(df: DataFrame, order_cols: list[str], out: str = "row_idx", partition_cols: list[str] | None = None) -> DataFrame:
     """Dense 0-based row index in ``order_cols`` order (within
-    ``partition_cols`` if given) without a single-partition window.
-
-    The first order column must be numeric: its global range is cut into
-    at most ``max_buckets`` equal-width buckets (one min/max aggregate);
-    bucket sizes become start offsets (a window over at most
-    ``max_buckets`` rows per partition key) and rows are numbered inside
-    their bucket, so a large key is spread over many buckets/tasks."""
+    ``partition_cols`` if given) without a window over the rows.
+
+    Rows are range-partitioned by all key and order columns (Spark samples
+    them, so any sortable type, sparse ids and a key with most rows are spread
+    alike), sorted and written once.  A row's place in its partition plus the
+    rows of the partitions before is its global place; a key's first place is
+    taken off.  Nulls sort first; null keys are a key; no row is lost.  Equal
+    order values get distinct places, in any order."""
     keys = list(partition_cols or [])
-    first = order_cols[0]
-    lo, hi = df.agg(F.min(first), F.max(first)).first()
-    if lo is None:
-        return df.withColumn(out, F.lit(None).cast("bigint"))
-    width = max(1, math.ceil((hi - lo + 1) / max_buckets))
-    d = df.withColumn("_ob", F.floor((F.col(first) - F.lit(lo)) / width).cast("int"))
-    sizes = d.groupBy(*keys, "_ob").agg(F.count(F.lit(1)).alias("_n"))
-    wo = (Window.partitionBy(*keys) if keys else Window).orderBy("_ob").rowsBetween(Window.unboundedPreceding, -1)
-    offs = sizes.select(*keys, "_ob", F.coalesce(F.sum("_n").over(wo), F.lit(0)).alias("_off"))
+    d = df.repartitionByRange(*keys, *order_cols).sortWithinPartitions(*keys, *order_cols)
+    # the id holds the task's number and the row's place in it; both are kept by the write
+    d = materialize(d.withColumn("_mid", F.monotonically_increasing_id()), "ordered")
+    part = F.shiftright("_mid", 33)
+    sizes = d.groupBy(part.alias("_part")).count()
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offs = sizes.select("_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_off"))
+    d = (d.withColumn("_part", part).join(F.broadcast(offs), "_part")   # one row a partition
+          .withColumn(out, F.col("_off") + F.col("_mid").bitwiseAND((1 << 33) - 1)).drop("_mid", "_part", "_off"))
     if not keys:
-        offs = F.broadcast(offs)  # at most max_buckets rows
-    w = Window.partitionBy(*keys, "_ob").orderBy(*order_cols)
-    return (d.join(offs, keys + ["_ob"])
-             .withColumn(out, (F.col("_off") + F.row_number().over(w) - 1).cast("bigint"))
-             .drop("_ob", "_off"))
+        return d
+    first = d.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.min(out).alias("_first"))
+    same = reduce(lambda a, c: a & c, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    return (d.join(first, same).withColumn(out, F.col(out) - F.col("_first"))
+             .drop("_first", *[f"_k{i}" for i in range(len(keys))]))

@@ -92,14 +92,15 @@ def x3(spark, sf):
 
 
 # -- X4 -----------------------------------------------------------------------
-WORLD, BATCH = 4, 16
+WORLD, BATCH = 7, 16  # no table here has a multiple of 7 rows
 
 
 @register("X4_shards", sql=f"""
 WITH {DOC_RANK_SQL}, {N_SQL},
-s AS (SELECT doc_id, rank % {WORLD} AS shard, rank // {WORLD} AS pos, n FROM dr, nn)
-SELECT doc_id, CAST(shard AS INTEGER) AS shard, pos, pos // {BATCH} AS batch FROM s
-WHERE pos < ((n - shard + {WORLD - 1}) // {WORLD}) // {BATCH} * {BATCH}
+e AS (SELECT (n + {WORLD - 1}) // {WORLD} AS each, n FROM nn),
+p AS (SELECT doc_id, unnest(range(rank, each * {WORLD}, n)) AS place, each FROM dr, e),
+s AS (SELECT doc_id, place % {WORLD} AS shard, place // {WORLD} AS pos, each FROM p)
+SELECT doc_id, CAST(shard AS INTEGER) AS shard, pos, pos // {BATCH} AS batch FROM s WHERE pos < each // {BATCH} * {BATCH}
 """)
 def x4(spark, sf):
     out = SP.shard(X.documents(spark, sf).select("doc_id"), WORLD, BATCH, ["doc_id"], SEED)
@@ -141,13 +142,10 @@ FROM u
 """)
 def u3(spark, sf):
     p = X.prefs(spark, sf)
-    pairs = AD.identity_pairs(p).select("conv_id", "turn", "prompt_and_chosen")
-    phase1 = SP.take_part(pairs, "2,4,4", 0, ["conv_id", "turn"], SEED).select(
-        F.lit("pairs").alias("source"), "conv_id", "turn", "prompt_and_chosen")
-    # SFT-only datasets put all weight on phase 1 ("10,0,0")
-    sft = AD.local_json_pairs(p).select(F.lit("sft").alias("source"), "conv_id", "turn", "prompt_and_chosen")
-    sft = SP.take_part(sft, "10,0,0", 0, ["conv_id", "turn"], SEED).drop("rank", "part")
-    return SP.blend([phase1, sft], ["source", "conv_id", "turn"], SEED)
+    cols = ["source", "conv_id", "turn", "prompt_and_chosen"]
+    pairs = AD.identity_pairs(p).withColumn("source", F.lit("pairs")).select(*cols)
+    sft = AD.local_json_pairs(p).withColumn("source", F.lit("sft")).select(*cols)
+    return SP.append_sft_only([pairs], [sft], "2,4,4", ["source", "conv_id", "turn"], SEED)
 
 
 # -- J4 -----------------------------------------------------------------------
@@ -159,5 +157,7 @@ SELECT doc_id, source FROM dr WHERE rank IN (SELECT rank FROM idx)
 """)
 def j4(spark, sf):
     d = SP.seeded_rank(X.documents(spark, sf).select("doc_id", "source"), ["doc_id"], SEED)
-    idx = SP.phase_split(X.documents(spark, sf).select("doc_id"), "2,4,4", ["doc_id"], SEED).where(F.col("part") == 1)
+    n = d.count()
+    lo, hi = SP.split_boundaries("2,4,4", n)[1:3]
+    idx = SP.seeded_rank(X.documents(spark, sf).select("doc_id"), ["doc_id"], SEED).where((F.col("rank") >= lo) & (F.col("rank") < hi))
     return SP.subset_by_index(d, idx).select("doc_id", "source")
