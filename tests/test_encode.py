@@ -33,7 +33,10 @@ def test_prompt_left_pad_keeps_tail(spark):
 def test_batch_pad_and_has_answer(spark):
     df = spark.createDataFrame([(0, [1, 2, 3], [4]), (0, [1], [5, 6]), (1, [7], [8])], "b long, input_ids array<int>, labels array<int>")
     rows = {tuple(r["input_ids"]): r["labels"] for r in EN.batch_pad(df, "b").collect()}
-    assert rows == {(1, 2, 3): [4, -100, -100], (1, 0, 0): [5, 6, -100], (7,): [8]}
+    assert rows == {(1, 2, 3): [4, -100], (1, 0, 0): [5, 6], (7,): [8]}
+    longer = spark.createDataFrame([(0, [1], [4, 5, 6]), (0, [1, 2], [7])], "b long, input_ids array<int>, labels array<int>")
+    rows = sorted((r["input_ids"], r["labels"]) for r in EN.batch_pad(longer, "b").collect())
+    assert rows == [([1, 0], [4, 5, 6]), ([1, 2], [7, -100, -100])]      # each to its own width
     seq = spark.createDataFrame([([1, 2, 5, 0],), ([1, 2, 5, 6],)], "s array<int>")
     assert [r[0] for r in seq.select(EN.has_answer(F.col("s"), 2, 0)).collect()] == [False, True]
 
@@ -56,3 +59,16 @@ def test_python_tokenizer_works_in_array_encoders(spark):
                                  "query string, response string, prompt string, history array<struct<query:string,answer:string>>")
     out = H.fit_history_rounds(hist, 100, tokenizer=tk).first()
     assert out["n_history"] == 1 and out["labels"][-2:] == out["input_ids"][-2:]
+
+
+def test_stack_pairs_numbers_ties_apart(spark):
+    df = spark.createDataFrame([(0, 5, [1], [2]), (0, 5, [3], [4]), (0, 5, [3], [4]), (0, 1, [5], [6])], "b int, pos int, c array<int>, r array<int>")
+    out = EN.stack_pairs(df, "b", "pos", "c", "r").collect()
+    assert sorted(x["row"] for x in out) == list(range(8))
+    assert {x["row"]: x["input_ids"] for x in out}[0] == [5] and {x["row"]: x["input_ids"] for x in out}[4] == [6]
+
+
+def test_phase_one_labels_may_ignore_pads(spark):
+    df = spark.createDataFrame([([7, 8, 0], [1, 1, 0])], "input_ids array<int>, attention_mask array<int>")
+    assert EN.phase_record(df, 1).first()["labels"] == [7, 8, 0]
+    assert EN.phase_record(df, 1, mask_pads=True).first()["labels"] == [7, 8, -100]

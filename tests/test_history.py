@@ -27,7 +27,8 @@ def test_fit_stops_at_first_turn_that_does_not_fit(spark):
 
 def test_fit_exact_budget_and_drop(spark):
     assert H.fit_history(_row(spark, HISTORY), 45).first()["n_history"] == 2
-    assert H.fit_history(_row(spark, HISTORY), 12).first()["n_history"] == 0      # current exactly at budget
+    assert H.fit_history(_row(spark, HISTORY), 13).first()["n_history"] == 0      # prompt (1) and current (12) exactly at budget
+    assert H.fit_history(_row(spark, HISTORY), 12).count() == 0                   # the prompt is one token too many
     assert H.fit_history(_row(spark, HISTORY), 11).count() == 0                   # current alone too long (F2)
 
 
@@ -131,3 +132,30 @@ def test_carried_lengths_match_recount(spark):
     b = {r["turn"]: (r["n_history"], r["input_ids"]) for r in H.fit_history(
         H.expand_history(pairs, max_history=k, chunk=5, carry={"n_tokens": "_n"}), 70, length_field="n_tokens").collect()}
     assert a == b
+
+
+def test_a_prompt_counts_when_rows_are_dropped(spark):
+    """Prompt and turn together over the budget: dropped; the history loop leaves the prompt out."""
+    df = spark.createDataFrame([("q", "a", "p " * 20, None), ("q", "a", "p", None), ("q", "a", "p " * 3, [("x", "y")])],
+                               "query string, response string, prompt string, history array<struct<query:string,answer:string>>")
+    turn = spark.createDataFrame([("q", "a")], "query string, response string").select(H.turn_token_count()).first()[0]
+    out = H.fit_history(df, turn + 4).collect()
+    assert sorted(len(r["input_ids"]) for r in out) == [turn + 1, turn + 3]
+    wide = H.fit_history(df, 2 * turn).collect()
+    assert max(r["n_history"] for r in wide) == 1            # 3 prompt tokens over the budget, and still kept
+    assert max(r["n_history"] for r in H.fit_history(df, 2 * turn, count_prompt=True).collect()) == 0
+
+
+def test_pairs_and_front_of_a_hot_conversation(spark):
+    turns = [(1, 0, "system", "sys")] + [(1, t, "user" if t % 2 else "assistant", f"t{t}") for t in range(1, 121)]
+    turns += [(2, 1, "user", "lonely"), (3, 2, "assistant", "no question"), (4, 1, "user", None), (4, 2, "assistant", None), (None, 1, "user", "x")]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pairs = H.chat_pairs(df)
+        got = {(r["conv_id"], r["turn"]): (r["query"], r["response"], r["prompt"]) for r in pairs.collect()}
+        front = {r["turn"]: [h["query"] for h in r["history"]] for r in H.expand_front(pairs, 5).where("conv_id = 1").collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == {(1, t): (f"t{t}", f"t{t + 1}", "sys") for t in range(1, 120, 2)} | {(4, 1): (None, None, None)}
+    assert front == {t: [f"t{u}" for u in range(1, min(t, 11), 2)] for t in range(1, 120, 2)}

@@ -53,7 +53,9 @@ def test_reward_and_loss(spark):
     df = spark.createDataFrame([(0, 1.0, 0.0), (0, 0.0, 1.0), (1, 2.0, 1.0)], "batch_id long, accept double, reject double")
     r = M.reward_evaluation(df).first()
     assert r["accuracy"] == pytest.approx(2 / 3)
-    assert r["chosen_mean"] == pytest.approx((0.5 + 2.0) / 2)       # mean of batch means
+    assert r["chosen_mean"] == pytest.approx(1.0)                   # all rows alike
+    b = M.reward_evaluation(df, batch_means=True).first()
+    assert b["chosen_mean"] == pytest.approx((0.5 + 2.0) / 2)       # mean of batch means
     e = M.reward_evaluation(df, batch_means=False).first()
     assert e["chosen_mean"] == pytest.approx(1.0)
     loss = M.pairwise_loss(df).first()["loss"]
@@ -90,7 +92,7 @@ def test_smooth_matches_sequential_ema(spark, chunk):
 
 def test_cumulative_mean_and_weighted(spark):
     df = spark.createDataFrame([("a", i, float(i)) for i in range(10)], "k string, step long, v double")
-    got = {r["step"]: r["mean"] for r in M.cumulative_mean(df, "k", "step", "v", chunk_width=3).collect()}
+    got = {r["step"]: r["mean"] for r in M.cumulative_mean(df, "k", "step", "v", chunk=3).collect()}
     assert got == {i: pytest.approx(i / 2) for i in range(10)}
     w = M.weighted_average(df.withColumn("n", F.lit(2)), ["k"], "v", "n").first()
     assert w["avg"] == pytest.approx(4.5) and w["count"] == 20

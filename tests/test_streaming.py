@@ -4,7 +4,7 @@ import os
 from pyspark.sql import functions as F
 
 from weft.functions import text as TX
-from weft.functions.templates import get_prompt, get_template
+from weft.functions.templates import render_prompt, chat_format
 from weft.streaming.incremental import prepare_stream, read_jsonl_stream
 
 
@@ -18,7 +18,7 @@ def test_row_local_operators_on_a_stream(spark, tmp_dir):
 
     def transform(df):
         return df.select("id", TX.clean_tweet(F.col("text")).alias("clean"),
-                         get_prompt(get_template("vanilla"), F.col("text")).alias("prompt"))
+                         render_prompt(chat_format("vanilla"), F.col("text")).alias("prompt"))
 
     out = os.path.join(tmp_dir, "out")
     q = prepare_stream(spark, stream, transform, out, name="t_stream", checkpoint=os.path.join(tmp_dir, "ck"))

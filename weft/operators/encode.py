@@ -130,14 +130,14 @@ def prompt_left_pad(df: DataFrame, text: str, max_seq: int, max_token_len: int,
 
 def batch_pad(df: DataFrame, batch: str, ids: str = "input_ids", labels: str | None = "labels",
               pad_id: int = 0, label_pad: int = IGNORE_INDEX) -> DataFrame:
-    """Right-pad to the longest sequence of the batch.  The window is
-    partitioned by batch id, so each window holds one (bounded) batch."""
+    """Right-pad ids and labels, each to its own longest sequence in the
+    batch, so that both are rectangular.  The window is partitioned by batch
+    id, so each window holds one (bounded) batch."""
     w = Window.partitionBy(batch)
-    out = df.withColumn("_w", F.max(F.size(ids)).over(w))
-    out = out.withColumn(ids, F.concat(F.col(ids), F.array_repeat(F.lit(pad_id), F.col("_w") - F.size(ids))))
-    if labels:
-        out = out.withColumn(labels, F.concat(F.col(labels), F.array_repeat(F.lit(label_pad), F.col("_w") - F.size(labels))))
-    return out.drop("_w")
+    fills = {ids: pad_id} | ({labels: label_pad} if labels else {})
+    out = df.withColumns({f"_w_{c}": F.max(F.size(c)).over(w) for c in fills})
+    out = out.withColumns({c: F.concat(F.col(c), F.array_repeat(F.lit(fill), F.col(f"_w_{c}") - F.size(c))) for c, fill in fills.items()})
+    return out.drop(*[f"_w_{c}" for c in fills])
 
 
 def pad_to_target(src, tgt, pad_id: int) -> Column:
@@ -155,14 +155,16 @@ def strip_padding(query, response, pad_id: int) -> tuple[Column, Column]:
     return q_out, r_out
 
 
-def stack_pairs(df: DataFrame, batch: str, pos: str, chosen: str, rejected: str,
+def stack_pairs(df: DataFrame, batch: str, pos: str | list[str], chosen: str, rejected: str,
                 chosen_mask: str | None = None, rejected_mask: str | None = None) -> DataFrame:
     """Per batch, all accepted rows first, then all rejected rows.
     Output ``(batch, row, side, input_ids[, attention_mask])`` where
-    ``row = side * batch_rows + rank in batch``.  The batch size is
-    bounded, so the per-batch count is a small window."""
+    ``row = side * batch_rows + number in batch`` by ``pos`` (rows with equal
+    positions get numbers of their own).  The batch size is bounded, so the
+    per-batch count is a small window."""
+    order = [pos] if isinstance(pos, str) else list(pos)
     n = F.count(F.lit(1)).over(Window.partitionBy(batch))
-    base = df.withColumn("_n", n).withColumn("_r", F.dense_rank().over(Window.partitionBy(batch).orderBy(pos)) - 1)
+    base = df.withColumn("_n", n).withColumn("_r", F.row_number().over(Window.partitionBy(batch).orderBy(*order, chosen, rejected)) - 1)
 
     def side(s, ids, mask):
         fields = [(F.lit(s) * F.col("_n") + F.col("_r")).alias("row"), F.lit(s).alias("side"), F.col(ids).alias("input_ids")]
@@ -177,10 +179,14 @@ def stack_pairs(df: DataFrame, batch: str, pos: str, chosen: str, rejected: str,
     return out.select(batch, *[F.col(f"_s.{c}").alias(c) for c in cols])
 
 
-def phase_record(df: DataFrame, phase: int, pad_id: int = 0) -> DataFrame:
-    """The training record of each phase."""
+def phase_record(df: DataFrame, phase: int, pad_id: int = 0, mask_pads: bool = False) -> DataFrame:
+    """The training record of each phase.  ``mask_pads`` sets phase-1
+    labels to the ignored index where the attention mask is 0."""
     if phase == 1:
-        return df.select("input_ids", "attention_mask", F.col("input_ids").alias("labels"))
+        labels = F.col("input_ids")
+        if mask_pads:
+            labels = F.zip_with("input_ids", "attention_mask", lambda i, m: F.when(m == 1, i).otherwise(F.lit(IGNORE_INDEX)))
+        return df.select("input_ids", "attention_mask", labels.alias("labels"))
     if phase == 2:
         return df.select("chosen_input_ids", "chosen_attention_mask", "rejected_input_ids", "rejected_attention_mask")
     if phase == 3:

@@ -30,14 +30,6 @@ BATCH_RATING_PROMPT = (
     "Question 3: model1 score: int,  model2 score: int\n```                    \n")
 JUDGE_BATCH = 8
 
-BROADCAST_ROWS = 100_000
-
-
-def _small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast-hint a lookup table only after checking its row count."""
-    n = df.count()
-    return F.broadcast(df) if n <= limit else df
-
 
 # -- J1 -------------------------------------------------------------------------
 def attach_role_prompts(questions: DataFrame, prompts: DataFrame, role: str = "role", question: str = "question",
@@ -45,7 +37,7 @@ def attach_role_prompts(questions: DataFrame, prompts: DataFrame, role: str = "r
     """Look up each row's role in ``prompts`` (role, prompt) and build
     ``prompt + question + "\\noutput: "``.  Returns (joined, missing roles).
     ``on_missing='error'`` raises when any role has no prompt."""
-    p = _small(prompts.select(role, "prompt"))
+    p = prompts.select(role, "prompt")
     missing = questions.select(role).distinct().join(p, role, "left_anti")
     if on_missing == "error":
         bad = [r[0] for r in missing.limit(20).collect()]
@@ -102,12 +94,14 @@ def judge_batches(rows: DataFrame, idx: str, question: str, reference: str, answ
 
 def parse_judge(texts: DataFrame, key: str, text: str = "judge_text", n_models: int = 2) -> DataFrame:
     """Per line, question number and integer scores; a later line for
-    the same question overrides an earlier one.  -> (key, member, score_1..n)."""
+    the same question overrides an earlier one.  -> (key, member, score_1..n).
+    A number too long for an integer is no score (null), nor a question."""
     pat = TX.judge_line_pattern(n_models)
     lines = texts.select(key, F.posexplode(F.split(F.col(text), "\n", -1)).alias("_ln", "_l"))
     lines = lines.where(F.col("_l").rlike(pat))
-    cols = [F.regexp_extract("_l", pat, j + 2).cast("int").alias(f"score_{j + 1}") for j in range(n_models)]
-    parsed = lines.select(key, "_ln", F.regexp_extract("_l", pat, 1).cast("int").alias("member"), *cols)
+    cols = [F.regexp_extract("_l", pat, j + 2).try_cast("int").alias(f"score_{j + 1}") for j in range(n_models)]
+    parsed = lines.select(key, "_ln", F.regexp_extract("_l", pat, 1).try_cast("int").alias("member"), *cols)
+    parsed = parsed.where(F.col("member").isNotNull())
     last = parsed.groupBy(key, "member").agg(F.max_by(F.struct(*[f"score_{j + 1}" for j in range(n_models)]), F.col("_ln")).alias("_s"))
     return last.select(key, "member", *[F.col("_s")[f"score_{j + 1}"].alias(f"score_{j + 1}") for j in range(n_models)])
 
@@ -134,7 +128,8 @@ def apply_translations(turns: DataFrame, translations: DataFrame, keys: list[str
     t = turns.where(TX.turn_passes(F.col(turn_map), allow_keys))
     kv = t.select(*keys, turn_map, F.posexplode(F.map_entries(F.col(turn_map))).alias("_k", "_e"))
     kv = kv.select(*keys, turn_map, "_k", F.col("_e")["key"].alias("_key"), F.col("_e")["value"].alias("_val"))
-    tr = translations.select(F.col(source).alias("_val"), F.col(target).alias("_tr"))
+    # one translation a source, whatever the table repeats
+    tr = translations.groupBy(F.col(source).alias("_val")).agg(F.min(target).alias("_tr"))
     kv = kv.join(tr, "_val", "left")
     ok = F.col("_tr").isNotNull() & ~TX.strip_ws(F.col("_tr")).isin(*TX.TRANSLATION_PLACEHOLDERS)
     kv = kv.withColumn("_ok", ok)
@@ -167,16 +162,20 @@ def map_batches(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schem
     return df.mapInPandas(run, schema)
 
 
-def batch_predict(df: DataFrame, keys: list[str], prompt: str, models: dict[str, Callable[[list[str]], list[str]]]) -> DataFrame:
-    """Every model answers every row; one pass per model through
-    ``mapInPandas``; output long (keys, model, text) for :func:`attach_predictions`."""
+def batch_predict(df: DataFrame, keys: list[str], prompt: str, models: dict[str, Callable],
+                  history: str | None = None) -> DataFrame:
+    """Every model answers every row, all in one pass of ``mapInPandas``;
+    output long (keys, model, text) for :func:`attach_predictions`.
+
+    A model takes the list of prompts; with ``history`` (an array column of
+    earlier turns, oldest first) it takes that list too."""
     key_schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.select(*keys).schema.fields)
-    out = None
-    for name, predict in models.items():
-        def run(it, predict=predict, name=name):
-            for pdf in it:
-                texts = predict(pdf[prompt].fillna("").tolist())
-                yield pdf[keys].assign(model=name, text=list(texts))
-        part = df.select(*keys, prompt).mapInPandas(run, f"{key_schema}, model string, text string")
-        out = part if out is None else out.unionByName(part)
-    return out
+
+    def run(it):
+        for pdf in it:
+            prompts = pdf[prompt].fillna("").tolist()
+            chats = ([list(h) if h is not None else [] for h in pdf[history]],) if history else ()
+            for name, predict in models.items():
+                yield pdf[keys].assign(model=name, text=list(predict(prompts, *chats)))
+
+    return df.select(*keys, prompt, *([history] if history else [])).mapInPandas(run, f"{key_schema}, model string, text string")

@@ -4,9 +4,10 @@ budget fitting (T9-T12, F2, F6) and cumulative transcripts (W1, W6).
 All budget logic is row-local: per-turn lengths are carried in an array and
 folded newest-first with ``aggregate``; only the kept suffix of the history
 is materialised as text/ids.  The shuffles are the pair join on
-``(conv_id, turn)`` (unique keys, so no hot key) and the history window of
-T8, which with a bounded look-back runs per (conversation, chunk) with a
-halo of the previous rows, so a huge conversation spreads over many tasks.
+``(conv_id, turn)`` and the history window of T8, which with a bounded
+look-back runs per (conversation, chunk) with a halo of the previous rows, so
+a huge conversation spreads over many tasks.  Without a bound T8's output is
+quadratic in the conversation by definition, as are W1 and W6.
 """
 
 from __future__ import annotations
@@ -23,23 +24,32 @@ ROLE_MARKER_STYLE = {"user_token": "<reserved_102>", "assistant_token": "<reserv
 ROUND_STYLE = {"user_token": "问：", "assistant_token": "答："}
 
 
+PROMPT_SALTS = 16
+
+
 def chat_pairs(turns: DataFrame, conv: str = "conv_id", turn: str = "turn",
                role: str = "role", text: str = "text") -> DataFrame:
     """User turn followed by an assistant turn -> (conv_id, turn, query, response, prompt).
 
-    ``prompt`` is the conversation's first system turn (null if none).  The
-    pairing is an equi-join on the unique key (conv, turn+1), so it
-    partitions on both columns and no conversation lands in one task.
+    ``prompt`` is the conversation's first system turn (null if none).  Both
+    sides of a pair meet in one aggregate on (conv, the user's turn), from one
+    scan; no key holds more than two rows.  Prompts are joined on (conv, salt),
+    each prompt copied to every salt, so a conversation with most turns is
+    spread.  (conv, turn) is unique; rows where either is null pair with none.
     """
-    t = turns.select(conv, turn, role, text)
-    users = t.where(F.col(role) == "user").select(
-        F.col(conv).alias("conv_id"), F.col(turn).alias("turn"), F.col(text).alias("query"))
-    bots = t.where(F.col(role) == "assistant").select(
-        F.col(conv).alias("conv_id"), (F.col(turn) - 1).alias("turn"), F.col(text).alias("response"))
-    system = (t.where(F.col(role) == "system")
-              .groupBy(F.col(conv).alias("conv_id"))
-              .agg(F.min_by(F.col(text), F.col(turn)).alias("prompt")))
-    return users.join(bots, ["conv_id", "turn"]).join(system, "conv_id", "left")
+    t = turns.select(F.col(conv).alias("conv_id"), F.col(turn).alias("turn"), F.col(role).alias("r"), F.col(text).alias("x"))
+    at = F.when(F.col("r") == "assistant", F.col("turn") - 1).otherwise(F.col("turn"))
+    is_user, is_bot = F.col("r") == "user", F.col("r") == "assistant"
+    pairs = (t.where(F.col("r").isin("user", "assistant") & F.col("conv_id").isNotNull() & F.col("turn").isNotNull())
+             .groupBy("conv_id", at.alias("turn"))
+             .agg(F.count_if(is_user).alias("u"), F.count_if(is_bot).alias("b"),
+                  F.any_value(F.when(is_user, F.struct("x")), True)["x"].alias("query"),
+                  F.any_value(F.when(is_bot, F.struct("x")), True)["x"].alias("response"))
+             .where((F.col("u") > 0) & (F.col("b") > 0)).drop("u", "b"))
+    system = (t.where(F.col("r") == "system").groupBy("conv_id").agg(F.min_by("x", "turn").alias("prompt"))
+              .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(PROMPT_SALTS - 1)))))
+    salted = pairs.withColumn("salt", F.pmod("turn", F.lit(PROMPT_SALTS)).cast("int"))
+    return salted.join(system, ["conv_id", "salt"], "left").drop("salt")
 
 
 def expand_history(pairs: DataFrame, conv: str = "conv_id", order: str = "turn",
@@ -78,6 +88,28 @@ def expand_history(pairs: DataFrame, conv: str = "conv_id", order: str = "turn",
     return out.drop("_pos", "_chunk", "_copy")
 
 
+def expand_front(pairs: DataFrame, limit: int, conv: str = "conv_id", order: str = "turn",
+                 query: str = "query", response: str = "response") -> DataFrame:
+    """T8 for encoders that cut from the front: ``history`` holds the earlier
+    turns among the conversation's first ``limit``.
+
+    An encoder that stops after ``limit`` tokens reads no further if every
+    turn costs a token or more, so its output is unchanged, while rows stop
+    growing with the conversation.  The first turns (at most ``limit`` of a
+    conversation, one array) are joined back on (conv, salt), so a huge
+    conversation is spread over tasks."""
+    from weft.operators.split import ordered_index
+    d = ordered_index(pairs, [order], out="_pos", partition_cols=[conv])
+    turn = F.struct(F.col("_pos").alias("p"), F.struct(F.col(query).alias("query"), F.col(response).alias("answer")).alias("t"))
+    front = (d.where(F.col("_pos") < limit).groupBy(F.col(conv).alias("_conv"))
+             .agg(F.transform(F.array_sort(F.collect_list(turn)), lambda x: x["t"]).alias("_front"))
+             .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(PROMPT_SALTS - 1)))))
+    d = d.withColumn("_salted", F.pmod("_pos", F.lit(PROMPT_SALTS)).cast("int"))
+    out = d.join(front, F.col(conv).eqNullSafe(F.col("_conv")) & (F.col("_salted") == F.col("_salt")))
+    earlier = F.slice("_front", F.lit(1), F.least(F.col("_pos"), F.lit(limit)).cast("int"))
+    return out.withColumn("history", earlier).drop("_pos", "_conv", "_front", "_salt", "_salted")
+
+
 def expand_nested(df: DataFrame, chat: str = "chat", q: str = "input", a: str = "output") -> DataFrame:
     """T8 for rows that already hold the turn list: one row per element, the
     earlier elements as history.  No shuffle."""
@@ -91,13 +123,18 @@ def expand_nested(df: DataFrame, chat: str = "chat", q: str = "input", a: str =
 
 def min_turn_cost(tokenizer=DEFAULT_TOKENIZER, style: dict | None = None) -> int | None:
     """Fewest tokens any rendered history turn can cost (the role markers of
-    an empty turn), or None when the tokenizer gives no static bound."""
+    an empty turn), or None when the tokenizer gives no static bound.
+
+    The tokenizer's pattern is a Java regex; Python's engine agrees with it on
+    ASCII markers for patterns whose classes Java reads as ASCII, so it is
+    asked with the ASCII flag, and other markers give no bound."""
     import re
     s = style or ROLE_MARKER_STYLE
     pattern = getattr(tokenizer, "pattern", None)
-    if pattern is None:
+    marks = s["user_token"] + "\n" + s["assistant_token"] + "\n" + s.get("eos_token", "")
+    if pattern is None or not marks.isascii():
         return None
-    return len(re.findall(pattern, s["user_token"] + "\n" + s["assistant_token"] + "\n" + s.get("eos_token", "")))
+    return len(re.findall(pattern, marks, re.ASCII))
 
 
 def max_fitting_turns(budget: int, tokenizer=DEFAULT_TOKENIZER, style: dict | None = None) -> int | None:
@@ -146,15 +183,17 @@ def turn_token_count(tokenizer=DEFAULT_TOKENIZER, style: dict | None = None, que
 
 def fit_history(df: DataFrame, budget: int, tokenizer=DEFAULT_TOKENIZER, style: dict | None = None,
                 count_prompt: bool = False, query: str = "query", response: str = "response",
-                history: str = "history", prompt: str | None = "prompt", length_field: str | None = None) -> DataFrame:
+                history: str = "history", prompt: str | None = "prompt", length_field: str | None = None,
+                current_length: str | None = None) -> DataFrame:
     """T9 (role-marker style) + F2.
 
     Each turn renders as ``user q \\n assistant a \\n eos``.  Rows whose
-    current turn alone exceeds the budget are dropped (F2); earlier turns
-    are added newest-first while the running length stays within the
-    budget, stopping at the first that does not fit.  The prompt is
-    prepended afterwards and, as in the reference, not counted unless
-    ``count_prompt``.  Labels equal ids.
+    prompt and current turn together exceed the budget are dropped (F2);
+    earlier turns are added newest-first while the running length stays
+    within the budget, stopping at the first that does not fit.  The running
+    length leaves the prompt out, as the reference does, unless
+    ``count_prompt``.  Labels equal ids.  ``current_length`` names a column
+    that already holds the current turn's token count.
     """
     s = style or ROLE_MARKER_STYLE
     tk = tokenizer
@@ -169,11 +208,13 @@ def fit_history(df: DataFrame, budget: int, tokenizer=DEFAULT_TOKENIZER, style:
     if hist_type is None or hist_type.typeName() != "array":
         hist_type = HISTORY_TYPE
     hist = F.coalesce(F.col(history), F.array().cast(hist_type))
-    out = (df.withColumn("_cur_ids", tk.ids(turn_text(F.col(query), F.col(response))))
-             .withColumn("_prompt_ids", prompt_ids)
-             .withColumn("_hist", hist)
-             .withColumn("_start", F.size("_cur_ids") + (F.size("_prompt_ids") if count_prompt else F.lit(0))))
-    out = out.where(F.col("_start") <= budget)
+    # rows are dropped on token counts, before any id is made
+    cur = turn_text(F.col(query), F.col(response))
+    n_cur = F.col(current_length) if current_length else tk.count(cur)
+    n_prompt = F.when(F.coalesce(prompt_col, F.lit("")) != "", tk.count(prompt_col)).otherwise(F.lit(0))
+    out = (df.withColumn("_hist", hist).withColumn("_n_cur", n_cur).withColumn("_n_prompt", n_prompt)
+             .where(F.col("_n_cur") + F.col("_n_prompt") <= budget)
+             .withColumn("_start", F.col("_n_cur") + (F.col("_n_prompt") if count_prompt else F.lit(0))))
     # turn texts are rendered in the JVM, then tokenised as one array (a
     # Python tokenizer cannot run inside a higher-order lambda)
     if length_field:
@@ -188,9 +229,9 @@ def fit_history(df: DataFrame, budget: int, tokenizer=DEFAULT_TOKENIZER, style:
         out = out.withColumn("n_history", _fit_count(F.reverse(tk.count_many(F.col("_htexts"))), F.col("_start"), budget))
         out = out.withColumn("kept_history", _suffix(F.col("_hist"), F.col("n_history")))
         kept_texts = _suffix(F.col("_htexts"), F.col("n_history"))
-    out = (out.withColumn("input_ids", F.concat(F.col("_prompt_ids"), F.flatten(tk.ids_many(kept_texts)), F.col("_cur_ids")))
+    out = (out.withColumn("input_ids", F.concat(prompt_ids, F.flatten(tk.ids_many(kept_texts)), tk.ids(cur)))
               .withColumn("labels", F.col("input_ids")))
-    return out.drop(*[c for c in ("_cur_ids", "_prompt_ids", "_hist", "_start", "_htexts") if c in out.columns])
+    return out.drop("_n_cur", "_n_prompt", "_hist", "_start", "_htexts")
 
 
 def round_turn_token_count(tokenizer=DEFAULT_TOKENIZER, style: dict | None = None, query: str = "query",

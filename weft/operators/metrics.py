@@ -44,10 +44,10 @@ def preference_accuracy(df: DataFrame, accept: str = "accept", reject: str = "re
 
 
 def reward_evaluation(df: DataFrame, batch: str = "batch_id", accept: str = "accept", reject: str = "reject",
-                      batch_means: bool = True, max_batches: int | None = 100) -> DataFrame:
-    """A4: accuracy, mean chosen and mean rejected score.  ``batch_means``
-    averages per-batch means (the reference), else exact row means; only
-    batches ``< max_batches`` are used (0-based dense batch ids)."""
+                      batch_means: bool = False, max_batches: int | None = None) -> DataFrame:
+    """A4: accuracy, mean chosen and mean rejected score over all rows.
+    ``batch_means`` averages per-batch means instead; ``max_batches`` stops
+    at that batch (0-based dense batch ids), for a quick look."""
     d = df if max_batches is None else df.where(F.col(batch) < max_batches)
     acc = F.avg((F.col(accept) > F.col(reject)).cast("double"))
     if not batch_means:
@@ -84,11 +84,11 @@ def weighted_average(df: DataFrame, keys: list[str], val: str, n: str) -> DataFr
 
 
 # -- W3 ---------------------------------------------------------------------------
-def cumulative_mean(df: DataFrame, key: str, order: str, val: str, chunk_width: int = 4096) -> DataFrame:
-    """Running mean of ``val`` in ``order`` within ``key`` (order must be
-    numeric); two-level prefix sums so a long series spreads over tasks."""
+def cumulative_mean(df: DataFrame, key: str, order: str, val: str, chunk: int = 4096) -> DataFrame:
+    """Running mean of ``val`` in ``order`` within ``key``; two-level prefix
+    sums so a long series spreads over tasks."""
     d = df.withColumn("_one", F.lit(1))
-    d = running_sums(d, key, order, {val: "_s", "_one": "_n"}, chunk_width)
+    d = running_sums(d, key, order, {val: "_s", "_one": "_n"}, chunk)
     return d.withColumn("mean", (F.col("_s") + F.col(val)) / (F.col("_n") + 1)).drop("_one", "_s", "_n")
 
 

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from weft.functions.templates import get_template
+from weft.functions.templates import chat_format
 from weft.functions.tokens import DEFAULT_TOKENIZER
 from weft.operators import adapters as AD
 from weft.operators import align as AL
@@ -40,7 +40,7 @@ def prepare(df: DataFrame, stage: str, cfg: StageConfig | None = None) -> DataFr
     tk = cfg.tokenizer
     if stage == "pt":
         return PK.pack_pretrain(df, cfg.max_source_length, cfg.pack_group, cfg.pack_order, "prompt", tk)
-    t = get_template(cfg.template)
+    t = chat_format(cfg.template)
     if stage == "rm":
         kept = AL.keep_nonempty(df)
         kept = EN.split_pair_response(kept)

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weft.functions.templates import get_dialog, get_prompt, get_template, sql_dialog, sql_prompt, template_names
+from weft.functions.templates import render_dialog, render_prompt, chat_format, sql_dialog, sql_prompt, format_names
 from weft.operators import adapters as AD
 from weft.operators import align as AL
 from weft.operators.history import expand_history
@@ -72,11 +72,11 @@ def _hist(spark, sf):
 
 
 def _p3(name):
-    t = get_template(name)
+    t = chat_format(name)
 
     def build(spark, sf):
         df = _hist(spark, sf)
-        return df.select("conv_id", "turn", get_dialog(t, F.col("query"), F.col("response"), F.col("history"),
+        return df.select("conv_id", "turn", render_dialog(t, F.col("query"), F.col("response"), F.col("history"),
                                                       AL.clean_prefix()).alias("dialog"))
 
     register(f"P3_dialog_{name}", sql=f"""
@@ -85,31 +85,31 @@ SELECT conv_id, turn, {sql_dialog(t, 'query', 'response', 'history', 'prefix')}
 """)(build)
 
 
-for _name in template_names():
+for _name in format_names():
     _p3(_name)
 
 
 @register("P4_prompt_default", sql=f"""
 WITH {HIST_SQL}
-SELECT conv_id, turn, {sql_prompt(get_template('default'), 'query', 'history', 'prefix')} AS prompt_text FROM ph
+SELECT conv_id, turn, {sql_prompt(chat_format('default'), 'query', 'history', 'prefix')} AS prompt_text FROM ph
 """)
 def p4(spark, sf):
     df = _hist(spark, sf)
-    return df.select("conv_id", "turn", get_prompt(get_template("default"), F.col("query"), F.col("history"),
+    return df.select("conv_id", "turn", render_prompt(chat_format("default"), F.col("query"), F.col("history"),
                                                    AL.clean_prefix()).alias("prompt_text"))
 
 
 @register("P5_template_registry", sql="WITH " + HIST_SQL + "\n" + "\nUNION ALL\n".join(
-    f"SELECT conv_id, turn, {lit(n)} AS template, {sql_prompt(get_template(n), 'query', 'history', 'prefix')} AS prompt_text FROM ph"
-    for n in template_names()))
+    f"SELECT conv_id, turn, {lit(n)} AS template, {sql_prompt(chat_format(n), 'query', 'history', 'prefix')} AS prompt_text FROM ph"
+    for n in format_names()))
 def p5(spark, sf):
     df = _hist(spark, sf)
     # every registered template rendered in one projection and exploded: the
     # input is read and windowed once (a union would recompute it per template)
     rendered = F.array(*[F.struct(F.lit(n).alias("template"),
-                                  get_prompt(get_template(n), F.col("query"), F.col("history"),
+                                  render_prompt(chat_format(n), F.col("query"), F.col("history"),
                                              AL.clean_prefix()).alias("prompt_text"))
-                         for n in template_names()])
+                         for n in format_names()])
     return df.select("conv_id", "turn", F.explode(rendered).alias("_t")).select("conv_id", "turn", "_t.template", "_t.prompt_text")
 
 

@@ -18,7 +18,7 @@ def _tweets(spark, sf):
     (page urls) and hash tags, so every cleaning step has work to do."""
     d = X.documents(spark, sf).select("doc_id", "text")
     p = read_table(spark, sf, "pages").select(F.col("page_id"), "url")
-    d = d.join(p, F.col("page_id") == F.col("doc_id") % 250, "left")
+    d = d.join(p, F.col("page_id") == F.col("doc_id"), "left")
     text = F.concat(F.when(F.col("doc_id") % 3 == 0, F.lit("RT ")).otherwise(F.lit("")),
                     F.col("text"), F.lit(" &amp; @user"), F.col("doc_id").cast("string"), F.lit(" "),
                     F.coalesce(F.col("url"), F.lit("")),
@@ -30,7 +30,7 @@ TWEETS_SQL = f"""tw AS (
   SELECT d.doc_id, CASE WHEN d.doc_id % 3 = 0 THEN 'RT ' ELSE '' END || d.text || ' &amp; @user' ||
          CAST(d.doc_id AS VARCHAR) || ' ' || coalesce(p.url, '') ||
          CASE WHEN d.doc_id % 2 = 0 THEN {lit(NL + '#tag done')} ELSE '' END AS text
-  FROM documents d LEFT JOIN pages p ON p.page_id = d.doc_id % 250)"""
+  FROM documents d LEFT JOIN pages p ON p.page_id = d.doc_id)"""
 
 
 def _re(x, pat, rep="' '"):

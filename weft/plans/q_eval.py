@@ -10,7 +10,7 @@ from weft.functions import text as TX
 from weft.functions.tokens import PandasTokenizer
 from weft.operators import adapters as AD
 from weft.operators import evaluate as EV
-from weft.operators.history import cumulative_questions
+from weft.operators.history import cumulative_questions, expand_history
 from weft.operators.split import ordered_index
 from weft.plans import fixtures as X
 from weft.plans.catalog import lit, register
@@ -65,6 +65,19 @@ def j1m(spark, sf):
     return missing
 
 
+@register("J1_all_roles_known", sql=f"""
+WITH {QUESTIONS_SQL}
+SELECT q.conv_id, q.turn, q.role, p.prompt || q.question || {lit(NL + 'output: ')} AS combined_question
+FROM questions q JOIN prompts p USING (role)
+""")
+def j1_strict(spark, sf):
+    """The default mode, which raises when a role has no prompt: here only rows whose role has one are asked."""
+    prompts = spark.createDataFrame(ROLE_PROMPTS, "role string, prompt string")
+    known = _questions(spark, sf).join(prompts.select("role"), "role", "left_semi")
+    joined, _ = EV.attach_role_prompts(known, prompts)
+    return joined.select("conv_id", "turn", "role", "combined_question")
+
+
 # -- J2 / G4 ------------------------------------------------------------------
 def _map_cols(df, keys):
     e = F.array_sort(F.map_entries("predict"))
@@ -102,6 +115,22 @@ def g4(spark, sf):
     return _map_cols(out, ["conv_id", "turn"])
 
 
+def _stub_turns(texts, chats):
+    return [f"turn {len(chat) + 1} after {chat[-1]['query'] if chat else 'nothing'}: {t}" for t, chat in zip(texts, chats)]
+
+
+@register("G4_batch_predict_history", sql=f"""
+WITH {X.PAIRS_SQL}
+SELECT conv_id, turn, 'turns' AS model, 'turn ' || CAST(row_number() OVER w AS VARCHAR) || ' after ' ||
+       coalesce(lag(query) OVER w, 'nothing') || ': ' || query AS text
+FROM pairs WINDOW w AS (PARTITION BY conv_id ORDER BY turn)
+""")
+def g4_history(spark, sf):
+    """The model is given the conversation so far."""
+    rows = expand_history(X.pairs(spark, sf)).select("conv_id", "turn", "query", "history")
+    return EV.batch_predict(rows, ["conv_id", "turn"], "query", {"turns": _stub_turns}, history="history")
+
+
 # -- J3 / W5 ------------------------------------------------------------------
 def _aligned(spark, sf):
     p = X.pairs(spark, sf)

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weft.functions.templates import get_prompt, get_template, sql_prompt
+from weft.functions.templates import render_prompt, chat_format, sql_prompt
 from weft.functions.tokens import DEFAULT_TOKENIZER as TK
 from weft.operators import history as H
 from weft.plans import fixtures as X
 from weft.plans.catalog import lit, register
 
 BUDGET = 1500
-DEFAULT = get_template("default")
+#: So small that rows go because of their prompt, and others because of their turn alone.
+TIGHT = 300
+DEFAULT = chat_format("default")
 RM = H.ROLE_MARKER_STYLE
 RS = H.ROUND_STYLE
 
@@ -41,11 +43,29 @@ def t8(spark, sf):
                      F.transform("history", lambda h: h["answer"]).alias("history_answers"))
 
 
+@register("T8_nested_history", sql=f"""
+WITH {X.PAIRS_SQL}
+SELECT conv_id, query, response, row_number() OVER w - 1 AS turn,
+  coalesce(list(query) OVER b, []::VARCHAR[]) AS history_queries, coalesce(list(response) OVER b, []::VARCHAR[]) AS history_answers
+FROM pairs
+WINDOW w AS (PARTITION BY conv_id ORDER BY turn), b AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+""")
+def t8_nested(spark, sf):
+    """Rows that hold their whole chat as a nested list."""
+    turn = F.struct("turn", F.col("query").alias("input"), F.col("response").alias("output"))
+    out = H.expand_nested(X.pairs(spark, sf).groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("chat")))
+    return out.select("conv_id", "query", "response", F.col("turn").cast("bigint").alias("turn"),
+                      F.transform("history", lambda h: h["query"]).alias("history_queries"),
+                      F.transform("history", lambda h: h["answer"]).alias("history_answers"))
+
+
 # -- T9 (flagship) + F2 ---------------------------------------------------------
-T9_SQL = f"""
+def _t9_sql(budget):
+    return f"""
 WITH {X.PAIRS_SQL},
-t AS (SELECT *, {TK.sql_count(_turn_sql('query', 'response'))} AS tl FROM pairs),
-cur AS (SELECT * FROM t WHERE tl <= {BUDGET}),
+t AS (SELECT *, {TK.sql_count(_turn_sql('query', 'response'))} AS tl,
+             CASE WHEN coalesce(prompt, '') <> '' THEN {TK.sql_count('prompt')} ELSE 0 END AS pl FROM pairs),
+cur AS (SELECT * FROM t WHERE tl + pl <= {budget}),
 h AS (
   SELECT c.conv_id, c.turn, p.turn AS hturn, p.query AS hq, p.response AS ha,
          c.tl + sum(p.tl) OVER (PARTITION BY c.conv_id, c.turn ORDER BY p.turn DESC
@@ -55,7 +75,7 @@ kept AS (
   SELECT conv_id, turn, count(*) AS n,
          list({{'query': hq, 'answer': ha}} ORDER BY hturn) AS hist,
          flatten(list({TK.sql_ids(_turn_sql('hq', 'ha'))} ORDER BY hturn)) AS hids
-  FROM h WHERE run <= {BUDGET} GROUP BY conv_id, turn)
+  FROM h WHERE run <= {budget} GROUP BY conv_id, turn)
 SELECT c.conv_id, c.turn, CAST(coalesce(k.n, 0) AS BIGINT) AS n_history,
   list_concat(list_concat({_ids_or_empty('c.prompt')}, coalesce(k.hids, []::INTEGER[])),
               {TK.sql_ids(_turn_sql('c.query', 'c.response'))}) AS input_ids,
@@ -64,27 +84,37 @@ FROM cur c LEFT JOIN kept k ON k.conv_id = c.conv_id AND k.turn = c.turn
 """
 
 
-def flagship(spark, sf):
-    """conversations -> pairs -> T8 history -> T9 budget fit (F2 drop) -> P4 default template."""
-    look_back = H.max_fitting_turns(BUDGET)          # exact: no kept history can be longer
+def _t9(spark, sf, budget):
+    look_back = H.max_fitting_turns(budget)          # exact: no kept history can be longer
     pairs = X.pairs(spark, sf).withColumn("_n_tokens", H.turn_token_count())   # counted once per pair
     hist = H.expand_history(pairs, max_history=look_back, carry={"n_tokens": "_n_tokens"})
-    df = H.fit_history(hist, BUDGET, length_field="n_tokens")
+    df = H.fit_history(hist, budget, length_field="n_tokens", current_length="_n_tokens")
     return df.select("conv_id", "turn", F.col("n_history").cast("bigint").alias("n_history"), "input_ids",
-                     get_prompt(DEFAULT, F.col("query"), F.col("kept_history")).alias("prompt_text"))
+                     render_prompt(DEFAULT, F.col("query"), F.col("kept_history")).alias("prompt_text"))
+
+
+def flagship(spark, sf):
+    """conversations -> pairs -> T8 history -> T9 budget fit (F2 drop) -> P4 default template."""
+    return _t9(spark, sf, BUDGET)
+
+
+register("T9_history_fit", sql=_t9_sql(BUDGET))(flagship)
 
 
-register("T9_history_fit", sql=T9_SQL)(flagship)
+@register("T9_history_fit_tight", sql=_t9_sql(TIGHT))
+def t9_tight(spark, sf):
+    return _t9(spark, sf, TIGHT)
 
 
 @register("F2_budget_filter", sql=f"""
-WITH {X.PAIRS_SQL}
-SELECT conv_id, turn, CAST({TK.sql_count(_turn_sql('query', 'response'))} AS BIGINT) AS n_tokens FROM pairs
-WHERE {TK.sql_count(_turn_sql('query', 'response'))} <= {min(2048, 512)}
+WITH {X.PAIRS_SQL},
+t AS (SELECT *, {TK.sql_count(_turn_sql('query', 'response'))} AS tl,
+             CASE WHEN coalesce(prompt, '') <> '' THEN {TK.sql_count('prompt')} ELSE 0 END AS pl FROM pairs)
+SELECT conv_id, turn, CAST(tl + pl AS BIGINT) AS n_tokens FROM t WHERE tl + pl <= {min(2048, TIGHT)}
 """)
 def f2(spark, sf):
-    budget = H.clamp_budget(2048, 512)
-    df = H.fit_history(X.pairs(spark, sf).withColumn("history", F.lit(None)), budget, prompt=None)
+    budget = H.clamp_budget(2048, TIGHT)
+    df = H.fit_history(X.pairs(spark, sf).withColumn("history", F.lit(None)), budget)
     return df.select("conv_id", "turn", F.size("input_ids").cast("bigint").alias("n_tokens"))
 
 
@@ -147,6 +177,14 @@ def t10(spark, sf):
     return df.select("conv_id", "turn", F.col("n_history").cast("bigint").alias("n_history"), "input_ids", "labels")
 
 
+@register("G2_encode_style", sql=T10_SQL)
+def g2_style(spark, sf):
+    """The same encode, picked by its style's name."""
+    look_back = H.max_fitting_turns(T10_BUDGET, style=RS)
+    out = H.encode_chat(H.expand_history(X.pairs(spark, sf), max_history=look_back), "rounds", T10_BUDGET)
+    return out.select("conv_id", "turn", F.col("n_history").cast("bigint").alias("n_history"), "input_ids", "labels")
+
+
 # -- T11 ----------------------------------------------------------------------
 def _t11(x):
     return f"{lit(RM['user_token'])} || coalesce({x}, '') || {lit(RM['eos_token'])}"

@@ -46,17 +46,26 @@ def a3(spark, sf):
 
 
 @register("A4_reward_evaluation", sql=f"""
+WITH {SCORES_SQL}
+SELECT round(avg(CASE WHEN accept > reject THEN 1.0 ELSE 0.0 END), {R6}) AS accuracy, round(avg(accept), {R6}) AS chosen_mean,
+       round(avg(reject), {R6}) AS rejected_mean FROM scores
+""")
+def a4(spark, sf):
+    out = M.reward_evaluation(_scores(spark, sf))
+    return out.select(*[F.round(c, R6).alias(c) for c in out.columns])
+
+
+@register("A4_batch_means", sql=f"""
 WITH {SCORES_SQL},
 b AS (SELECT *, (row_number() OVER (ORDER BY conv_id, turn) - 1) // 4 AS batch_id FROM scores),
 per AS (SELECT batch_id, count(*) FILTER (WHERE accept > reject) AS c, count(*) AS n,
-               avg(accept) AS a, avg(reject) AS r FROM b WHERE batch_id < 100 GROUP BY batch_id)
+               avg(accept) AS a, avg(reject) AS r FROM b GROUP BY batch_id)
 SELECT round(sum(c) / sum(n), {R6}) AS accuracy, round(avg(a), {R6}) AS chosen_mean,
        round(avg(r), {R6}) AS rejected_mean FROM per
 """)
-def a4(spark, sf):
+def a4_batches(spark, sf):
     s = ordered_index(_scores(spark, sf), ["conv_id", "turn"])
-    s = s.withColumn("batch_id", F.floor(F.col("row_idx") / 4))
-    out = M.reward_evaluation(s, "batch_id", batch_means=True, max_batches=100)
+    out = M.reward_evaluation(s.withColumn("batch_id", F.floor(F.col("row_idx") / 4)), "batch_id", batch_means=True)
     return out.select(*[F.round(c, R6).alias(c) for c in out.columns])
 
 
@@ -112,7 +121,7 @@ SELECT event_id, event_type, CAST(sign(num) * ((abs(num) * 2 + n) // (2 * n)) AS
 def w3(spark, sf):
     """Values are cents (DECIMAL(18,2)) so running sums are exact on both engines."""
     e = read_table(spark, sf, "events").select("event_id", "event_type", F.col("value").cast("decimal(18,2)").alias("value"))
-    out = M.cumulative_mean(e, "event_type", "event_id", "value", chunk_width=512)
+    out = M.cumulative_mean(e, "event_type", "event_id", "value", chunk=512)
     return out.select("event_id", "event_type", F.round("mean", R6).cast("double").alias("mean"))
 
 
@@ -262,7 +271,7 @@ def _rouge_cols3(n):
             f"round_even(2 * {p} * {rc} / ({p} + {rc} + 1e-8), 3) AS rouge_{n}_f")
 
 
-@register("A10_evaluate_predictions", sql=f"""
+EVALUATION_SQL = f"""
 WITH RECURSIVE {EVAL_SQL},
 {BLEU_CTES},
 {LCS_CTES}
@@ -270,8 +279,11 @@ SELECT e.conv_id, e.turn, e.model, e.expect, e.predict, round_even(bleu.bleu, 3)
        {_rouge_cols3(1)}, {_rouge_cols3(2)},
        round_even(rl2.r, 3) AS rouge_l_r, round_even(rl2.p, 3) AS rouge_l_p, round_even(rl2.f, 3) AS rouge_l_f
 FROM e JOIN bleu USING (conv_id, turn, model) JOIN rl2 USING (conv_id, turn, model)
-""")
-def a10(spark, sf):
+"""
+
+
+@register("A10_evaluate_predictions", sql=EVALUATION_SQL)
+def evaluation(spark, sf):
     """Every (row, model): the 10 metrics rounded half-even to 3 places."""
     from weft.operators.evaluate import attach_predictions
     rows = X.pairs(spark, sf).select("conv_id", "turn", F.col("response").alias("expect"))

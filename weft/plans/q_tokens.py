@@ -6,17 +6,17 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from weft.functions.templates import get_dialog, get_prompt, get_template, sql_dialog, sql_prompt
+from weft.functions.templates import render_dialog, render_prompt, chat_format, sql_dialog, sql_prompt
 from weft.functions.tokens import DEFAULT_TOKENIZER as TK, left_pad
 from weft.operators import adapters as AD
 from weft.operators import encode as EN
 from weft.operators import pack as PK
-from weft.operators.history import expand_history
+from weft.operators.history import expand_front
 from weft.plans import fixtures as X
 from weft.plans.catalog import lit, register
 from weft.plans.q_align import HIST_SQL
 
-DEFAULT = get_template("default")
+DEFAULT = chat_format("default")
 PAD, BOS, EOS = TK.pad_id, TK.bos_id, TK.eos_id
 
 
@@ -24,9 +24,10 @@ def ids(x, special=False):
     return TK.sql_ids(x, special)
 
 
-def _dialog_df(spark, sf):
-    df = expand_history(X.pairs(spark, sf))
-    return df.withColumn("dialog", get_dialog(DEFAULT, F.col("query"), F.col("response"), F.col("history")))
+def _dialog_df(spark, sf, limit):
+    """Dialogs for encoders that keep ``limit`` tokens from the front."""
+    df = expand_front(X.pairs(spark, sf), limit)
+    return df.withColumn("dialog", render_dialog(DEFAULT, F.col("query"), F.col("response"), F.col("history")))
 
 
 DIALOG_SQL = f"""{HIST_SQL},
@@ -58,7 +59,7 @@ SELECT conv_id, turn,
 FROM k
 """)
 def t2(spark, sf):
-    return EN.encode_supervised(_dialog_df(spark, sf), T2_SRC, T2_TGT).select("conv_id", "turn", "input_ids", "labels")
+    return EN.encode_supervised(_dialog_df(spark, sf, T2_SRC + T2_TGT), T2_SRC, T2_TGT).select("conv_id", "turn", "input_ids", "labels")
 
 
 # -- T3 -----------------------------------------------------------------------
@@ -70,7 +71,7 @@ SELECT conv_id, turn,
 FROM d
 """)
 def t3(spark, sf):
-    return EN.encode_unsupervised(_dialog_df(spark, sf), 256, 128).select("conv_id", "turn", "input_ids", "labels")
+    return EN.encode_unsupervised(_dialog_df(spark, sf, 256), 256, 128).select("conv_id", "turn", "input_ids", "labels")
 
 
 # -- T4 -----------------------------------------------------------------------
@@ -88,7 +89,7 @@ def t4(spark, sf):
     p = X.prefs(spark, sf).where(F.col("rejected").isNotNull())
     p = p.withColumn("response", F.array("chosen", "rejected")).drop("chosen", "rejected")
     p = EN.split_pair_response(p)
-    p = p.withColumn("prompt_text", get_prompt(DEFAULT, F.col("prompt")))
+    p = p.withColumn("prompt_text", render_prompt(DEFAULT, F.col("prompt")))
     return EN.encode_pairwise(p, 128, 128).select("conv_id", "turn", "accept_ids", "reject_ids")
 
 
@@ -112,7 +113,7 @@ FROM b WHERE len(ids) = {T5_SOURCE - 1}
 """)
 def t5(spark, sf):
     d = X.documents(spark, sf).withColumn("pack_group", (F.col("doc_id") / 100).cast("bigint"))
-    out = PK.pack_pretrain(d, T5_SOURCE, chunk_width=16)
+    out = PK.pack_pretrain(d, T5_SOURCE, chunk=16)
     return out.select("pack_group", F.col("block").cast("bigint").alias("block"), "input_ids", "labels")
 
 
@@ -129,7 +130,7 @@ FROM b WHERE len(ids) = {T6_BLOCK} OR block = 0
 def t6(spark, sf):
     d = X.documents(spark, sf).withColumn(
         "pack_group", F.when(F.col("n_chars") < 300, 100000 + F.col("doc_id")).otherwise((F.col("doc_id") / 100).cast("bigint")))
-    out = PK.group_texts(d.select("pack_group", "doc_id", "text"), T6_BLOCK, chunk_width=16)
+    out = PK.group_texts(d.select("pack_group", "doc_id", "text"), T6_BLOCK, chunk=16)
     return out.select("pack_group", F.col("block").cast("bigint").alias("block"), "input_ids", "attention_mask", "labels")
 
 
@@ -181,10 +182,10 @@ def t14(spark, sf):
 WITH {X.PAIRS_SQL},
 e AS (SELECT conv_id, turn, conv_id // 8 AS batch_id, {ids('query', True)} AS input_ids,
              {ids('response')} AS labels FROM pairs),
-m AS (SELECT *, max(len(input_ids)) OVER (PARTITION BY batch_id) AS w FROM e)
+m AS (SELECT *, max(len(input_ids)) OVER (PARTITION BY batch_id) AS w, max(len(labels)) OVER (PARTITION BY batch_id) AS wl FROM e)
 SELECT conv_id, turn, batch_id,
   list_concat(input_ids, list_transform(range(w - len(input_ids)), lambda x: {PAD})) AS input_ids,
-  list_concat(labels, list_transform(range(w - len(labels)), lambda x: -100)) AS labels
+  list_concat(labels, list_transform(range(wl - len(labels)), lambda x: -100)) AS labels
 FROM m
 """)
 def t15(spark, sf):
@@ -253,8 +254,8 @@ UNION ALL
 SELECT batch_id, n + r, 1, rejected_input_ids, rejected_attention_mask FROM n
 """)
 def t18(spark, sf):
-    df = _pair_encoded(spark, sf).withColumn("pos", F.col("conv_id") * 1000 + F.col("turn"))
-    out = EN.stack_pairs(df, "batch_id", "pos", "chosen_input_ids", "rejected_input_ids",
+    df = _pair_encoded(spark, sf)
+    out = EN.stack_pairs(df, "batch_id", ["conv_id", "turn"], "chosen_input_ids", "rejected_input_ids",
                          "chosen_attention_mask", "rejected_attention_mask")
     return out.select("batch_id", F.col("row").cast("bigint").alias("row"), F.col("side").cast("int").alias("side"),
                       "input_ids", "attention_mask")
