@@ -21,7 +21,7 @@ BASE = {
 }
 #: No rule and no base phrase matches a text without one of these.
 HINT = (rf"(?i)licen[cs]|copyright|rights{GAP}reserved|cc{GAP}by|cc0|creative{GAP}commons|public{GAP}domain"
-        r"|gpl|spdx|wtfpl|permission|redistribution")
+        r"|gpl|gfdl|spdx|wtfpl|permission|redistribution|bsd|warranty|endorse|advertising|proprietary|unencumbered")
 V = r"(?:version |v ?)?"
 LATER = r"(?: or (?:at your option )?(?:any )?later(?: version)?)"
 
@@ -105,12 +105,12 @@ def _versioned() -> list[Rule]:
         for v in versions:
             tag = v.replace(" ", ".").replace("?", "")
             out += [Rule(f"{label}-{tag}", keyword, f"{words} {V}{v}", 90), Rule(f"{label}-{tag}", keyword, f"(?:under|by) the (?:terms of the )?{words} {V}{v}", 93),
-                    Rule(f"{label}-{tag}", label, f"spdx license identifier {label} {v}".replace("-", " "), 99)]
+                    Rule(f"{label}-{tag}", label.replace("-", " "), f"spdx license identifier {label} {v}".replace("-", " "), 99)]
     return out
 
 
 def _plain() -> list[Rule]:
-    fixed = [("mit", "mit", "(?:expat|mit)(?: x11)? licen[cs]e", 70), ("mit", "mit", "(?:under|by) the (?:terms of the )?mit licen[cs]e", 85),
+    fixed = [("mit", "mit", "mit(?: x11)? licen[cs]e", 70), ("mit", "expat", "expat licen[cs]e", 70), ("mit", "mit", "(?:under|by) the (?:terms of the )?mit licen[cs]e", 85),
              ("mit", "hereby", "permission is hereby granted free of charge to any person obtaining a copy", 95),
              ("mit", "spdx", "spdx license identifier mit", 99), ("mit", "x11", "x11 licen[cs]e", 70),
              ("isc", "isc", "isc licen[cs]e", 75), ("isc", "permission", "permission to use copy modify and or distribute this software for any purpose", 92),
