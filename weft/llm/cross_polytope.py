@@ -50,7 +50,7 @@ def rotations(vectors: np.ndarray, plan: Plan):
 
 
 def nearest_axes(x: np.ndarray, count: int) -> np.ndarray:
-    """The ``count`` signed axes next to each row, nearest first: 2i for +i, 2i + 1 for -i."""
+    """The ``count`` signed axes (all, if fewer) next to each row, nearest first: 2i for +i, 2i + 1 for -i."""
     along = np.empty((len(x), 2 * x.shape[1]))
     along[:, 0::2], along[:, 1::2] = x, -x
     return np.argsort(-along, axis=1, kind="stable")[:, :count]
@@ -85,11 +85,12 @@ def _valid(vector: str) -> Column:
     return F.coalesce(finite & F.exists(vector, lambda c: c != 0), F.lit(False))
 
 
-def _matrix(table: pa.Table, name: str, shape: tuple[int, ...]) -> np.ndarray:
+def _matrix(table: pa.Table, name: str, *shape: int) -> np.ndarray:
+    """A nested list column, all lists of a level alike long, as an array of one row a row."""
     column = table.column(name).combine_chunks()
     while pa.types.is_list(column.type):
         column = column.flatten()
-    return column.to_numpy(zero_copy_only=False).reshape(-1, *shape)
+    return column.to_numpy(zero_copy_only=False).reshape(table.num_rows, *shape, -1)
 
 
 def _rerank(plan: Plan):
@@ -103,12 +104,12 @@ def _rerank(plan: Plan):
     def run(rows: pa.Table, queries: pa.Table) -> pa.Table:
         if not rows.num_rows or not queries.num_rows:
             return empty.empty_table()
-        dim, table = rows.column("dim")[0].as_py(), rows.column("tab")[0].as_py()
-        x = _matrix(rows, "vec", (dim,)).astype(np.float64)
-        codes = _matrix(rows, "codes", (plan.tables,))
+        table = rows.column("tab")[0].as_py()
+        x = _matrix(rows, "vec").astype(np.float64)
+        codes = _matrix(rows, "codes")
         ids, number = rows.column("id").to_numpy(), rows.column("n").to_numpy()
-        all_q = _matrix(queries, "vec", (dim,)).astype(np.float64)
-        all_p = _matrix(queries, "probes", (plan.tables, plan.probes)) if table >= 0 else None
+        all_q = _matrix(queries, "vec").astype(np.float64)
+        all_p = _matrix(queries, "probes", plan.tables) if table >= 0 else None
         q_ids, q_number = queries.column("id").to_numpy(), queries.column("n").to_numpy()
         axes = int(max(codes.max(), all_p.max() if all_p is not None else 0)) + 1
         out = []
