@@ -155,6 +155,6 @@ def repeat_copies(docs: DataFrame, weights: list[float], cap: int = 3) -> DataFr
     Rows without a word weigh nothing and are not taken.
     """
     rows = materialise(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
-    mixed = mix(rows, weights, cap, keep=["__row"]).where(F.col("copies") > 0).select("__row", "copies")
-    times = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
+    mixed = mix(rows, weights, cap, keep=["__row"]).where(F.col("copies") > 0).select("__row", F.col("copies").alias("__times"))
+    times = F.explode(F.sequence(F.lit(1), F.col("__times").cast("int")))
     return rows.join(mixed, "__row").select(*docs.columns, times.alias("__copy")).drop("__copy")
