@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from weft.functions.metrics_udf import lcs_length, rouge_l, sentence_bleu_chars
+from weft.functions.metrics_udf import lcs_length, lcs_words, rouge_l, rouge_l_sentences, sentence_bleu_chars
 from weft.operators import metrics as M
 
 
@@ -96,3 +96,22 @@ def test_cumulative_mean_and_weighted(spark):
     assert got == {i: pytest.approx(i / 2) for i in range(10)}
     w = M.weighted_average(df.withColumn("n", F.lit(2)), ["k"], "v", "n").first()
     assert w["avg"] == pytest.approx(4.5) and w["count"] == 20
+
+
+def test_summary_level_rouge_l_by_hand(spark):
+    # the textbook example: one reference sentence, two candidates; union of common words {w1, w2, w3, w5}
+    r, p, _ = rouge_l_sentences([["w1", "w2", "w6", "w7", "w8"], ["w1", "w3", "w8", "w9", "w5"]], [["w1", "w2", "w3", "w4", "w5"]])
+    assert (r, p) == (pytest.approx(4 / 5), pytest.approx(4 / 8))
+    assert lcs_words(list("abcd"), list("xbyd")) == {"b", "d"} and lcs_words([], ["a"]) == set()
+    assert rouge_l_sentences([], [["a"]]) == (0.0, 0.0, 0.0)
+    df = spark.createDataFrame([("the cat sat. a dog ran.", "a dog ran. the cat sat."), (None, "x")], "expect string, predict string")
+    whole, cut = (M.nlp_metrics(df, sentences=x).collect()[0] for x in (False, True))
+    assert cut["rouge_l_f"] == 1.0 and whole["rouge_l_r"] < 0.7
+    assert cut["rouge_1_f"] == 1.0 and cut["rouge_2_r"] == 0.8     # of 5 pairs, "sat a" and "ran the" differ
+
+
+def test_any_segmenter_and_chat_expectations(spark):
+    df = spark.createDataFrame([(1, [("q", "first"), ("q", "ab-cd")], {"m": "cd-ab"})],
+                               "k long, chat array<struct<input:string,output:string>>, predict map<string,string>")
+    out = M.evaluate_predictions(df, ["k"], "chat", segmenter=lambda c: F.split(c, "-")).first()
+    assert (out["expect"], out["rouge_1_f"], out["rouge_2_f"], out["rouge_l_r"]) == ("ab-cd", 1.0, 0.0, 0.5)

@@ -44,6 +44,40 @@ def rouge_l(hyp: list, ref: list) -> tuple[float, float, float]:
     return r, p, num / (den + 1e-12)
 
 
+def lcs_words(ref: list, hyp: list) -> set:
+    """The words of one longest common subsequence (of several, the one found
+    by walking back from the ends and leaving the reference first only where
+    that is strictly longer)."""
+    rows = [[0] * (len(hyp) + 1)]
+    for x in ref:
+        above, row = rows[-1], [0]
+        for j, y in enumerate(hyp):
+            row.append(above[j] + 1 if x == y else max(above[j + 1], row[j]))
+        rows.append(row)
+    words, i, j = set(), len(ref), len(hyp)
+    while i and j:
+        if ref[i - 1] == hyp[j - 1]:
+            i, j = i - 1, j - 1
+            words.add(ref[i])
+        elif rows[i - 1][j] > rows[i][j - 1]:
+            i -= 1
+        else:
+            j -= 1
+    return words
+
+
+def rouge_l_sentences(hyp: list[list], ref: list[list]) -> tuple[float, float, float]:
+    """Summary-level ROUGE-L: the words in the common subsequences of any two
+    sentences, against the different words of each side."""
+    n_ref, n_hyp = len({w for s in ref for w in s}), len({w for s in hyp for w in s})
+    if not n_ref or not n_hyp:
+        return 0.0, 0.0, 0.0
+    common = len(set().union(*(lcs_words(r, h) for r in ref for h in hyp)))
+    r, p = common / n_ref, common / n_hyp
+    beta = p / (r + 1e-12)
+    return r, p, (1 + beta ** 2) * r * p / (r + beta ** 2 * p + 1e-12)
+
+
 def _clipped_counts(ref: str, hyp: str, max_n: int) -> tuple[list[int], list[int]] | None:
     """Per order n: (sum of min(hyp count, ref count) over hyp n-grams,
     number of hyp n-grams), with numpy: characters are ranked over the joint
@@ -125,6 +159,12 @@ def rouge_l_udf(hyp: pd.Series, ref: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["r", "p", "f"])
 
 
+@F.pandas_udf(_ROUGE_L_T)
+def rouge_l_sentences_udf(hyp: pd.Series, ref: pd.Series) -> pd.DataFrame:
+    nested = lambda x: [list(s) for s in x] if x is not None else []
+    return pd.DataFrame([rouge_l_sentences(nested(h), nested(r)) for h, r in zip(hyp, ref)], columns=["r", "p", "f"])
+
+
 @F.pandas_udf(T.DoubleType())
 def bleu_udf(ref: pd.Series, hyp: pd.Series) -> pd.Series:
     return pd.Series([sentence_bleu_chars(r or "", h or "") for r, h in zip(ref, hyp)], dtype="float64")

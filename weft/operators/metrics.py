@@ -10,11 +10,12 @@ ROUGE-1/2 are array expressions; ROUGE-L and BLEU use the Arrow UDFs in
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weft.functions.metrics_udf import bleu_udf, rouge_l_udf
+from weft.functions.metrics_udf import bleu_udf, rouge_l_sentences_udf, rouge_l_udf
 from weft.functions.tokens import TOKEN_PATTERN
 from weft.operators.pack import running_sums
 from weft.session import materialize
@@ -195,13 +196,29 @@ def with_rouge_n(df: DataFrame, hyp_tokens: str, ref_tokens: str, ns=(1, 2)) ->
     return df
 
 
-def nlp_metrics(df: DataFrame, expect: str = "expect", predict: str = "predict", digits: int | None = 3) -> DataFrame:
+def sentences_of(tokens: Column) -> Column:
+    """ARRAY<ARRAY<STRING>>: the segmented text cut at full stops, as the reference's ROUGE library reads it."""
+    parts = F.filter(F.split(F.array_join(tokens, " "), "\\."), lambda s: F.length(s) > 0)
+    return F.transform(parts, lambda s: F.filter(F.split(F.trim(s), " +"), lambda w: F.length(w) > 0))
+
+
+def nlp_metrics(df: DataFrame, expect: str = "expect", predict: str = "predict", digits: int | None = 3,
+                segmenter: Callable[[Column], Column] = segment, sentences: bool = False) -> DataFrame:
     """A8 + A9 on segmented text: ROUGE-1/2 (sets), ROUGE-L (LCS), BLEU-4
-    over characters of the segmented string; rounded half-even to ``digits``."""
-    d = df.withColumn("_et", segment(F.col(expect))).withColumn("_pt", segment(F.col(predict)))
+    over characters of the segmented string; rounded half-even to ``digits``.
+
+    ``segmenter`` turns a text into ARRAY<STRING>.  ``sentences`` cuts texts
+    at full stops first, for summary-level ROUGE-L (see
+    :func:`rouge_l_sentences`) and n-grams without the stops."""
+    d = df.withColumn("_et", segmenter(F.col(expect))).withColumn("_pt", segmenter(F.col(predict)))
+    d = d.withColumn("bleu", bleu_udf(F.array_join("_et", " "), F.array_join("_pt", " ")))
+    if sentences:
+        d = d.withColumn("_es", sentences_of(F.col("_et"))).withColumn("_ps", sentences_of(F.col("_pt")))
+        d = d.withColumn("_rl", rouge_l_sentences_udf(F.col("_ps"), F.col("_es")))
+        d = d.withColumn("_et", F.flatten("_es")).withColumn("_pt", F.flatten("_ps")).drop("_es", "_ps")
+    else:
+        d = d.withColumn("_rl", rouge_l_udf(F.col("_pt"), F.col("_et")))
     d = with_rouge_n(d, "_pt", "_et")
-    d = (d.withColumn("_rl", rouge_l_udf(F.col("_pt"), F.col("_et")))
-          .withColumn("bleu", bleu_udf(F.array_join("_et", " "), F.array_join("_pt", " "))))
     for m in ("r", "p", "f"):
         d = d.withColumn(f"rouge_l_{m}", F.col("_rl")[m])
     d = d.drop("_et", "_pt", "_rl")
@@ -212,8 +229,12 @@ def nlp_metrics(df: DataFrame, expect: str = "expect", predict: str = "predict",
 
 
 def evaluate_predictions(df: DataFrame, id_cols: list[str], expect: str = "expect", predict: str = "predict",
-                         digits: int | None = 3) -> DataFrame:
-    """A10: one row per (row, model) from a ``predict`` MAP<model, text>;
-    the expectation is the last turn's output."""
-    long = df.select(*id_cols, expect, F.explode(F.col(predict)).alias("model", "predict"))
-    return nlp_metrics(long, expect, "predict", digits)
+                         digits: int | None = 3, segmenter: Callable[[Column], Column] = segment,
+                         sentences: bool = False) -> DataFrame:
+    """A10: one row per (row, model) from a ``predict`` MAP<model, text>.
+    ``expect`` is a text column, or an array of chat turns whose last
+    ``output`` is the expectation."""
+    kind = df.schema[expect].dataType.typeName() if expect in df.columns else "string"
+    wanted = F.element_at(expect, -1)["output"] if kind == "array" else F.col(expect)
+    long = df.select(*id_cols, wanted.alias("expect"), F.explode(F.col(predict)).alias("model", "predict"))
+    return nlp_metrics(long, "expect", "predict", digits, segmenter, sentences)
