@@ -329,11 +329,12 @@ def encode_classification(df: DataFrame, budget: int, tokenizer=DEFAULT_TOKENIZE
 
 def inference_context(df: DataFrame, budget: int, tokenizer=DEFAULT_TOKENIZER, style: dict | None = None,
                       query: str = "query", history: str = "history", locked: str | None = None,
-                      prompt: str | None = "prompt") -> DataFrame:
+                      prompt: str | None = "prompt", length_field: str | None = None) -> DataFrame:
     """Prompt + locked turns (never dropped) + newest-first history +
     current query.  Adds ``status`` ('ok', 'query_too_long',
     'locked_too_long'), ``input_ids`` and ``kept_history`` instead of
-    returning None."""
+    returning None.  ``length_field`` names a token count carried in the
+    history structs, so that only the kept turns are tokenised."""
     s = style or ROLE_MARKER_STYLE
     tk = tokenizer
 
@@ -344,7 +345,7 @@ def inference_context(df: DataFrame, budget: int, tokenizer=DEFAULT_TOKENIZER, s
     prompt_col = F.col(prompt) if prompt else F.lit(None).cast("string")
     empty = F.array().cast("array<int>")
     locked_col = F.coalesce(F.col(locked), F.array().cast(HISTORY_TYPE)) if locked else F.array().cast(HISTORY_TYPE)
-    hist = F.coalesce(F.col(history), F.array().cast(HISTORY_TYPE))
+    hist = F.coalesce(F.col(history), F.array().cast(df.schema[history].dataType))
     out = (df.withColumn("_prompt_ids", F.when(F.coalesce(prompt_col, F.lit("")) != "", tk.ids(prompt_col)).otherwise(empty))
              .withColumn("_q_ids", tk.ids(F.concat(F.lit(s["user_token"]), F.coalesce(F.col(query), F.lit("")),
                                                    F.lit("\n"), F.lit(s["assistant_token"]))))
@@ -352,17 +353,18 @@ def inference_context(df: DataFrame, budget: int, tokenizer=DEFAULT_TOKENIZER, s
              .withColumn("_len1", F.size("_q_ids") + F.size("_prompt_ids"))
              .withColumn("_len2", F.col("_len1") + F.size("_lock_ids"))
              .withColumn("_hist", hist))
-    out = out.withColumn("_htexts", F.transform(F.col("_hist"), lambda h: turn_text(h["query"], h["answer"])))
-    n = _fit_count(F.reverse(tk.count_many(F.col("_htexts"))), F.col("_len2"), budget)
+    costs = (F.transform("_hist", lambda h: h[length_field]) if length_field
+             else tk.count_many(F.transform("_hist", lambda h: turn_text(h["query"], h["answer"]))))
+    n = _fit_count(F.reverse(costs), F.col("_len2"), budget)
     status = (F.when(F.col("_len1") > budget, F.lit("query_too_long"))
                .when(F.col("_len2") > budget, F.lit("locked_too_long")).otherwise(F.lit("ok")))
     out = out.withColumn("status", status).withColumn("n_history", F.when(F.col("status") == "ok", n).otherwise(F.lit(0)))
-    kept = _suffix(F.col("_hist"), F.col("n_history"))
-    ids = F.concat(F.col("_prompt_ids"), F.col("_lock_ids"),
-                   F.flatten(tk.ids_many(_suffix(F.col("_htexts"), F.col("n_history")))), F.col("_q_ids"))
-    out = (out.withColumn("kept_history", F.when(F.col("status") == "ok", kept))
-              .withColumn("input_ids", F.when(F.col("status") == "ok", ids)))
-    return out.drop("_prompt_ids", "_q_ids", "_lock_ids", "_len1", "_len2", "_hist", "_htexts")
+    kept = F.transform(_suffix(F.col("_hist"), F.col("n_history")), lambda h: F.struct(h["query"].alias("query"), h["answer"].alias("answer")))
+    out = out.withColumn("kept_history", F.when(F.col("status") == "ok", kept))
+    kept_ids = F.flatten(tk.ids_many(F.transform("kept_history", lambda h: turn_text(h["query"], h["answer"]))))
+    ids = F.concat(F.col("_prompt_ids"), F.col("_lock_ids"), kept_ids, F.col("_q_ids"))
+    out = out.withColumn("input_ids", F.when(F.col("status") == "ok", ids))
+    return out.drop("_prompt_ids", "_q_ids", "_lock_ids", "_len1", "_len2", "_hist")
 
 
 def cumulative_questions(pairs: DataFrame, conv: str = "conv_id", order: str = "turn",

@@ -243,19 +243,14 @@ SELECT c.conv_id, c.turn,
 FROM c2 c LEFT JOIN kept k ON k.conv_id = c.conv_id AND k.turn = c.turn
 """)
 def t12(spark, sf):
-    """Locked turn = the conversation's first pair (a partial aggregate and a
-    join, not a window); history = the pairs between it and the current one,
-    through the bounded, chunked history window."""
-    pairs = X.pairs(spark, sf)
-    first = pairs.groupBy("conv_id").agg(F.min_by(F.struct("turn", F.col("query").alias("query"),
-                                                           F.col("response").alias("answer")), F.col("turn")).alias("_f"))
-    p = pairs.join(first, "conv_id")
-    is_first = F.col("turn") == F.col("_f.turn")
-    later = H.expand_history(p.where(~is_first), max_history=H.max_fitting_turns(T12_BUDGET))
-    later = later.withColumn("locked", F.array(F.struct(F.col("_f.query").alias("query"), F.col("_f.answer").alias("answer"))))
-    firsts = p.where(is_first).withColumn("history", F.lit(None).cast(H.HISTORY_TYPE)) \
-              .withColumn("locked", F.lit(None).cast(H.HISTORY_TYPE))
-    out = H.inference_context(later.unionByName(firsts), T12_BUDGET, locked="locked")
+    """Locked turn = the conversation's first pair (joined by salt, not by
+    conversation); history = the pairs between it and the current one, through
+    the bounded, chunked history window, with token counts carried."""
+    pairs = X.pairs(spark, sf).withColumn("_n_tokens", H.turn_token_count())
+    p = H.expand_front(pairs, 1).withColumnRenamed("history", "locked")
+    later = H.expand_history(p.where(F.size("locked") > 0), max_history=H.max_fitting_turns(T12_BUDGET), carry={"n_tokens": "_n_tokens"})
+    firsts = p.where(F.size("locked") == 0).withColumn("history", F.lit(None).cast(later.schema["history"].dataType))
+    out = H.inference_context(later.unionByName(firsts), T12_BUDGET, locked="locked", length_field="n_tokens")
     return out.select("conv_id", "turn", "status", F.col("n_history").cast("bigint").alias("n_history"), "input_ids")
 
 
