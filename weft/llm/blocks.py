@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,7 +55,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def _pack_rows(schema: pa.Schema, block_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            size = np.array([len(t) if t is not None else 0 for t in batch.column(1).to_pylist()], np.int64)
+            size = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
             group = (np.cumsum(size) - size) // block_bytes
             cuts = [*np.flatnonzero(np.diff(group, prepend=-1)).tolist(), batch.num_rows] if batch.num_rows else [0]
             for a, b in zip(cuts, cuts[1:]):

@@ -9,6 +9,7 @@ from collections.abc import Iterable
 from heapq import heapify, heappop, heappush
 from itertools import chain
 
+import numpy as np
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,7 +52,7 @@ class ByteBPE:
     the rest is split into pieces and each piece's bytes are merged.
     """
 
-    def __init__(self, definition: str, cache: int = 150_000):
+    def __init__(self, definition: str, cache: int = 120_000):
         file = json.loads(definition)
         vocab, letters = file["model"]["vocab"], byte_letters()
         self.bytes_of = {i: bytes(letters[c] for c in s) for s, i in vocab.items()}
@@ -68,7 +69,7 @@ class ByteBPE:
         self.bytes_of |= {i: s.encode() for s, i in self.added.items()}
         self.split_added = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
         self.find_pieces = regex.compile(PIECE).findall
-        self.pieces = Known(self.encode_piece, cache)
+        self.pieces = Known(self.encode_piece, cache // 3)
         self.spaced = Known(lambda word: self.encode_part(" " + word), cache)
 
     def encode_piece(self, piece: str) -> tuple[int, ...]:
@@ -149,7 +150,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     def run(c):
         bpe = _tokenizer(definition.value)
-        return [c[0], [bpe.encode(t) for t in c[1]]]
+        return [c[0], [np.array(bpe.encode(t), np.int32) for t in c[1]]]
 
     return map_columns(docs, [F.col(id_col).alias("doc_id"), F.col(text_col).alias("t")], run,
                        "doc_id long, ids array<int>")
@@ -187,7 +188,8 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
             out[0].append(len(ids))
             out[1].append(sha(",".join(map(number.__getitem__, ids)).encode()).hexdigest())
             out[2].append(sha(bpe.decode(ids).encode()).hexdigest())
-            out[3].append(ids)
+            if with_ids:
+                out[3].append(np.array(ids, np.int32))
         return [c[0], *out[:4 if with_ids else 3]]
 
     return map_columns(docs, [F.col(id_col).alias("doc_id"), F.col(text_col).alias("t")], run,

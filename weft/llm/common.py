@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -30,6 +32,17 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of an Arrow batch that are Python objects at a time.
+SLICE = 1024
+
+
+def give_back() -> None:
+    """Return freed memory to the system: Python workers outlive their tasks and share an executor's memory."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # glibc only
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def training_row(id_col: str, modulus: int, held: int) -> Column:
     """False for rows whose crc32(id as text) mod ``modulus`` is ``held``; a null id trains."""
     return ~F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % modulus == held, F.lit(False))
@@ -41,8 +54,9 @@ def map_columns(df: DataFrame, columns: list[Column], fn: Callable[[list[list]],
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                out = fn([c.to_pylist() for c in batch.columns])
+            for at in range(0, batch.num_rows, SLICE):
+                out = fn([c.to_pylist() for c in batch.slice(at, SLICE).columns])
                 yield pa.RecordBatch.from_arrays([pa.array(v, type=f.type) for v, f in zip(out, arrow)], schema=arrow)
+        give_back()
 
     return df.select(*columns).mapInArrow(run, schema)

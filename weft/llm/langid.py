@@ -8,7 +8,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weft.llm.common import map_columns, training_row
+from weft.llm.common import give_back, map_columns, training_row
 
 #: Language of texts without a letter, and of every text when nothing could be learned.
 UNDETERMINED = "und"
@@ -117,9 +117,10 @@ def keep_identified(docs: DataFrame, modulus: int = 4, held: int = 2, level: int
         classify = Classifier(model.value, level)
         for batch in batches:
             keep = []
-            for t in batch.column("text").to_pylist():
-                lang, margin = classify(t)
+            for t in batch.column("text"):
+                lang, margin = classify(t.as_py())
                 keep.append(lang != UNDETERMINED and margin >= min_margin)
             yield batch.filter(pa.array(keep))
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from weft.llm.blocks import ARROW_MESSAGE, MESSAGE, U, mix, pack, pack_documents, read_block, steps, to_batches, unpack
-from weft.llm.common import materialise, training_row
+from weft.llm.common import give_back, materialise, training_row
 
 #: Stands for the end of a document; it holds white space, so no word is like it.
 END = b"\n"
@@ -230,6 +230,7 @@ def _count_words(table: pa.Table, shards: int) -> pa.Table:
     out[0, order], out[1, order] = total[group], number[group]
     cuts = np.cumsum(sizes)[:-1]
     bodies = [pack(a, b) for a, b in zip(np.split(out[0], cuts), np.split(out[1], cuts))]
+    give_back()
     sums = [[int(total.sum())] + [0] * (len(sizes) - 1), [int((total > 0).sum())] + [0] * (len(sizes) - 1)]
     return pa.Table.from_arrays([table.column("block"), table.column("shard"), pa.array(bodies, pa.binary()), *map(pa.array, sums)],
                                 schema=ARROW_MESSAGE.append(pa.field("tokens", pa.int64())).append(pa.field("words", pa.int64())))
@@ -258,11 +259,13 @@ def _answer_pairs(table: pa.Table, tokens: int, words: int, mu: float) -> pa.Tab
         for p in parts:
             known, found = trie.find(np.cumsum(p[0], dtype=U), p[1])
             bodies.append(pack(np.where(known, found.astype(np.int64) + 1, 0)))
+    del parts, cols, a, b, n, ca, cb, trie
+    give_back()
     return pa.Table.from_arrays([table.column("block"), table.column("shard"), pa.array(bodies, pa.binary())], schema=ARROW_MESSAGE)
 
 
 def score(docs: DataFrame, modulus: int = 7, held: int = 2, mu: float = 100.0, id_col: str = "doc_id", text_col: str = "text",
-          block_bytes: int = 8 << 20, shard_bytes: int = 16 << 20) -> DataFrame:
+          block_bytes: int = 4 << 20, shard_bytes: int = 16 << 20) -> DataFrame:
     """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)`` for every row.
 
     The model is a bigram model over all training texts, whole and unpruned,

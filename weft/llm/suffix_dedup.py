@@ -36,6 +36,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from weft.llm.blocks import ARROW_MESSAGE, MESSAGE, U, mix, pack, pack_documents, read_block, steps, to_batches, unpack
+from weft.llm.common import give_back
 
 PLACE = 31  # low bits of a sliding minimum that hold the place
 #: Windows handled at once; a longer text is cut, and the units at a cut go on to the next level.
@@ -186,6 +187,8 @@ def _resolve_tuples(table: pa.Table) -> pa.Table:
     reply[0, order], reply[1, order] = least[order] - lowest, several
     cuts = np.cumsum(sizes)[:-1]
     bodies = [pack(a, b) for a, b in zip(np.split(reply[0], cuts), np.split(reply[1], cuts))]
+    del key, name, least, order, k, n, reply, parts
+    give_back()
     return pa.Table.from_arrays([table.column("block"), table.column("shard"), pa.array(bodies, pa.binary())], schema=ARROW_MESSAGE)
 
 
@@ -239,7 +242,7 @@ class Block:
 
 
 def mark_repeats(docs: DataFrame, length: int = 50, anchor: int = 22, id_col: str = "doc_id", text_col: str = "text",
-                 carry: tuple[str, ...] = (), block_bytes: int = 8 << 20, shard_bytes: int = 16 << 20) -> DataFrame:
+                 carry: tuple[str, ...] = (), block_bytes: int = 4 << 20, shard_bytes: int = 16 << 20) -> DataFrame:
     """``(doc_id, *carry, n_bytes, n_removed, n_spans, kept_sha256, kept)`` for every row.
 
     ``kept`` (binary) holds the remaining bytes of the text's UTF-8.  Matches
@@ -259,12 +262,15 @@ def mark_repeats(docs: DataFrame, length: int = 50, anchor: int = 22, id_col: st
             for block, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 _, texts, ids = read_block(body)
                 yield from to_batches(Tuples(Units(texts, length, anchor), ids, shards).messages(block))
+                give_back()
 
     def ask_windows(table):
         found = Block(table, length, anchor, shards)
         _, _, _, shard, name, least = found.windows(length, shards)
         block = table.column("block")[0].as_py()
         out = [(block, int(s), pack(steps(name[shard == s]), least[shard == s])) for s in np.unique(shard)]
+        del found
+        give_back()
         return pa.Table.from_batches(to_batches(out), schema=ARROW_MESSAGE)
 
     result = StructType([StructField("doc_id", LongType()), *[StructField(c, docs.schema[c].dataType) for c in carry],
@@ -279,14 +285,15 @@ def mark_repeats(docs: DataFrame, length: int = 50, anchor: int = 22, id_col: st
             at = np.flatnonzero(shard == s)
             least[at] -= unpack(body)[0]
         units = found.units
-        edge = np.zeros(len(units.data) + 1, np.int64)
+        edge = np.zeros(len(units.data) + 1, np.int32)
         whole = found.gone
         np.add.at(edge, units.first[whole], 1)
         np.add.at(edge, units.first[whole] + units.count[whole] + length - 1, -1)
         some = place[least[of] < found.code[doc]]
         np.add.at(edge, some, 1)
         np.add.at(edge, some + length, -1)
-        gone = np.cumsum(edge[:-1]) > 0
+        gone = np.cumsum(edge[:-1], dtype=np.int32) > 0
+        del edge, some
         start, outs = 0, ([], [], [], [], [])
         for text in found.texts:
             end = start + len(text)
@@ -296,6 +303,7 @@ def mark_repeats(docs: DataFrame, length: int = 50, anchor: int = 22, id_col: st
             for o, v in zip(outs, (len(text), int(cut.sum()), spans, hashlib.sha256(kept).hexdigest(), kept)):
                 o.append(v)
             start = end
+        give_back()
         columns = [found.rows.column(0), *[found.rows.column(2 + i) for i in range(len(carry))], *outs]
         return pa.Table.from_arrays([c if isinstance(c, pa.ChunkedArray) else pa.array(c, f.type) for c, f in zip(columns, arrow_result)],
                                     schema=arrow_result)
