@@ -93,8 +93,9 @@ def mix(docs: DataFrame, weights: list[float], cap: int = 3, id_col: str = "doc_
     shuffle of one source's rows.  Tilted rates become copies of whole
     documents: running sums over a source's sizes give each cell an integer
     number of copies, which misses the target by about one document; what is
-    missing is made up by single copies, the largest that fit first.  Every row of the cell gets the whole part, and the rest go to
-    the rows first in order of a hash of their id, equal ids in any order.
+    missing is made up by single copies, the largest that fit first.  Every row
+    of the cell gets the whole part, and the rest go to the rows first in order
+    of a hash of their id, equal ids in any order.
     A cell's rows are ranked in 64 hash buckets, so that a cell or source with
     a third of all rows is spread.  Results do not depend on partitioning.
 

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from weft.llm import bpe, cross_polytope, entropy_mix, html_template, langid, license_rules, ngram_trie, quality_rules, simhash_index, suffix_dedup
 from weft.session import read_table
 
-
 #: Vocabulary of op6, and the weights that op9's sources take in turn.
 VOCABULARY = "byte_bpe_50k.json"
 WEIGHTS = [5.0, 2.0, 1.0]
