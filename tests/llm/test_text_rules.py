@@ -133,10 +133,12 @@ def matches(parsed):
 
 def test_every_rule_has_its_keyword_and_a_hint():
     """The prefilters lose nothing: whatever a rule matches holds its keyword and a hint."""
-    hint = re.compile(license_rules.HINT.removeprefix("(?i)"))
+    cc_by = re.compile(license_rules.CC_BY)
     for rule in license_rules.RULES:
         for text in matches(re._parser.parse(rule.pattern)):
-            assert re.fullmatch(rule.pattern, text) and rule.keyword in text and hint.search(text), (rule, text)
+            assert re.fullmatch(rule.pattern, text) and f" {rule.keyword}" in f" {text}" and (
+                any(h in text for h in license_rules.HINTS) or cc_by.search(text)), (rule, text)
+            assert len(text.split()) <= license_rules.REACH
 
 
 # ---- op8 --------------------------------------------------------------------------------------------

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from itertools import product
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Letters outside words: ASCII that is neither digit nor letter (A-Z count as letters).
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]++"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Base phrases and their labels (fixed values).
 BASE = {
@@ -19,9 +21,12 @@ BASE = {
     "cc by": "cc-by",
     "mit license": "mit",
 }
-#: No rule and no base phrase matches a text without one of these.
-HINT = (rf"(?i)licen[cs]|copyright|rights{GAP}reserved|cc{GAP}by|cc0|creative{GAP}commons|public{GAP}domain"
-        r"|gpl|gfdl|spdx|wtfpl|permission|redistribution|bsd|warranty|endorse|advertising|proprietary|unencumbered")
+#: No rule matches a text (in lower case) without one of these, nor without the last: each is a plain byte search.
+HINTS = ("licens", "licenc", "copyright", "reserved", "cc0", "commons", "domain", "gpl", "gfdl", "spdx", "wtfpl", "permission",
+         "redistribution", "bsd", "warranty", "endorse", "advertising", "proprietary", "unencumbered")
+CC_BY = rf"(?i)cc{GAP}by"
+#: Words on either side of a keyword that its rules read.
+REACH = 20
 V = r"(?:version |v ?)?"
 LATER = r"(?: or (?:at your option )?(?:any )?later(?: version)?)"
 
@@ -30,8 +35,9 @@ LATER = r"(?: or (?:at your option )?(?:any )?later(?: version)?)"
 class Rule:
     """A regex over a text's words, lower-cased and joined by single spaces.
 
-    ``keyword`` is a string that each match has; ``priority`` orders rules on
-    the same place and is the confidence in per cent.
+    ``keyword`` begins a word of each match, and no match has over ``REACH``
+    words; ``priority`` orders rules on the same place and is the confidence
+    in per cent.
     """
 
     label: str
@@ -71,7 +77,7 @@ def _creative_commons() -> list[Rule]:
         out += [Rule(label, "cc", f"cc {short} {version}", 90),
                 Rule(label, "cc", f"spdx license identifier cc {short} {version}", 99),
                 Rule(label, "commons", f"creative commons {words} {version}(?: (?:international|unported|generic))?(?: public)?(?: licen[cs]e)?", 95),
-                Rule(label, "commons", f"creativecommons org licenses {short} {version}", 97)]
+                Rule(label, "creativecommons", f"creativecommons org licenses {short} {version}", 97)]
     for tag, words in parts.items():
         short = tag.replace("-", " ")
         out += [Rule(f"cc-{tag}", "cc", f"cc {short}", 70), Rule(f"cc-{tag}", "commons", f"creative commons {words}(?: licen[cs]e)?", 72)]
@@ -105,7 +111,7 @@ def _versioned() -> list[Rule]:
         for v in versions:
             tag = v.replace(" ", ".").replace("?", "")
             out += [Rule(f"{label}-{tag}", keyword, f"{words} {V}{v}", 90), Rule(f"{label}-{tag}", keyword, f"(?:under|by) the (?:terms of the )?{words} {V}{v}", 93),
-                    Rule(f"{label}-{tag}", label.replace("-", " "), f"spdx license identifier {label} {v}".replace("-", " "), 99)]
+                    Rule(f"{label}-{tag}", label.split("-")[0], f"spdx license identifier {label} {v}".replace("-", " "), 99)]
     return out
 
 
@@ -161,7 +167,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules:
     """``(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, detections)`` for every row.
 
     A text without any hint is only counted.  The others are brought to words
-    joined by single blanks; each keyword found there admits its rules.
+    joined by single blanks; each keyword found there has its rules read the
+    ``REACH`` words on either side of it (no match is longer).
     Detections are sorted by start, then the longer, then the higher priority;
     one that lies inside an earlier one is suppressed, so a mention inside a
     fuller notice (or the same place under a weaker rule) adds no label;
@@ -172,24 +179,35 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules:
     rows, null ids and other columns pass through or are ignored; no shuffle.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
+    low = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.lower(text).alias("low"))
+    text = F.col("text")
     words = F.concat(F.lit(" "), F.translate(F.trim(F.regexp_replace(text, GAP, " ")), UPPER, UPPER.lower()), F.lit(" "))
-    hinted = docs.select(F.col(id_col).alias("doc_id"), F.regexp_count(text, F.lit(WORD)).cast("long").alias("n_words"),
-                         F.when(text.rlike(HINT), words).alias("w"))
+    hint = reduce(or_, [F.contains(F.col("low"), F.lit(h)) for h in HINTS]) | (F.contains(F.col("low"), F.lit("cc")) & text.rlike(CC_BY))
+    hinted = low.select("doc_id", F.regexp_count(text, F.lit(WORD)).cast("long").alias("n_words"), F.when(hint, words).alias("w"))
     w = F.col("w")
     table = F.array(*[F.struct(F.lit(r.keyword).alias("keyword"), F.lit(_framed(r.pattern)).alias("pattern"),
                                F.lit(r.label).alias("label"), F.lit(r.priority).alias("priority")) for r in rules])
-    keywords = sorted({r.keyword for r in rules})
-    known = F.array_compact(F.array(*[F.when(F.contains(w, F.lit(k)), F.lit(k)) for k in keywords]))
-    admitted = F.filter(table, lambda r: F.array_contains(F.col("known"), r["keyword"]))
+    keyword = "(?<= )(?:" + "|".join(sorted({r.keyword for r in rules}, key=lambda k: (-len(k), k))) + ")"
+    found_at = F.zip_with(_places(w, keyword), F.regexp_extract_all(w, F.lit(keyword), F.lit(0)), lambda s, k: F.struct(
+        F.greatest(s["start"] - REACH, F.lit(0)).alias("from"), k.alias("keyword")))
 
     def labelled(phrase: str, label: str) -> Column:
         return F.transform(_places(w, _framed(phrase)), lambda s: F.struct(s["start"].alias("start"), F.lit(label).alias("label")))
 
     base = F.flatten(F.array(*[labelled(p, label) for p, label in BASE.items()]))
-    hits = F.flatten(F.transform(admitted, lambda r: F.transform(_places(w, r["pattern"]), lambda s: F.struct(
-        s["start"].alias("start"), (-s["stop"]).alias("stop"), (-r["priority"]).alias("priority"), r["label"].alias("label")))))
-    found = (hinted.withColumn("known", F.when(w.isNotNull(), known))
-             .select("doc_id", "n_words", F.when(w.isNotNull(), base).alias("base"), F.when(w.isNotNull(), F.array_sort(hits)).alias("hits")))
+    near = F.transform("found_at", lambda a: F.struct(a["from"].alias("from"), a["keyword"].alias("keyword"), F.concat(
+        F.lit(" "), F.array_join(F.slice("ws", a["from"] + 1, F.lit(2 * REACH + 1)), " "), F.lit(" ")).alias("text")))
+
+    def hits_of(a: Column) -> Column:
+        mine = F.filter(table, lambda r: r["keyword"] == a["keyword"])
+        return F.flatten(F.transform(mine, lambda r: F.transform(_places(a["text"], r["pattern"]), lambda s: F.struct(
+            (a["from"] + s["start"]).alias("start"), (-(a["from"] + s["stop"])).alias("stop"), (-r["priority"]).alias("priority"),
+            r["label"].alias("label")))))
+
+    found = (hinted.withColumn("found_at", F.when(w.isNotNull(), found_at)).withColumn("ws", F.split(F.trim(w), " "))
+             .withColumn("near", F.when(w.isNotNull(), near))
+             .select("doc_id", "n_words", F.when(w.isNotNull(), base).alias("base"),
+                     F.when(w.isNotNull(), F.array_sort(F.array_distinct(F.flatten(F.transform("near", hits_of))))).alias("hits")))
     none = F.struct(F.lit(-1).alias("reach"), F.lit(0).alias("best"), F.lit(0).alias("kept"), F.array().cast("array<string>").alias("labels"))
 
     def keep(acc, h):
