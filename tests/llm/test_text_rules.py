@@ -63,6 +63,23 @@ def test_template_finds_the_region_and_constant_texts(spark):
     assert got[100] == got[108] and len(got[100]) >= 5            # all pages alike: nothing is taken for a template
 
 
+def host_texts(spark, bodies):
+    """page number -> lines of the text, for a host whose pages have these bodies."""
+    rows = [(i, f"https://host.example/{i}", f"<html><body>{b}</body></html>") for i, b in enumerate(bodies)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return {r.page_id: r.text.split("\n") for r in html_template.extract(pages).collect()}
+
+
+def test_a_lead_beside_the_body_stays(spark):
+    def body(i):
+        return (f"<div class=top>All our pages</div><div class=post><h1>Title {chr(97 + i)}</h1><div class=lead>lead {chr(97 + i)} in a few words</div>"
+                f"<div class=body><p>{f'body words {chr(97 + i)} ' * 20}</p></div></div><div class=end>page {i} of ours</div>")
+    got = host_texts(spark, map(body, range(9)))
+    for i in range(9):
+        x = chr(97 + i)
+        assert got[i] == [f"Title {x}", f"lead {x} in a few words", " ".join([f"body words {x}"] * 20)]
+
+
 def test_pages_odd_rows(spark):
     page = "<body><article><p>a</p></article>"
     rows = [(1, None, page), (2, "https://h.example/", None), (3, "no url", ""), (None, "https://h.example/x", page), (1, None, page)]
