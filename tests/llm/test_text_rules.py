@@ -80,6 +80,21 @@ def test_a_lead_beside_the_body_stays(spark):
         assert got[i] == [f"Title {x}", f"lead {x} in a few words", " ".join([f"body words {x}"] * 20)]
 
 
+@pytest.mark.parametrize("page,lines", [
+    ("<div class='content has-sidebar'><p>text of it</p></div>", ["text of it"]),
+    ("<div id='ad-free-article'><p>text of it</p></div><div class=sidebar-left>x</div>", ["text of it"]),
+    ("<div class='post no-comments'><p>text of it</p><ul class='share-links'><li>x</ul></div>", ["text of it"]),
+    ("<form id=aspnet><div class=menu>m</div><p>text of it</p></form>", ["text of it"]),
+    ("<div class=widget><p>text of it, longer</p></div><p>b</p>", ["text of it, longer", "b"]),
+    ("<p><a class='social'>Name</a> long paragraph</p><p><a class=social>x</a></p>", ["Name long paragraph"]),
+    ("<div class='ad'>x</div><article><br>Lead text<p>more</p></article>", ["Lead text", "more"]),
+    ("<article><p>short</p></article><div class=ad>an ad with far more text than that</div>", ["short"]),
+    ("<p>seen <span hidden>not</span> again</p>", ["seen again"]),
+])
+def test_names_alone_remove_no_article(page, lines):
+    assert text_of(f"<body>{page}</body>") == lines
+
+
 def test_pages_odd_rows(spark):
     page = "<body><article><p>a</p></article>"
     rows = [(1, None, page), (2, "https://h.example/", None), (3, "no url", ""), (None, "https://h.example/x", page), (1, None, page)]
