@@ -80,6 +80,19 @@ def test_a_lead_beside_the_body_stays(spark):
         assert got[i] == [f"Title {x}", f"lead {x} in a few words", " ".join([f"body words {x}"] * 20)]
 
 
+def test_teaser_articles_do_not_hide_the_real_text(spark):
+    def body(i, cards):
+        x = chr(97 + i)
+        return (f"<div class=text><p>real text {x}</p><p>more of {x}</p></div>" + "".join(
+            f"<article class=card>{x} card {chr(97 + c)}</article>" for c in range(cards)) + "<p>our site</p>")
+    for cards in (1, 3):
+        got = host_texts(spark, [body(i, cards) for i in range(9)])
+        for i in range(9):
+            x = chr(97 + i)
+            assert got[i] == [f"real text {x}", f"more of {x}", *(f"{x} card {chr(97 + c)}" for c in range(cards))]
+    assert text_of(body(0, 3)) == ["real text a", "more of a", "a card a", "a card b", "a card c", "our site"]
+
+
 @pytest.mark.parametrize("page,lines", [
     ("<div class='content has-sidebar'><p>text of it</p></div>", ["text of it"]),
     ("<div id='ad-free-article'><p>text of it</p></div><div class=sidebar-left>x</div>", ["text of it"]),
