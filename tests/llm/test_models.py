@@ -148,6 +148,17 @@ def test_odd_strings_match_the_library(library):
     assert mine.encode("a" * 20_000) == library.encode("a" * 20_000, add_special_tokens=False).ids
 
 
+def test_runs_of_mixed_white_space_match_the_library(library):
+    """White space runs without two adjacent ASCII spaces are one piece too."""
+    with open(VOCABULARY, encoding="utf-8") as f:
+        mine = bpe.ByteBPE(f.read())
+    rng = random.Random(2)
+    texts = ["a" + " \xa0" * n + tail for n in range(1, 20) for tail in ("", " ", " b", "b", "\n b")]
+    texts += ["".join(rng.choice([" \xa0", "\xa0", "\t ", " \n", " a", "b", "'s", "1", "\u2003 ", " \u3000"]) for _ in range(rng.randint(1, 12))) for _ in range(3000)]
+    for text in texts:
+        assert mine.encode(text) == library.encode(text, add_special_tokens=False).ids, ascii(text)
+
+
 def test_round_trip_through_tables(spark, odd_docs):
     ids = bpe.encode(odd_docs, VOCABULARY)
     back = sorted((str(r.doc_id), r.text) for r in bpe.decode(ids, VOCABULARY).collect())

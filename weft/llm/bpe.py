@@ -18,6 +18,8 @@ from weft.llm.common import map_columns
 
 #: The byte-level pre-tokeniser's split rule (fixed value).
 PIECE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: A space before white space or the end; this ``\s`` holds all that the split rule's holds.
+find_run = re.compile(r" (?:\s|\Z)").search
 
 
 def byte_letters() -> dict[str, int]:
@@ -102,9 +104,9 @@ class ByteBPE:
         return tuple(chain.from_iterable(map(self.pieces.__getitem__, self.find_pieces(part))))
 
     def encode_plain(self, text: str) -> Iterable[int]:
-        """A piece never goes on over a space after something else, so that a text
-        without double spaces can be cut before every space."""
-        if "  " in text:
+        """A piece goes on over a space only inside a run of white space, so that a text
+        whose spaces are all followed by something else can be cut before every space."""
+        if find_run(text):
             return chain.from_iterable(map(self.pieces.__getitem__, self.find_pieces(text)))
         first, *words = text.split(" ")
         return chain(self.encode_part(first), chain.from_iterable(map(self.spaced.__getitem__, words)))
