@@ -58,6 +58,17 @@ def test_language_odd_rows(spark, odd_docs, no_docs):
     assert langid.keep_identified(odd_docs).columns == odd_docs.columns
 
 
+def test_a_clean_text_of_any_length_is_kept(spark):
+    docs = documents(spark, "/root/testdata/sf0.1").select("doc_id", "text", "lang")
+    text = " ".join(r.text for r in docs.where("lang = 'en' and text is not null").orderBy("doc_id").collect())
+    text *= -(-10_500_000 // len(text))
+    assert len(text) > 10_000_000 and len(langid.words_of(text)) > 1_000_000
+    classify = langid.Classifier(langid.fit_dictionaries(documents(spark, "/root/testdata/sf0.01")), 6)
+    scores = {n: classify(text[:n]) for n in (100_000, 1_000_000, len(text))}
+    print(scores)
+    assert all(lang == "en" and score > 0.02 for lang, score in scores.values()), scores
+
+
 # ---- op5 --------------------------------------------------------------------------------------------
 
 def vectors(spark, rows):

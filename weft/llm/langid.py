@@ -12,6 +12,8 @@ from weft.llm.common import give_back, map_columns, training_row
 
 #: Language of texts without a letter, and of every text when nothing could be learned.
 UNDETERMINED = "und"
+#: Words are packed in pieces of so many bytes: what a dictionary saves is bounded, and would be lost in a longer piece.
+PIECE = 8192
 find_words = re.compile(r"[^\W\d_]+").findall
 
 
@@ -50,7 +52,7 @@ def fit_dictionaries(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 class Classifier:
-    """Chooses the language whose dictionary packs a text's words smallest."""
+    """Chooses the language whose dictionary packs a text's words smallest, summed over pieces of them."""
 
     def __init__(self, dictionaries: dict[str, bytes], level: int):
         self.packers = []
@@ -63,7 +65,8 @@ class Classifier:
         words = words_of(text)
         if not words or not self.packers:
             return UNDETERMINED, 0.0
-        sizes = [len(packer.compress(words)) for _, packer in self.packers]
+        pieces = [words[at:at + PIECE] for at in range(0, len(words), PIECE)]
+        sizes = [sum(len(packer.compress(p)) for p in pieces) for _, packer in self.packers]
         best = min(range(len(sizes)), key=sizes.__getitem__)  # ties: the language with more training rows
         others = [s for i, s in enumerate(sizes) if i != best]
         return self.packers[best][0], 1 - sizes[best] / min(others) if others else 1.0
@@ -76,7 +79,8 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc
              level: int = 6, min_margin: float = 0.005) -> DataFrame:
     """``(doc_id, lang_pred, score, rejected)`` for every row, from its whole text only.
 
-    ``score`` is the margin: by what share the best size is below the next.
+    ``score`` is the margin: by what share the best size is below the next.  Sizes
+    are sums over pieces of ``PIECE`` bytes, so that it does not shrink with length.
     ``rejected`` is set when it is under ``min_margin`` or the text is null or
     has no letter (``lang_pred`` is ``und`` then, score 0).  A single learned
     language scores 1.  Repeated rows come back as often; other columns are
