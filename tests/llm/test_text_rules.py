@@ -241,3 +241,32 @@ def test_rules_reject_junk_and_keep_labelled_good(spark, odd_docs, no_docs):
     assert all(r.kept == (not r.base_failed) for r in nothing)
     assert quality_rules.judge(odd_docs, labels).count() == odd_docs.count()
     assert quality_rules.judge(no_docs, labels).collect() == []
+
+
+def test_rules_are_tested_jointly(spark):
+    """Labels that certify the union of the rules at alpha are enough; false rejections of several rules add up."""
+    def plain(i):
+        return " ".join(f"plain{(i * 31 + j) % 997} words{j}" for j in range(40))
+
+    def starred(i):
+        return " ".join(f"word{i + j} *%" for j in range(40))
+
+    rows = [(i, plain(i), s) for s, n in (("de", 230), ("fr", 170)) for i in range(2000 * (s == "fr"), 2000 * (s == "fr") + n)]
+    rows += [(9000 + i, starred(i), s) for i, s in enumerate(("de", "fr"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i, _, _ in rows if i < 9000], "doc_id long, quality int")
+    got = {r.doc_id: r.kept for r in quality_rules.judge(docs, labels).collect()}
+    assert not got[9000] and got[9001]          # ln(0.05 / 2) / ln(0.98) = 183 labels
+    assert all(got[i] for i in got if i < 9000)
+
+
+def test_steps_match_a_plain_count(spark):
+    measured = spark.createDataFrame([(i, "en", i % 100 + 1, (i * 7) % 1100, i % 60, (i * 3) % (i % 100 + 1), i % 9, 8, False) for i in range(400)],
+                                     "doc_id long, stratum string, n_words long, word_chars long, n_symbols long, n_repeat_words long, n_dup_lines long, "
+                                     "n_lines long, base_failed boolean")
+    measured = measured.where("n_symbols <= word_chars and n_dup_lines <= n_lines")
+    want = collections.Counter()
+    for r in measured.select(*[F.ceil(F.expr(v) * 200).alias(r) for r, (v, _) in quality_rules.RULES.items()]).collect():
+        want["en", max([c for c in range(200) if any(r[x] > quality_rules._cell(x, c) for x in quality_rules.RULES)], default=-1)] += 1
+    labels = measured.select("doc_id", F.lit(1).alias("quality"))
+    assert quality_rules._histogram(measured, labels, "doc_id", "quality") == want

@@ -110,31 +110,48 @@ def fit_cutoffs(measured: DataFrame, labels: DataFrame, alpha: float = 0.02, del
     """``(stratum, rule, cutoff)``: certified on every labelled good document that passes the base rules.
 
     Of a stratum's good documents, all rules together reject more than
-    ``alpha`` with a probability under ``delta`` over all strata: alpha is
-    shared out among the rules and delta among strata and rules (Bonferroni).
-    A stratum with too few labels gets no cutoff below the top, so nothing of
-    it is rejected.  Labels are made unique by id (null ids left out; a
-    document labelled both ways counts as good).  What comes to the driver is
-    a histogram of strata x rules x 201 cells.
+    ``alpha`` with a probability under ``delta`` over all strata: the rules are
+    tightened together, in ``CELLS`` steps from the top to their floors, and
+    tested by the documents that any of them rejects; delta is shared out among
+    strata (Bonferroni).  A stratum with too few labels gets no cutoff below the
+    top, so nothing of it is rejected.  Labels are made unique by id (null ids
+    left out; a document labelled both ways counts as good).  What comes to the
+    driver is a histogram of strata x 201 steps.
     """
-    good = labels.where(F.col(label_col) == 1).select(F.col(id_col).alias("doc_id")).where("doc_id is not null").distinct()
-    rows = measured.where(~F.col("base_failed")).join(good, "doc_id")
-    cell = [F.struct(F.lit(r).alias("rule"), F.ceil(F.expr(v) * CELLS).cast("int").alias("cell")) for r, (v, _) in RULES.items()]
-    counts = rows.select("stratum", F.explode(F.array(*cell)).alias("x")).groupBy("stratum", "x.rule", "x.cell").count().collect()
-    strata = {r["stratum"] for r in counts}
+    counts = _histogram(measured, labels, id_col, label_col)
+    strata = {s for s, _ in counts}
     found = []
     for s in sorted(strata, key=lambda x: (x is None, x or "")):
-        for rule, (_, floor) in RULES.items():
-            by = [0] * (CELLS + 1)
-            for r in counts:
-                if r["stratum"] == s and r["rule"] == rule:
-                    by[r["cell"]] += r["count"]
-            above = (np.cumsum(by[::-1])[::-1] - by).tolist()
-            cut = certified_cutoff(above, sum(by), alpha / len(RULES), delta / (len(RULES) * len(strata)), round(floor * CELLS))
-            found.append((s, rule, cut / CELLS))
+        by = [counts.get((s, step), 0) for step in range(-1, CELLS)]
+        above = [*np.cumsum(by[:0:-1])[::-1].tolist(), 0]
+        cut = certified_cutoff(above, sum(by), alpha, delta / len(strata))
+        found += [(s, rule, _cell(rule, cut) / CELLS) for rule in RULES]
     return found
 
 
+def _cell(rule: str, step: int) -> int:
+    """The rule's cutoff at a step: the floor at step 0, the top at the last."""
+    floor = round(RULES[rule][1] * CELLS)
+    return floor - (floor - CELLS) * step // CELLS
+
+
+def _histogram(measured: DataFrame, labels: DataFrame, id_col: str, label_col: str) -> dict[tuple[str | None, int], int]:
+    """(stratum, the loosest step at which a rule rejects it) -> good documents; -1 if none does.
+
+    A document above its rule's floor is rejected at that step and all tighter
+    ones (``_cell`` solved for the step).
+    """
+    good = labels.where(F.col(label_col) == 1).select(F.col(id_col).alias("doc_id")).where("doc_id is not null").distinct()
+    rows = measured.where(~F.col("base_failed")).join(good, "doc_id")
+    steps = []
+    for value, floor in RULES.values():
+        low = round(floor * CELLS)
+        over = F.ceil(F.expr(value) * CELLS) - low - 1
+        steps.append(F.when(over >= 0, F.floor(over * CELLS / (CELLS - low))).otherwise(-1))
+    rows = rows.select("stratum", F.greatest(*steps).cast("int").alias("step")).groupBy("stratum", "step").count()
+    return {(r["stratum"], r["step"]): r["count"] for r in rows.collect()}
+
+
 def judge(docs: DataFrame, labels: DataFrame, alpha: float = 0.02, delta: float = 0.05, id_col: str = "doc_id",
           text_col: str = "text", stratum_col: str | None = "lang") -> DataFrame:
     """Every row's measures, ``base_failed`` and ``kept``; ``failed_rules`` names what rejected it.
