@@ -101,6 +101,32 @@ def test_recall_and_exact_scores(spark):
     assert np.mean(hits) >= 0.9 * 20
 
 
+@pytest.mark.parametrize("kind,whole", [("log-normal", 2048), ("log-normal", 64), ("few long", 2048), ("one long", 2048)])
+def test_recall_on_unequal_norms(spark, kind, whole):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(8000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if kind == "log-normal":
+        x *= rng.lognormal(0, 0.5, (8000, 1))
+    else:
+        x[7:8000:100 if kind == "few long" else 8000] *= 10
+    x = x.astype(np.float32)
+    table = vectors(spark, [(i, v) for i, v in enumerate(x.tolist())])
+    found = collections.defaultdict(set)
+    for r in cross_polytope.nearest(table, F.col("vec_id") % 100 == 0, cross_polytope.Plan(whole=whole)).collect():
+        found[r.query_id].add(r.vec_id)
+    score = x[::100].astype(np.float64) @ x.T.astype(np.float64)
+    score[np.arange(80), np.arange(0, 8000, 100)] = -np.inf
+    hits = [len(found[100 * i] & set(row.tolist())) / 20 for i, row in enumerate(np.argsort(-score, axis=1)[:, :20])]
+    assert np.mean(hits) >= 0.95 and min(hits) >= 0.7, (np.mean(hits), min(hits))
+
+
+def test_products_beyond_doubles_take_part(spark):
+    rows = [(0, [1e200, 0.0]), (1, [1e200, 1.0]), (2, [1e120, 0.0]), (3, [-1e200, 0.0]), (4, [1.0, 1e200])]
+    got = cross_polytope.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 0).collect()
+    assert [r.vec_id for r in sorted(got, key=lambda r: r["rank"])] == [1, 2, 4, 3]
+
+
 def test_ties_copies_and_small_tables(spark):
     copies = [(i, [1.0, 0.0, 0.5]) for i in range(40)] + [(100, [0.0, 1.0, 0.0])]
     got = cross_polytope.nearest(vectors(spark, copies), F.col("vec_id") % 20 == 0, cross_polytope.Plan(k=5)).collect()

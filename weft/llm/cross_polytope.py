@@ -14,13 +14,16 @@ from weft.llm.common import map_columns, materialise
 
 @dataclass(frozen=True)
 class Plan:
-    """Tables, probes a table and query, neighbours, the seed of the rotations, and rows in a cell's block."""
+    """Tables, probes a table and query, neighbours, the seed of the rotations, rows in a cell's block, norm
+    bands an octave, and the rows up to which a band is searched whole."""
 
     tables: int = 16
     probes: int = 8
     k: int = 20
     seed: int = 7
     block: int = 8192
+    bands: int = 4
+    whole: int = 2048
 
 
 def _transform(x: np.ndarray) -> np.ndarray:
@@ -49,6 +52,13 @@ def rotations(vectors: np.ndarray, plan: Plan):
         yield x
 
 
+def norm_bands(vectors: np.ndarray, plan: Plan) -> np.ndarray:
+    """Each row's band: its norm's logarithm, rounded down (halfway bounds keep unit norms off the edges)."""
+    scale = np.abs(vectors).max(axis=1)
+    norm = np.log2(scale) + np.log2(np.linalg.norm(vectors / scale[:, None], axis=1))
+    return np.floor(norm * plan.bands + 0.5).astype(np.int64)
+
+
 def nearest_axes(x: np.ndarray, count: int) -> np.ndarray:
     """The ``count`` signed axes (all, if fewer) next to each row, nearest first: 2i for +i, 2i + 1 for -i."""
     along = np.empty((len(x), 2 * x.shape[1]))
@@ -61,6 +71,7 @@ def _hash_rows(plan: Plan):
         number, ids, vectors, query = columns
         codes: list = [None] * len(ids)
         probes: list = [None] * len(ids)
+        band: list = [0] * len(ids)
         by_dim: dict[int, list[int]] = {}
         for i, v in enumerate(vectors):
             by_dim.setdefault(len(v), []).append(i)
@@ -71,11 +82,11 @@ def _hash_rows(plan: Plan):
             for r in rotations(x, plan):
                 found.append(nearest_axes(r, 1)[:, 0])
                 asked.append(nearest_axes(r[ask], plan.probes))
-            for i, c in zip(at, np.stack(found, 1).tolist()):
-                codes[i] = c
+            for i, c, b in zip(at, np.stack(found, 1).tolist(), norm_bands(x, plan).tolist()):
+                codes[i], band[i] = c, b
             for i, p in zip(ask, np.stack(asked, 1).tolist()):
                 probes[at[i]] = p
-        return [number, ids, vectors, codes, probes]
+        return [number, ids, vectors, codes, probes, band]
 
     return run
 
@@ -93,6 +104,11 @@ def _matrix(table: pa.Table, name: str, *shape: int) -> np.ndarray:
     return column.to_numpy(zero_copy_only=False).reshape(table.num_rows, *shape, -1)
 
 
+def _double(x: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):  # beyond the largest double: infinite, and ranked so
+        return x.astype(np.float64, copy=False)
+
+
 def _rerank(plan: Plan):
     """One cell: exact scores of its rows for its queries, the best ``k`` of each.
 
@@ -112,21 +128,24 @@ def _rerank(plan: Plan):
         all_p = _matrix(queries, "probes", plan.tables) if table >= 0 else None
         q_ids, q_number = queries.column("id").to_numpy(), queries.column("n").to_numpy()
         axes = int(max(codes.max(), all_p.max() if all_p is not None else 0)) + 1
+        if float(np.abs(all_q).max()) * float(np.abs(x).max()) * x.shape[1] > 1e300:  # products would overflow on the way
+            all_q, x = all_q.astype(np.longdouble), x.astype(np.longdouble)
         out = []
         for a in range(0, len(all_q), 256):
             q = all_q[a:a + 256]
-            score = q @ x.T
+            score = _double(q @ x.T)
+            skip = q_number[a:a + 256, None] == number[None, :]
             if table > 0:
                 probed = np.zeros((len(q), table, axes), bool)
                 np.put_along_axis(probed, all_p[a:a + 256, :table], True, axis=2)
                 for t in range(table):
-                    score[probed[:, t][:, codes[:, t]]] = -np.inf
-            score[q_number[a:a + 256, None] == number[None, :]] = -np.inf
+                    skip |= probed[:, t][:, codes[:, t]]
+            score[skip] = -np.inf
             k = min(plan.k, len(x))
             last = np.partition(score, len(x) - k, axis=1)[:, len(x) - k]
             slack = 1e-9 * (1 + np.abs(np.where(np.isfinite(last), last, 0)))  # sums in another order differ by less
-            i, j = np.nonzero((score >= (last - slack)[:, None]) & np.isfinite(score))
-            exact = (q[i] * x[j]).sum(axis=1)
+            i, j = np.nonzero((score >= (last - slack)[:, None]) & ~skip)
+            exact = _double((q[i] * x[j]).sum(axis=1))
             order = np.lexsort((number[j], ids[j], -exact, i))
             i, j, exact = i[order], j[order], exact[order]
             place = np.arange(len(i)) - np.searchsorted(i, i)
@@ -138,11 +157,11 @@ def _rerank(plan: Plan):
 
 
 def _search(rows: DataFrame, queries: DataFrame, plan: Plan) -> DataFrame:
-    """Pairs of the best from cells ``(dim, tab, cell)``, each cut into blocks of rows and of queries.
+    """Pairs of the best from cells ``(dim, band, tab, cell)``, each cut into blocks of rows and of queries.
 
-    The counts that cut them have a row a cell: tables x 2 x dimension.
+    The counts that cut them have a row a cell: bands x tables x 2 x dimension.
     """
-    cell = ["dim", "tab", "cell"]
+    cell = ["dim", "band", "tab", "cell"]
     cuts = (rows.groupBy(*cell).count().withColumnRenamed("count", "r").join(queries.groupBy(*cell).count(), cell)
             .select(*cell, F.ceil(F.col("r") / plan.block).cast("int").alias("rb"), F.ceil(F.col("count") / plan.block).cast("int").alias("qb")))
     own = F.pmod(F.xxhash64("n"), F.col("rb")).cast("int"), F.pmod(F.xxhash64("n"), F.col("qb")).cast("int")
@@ -164,7 +183,10 @@ def nearest(vectors: DataFrame, is_query: Column, plan: Plan = Plan(), id_col: s
     query that found fewer than ``k`` rows is searched in all rows of its
     length, in blocks, so that small tables give every candidate.
 
-    Hashing goes by direction, so norms should be alike (unit vectors).
+    Hashing goes by direction, so rows are indexed by bands of like norms (a
+    quarter of an octave) and a query visits its axes in every band.  A band of
+    at most ``whole`` rows is searched whole: its best may lie at any angle.
+    Scores that pass the largest double are infinite and tie.
     Vectors that are null, zero, or hold a null or non-finite component take no
     part, nor do rows with a null id; vectors of different lengths do not meet.
     Rows with equal ids are separate candidates (and queries); a query skips
@@ -175,11 +197,18 @@ def nearest(vectors: DataFrame, is_query: Column, plan: Plan = Plan(), id_col: s
             .where(F.col("id").isNotNull() & _valid("vec")))
     kind = vectors.schema[vec_col].dataType.simpleString()
     hashed = materialise(map_columns(rows, [F.col(c) for c in ("n", "id", "vec", "__q")], _hash_rows(plan),
-                                     f"n long, id long, vec {kind}, codes array<int>, probes array<array<int>>"), "hashed")
+                                     f"n long, id long, vec {kind}, codes array<int>, probes array<array<int>>, band long"), "hashed")
     hashed = hashed.withColumn("dim", F.size("vec"))
-    cells = hashed.select("dim", "n", "id", "vec", "codes", F.posexplode("codes").alias("tab", "cell"))
+    sizes = F.broadcast(hashed.groupBy("dim", "band").agg((F.count("*") <= plan.whole).alias("whole")))  # a row a band
+    columns = ["dim", "band", "n", "id", "vec"]
+    tab = F.when(F.col("whole"), -1).otherwise(F.col("tab")).alias("tab")
+    codes = F.when(F.col("whole"), F.array(F.lit(0))).otherwise(F.col("codes"))
+    cells = (hashed.join(sizes, ["dim", "band"]).select(*columns, "codes", "whole", F.posexplode(codes).alias("tab", "cell"))
+             .select(*columns, "codes", tab, "cell"))
     asked = hashed.where("probes is not null").select("dim", "n", "id", "vec", "probes")
-    probes = asked.select("*", F.posexplode("probes").alias("tab", "axes")).select("dim", "n", "id", "vec", "probes", "tab", F.explode("axes").alias("cell"))
+    axes = F.when(F.col("whole"), F.array(F.array(F.lit(0)))).otherwise(F.col("probes"))
+    probes = (asked.join(sizes, "dim").select(*columns, "probes", "whole", F.posexplode(axes).alias("tab", "axes"))
+              .select(*columns, "probes", tab, F.explode("axes").alias("cell")))
     order = Window.partitionBy("qn").orderBy(F.desc("score"), "vec_id", "rn")
 
     def best(pairs: DataFrame) -> DataFrame:
@@ -189,7 +218,7 @@ def nearest(vectors: DataFrame, is_query: Column, plan: Plan = Plan(), id_col: s
     enough = found.where(F.col("rank") == plan.k).select(F.col("qn").alias("n"))
     short = materialise(asked.join(enough, "n", "left_anti"), "short")
     if not short.isEmpty():
-        whole = [F.lit(-1).alias("tab"), F.lit(0).alias("cell")]
+        whole = [F.lit(0).cast("long").alias("band"), F.lit(-1).alias("tab"), F.lit(0).alias("cell")]
         again = best(_search(hashed.select("dim", "n", "id", "vec", "codes", *whole), short.select("*", *whole), plan))
         found = found.join(short.select(F.col("n").alias("qn")), "qn", "left_anti").unionByName(again)
     return found.select("query_id", "rank", "vec_id", "score")
