@@ -83,6 +83,20 @@ def test_components_of_paths_and_stars(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_texts_that_share_an_id_or_have_none(spark):
+    """Different texts with one id stay apart; near copies with null ids are one group."""
+    rng = np.random.default_rng(8)
+    words = [f"w{i}" for i in rng.integers(0, 10**6, 4000)]
+    one, two, three = (" ".join(words[a:a + 1000]) for a in (0, 1000, 2000))
+    near = next(t for t in (f"{three} end{i} of it" for i in range(200)) if 0 < (vote(three) ^ vote(t)).bit_count() <= 4)
+    docs = spark.createDataFrame([(1, one), (1, two), (2, two), (None, three), (None, near), (3, "x y z")], "doc_id long, text string")
+    kept = sorted((str(r.doc_id), r.text) for r in simhash_index.keep_one(docs).collect())
+    assert [k for k in kept if k[0] != "None"] == sorted([("1", one), ("1", two), ("3", "x y z")])
+    assert len([k for k in kept if k[0] == "None"]) == 1
+    again = spark.createDataFrame([(1, one), (1, two), (2, one), (3, two)], "doc_id long, text string")
+    assert sorted(r.text for r in simhash_index.keep_one(again).collect()) == sorted([one, two])
+
+
 def test_keep_one(spark, odd_docs):
     kept = simhash_index.keep_one(odd_docs)
     assert kept.columns == odd_docs.columns

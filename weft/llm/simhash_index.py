@@ -163,6 +163,19 @@ def links(nodes: DataFrame, max_bits: int = 4, key_bytes: int = 3, chunk: int =
     return rows.repartition("key", "cell").sortWithinPartitions("key", "cell", "fp").mapInArrow(run, "a long, b long")
 
 
+def _groups(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bits: int, key_bytes: int, chunk: int,
+            row_col: str | None) -> tuple[DataFrame, DataFrame]:
+    """Rows ``(doc_id, fp, row)`` and ``(fp, group, least)``: each fingerprint's least reachable one and its least id.
+
+    Fingerprints themselves are the nodes, so that ids may repeat or be null.
+    """
+    marked = materialise(with_fingerprints(docs, id_col, text_col, shingle, row_col), "fingerprints")
+    nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("least")).withColumn("node", F.col("fp"))
+    known = materialise(nodes, "nodes")
+    label = connected_components(links(known, max_bits, key_bytes, chunk))
+    return marked, known.join(label, "node", "left").select("fp", F.coalesce("component", "fp").alias("group"), "least")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
                     max_bits: int = 4, key_bytes: int = 3, chunk: int = 4096, row_col: str | None = None) -> DataFrame:
     """``(doc_id, fingerprint, component_id)`` for every row (and ``row_col``, a number, if one is named).
@@ -170,17 +183,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``component_id`` is the smallest id reachable over links of at most
     ``max_bits`` differing bits.  Equal fingerprints collapse to one node before
     the index, so copies cost a row in an aggregate.  Null or word-less texts
-    have fingerprint zero and link like any other.  Rows with a null id carry
-    the component of their fingerprint (null if no other row has one).
-    Repeated rows come back as often as they came.  Other columns are ignored.
+    have fingerprint zero and link like any other.  Rows with a null id link
+    too (their component is null if it holds no other row).  Texts that share
+    an id are separate nodes.  Repeated rows come back as often as they came.
+    Other columns are ignored.
     """
-    marked = materialise(with_fingerprints(docs, id_col, text_col, shingle, row_col), "fingerprints")
-    nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("node"))
-    known = materialise(nodes, "nodes")
-    found = links(known.where(F.col("node").isNotNull()), max_bits, key_bytes, chunk)
-    label = connected_components(found)
-    of = (known.join(label, "node", "left")
-          .select("fp", F.coalesce("component", "node").alias("component_id")))
+    marked, of = _groups(docs, id_col, text_col, shingle, max_bits, key_bytes, chunk, row_col)
+    # only groups of several fingerprints need the join back
+    of = materialise(of, "groups")
+    many = of.groupBy("group").agg(F.min("least").alias("component_id"), F.count("*").alias("n")).where("n > 1").drop("n")
+    of = of.join(many, "group", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
     return (marked.join(of, "fp")
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id",
                     *([F.col("row").alias(row_col)] if row_col else [])))
@@ -193,8 +205,7 @@ def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
     one.  Rows are numbered and written first, so that ids may repeat.
     """
     rows = materialise(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
-    found = near_duplicates(rows, shingle=shingle, max_bits=max_bits, row_col="__row")
-    alone = F.when(F.col("component_id").isNull(), F.col("fingerprint"))
-    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row")
-    kept = found.groupBy("component_id", alone.alias("fp")).agg(F.min_by("__row", first).alias("__row"))
+    marked, of = _groups(rows, "doc_id", "text", shingle, max_bits, 3, 4096, "__row")
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+    kept = marked.join(of, "fp").groupBy("group").agg(F.min_by("row", first).alias("__row"))
     return rows.join(kept.select("__row"), "__row", "left_semi").select(*docs.columns)
