@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm import bpe, cross_polytope, entropy_mix, html_template, langid, license_rules, ngram_trie, quality_rules, simhash_index, suffix_dedup
+from weft.llm import (bpe, cross_polytope, entropy_mix, hard_negatives, html_template, langid, license_rules, ngram_trie, periodic_runs, quality_rules, simhash_index,
+                      suffix_dedup, url_filter)
 from weft.session import read_table
 
 #: Vocabulary of op6, and the weights that op9's sources take in turn.
@@ -61,9 +62,76 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_index.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
+#: op11's rules, and the same in SQL.
+RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+OP11_SQL = """
+WITH cut AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END AS rest FROM pages),
+parsed AS (SELECT page_id, coalesce(translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+                  coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path, row_number() OVER () AS n FROM cut),
+rules(verdict, h, p) AS (VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')),
+fits AS (SELECT n, r.verdict, h || p AS rule, row_number() OVER (PARTITION BY n ORDER BY length(h || p) DESC, length(h) DESC) AS place
+         FROM parsed JOIN rules r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p))
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+FROM parsed LEFT JOIN (SELECT * FROM fits WHERE place = 1) USING (n)
+"""
+
+
+def op11_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter.judge(read_table(spark, sf_dir, "pages").select("page_id", "url"), url_filter.rule_table(spark, RULES))
+    return judged.select("row.page_id", "host", "path", "rule", "verdict")
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """op12's input: where crc32(doc_id) ends in 0, the words from ``a`` on repeat the ``p`` words there."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), 0)
+    made = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, words).alias("words"))
+    n, g = F.size("words"), F.floor(F.col("h") / 10)
+    made = made.withColumn("n", n).withColumn("a", (g % F.col("n")).cast("int")).withColumn(
+        "p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + g % 8))).cast("int"))
+    period, left = F.slice("words", F.col("a") + 1, F.col("p")), F.col("n") - F.col("a")
+    tail = F.slice(F.flatten(F.array_repeat(period, F.ceil(left / F.col("p")).cast("int"))), F.lit(1), left)
+    planted = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), tail), " ")
+    return made.select("doc_id", F.when(F.col("n") > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(with_planted_periods(read_table(spark, sf_dir, "documents")), min_length=6, min_exponent=4)
+    first = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    found = found.withColumn("most", first)
+    start, length, period = -F.col("most.col2"), F.col("most.length"), -F.col("most.col3")
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), start.alias("start"), length.alias("length"), period.alias("period"),
+                        F.floor(1000 * length / period).alias("exponent_milli"),
+                        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+OP13_SQL = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, CAST(list_dot_product(a.e, b.e) AS BIGINT) AS s
+      FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+pos AS (SELECT a, b, s FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY s DESC, b) <= 5)
+SELECT p.a AS anchor_id, p.b AS positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, n.b AS negative_id,
+       p.s AS positive_score, n.s AS negative_score
+FROM pos p JOIN s n ON n.a = p.a AND NOT n.same AND 30 * p.s <= 100 * n.s AND 100 * n.s <= 90 * p.s
+WINDOW w AS (PARTITION BY p.a, p.b ORDER BY n.s DESC, n.b)
+QUALIFY row_number() OVER w <= 10
+"""
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    plan = hard_negatives.Plan(positives=5, negatives=10, low=30, high=90)
+    return hard_negatives.mine(vectors.select("vec_id", "embedding", label.alias("label")), F.col("vec_id") % 100 == 0, plan, scale=256)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op11_url_cascade": OP11_SQL, "op13_hard_negatives": OP13_SQL}
