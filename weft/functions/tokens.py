@@ -9,10 +9,11 @@ an Arrow-batched pandas UDF.
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable, Sequence
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,11 +34,14 @@ class HashTokenizer:
 
     Special ids: pad 0, bos 1, eos 2 by default.  ``algorithm="xxhash64"``
     uses Spark's code-generated xxhash64 instead of md5 (about 8x cheaper per
-    token) when ids need not be reproduced outside Spark.
+    token) when ids need not be reproduced outside Spark.  ``monotone`` says
+    that a longer text never has fewer tokens (true of the default pattern);
+    history look-backs are bounded by it.
     """
 
     def __init__(self, vocab_size: int = 32000, pad_id: int = 0, bos_id: int = 1,
-                 eos_id: int = 2, reserved: int = 3, pattern: str = TOKEN_PATTERN, algorithm: str = "md5"):
+                 eos_id: int = 2, reserved: int = 3, pattern: str = TOKEN_PATTERN, algorithm: str = "md5",
+                 monotone: bool | None = None):
         if algorithm not in ("md5", "xxhash64"):
             raise ValueError("algorithm must be 'md5' (portable, checkable in DuckDB) or 'xxhash64' (fast)")
         self.algorithm = algorithm
@@ -47,6 +51,7 @@ class HashTokenizer:
         self.eos_id = eos_id
         self.reserved = reserved
         self.pattern = pattern
+        self.monotone = pattern == TOKEN_PATTERN if monotone is None else monotone
 
     # -- Spark ---------------------------------------------------------
     def tokens(self, text) -> Column:
@@ -95,6 +100,89 @@ class HashTokenizer:
         return f"({n} + 1)" if add_special else n
 
 
+class VocabTokenizer:
+    """Ids from a vocabulary table ``(token, id)``, looked up in the JVM.
+
+    The table (at most ``max_size`` tokens, checked) is read once into a
+    session variable: an array of as many buckets as tokens, indexed by the
+    token's hash, with the few entries of a bucket compared as text, so a
+    lookup costs the same for any vocabulary and exactly its tokens match.
+    The optimizer makes the variable a constant of the plan, which is how it
+    reaches each executor.
+
+    Words (``pattern``) outside the vocabulary are ``unk_id``.  With
+    ``greedy`` they are cut from the left into the longest vocabulary tokens
+    (of up to ``max_piece`` characters); a character that begins none is
+    ``unk_id``, and so is a whole word of more than ``max_word`` characters.
+    A token listed twice has its smallest id; rows with a null are ignored."""
+
+    def __init__(self, table: DataFrame, unk_id: int, pad_id: int = 0, bos_id: int = 1, eos_id: int = 2, token_col: str = "token",
+                 id_col: str = "id", greedy: bool = False, pattern: str = TOKEN_PATTERN, max_size: int = 1_000_000,
+                 max_piece: int = 32, max_word: int = 200):
+        self.unk_id, self.pad_id, self.bos_id, self.eos_id = unk_id, pad_id, bos_id, eos_id
+        self.greedy, self.pattern, self.max_piece, self.max_word = greedy, pattern, max_piece, max_word
+        self.monotone = pattern == TOKEN_PATTERN and not greedy
+        spark = table.sparkSession
+        rows = (table.select(F.col(token_col).alias("token"), F.col(id_col).cast("int").alias("id"))
+                .where("token is not null and id is not null").groupBy("token").agg(F.min("id").alias("id")))
+        size = rows.count()
+        if size > max_size:
+            raise ValueError(f"a vocabulary of {size} tokens; at most {max_size} are held by each executor")
+        self.buckets = 1 << max(0, size - 1).bit_length()
+        own = rows.groupBy(self._bucket(F.col("token")).alias("b")).agg(F.collect_list(F.struct("token", "id")).alias("e"))
+        every = spark.range(self.buckets).select(F.col("id").cast("int").alias("b")).join(own, "b", "left")
+        name = f"weft_vocabulary_{uuid.uuid4().hex}"
+        every.agg(F.transform(F.array_sort(F.collect_list(F.struct("b", "e"))), lambda x: x["e"]).alias("v")).createOrReplaceTempView(name)
+        spark.sql(f"DECLARE OR REPLACE VARIABLE {name} ARRAY<ARRAY<STRUCT<token:STRING,id:INT>>>")
+        spark.sql(f"SET VAR {name} = (SELECT v FROM {name})")
+        spark.catalog.dropTempView(name)
+        self._held = F.expr(name)
+
+    def _bucket(self, token: Column) -> Column:
+        return F.pmod(F.xxhash64(token), F.lit(self.buckets)).cast("int")
+
+    def lookup(self, token: Column) -> Column:
+        """Id of a token; null if the vocabulary has none."""
+        return F.get(F.filter(F.get(self._held, self._bucket(token)), lambda e: e["token"] == token), F.lit(0))["id"]
+
+    def _cut(self, word: Column) -> Column:
+        """ARRAY<INT>: the longest tokens from the left."""
+        start = F.struct(F.lit(1).alias("next"), F.array().cast("array<int>").alias("ids"))
+
+        def step(acc: Column, i: Column) -> Column:
+            sizes = F.sequence(F.least(F.lit(self.max_piece), F.length(word) - i + 1), F.lit(1), F.lit(-1))
+            found = F.filter(F.transform(sizes, lambda n: F.struct(n.alias("n"), self.lookup(F.substr(word, i, n)).alias("id"))),
+                             lambda x: x["id"].isNotNull())
+            best = F.coalesce(F.get(found, F.lit(0)), F.struct(F.lit(1).alias("n"), F.lit(self.unk_id).alias("id")))
+            longer = F.transform(F.array(best), lambda b: F.struct((i + b["n"]).alias("next"), F.concat(acc["ids"], F.array(b["id"])).alias("ids")))[0]
+            return F.when(i < acc["next"], acc).otherwise(longer)
+
+        cut = F.aggregate(F.sequence(F.lit(1), F.length(word)), start, step)["ids"]
+        return F.when(F.length(word) <= self.max_word, cut).otherwise(F.array(F.lit(self.unk_id)))
+
+    def tokens(self, text) -> Column:
+        return F.regexp_extract_all(_col(text), F.lit(self.pattern), 0)
+
+    def ids(self, text, add_special: bool = False) -> Column:
+        if self.greedy:
+            out = F.flatten(F.transform(self.tokens(text), lambda w: F.transform(
+                F.array(self.lookup(w)), lambda i: F.when(i.isNull(), self._cut(w)).otherwise(F.array(i)))[0]))
+        else:
+            out = F.transform(self.tokens(text), lambda w: F.coalesce(self.lookup(w), F.lit(self.unk_id)))
+        return F.concat(F.array(F.lit(self.bos_id)), out) if add_special else out
+
+    def count(self, text, add_special: bool = False) -> Column:
+        n = F.size(self.ids(text) if self.greedy else self.tokens(text))
+        return n + 1 if add_special else n
+
+    def ids_many(self, texts) -> Column:
+        """ARRAY<STRING> -> ARRAY<ARRAY<INT>>."""
+        return F.transform(_col(texts), lambda t: self.ids(t))
+
+    def count_many(self, texts) -> Column:
+        return F.transform(_col(texts), lambda t: self.count(t))
+
+
 class PandasTokenizer:
     """Wrap a user encode function ``list[str] -> list[list[int]]``.
 

@@ -4,10 +4,12 @@ budget fitting (T9-T12, F2, F6) and cumulative transcripts (W1, W6).
 All budget logic is row-local: per-turn lengths are carried in an array and
 folded newest-first with ``aggregate``; only the kept suffix of the history
 is materialised as text/ids.  The shuffles are the pair join on
-``(conv_id, turn)`` and the history window of T8, which with a bounded
+``(conv_id, turn)`` and the history of T8, which with a bounded
 look-back runs per (conversation, chunk) with a halo of the previous rows, so
 a huge conversation spreads over many tasks.  Without a bound T8's output is
-quadratic in the conversation by definition, as are W1 and W6.
+quadratic in the conversation by definition, as are W1 and W6: there
+:func:`with_earlier` scans over chunks of a conversation, so that tasks hold a
+chunk's rows and what comes before them, and no window runs over a conversation.
 """
 
 from __future__ import annotations
@@ -52,12 +54,54 @@ def chat_pairs(turns: DataFrame, conv: str = "conv_id", turn: str = "turn",
     return salted.join(system, ["conv_id", "salt"], "left").drop("salt")
 
 
+def with_earlier(df: DataFrame, conv: str, order: str, item: Column, out: str, as_text: bool = False, chunk: int = 64,
+                 position: str | None = None) -> DataFrame:
+    """``out`` = the ``item`` of every earlier row of the conversation, oldest first: an array, or one text (nulls skipped).
+
+    A segmented prefix scan.  Rows get a dense position and are gathered into
+    chunks of ``chunk`` rows.  Each later chunk asks for each earlier one by
+    (conversation, chunk), a small table of numbers, so a conversation of n
+    rows moves n * n / (2 * chunk) items, spread over n * n / (2 * chunk *
+    chunk) keys; a chunk's prefix is put together once, and its rows add the
+    rows before them in the chunk.  A null conversation is one too.
+    ``position`` names a column for the 0-based place."""
+    from weft.operators.split import ordered_index
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    d = df.select(F.col(conv).alias("_conv"), F.col(order).alias("_order"), row.alias("_row"), item.alias("_item"))
+    d = ordered_index(d, ["_order"], out="_pos", partition_cols=["_conv"])
+    blocks = (d.groupBy("_conv", F.floor(F.col("_pos") / chunk).alias("_chunk"))
+              .agg(F.array_sort(F.collect_list(F.struct("_pos", F.struct("_item", "_row").alias("x")))).alias("_xs"))
+              .withColumn("_xs", F.transform("_xs", lambda e: e["x"])))
+
+    def items(xs: Column) -> Column:
+        return F.transform(xs, lambda e: e["_item"])
+
+    def joined(parts: Column) -> Column:
+        return F.array_join(parts, "") if as_text else F.flatten(parts)
+
+    content = F.array_join(items(F.col("_xs")), "") if as_text else items(F.col("_xs"))
+    asked = blocks.where(F.col("_chunk") > 0).select(F.col("_conv").alias("_ac"), F.col("_chunk").alias("_at"),
+                                                     F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_chunk") - 1)).alias("_b"))
+    held = blocks.select("_conv", F.col("_chunk").alias("_hc"), content.alias("_held"))
+    prefix = (asked.join(held, F.col("_ac").eqNullSafe(F.col("_conv")) & (F.col("_b") == F.col("_hc")))
+              .groupBy("_ac", "_at").agg(F.array_sort(F.collect_list(F.struct("_b", "_held"))).alias("_parts"))
+              .select("_ac", "_at", joined(F.transform("_parts", lambda e: e["_held"])).alias("_prefix")))
+    both = blocks.join(prefix, F.col("_conv").eqNullSafe(F.col("_ac")) & (F.col("_chunk") == F.col("_at")), "left")
+    rows = both.select("_prefix", "_xs", "_chunk", F.posexplode("_xs").alias("_i", "_x"))
+    near = items(F.slice("_xs", F.lit(1), F.col("_i")))
+    before = (F.concat(F.coalesce("_prefix", F.lit("")), F.array_join(near, "")) if as_text
+              else F.when(F.col("_prefix").isNull(), near).otherwise(F.concat("_prefix", near)))
+    place = [(F.col("_chunk") * chunk + F.col("_i")).alias(position)] if position else []
+    return rows.select("_x._row.*", before.alias(out), *place)
+
+
 def expand_history(pairs: DataFrame, conv: str = "conv_id", order: str = "turn",
                    query: str = "query", response: str = "response", max_history: int | None = None,
                    chunk: int = 4096, carry: dict[str, str] | None = None) -> DataFrame:
     """One row per turn with all earlier turns of the conversation as
     ``history`` ARRAY<STRUCT<query, answer>> (chronological).
 
+    Without ``max_history`` the turns come from :func:`with_earlier`.
     ``max_history`` bounds the look-back frame.  With a token budget it can
     be set exactly (see :func:`max_fitting_turns`): turns beyond it could
     never be kept, so results are unchanged while rows stop growing with the
@@ -70,8 +114,7 @@ def expand_history(pairs: DataFrame, conv: str = "conv_id", order: str = "turn",
     extra = [F.col(src).alias(name) for name, src in (carry or {}).items()]
     struct = F.struct(F.col(query).alias("query"), F.col(response).alias("answer"), *extra)
     if max_history is None:
-        w = Window.partitionBy(conv).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-        return pairs.withColumn("history", F.collect_list(struct).over(w))
+        return with_earlier(pairs, conv, order, struct, "history")
     if max_history <= 0:   # an empty array of the history struct type
         return pairs.withColumn("history", F.filter(F.array(struct), lambda x: F.lit(False)))
     from weft.operators.split import ordered_index
@@ -121,20 +164,28 @@ def expand_nested(df: DataFrame, chat: str = "chat", q: str = "input", a: str =
             .drop("_cur"))
 
 
-def min_turn_cost(tokenizer=DEFAULT_TOKENIZER, style: dict | None = None) -> int | None:
-    """Fewest tokens any rendered history turn can cost (the role markers of
-    an empty turn), or None when the tokenizer gives no static bound.
+def _empty_turn(style: dict) -> list[str]:
+    """The pieces of a history turn that are tokenised apart, for an empty question and answer: role-marker styles have an
+    end token, round styles a header a round."""
+    if "eos_token" in style:
+        return [style["user_token"] + "\n" + style["assistant_token"] + "\n" + style["eos_token"]]
+    return ["[Round 1]\n\n", style["user_token"] + "\n\n" + style["assistant_token"] + "\n\n"]
 
-    The tokenizer's pattern is a Java regex; Python's engine agrees with it on
-    ASCII markers for patterns whose classes Java reads as ASCII, so it is
-    asked with the ASCII flag, and other markers give no bound."""
-    import re
-    s = style or ROLE_MARKER_STYLE
-    pattern = getattr(tokenizer, "pattern", None)
-    marks = s["user_token"] + "\n" + s["assistant_token"] + "\n" + s.get("eos_token", "")
-    if pattern is None or not marks.isascii():
+
+def min_turn_cost(tokenizer=DEFAULT_TOKENIZER, style: dict | None = None) -> int | None:
+    """Fewest tokens any rendered history turn can cost (the markers of an
+    empty turn), or None when the tokenizer gives no static bound.
+
+    The tokenizer's own expression counts them, in Spark: a literal row, folded
+    by the optimizer without a job, so any alphabet and pattern is read as it
+    will be at run time.  A tokenizer gives a bound if ``monotone``: more text
+    never means fewer tokens."""
+    from pyspark.sql import SparkSession
+    if not getattr(tokenizer, "monotone", False):
         return None
-    return len(re.findall(pattern, marks, re.ASCII))
+    spark = SparkSession.active()
+    costs = [tokenizer.count(F.lit(text)) for text in _empty_turn(style or ROLE_MARKER_STYLE)]
+    return sum(spark.sql("SELECT 1").select(*costs).first())
 
 
 def max_fitting_turns(budget: int, tokenizer=DEFAULT_TOKENIZER, style: dict | None = None) -> int | None:
@@ -369,10 +420,10 @@ def inference_context(df: DataFrame, budget: int, tokenizer=DEFAULT_TOKENIZER, s
 
 def cumulative_questions(pairs: DataFrame, conv: str = "conv_id", order: str = "turn",
                          query: str = "query", response: str = "response") -> DataFrame:
-    """Per turn, ``input: q1output: a1...input: q_i`` over the conversation."""
-    w = Window.partitionBy(conv).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    prev = F.collect_list(F.concat(F.lit("input: "), F.col(query), F.lit("output: "), F.col(response))).over(w)
-    return pairs.withColumn("question", F.concat(F.array_join(prev, ""), F.lit("input: "), F.col(query)))
+    """Per turn, ``input: q1output: a1...input: q_i`` over the conversation (see :func:`with_earlier`)."""
+    line = F.concat(F.lit("input: "), F.col(query), F.lit("output: "), F.col(response))
+    out = with_earlier(pairs, conv, order, line, "_before", as_text=True)
+    return out.withColumn("question", F.concat("_before", F.lit("input: "), F.col(query))).drop("_before")
 
 
 def _fill(template: str, values: dict[str, Column]) -> Column:
@@ -395,10 +446,9 @@ def role_play_transcript(pairs: DataFrame, student_instruction: str, teacher_ins
     ``{user_profile}`` (the ``profile`` column)."""
     s_line = F.concat(F.lit("<student>: "), F.col(query), F.lit("\n</student>\n"))
     t_line = F.concat(F.lit("<teacher>: "), F.col(response), F.lit("\n</teacher>\n"))
-    w_before = Window.partitionBy(conv).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    out = (pairs.withColumn("_sl", s_line).withColumn("_tl", t_line)
-                .withColumn("_before", F.array_join(F.collect_list(F.concat(s_line, t_line)).over(w_before), "")))
-    out = (out.withColumn("key", F.concat(F.lit("turn_"), F.row_number().over(Window.partitionBy(conv).orderBy(order)).cast("string")))
+    out = with_earlier(pairs, conv, order, F.concat(s_line, t_line), "_before", as_text=True, position="_pos")
+    out = (out.withColumn("_sl", s_line).withColumn("_tl", t_line)
+              .withColumn("key", F.concat(F.lit("turn_"), (F.col("_pos") + 1).cast("string")))
               .withColumn("student_prompt", F.concat(F.lit(student_instruction), F.col("_before")))
               .withColumn("teacher_prompt", F.concat(F.lit(teacher_instruction), F.col("_before"), F.col("_sl")))
               .withColumn("transcript", F.concat(F.col("_before"), F.col("_sl"), F.col("_tl"))))
@@ -406,7 +456,7 @@ def role_play_transcript(pairs: DataFrame, student_instruction: str, teacher_ins
         prof = F.coalesce(F.col(profile), F.lit("")) if profile else F.lit("")
         out = out.withColumn("profiler_prompt", _fill(profiler_template, {
             "dialog": F.concat(F.col("_before"), F.col("_sl")), "user_profile": prof}))
-    return out.drop("_sl", "_tl", "_before")
+    return out.drop("_sl", "_tl", "_before", "_pos")
 
 
 # Encode styles by model family; users may register their own

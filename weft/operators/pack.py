@@ -2,47 +2,52 @@
 
 Packing never gathers a group's tokens into one row or one task:
 
-1. each document gets its exclusive token offset inside its pack group
-   through a two-level prefix sum (per-chunk totals, then offsets inside
-   the chunk), so even a group holding a third of all rows is spread over
-   many tasks;
-2. each document emits one slice per block it overlaps;
-3. ``groupBy(group, block)`` reassembles a block from its (at most
+1. texts are put in order, tokenised once and written as ids with their count;
+2. each document gets its exclusive token offset inside its pack group from
+   the counts (running sums inside chunks of rows, and per-chunk totals), so
+   even a group holding a third of all rows is spread over many tasks;
+3. each document emits one slice per block it overlaps;
+4. ``groupBy(group, block)`` reassembles a block from its (at most
    block-size) pieces in offset order.
-
-Each text is tokenised once, before the first shuffle; from there on ids
-travel, not texts.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weft.functions.tokens import DEFAULT_TOKENIZER
-from weft.operators.split import ordered_index
+from weft.operators.split import ordered_rows
 
 
-def running_sums(df: DataFrame, group: str, order: str, cols: dict[str, str], chunk: int = 4096) -> DataFrame:
+def running_sums(df: DataFrame, group: str, order: str, cols: dict[str, str], chunk: int = 4096,
+                 derive: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Exclusive running sums of several columns within ``group`` in
-    ``order``: ``cols`` maps input column -> output column.
-
-    Rows get their dense place in the group (:func:`ordered_index`, so sparse,
-    float or null orders and one huge group are all alike) and are cut into
-    chunks of ``chunk`` places.  A window runs inside each chunk; chunk totals
-    (one row per ``chunk`` rows) take the group-wide window."""
-    d = ordered_index(df, [order], out="_place", partition_cols=[group])
-    d = d.withColumn("_chunk", F.floor(F.col("_place") / chunk))
-    inside = Window.partitionBy(group, "_chunk").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+    ``order``: ``cols`` maps input column -> output column (``derive`` may add
+    the input columns, see :func:`ordered_rows`).
+
+    Rows are written in order (sparse, float or null orders and one huge group
+    are all alike) and cut into chunks of ``chunk`` places.  A window runs
+    inside each chunk and group.  Only the group that a chunk begins with can
+    have rows in earlier chunks; its sum so far (from per-chunk totals, read
+    from the narrow columns alone) is joined on the chunk, which the rows are
+    already partitioned by."""
+    d = ordered_rows(df, [group, order], derive).withColumn("_chunk", F.floor(F.col("_mid") / chunk))
+    totals = d.groupBy("_chunk", group).agg(*[F.sum(c).alias(f"_s_{o}") for c, o in cols.items()])
+    before = Window.partitionBy(group).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    start = totals.select(F.col("_chunk").alias("_c"), F.col(group).alias("_g"), F.count(F.lit(1)).over(before).alias("_earlier"),
+                          *[F.sum(f"_s_{o}").over(before).alias(f"_s_{o}") for o in cols.values()]).where(F.col("_earlier") > 0)
+    d = d.repartition("_chunk")
+    inside = Window.partitionBy("_chunk", group).orderBy("_mid").rowsBetween(Window.unboundedPreceding, -1)
     for c, o in cols.items():
         d = d.withColumn(o, F.coalesce(F.sum(c).over(inside), F.lit(0)))
-    totals = d.groupBy(F.col(group).alias("_g"), F.col("_chunk").alias("_c")).agg(*[F.sum(c).alias(f"_t_{o}") for c, o in cols.items()])
-    before = Window.partitionBy("_g").orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
-    start = totals.select("_g", "_c", *[F.coalesce(F.sum(f"_t_{o}").over(before), F.lit(0)).alias(f"_s_{o}") for o in cols.values()])
-    d = d.join(start, F.col(group).eqNullSafe(F.col("_g")) & (F.col("_chunk") == F.col("_c")))
+    d = d.join(start, F.col("_chunk") == F.col("_c"), "left")   # at most one row a chunk
     for o in cols.values():
-        d = d.withColumn(o, F.col(o) + F.col(f"_s_{o}"))
-    return d.drop("_place", "_chunk", "_g", "_c", *[f"_s_{o}" for o in cols.values()])
+        carried = F.when(F.col(group).eqNullSafe(F.col("_g")) & F.col("_c").isNotNull(), F.col(f"_s_{o}"))
+        d = d.withColumn(o, F.col(o) + F.coalesce(carried, F.lit(0)))
+    return d.drop("_mid", "_chunk", "_c", "_g", "_earlier", *[f"_s_{o}" for o in cols.values()])
 
 
 def running_offset(df: DataFrame, group: str, order: str, length: str, chunk: int = 4096,
@@ -54,11 +59,14 @@ def running_offset(df: DataFrame, group: str, order: str, length: str, chunk: in
 
 def _pieces(df: DataFrame, group: str, order: str, text: str, block: int, chunk: int,
             tokenizer, add_special: bool) -> DataFrame:
-    """Each text is tokenised once and leaves as ids; offsets are running sums
-    of their lengths; one slice per overlapped block, built directly by
-    ``transform`` (a document's id array is never copied per block)."""
-    d = df.select(group, order, tokenizer.ids(F.col(text), add_special).alias("_ids"))
-    d = running_offset(d.withColumn("_len", F.size("_ids")), group, order, "_len", chunk).where(F.col("_len") > 0)
+    """Offsets are running sums of token counts; one slice per overlapped
+    block, built directly by ``transform`` (a document's id array is never
+    copied per block)."""
+    def tokenised(d: DataFrame) -> DataFrame:
+        return d.withColumn("_ids", tokenizer.ids(F.col("_text"), add_special)).withColumn("_len", F.size("_ids")).drop("_text")
+
+    d = df.select(group, order, F.col(text).alias("_text"))
+    d = running_sums(d, group, order, {"_len": "offset"}, chunk, tokenised).where(F.col("_len") > 0)
     off, n = F.col("offset"), F.col("_len")
     blocks = F.sequence(F.floor(off / block), F.floor((off + n - 1) / block))
 

@@ -190,29 +190,38 @@ def subset_by_index(df: DataFrame, index: DataFrame, on: str = "rank") -> DataFr
     return df.join(index.select(on).distinct(), on, "left_semi")
 
 
-def ordered_index(df: DataFrame, order_cols: list[str], out: str = "row_idx", partition_cols: list[str] | None = None) -> DataFrame:
+def ordered_rows(df: DataFrame, by: list[str], derive: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """``df`` in the order of ``by``, written once; ``_mid`` grows with it (range partition << 33 | place in it).
+
+    Rows are range-partitioned by all of ``by`` (Spark samples them, so any
+    sortable type, sparse values and one key with most rows are spread alike)
+    into as many partitions as the session shuffles to.  ``derive`` adds
+    columns after the sort: sampling reads the input rows only, so dear
+    columns (token ids) are computed once, spread over the partitions."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    d = df.repartitionByRange(parts, *by).sortWithinPartitions(*by).withColumn("_mid", F.monotonically_increasing_id())
+    return materialize(derive(d) if derive else d, "ordered")
+
+
+def ordered_index(df: DataFrame, order_cols: list[str], out: str = "row_idx", partition_cols: list[str] | None = None,
+                  ties: list[str] | None = None) -> DataFrame:
     """Dense 0-based row index in ``order_cols`` order (within
     ``partition_cols`` if given) without a window over the rows.
 
-    Rows are range-partitioned by all key and order columns (Spark samples
-    them, so any sortable type, sparse ids and a key with most rows are spread
-    alike), sorted and written once.  A row's place in its partition plus the
-    rows of the partitions before is its global place; a key's first place is
-    taken off.  Nulls sort first; null keys are a key; no row is lost.  Equal
-    order values get distinct places, in any order."""
+    A row's place among its key's rows in its range partition (see
+    :func:`ordered_rows`) plus the key's rows in the partitions before is its
+    index; the table of counts has at most a row a key and partition, and is
+    joined on both, so one key with most rows stays spread.  Nulls sort first;
+    null keys are a key; no row is lost.  Rows with equal order values are told
+    apart by ``ties``; those equal there too get distinct places, in any order."""
     keys = list(partition_cols or [])
-    d = df.repartitionByRange(*keys, *order_cols).sortWithinPartitions(*keys, *order_cols)
-    # the id holds the task's number and the row's place in it; both are kept by the write
-    d = materialize(d.withColumn("_mid", F.monotonically_increasing_id()), "ordered")
     part = F.shiftright("_mid", 33)
-    sizes = d.groupBy(part.alias("_part")).count()
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offs = sizes.select("_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_off"))
-    d = (d.withColumn("_part", part).join(F.broadcast(offs), "_part")   # one row a partition
-          .withColumn(out, F.col("_off") + F.col("_mid").bitwiseAND((1 << 33) - 1)).drop("_mid", "_part", "_off"))
-    if not keys:
-        return d
-    first = d.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.min(out).alias("_first"))
-    same = reduce(lambda a, c: a & c, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
-    return (d.join(first, same).withColumn(out, F.col(out) - F.col("_first"))
-             .drop("_first", *[f"_k{i}" for i in range(len(keys))]))
+    d = ordered_rows(df, [*keys, *order_cols, *(ties or [])]).withColumn("_part", part)
+    sizes = d.groupBy("_part", *keys).agg(F.min("_mid").alias("_start"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select(F.col("_part").alias("_p"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_start",
+                         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    same = reduce(lambda a, c: a & c, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)], F.col("_part") == F.col("_p"))
+    both = d.join(sizes if keys else F.broadcast(sizes), same)   # without keys: one row a partition
+    return (both.withColumn(out, F.col("_off") + F.col("_mid") - F.col("_start"))
+            .drop("_mid", "_part", "_p", "_start", "_off", *[f"_k{i}" for i in range(len(keys))]))

@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from weft.functions.templates import render_dialog, render_prompt, chat_format, sql_dialog, sql_prompt
-from weft.functions.tokens import DEFAULT_TOKENIZER as TK, left_pad
+from weft.functions.tokens import DEFAULT_TOKENIZER as TK, VocabTokenizer, left_pad
 from weft.operators import adapters as AD
 from weft.operators import encode as EN
 from weft.operators import pack as PK
@@ -40,6 +40,52 @@ def t1(spark, sf):
     return X.documents(spark, sf).select("doc_id", TK.ids(F.col("text")).alias("input_ids"))
 
 
+# A vocabulary table: the V most frequent tokens of the documents, ids from 4 on (3 is the unknown token).
+VOCABULARY_SIZE, UNK = 1500, 3
+VOCABULARY_SQL = f"""
+t AS (SELECT doc_id, {TK.sql_tokens('text')} AS toks FROM documents),
+vocab AS (SELECT token, CAST(row_number() OVER (ORDER BY n DESC, token) + {UNK} AS INTEGER) AS id
+          FROM (SELECT token, count(*) AS n FROM (SELECT unnest(toks) AS token FROM t) GROUP BY token) QUALIFY id <= {VOCABULARY_SIZE + UNK})"""
+
+
+def vocabulary_table(spark, sf):
+    tokens = X.documents(spark, sf).select(F.explode(TK.tokens(F.col("text"))).alias("token"))
+    top = tokens.groupBy("token").count().orderBy(F.desc("count"), "token").limit(VOCABULARY_SIZE)
+    return top.select("token", (F.row_number().over(Window.orderBy(F.desc("count"), "token")) + UNK).alias("id"))
+
+
+@register("T1_vocabulary_ids", sql=f"""
+WITH {VOCABULARY_SQL},
+p AS (SELECT doc_id, unnest(toks) AS token, generate_subscripts(toks, 1) AS i FROM t),
+j AS (SELECT doc_id, list(coalesce(id, {UNK}) ORDER BY i) AS input_ids FROM p LEFT JOIN vocab USING (token) GROUP BY doc_id)
+SELECT t.doc_id, CASE WHEN t.toks IS NOT NULL THEN coalesce(input_ids, []::INTEGER[]) END AS input_ids FROM t LEFT JOIN j USING (doc_id)
+""")
+def t1_vocabulary(spark, sf):
+    tokenizer = VocabTokenizer(vocabulary_table(spark, sf), UNK)
+    return X.documents(spark, sf).select("doc_id", tokenizer.ids(F.col("text")).alias("input_ids"))
+
+
+@register("T1_vocabulary_longest_match", sql=f"""
+WITH RECURSIVE {VOCABULARY_SQL},
+words AS (SELECT DISTINCT unnest(toks) AS word FROM t),
+g(word, pos, ids) AS (
+  SELECT word, 1::BIGINT, []::INTEGER[] FROM words WHERE word NOT IN (SELECT token FROM vocab) AND length(word) <= 200
+  UNION ALL
+  SELECT word, pos + coalesce(n, 1), list_append(ids, coalesce(id, {UNK}))
+  FROM (SELECT g.word, g.pos, g.ids, max(length(v.token)) AS n, arg_max(v.id, length(v.token)) AS id
+        FROM g, range(1, 33) AS r(n) LEFT JOIN vocab v ON v.token = substr(g.word, g.pos, r.n) AND length(v.token) = r.n
+        WHERE g.pos <= length(g.word) GROUP BY g.word, g.pos, g.ids)),
+cut AS (SELECT token AS word, [id] AS ids FROM vocab UNION ALL SELECT word, ids FROM g WHERE pos > length(word)
+        UNION ALL SELECT word, [{UNK}] FROM words WHERE length(word) > 200 AND word NOT IN (SELECT token FROM vocab)),
+p AS (SELECT doc_id, unnest(toks) AS word, generate_subscripts(toks, 1) AS i FROM t),
+j AS (SELECT doc_id, flatten(list(ids ORDER BY i)) AS input_ids FROM p JOIN cut USING (word) GROUP BY doc_id)
+SELECT t.doc_id, CASE WHEN t.toks IS NOT NULL THEN coalesce(input_ids, []::INTEGER[]) END AS input_ids FROM t LEFT JOIN j USING (doc_id)
+""")
+def t1_longest_match(spark, sf):
+    tokenizer = VocabTokenizer(vocabulary_table(spark, sf), UNK, greedy=True)
+    return X.documents(spark, sf).select("doc_id", tokenizer.ids(F.col("text")).alias("input_ids"))
+
+
 # -- T2 -----------------------------------------------------------------------
 T2_SRC, T2_TGT = 128, 128
 

@@ -1,19 +1,26 @@
 """File sources.
 
 Every reader is a ``spark.read`` call: files are split across tasks and the
-schema is given where known.  The driver lists files and peeks at the first
-character of each ``.json`` file, which tells an array from JSON Lines.
-Malformed records stop the read (``FAILFAST``) unless a ``mode`` says otherwise.
+schema is given where known.  The first character of a ``.json`` file tells an
+array from JSON Lines: a job over the files looks (:func:`json_arrays`), the
+driver itself only where there are few.
+Malformed records stop the read (``FAILFAST``) unless a ``mode`` says otherwise;
+:func:`read_json_lines` keeps them in a table of their own.
 """
 
 from __future__ import annotations
 
+import contextlib
 import fnmatch
 import os
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+from weft.session import materialize
 
 EXT_TYPES = {"csv": "csv", "json": "json", "jsonl": "json", "txt": "text"}
 
@@ -60,13 +67,64 @@ def is_json_array(spark: SparkSession, path: str) -> bool:
         stream.close()
 
 
+@contextlib.contextmanager
+def _settings(spark: SparkSession, values: dict[str, str]):
+    """Session settings for the jobs inside."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+#: Up to so many files the driver looks itself, which is quicker than a job.
+FEW_FILES = 16
+
+
+def json_arrays(spark: SparkSession, files: list[str], few: int = FEW_FILES) -> list[str]:
+    """Which of ``files`` hold a JSON array: their first character, past white space and a byte order mark, is ``[``.
+
+    A job with a task a file (a file is never packed with others, since an
+    opened file counts as a full partition): text up to the first ``{`` is a
+    record, and a task stops after its first records, so no file is read
+    through.  Only the arrays' names come back, as the driver's file list does."""
+    if len(files) <= few:
+        return [f for f in files if is_json_array(spark, f)]
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.slice(0, 1)
+                return
+
+    lines = spark.read.option("lineSep", "{").text(files).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.substring("value", 1, 4096).alias("head"))
+    whole = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    with _settings(spark, {"spark.sql.files.openCostInBytes": whole, "spark.sql.files.minPartitionNum": "1",
+                           "spark.sql.execution.arrow.maxRecordsPerBatch": "4"}):
+        heads = lines.mapInArrow(first, "file string, start long, head string")
+        found = heads.where((F.col("start") == 0) & F.col("head").rlike(r"^[\s\ufeff]*\[")).select("file").collect()
+    named = {_plain(r["file"]) for r in found}
+    return [f for f in files if _plain(f) in named]
+
+
+def _plain(path: str) -> str:
+    """A path as Spark's metadata and the file list both write it: decoded, one slash after a scheme without authority."""
+    from urllib.parse import unquote
+    path = unquote(path)
+    return path.replace(":///", ":/") if ":///" in path else path
+
+
 def read_json(spark: SparkSession, path: str, schema: StructType | str | None = None, mode: str = "FAILFAST",
               corrupt_column: str | None = None, recursive: bool = False, glob: str | None = None) -> DataFrame:
     """JSON Lines and JSON array files.  Each file is told apart by its
     own first character, so a folder may mix both; arrays are read whole
     (``multiLine``), lines are split."""
     files = list_files(spark, path, recursive, glob)
-    arrays = [f for f in files if _ext(f) != "jsonl" and is_json_array(spark, f)]
+    arrays = json_arrays(spark, [f for f in files if _ext(f) != "jsonl"])
     lines = sorted(set(files) - set(arrays))
 
     def read(chosen: list[str], whole: bool) -> DataFrame:
@@ -84,6 +142,44 @@ def read_json(spark: SparkSession, path: str, schema: StructType | str | None =
     return read(arrays, True).unionByName(read(lines, False), allowMissingColumns=True)
 
 
+def _reason(value: Column, kind: str) -> Column:
+    """Why a line is no record, most basic first."""
+    return (F.when(~F.is_valid_utf8(value), "not UTF-8").when(F.try_parse_json(value).isNull(), "not JSON")
+            .when(F.left(F.ltrim(value), F.lit(1)) != "{", "not an object").otherwise(F.lit(f"does not fit {kind}")))
+
+
+def read_json_lines(spark: SparkSession, path: str, schema: StructType | str, recursive: bool = False,
+                    glob: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """S5 with nothing lost: ``(records, rejects)`` of JSON Lines files from one pass over them.
+
+    ``records`` has the schema's columns.  ``rejects`` has every other line that
+    is not blank: ``file``, ``line`` (its number in the file, from 1), ``value``
+    (its bytes), ``reason``.  Each line is parsed once, in the task that reads
+    it, and written with its place; a table of line counts a file and split
+    gives the numbers.  A line that fits but for a field's type is rejected
+    whole."""
+    fields = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    corrupt = "_corrupt"
+    while corrupt in fields.names:
+        corrupt += "_"
+    wide = StructType([*fields.fields, StructField(corrupt, StringType())])
+    lines = read_text(spark, path, recursive, glob).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at"))
+    value = F.when(F.length(F.btrim("value", F.lit(" \t\r"))) > 0, F.col("value"))
+    parsed = F.from_json(F.when(F.is_valid_utf8(value), value), wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
+    both = materialize(lines.select("file", "start", "at", value.alias("value"), parsed.alias("row"))
+                       .select("file", "start", "at", F.when(F.col("value").isNotNull() & (F.col("row").isNull() | F.col(f"row.{corrupt}").isNotNull()),
+                                                             F.struct(F.col("value").cast("binary").alias("value"), _reason(F.col("value"), fields.simpleString()).alias("reason"))).alias("bad"),
+                               F.when(F.col("value").isNotNull() & F.col(f"row.{corrupt}").isNull(), F.col("row")).alias("row")), "json_lines")
+    records = both.where("row is not null and bad is null").select(*[F.col(f"row.`{n}`") for n in fields.names])
+    splits = both.groupBy("file", "start").agg(F.min("at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select("file", "start", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))   # a row a split
+    rejects = both.where("bad is not null").join(splits, ["file", "start"]).select(
+        "file", (F.col("_off") + F.col("at") - F.col("_first") + 1).alias("line"), "bad.value", "bad.reason")
+    return records, rejects
+
+
 def read_csv(spark: SparkSession, path: str, mode: str = "FAILFAST", multiline: bool = True) -> DataFrame:
     """Header row, every cell a string, quoted cells may hold doubled
     quotes and newlines; empty cells become ''.  A row with too few or too
@@ -108,9 +204,9 @@ def read_text(spark: SparkSession, path: str, recursive: bool = False, glob: str
     return r.text(path)
 
 
-def scan(spark: SparkSession, path: str, schema: StructType | str | None = None, mode: str = "FAILFAST") -> DataFrame:
+def scan(spark: SparkSession, path: str, schema: StructType | str | None = None, mode: str = "FAILFAST", multiline: bool = True) -> DataFrame:
     """One file or one flat directory; the extension picks the reader
-    (csv, json, jsonl, txt); a folder holds one kind."""
+    (csv, json, jsonl, txt); a folder holds one kind.  ``multiline`` goes to :func:`read_csv`."""
     found = {_ext(f) for f in list_files(spark, path)}
     unknown = sorted(found - set(EXT_TYPES))
     if unknown or not found:
@@ -120,7 +216,7 @@ def scan(spark: SparkSession, path: str, schema: StructType | str | None = None,
         raise ValueError(f"{path} mixes the formats {sorted(kinds)}")
     kind = kinds.pop()
     if kind == "csv":
-        return read_csv(spark, path, mode)
+        return read_csv(spark, path, mode, multiline)
     return read_text(spark, path) if kind == "text" else read_json(spark, path, schema, mode)
 
 

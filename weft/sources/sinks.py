@@ -11,8 +11,10 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import uuid
 from typing import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -104,15 +106,86 @@ def param_key(params: dict) -> str:
     return hashlib.sha256(json.dumps(params, sort_keys=True, default=str).encode("utf-8")).hexdigest()
 
 
+def source_version(spark: SparkSession, paths: list[str]) -> str:
+    """sha256 of the names, sizes and modification times of all files under ``paths``: it changes with any of them."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    digest = hashlib.sha256()
+    for path in sorted(paths):
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs, found = p.getFileSystem(conf), []
+        each = fs.listFiles(p, True)
+        while each.hasNext():
+            f = each.next()
+            found.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+        digest.update("\n".join([path, *sorted(found)]).encode("utf-8"))
+    return digest.hexdigest()
+
+
+MANIFEST = "manifest.json"
+
+
+class _Folder:
+    """Small files of one folder, through Hadoop's file API."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.jvm, self.path = spark.sparkContext._jvm, path
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        self.fs = self._path("").getFileSystem(conf)
+        self.context = self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.fs.getUri(), conf)
+        self.gateway = spark.sparkContext._gateway
+
+    def _path(self, name: str):
+        return self.jvm.org.apache.hadoop.fs.Path(os.path.join(self.path, name) if name else self.path)
+
+    def read(self, name: str) -> str | None:
+        p = self._path(name)
+        if not self.fs.exists(p):
+            return None
+        stream = self.fs.open(p)
+        try:
+            return self.jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def write(self, name: str, text: str) -> None:
+        stream = self.fs.create(self._path(name), True)
+        try:
+            stream.write(bytearray(text.encode("utf-8")))
+        finally:
+            stream.close()
+
+    def rename(self, old: str, new: str, replace: bool) -> bool:
+        """One step; without ``replace`` False if ``new`` is there already."""
+        rename = getattr(self.jvm, "org.apache.hadoop.fs.Options$Rename")
+        options = self.gateway.new_array(rename, 1)
+        options[0] = rename.OVERWRITE if replace else rename.NONE
+        try:
+            self.context.rename(self._path(old), self._path(new), options)
+            return True
+        except Py4JJavaError as failed:
+            if "FileAlreadyExistsException" not in str(failed.java_exception.getClass().getName()):
+                raise
+            return False
+
+
 def materialize(spark: SparkSession, build: Callable[[], DataFrame], params: dict, base: str | None = None,
-                reload: bool = False) -> DataFrame:
-    """K7: prepared data stored under a key derived from its parameters;
-    reused when a complete copy (``_SUCCESS``) exists unless ``reload``."""
-    base = base or scratch_path(spark, "prepared")
-    path = os.path.join(base, param_key(params))
-    jvm = spark.sparkContext._jvm
-    hp = jvm.org.apache.hadoop.fs.Path(os.path.join(path, "_SUCCESS"))
-    fs = hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if reload or not fs.exists(hp):
-        build().write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+                reload: bool = False, sources: list[str] | None = None) -> DataFrame:
+    """K7: prepared data stored under a key derived from its parameters, and
+    from the names, sizes and times of all files under ``sources`` if given;
+    reused when a committed copy exists unless ``reload``.
+
+    Rows are written to a folder of their own and committed by renaming a
+    manifest that names it, so readers see a whole copy or none.  Of two
+    writers of one key the first to commit wins and both return its rows;
+    ``reload`` replaces the manifest.  Folders without a manifest's name are
+    leftovers of writers that failed or lost."""
+    key = dict(params) if sources is None else {"params": params, "sources": source_version(spark, sources)}
+    folder = _Folder(spark, os.path.join(base or scratch_path(spark, "prepared"), param_key(key)))
+    held = None if reload else folder.read(MANIFEST)
+    if held is None:
+        name = f"data-{uuid.uuid4().hex}"
+        build().write.parquet(os.path.join(folder.path, name))
+        folder.write(f"{name}.json", json.dumps({"data": name}))
+        folder.rename(f"{name}.json", MANIFEST, replace=reload)
+        held = folder.read(MANIFEST)
+    return spark.read.parquet(os.path.join(folder.path, json.loads(held)["data"]))
