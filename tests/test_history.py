@@ -1,8 +1,10 @@
 """T8-T12 on hand-built conversations; token counts are by hand:
 a role-marker turn costs 10 tokens plus the words of its query and answer."""
 
+import pytest
 from pyspark.sql import functions as F
 
+from weft.functions.tokens import HashTokenizer
 from weft.operators import history as H
 
 HIST = "array<struct<query:string,answer:string>>"
@@ -159,3 +161,55 @@ def test_pairs_and_front_of_a_hot_conversation(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert got == {(1, t): (f"t{t}", f"t{t + 1}", "sys") for t in range(1, 120, 2)} | {(4, 1): (None, None, None)}
     assert front == {t: [f"t{u}" for u in range(1, min(t, 11), 2)] for t in range(1, 120, 2)}
+
+
+@pytest.mark.parametrize("chunk", [1, 3, 64])
+def test_scan_of_earlier_turns(spark, chunk):
+    """Chunks against plain Python: one long conversation, short ones, a null one, null texts, clashing columns."""
+    rows = [(c, t, None if t % 7 == 3 else f"q{c}.{t}", t) for c, n in ((1, 150), (2, 2), (3, 1), (None, 70)) for t in range(n)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, query string, _pos long").repartition(3)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        arrays = H.with_earlier(df, "conv_id", "turn", F.struct("query"), "before", chunk=chunk)
+        texts = H.with_earlier(df, "conv_id", "turn", F.concat(F.lit("<"), "query"), "before", as_text=True, chunk=chunk, position="at")
+        assert arrays.columns == [*df.columns, "before"]
+        got_arrays = {(r["conv_id"], r["turn"]): [x["query"] for x in r["before"]] for r in arrays.collect()}
+        got_texts = {(r["conv_id"], r["turn"]): (r["before"], r["at"]) for r in texts.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    said = {}
+    for c, t, q, _ in rows:
+        said.setdefault(c, []).append(q)
+    assert got_arrays == {(c, t): said[c][:t] for c, t, _, _ in rows}
+    assert got_texts == {(c, t): ("".join("<" + q for q in said[c][:t] if q is not None), t) for c, t, _, _ in rows}
+
+
+def test_a_hot_conversation_is_spread(spark):
+    """No task of the scan takes more than a few chunks of the only conversation's output rows."""
+    df = spark.range(0, 3000).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.lit("q").alias("query"), F.lit("a").alias("response"))
+    rows = H.cumulative_questions(df).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in rows) == 3000 and max(r["count"] for r in rows) <= 1500
+
+
+def test_look_back_bound_of_any_markers(spark):
+    """Markers are counted by the tokenizer's own expression, whatever the alphabet."""
+    assert H.min_turn_cost(style=H.ROUND_STYLE) == 8 and H.max_fitting_turns(1500, style=H.ROUND_STYLE) == 187
+    assert H.min_turn_cost(style={"user_token": "Вопрос", "assistant_token": "ответ:", "eos_token": ""}) == 12
+    assert H.min_turn_cost(HashTokenizer(pattern=r"\p{L}+"), H.ROUND_STYLE) is None
+    assert H.min_turn_cost(HashTokenizer(pattern=r"\p{L}+", monotone=True), {"user_token": "Вопрос", "assistant_token": "ответ:", "eos_token": ""}) == 2
+
+
+def test_rounds_fit_of_a_hot_conversation(spark):
+    """The bounded look-back keeps what the unbounded one keeps, broadcasts off."""
+    rows = [(1, t, f"q{t} " + "w " * (t % 9), f"a{t}") for t in range(0, 400, 2)]
+    pairs = spark.createDataFrame(rows, "conv_id long, turn long, query string, response string").withColumn("prompt", F.lit("p"))
+    pairs = pairs.withColumn("_n", H.round_turn_token_count())
+    k = H.max_fitting_turns(90, style=H.ROUND_STYLE)
+    assert k == 11
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        full, bounded = ({r["turn"]: (r["n_history"], r["input_ids"], r["labels"]) for r in H.fit_history_rounds(
+            H.expand_history(pairs, max_history=look, chunk=16, carry={"n": "_n"}), 90, length_field="n").collect()} for look in (None, k))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert full == bounded and max(v[0] for v in full.values()) >= 5

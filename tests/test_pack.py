@@ -75,3 +75,46 @@ def test_one_tokenising_pass(spark):
     df = spark.createDataFrame([(0, 0, "a b c")], "doc_id long, pack_group long, text string")
     plan = PK.pack_pretrain(df, 4)._jdf.queryExecution().optimizedPlan().toString()
     assert "regexp_extract_all" not in plan       # it ran once, before the ids were written
+
+
+def test_each_text_is_tokenised_once(spark, tmp_dir):
+    """A counting tokenizer, called in Python workers, writes a line a text."""
+    import os
+
+    from weft.functions.tokens import PandasTokenizer
+    log = f"{tmp_dir}/calls"
+    os.makedirs(log)
+
+    def encode(texts):
+        import uuid
+        with open(f"{log}/{uuid.uuid4().hex}", "w") as f:
+            f.write("x\n" * len(texts))
+        return [[len(w) for w in t.split()] for t in texts]
+
+    df = spark.range(0, 500).select(F.col("id").alias("doc_id"), F.lit(1).alias("pack_group"), F.concat(F.lit("aa bbb "), F.col("id").cast("string")).alias("text"))
+    for pack in (lambda t: PK.pack_pretrain(df, 9, tokenizer=t), lambda t: PK.group_texts(df, 8, tokenizer=t)):
+        for name in os.listdir(log):
+            open(f"{log}/{name}", "w").close()
+        blocks = pack(PandasTokenizer(encode)).collect()
+        assert blocks
+        assert sum(open(f"{log}/{n}").read().count("x") for n in os.listdir(log)) == 500
+
+
+@pytest.mark.parametrize("chunk", [3, 64, 4096])
+def test_running_sums_of_hot_and_tiny_groups(spark, chunk):
+    """Groups that begin, end and go on over chunks and partitions, null groups and orders, broadcasts off."""
+    import random
+    rnd = random.Random(chunk)
+    rows = [(rnd.choice([None, 1, 1, 1, 1, 2, 3 + i // 3]), float(i) if rnd.random() < 0.95 else i + 0.5, rnd.randint(0, 9)) for i in range(700)]
+    df = spark.createDataFrame(rows, "g long, o double, v int").repartition(5)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = {(r["g"], r["o"]): (r["s"], r["n"]) for r in PK.running_sums(df.withColumn("one", F.lit(1)), "g", "o", {"v": "s", "one": "n"}, chunk).collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    want, state = {}, {}
+    for g, o, v in sorted(rows, key=lambda r: r[1]):
+        s, n = state.get(g, (0, 0))
+        want[g, o] = (s, n)
+        state[g] = (s + v, n + 1)
+    assert got == want

@@ -141,3 +141,78 @@ def test_jsonl_permissive_keeps_corrupt_lines(spark, tmp_dir):
     assert rows[0]["input"] == "ok" and rows[1]["_corrupt_record"] == '{"input": broken'
     with pytest.raises(Exception):
         RD.read_json(spark, f"{tmp_dir}/j/a.jsonl", "input string, label int", mode="FAILFAST").collect()
+
+
+def test_format_probe_as_a_job(spark, tmp_dir):
+    """The job and the driver's own look agree, for odd names, blanks, byte order marks, empty and many-split files."""
+    files = {"a b.json": "[1]", "c%20d.json": '\n \t[{"x": 1}]', "e.json": '{"x": [1]}\n{"x": 2}', "f.json": "", "g.json": "\ufeff[{}]", "ü+.json": '  {"x": 1}',
+             "deep/h.json": "[" + ",".join(json.dumps({"x": i}) for i in range(40_000)) + "]", "i.json": '{"x": 1}\n[{"x": 2}]'}
+    for name, text in files.items():
+        _w(f"{tmp_dir}/p/{name}", text)
+    found = RD.list_files(spark, f"{tmp_dir}/p", recursive=True)
+    assert len(found) == len(files)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        arrays = RD.json_arrays(spark, found, few=0)
+        assert spark.conf.get("spark.sql.files.openCostInBytes") != "64k"
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert arrays == RD.json_arrays(spark, found, few=100)
+    assert sorted(os.path.basename(f) for f in arrays) == ["a b.json", "c%20d.json", "g.json", "h.json"]
+
+
+def test_rejects_keep_file_place_and_reason(spark, tmp_dir):
+    """Every line is a record, a blank or a reject; places are right in files of several splits."""
+    lines = []
+    for i in range(3000):
+        lines.append({0: b'{"a": %d, "b": "x"' % i, 1: b"", 2: b'{"a": "no", "b": "x"}', 3: b'[{"a": 1}]', 4: b"\xff{}", 5: b"  \t\r"}.get(i % 50, b'{"a": %d, "b": "r\xc3\xa9"}' % i))
+    reason = {0: "not JSON", 2: "does not fit struct<a:bigint,b:string>", 3: "not an object", 4: "not UTF-8"}
+    os.makedirs(f"{tmp_dir}/rej/sub")
+    for name in ("one.jsonl", "sub/two.jsonl"):
+        with open(f"{tmp_dir}/rej/{name}", "wb") as f:
+            f.write(b"\n".join(lines))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9k")
+    try:
+        records, rejects = RD.read_json_lines(spark, f"{tmp_dir}/rej", "a bigint, b string", recursive=True)
+        good, bad = records.collect(), rejects.collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(r["a"] for r in good) == sorted([i for i in range(3000) if i % 50 > 5] * 2) and {r["b"] for r in good} == {"ré"}
+    want = sorted((name, i + 1, lines[i], reason[i % 50]) for name in ("one.jsonl", "two.jsonl") for i in range(3000) if i % 50 in reason)
+    assert sorted((os.path.basename(r["file"]), r["line"], bytes(r["value"]), r["reason"]) for r in bad) == want
+    _w(f"{tmp_dir}/none/x.jsonl", "\n\n")
+    assert [d.count() for d in RD.read_json_lines(spark, f"{tmp_dir}/none", "a bigint, _corrupt string")] == [0, 0]
+
+
+def test_materialize_follows_its_sources(spark, tmp_dir):
+    _w(f"{tmp_dir}/src/a.txt", "one\n")
+    calls = []
+
+    def build():
+        calls.append(1)
+        return spark.read.text(f"{tmp_dir}/src")
+
+    def rows():
+        return sorted(r["value"] for r in SK.materialize(spark, build, {"k": 1}, f"{tmp_dir}/out", sources=[f"{tmp_dir}/src"]).collect())
+
+    assert rows() == rows() == ["one"] and len(calls) == 1
+    _w(f"{tmp_dir}/src/b.txt", "two\n")
+    assert rows() == rows() == ["one", "two"] and len(calls) == 2
+    os.utime(f"{tmp_dir}/src/b.txt", (1, 1))
+    assert rows() == ["one", "two"] and len(calls) == 3
+
+
+def test_two_writers_of_one_key(spark, tmp_dir):
+    """The second writer commits while the first one writes: both return the rows committed first; a failed writer leaves no copy."""
+    key = {"k": 2}
+
+    def slow():
+        SK.materialize(spark, lambda: spark.range(3), key, f"{tmp_dir}/out")
+        return spark.range(7)
+
+    assert SK.materialize(spark, slow, key, f"{tmp_dir}/out").count() == 3
+    assert SK.materialize(spark, lambda: spark.range(9), key, f"{tmp_dir}/out", reload=True).count() == 9
+    assert SK.materialize(spark, lambda: spark.range(1), key, f"{tmp_dir}/out").count() == 9
+    with pytest.raises(Exception):
+        SK.materialize(spark, lambda: spark.range(4).select(F.raise_error(F.lit("stop"))), {"k": 3}, f"{tmp_dir}/out")
+    assert SK.materialize(spark, lambda: spark.range(5), {"k": 3}, f"{tmp_dir}/out").count() == 5

@@ -61,32 +61,33 @@ def with_earlier(df: DataFrame, conv: str, order: str, item: Column, out: str, a
     A segmented prefix scan.  Rows get a dense position and are gathered into
     chunks of ``chunk`` rows.  Each later chunk asks for each earlier one by
     (conversation, chunk), a small table of numbers, so a conversation of n
-    rows moves n * n / (2 * chunk) items, spread over n * n / (2 * chunk *
-    chunk) keys; a chunk's prefix is put together once, and its rows add the
+    rows moves n * n / (2 * chunk) items, spread over its n / chunk chunks; a
+    chunk's prefix is put together once, and its rows add the
     rows before them in the chunk.  A null conversation is one too.
     ``position`` names a column for the 0-based place."""
     from weft.operators.split import ordered_index
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    d = df.select(F.col(conv).alias("_conv"), F.col(order).alias("_order"), row.alias("_row"), item.alias("_item"))
-    d = ordered_index(d, ["_order"], out="_pos", partition_cols=["_conv"])
-    blocks = (d.groupBy("_conv", F.floor(F.col("_pos") / chunk).alias("_chunk"))
+    # a struct is never null, so a null conversation joins like any other
+    d = df.select(F.struct(F.col(conv)).alias("_conv"), F.col(order).alias("_order"), row.alias("_row"), item.alias("_item"))
+    d = ordered_index(d, ["_order"], out="_pos", partition_cols=["_conv"]).withColumn("_chunk", F.floor(F.col("_pos") / chunk))
+    # a number of partitions of its own: what follows is far larger than what is shuffled here
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = (d.repartition(parts, "_conv", "_chunk").groupBy("_conv", "_chunk")
               .agg(F.array_sort(F.collect_list(F.struct("_pos", F.struct("_item", "_row").alias("x")))).alias("_xs"))
               .withColumn("_xs", F.transform("_xs", lambda e: e["x"])))
 
     def items(xs: Column) -> Column:
         return F.transform(xs, lambda e: e["_item"])
 
-    def joined(parts: Column) -> Column:
-        return F.array_join(parts, "") if as_text else F.flatten(parts)
-
     content = F.array_join(items(F.col("_xs")), "") if as_text else items(F.col("_xs"))
-    asked = blocks.where(F.col("_chunk") > 0).select(F.col("_conv").alias("_ac"), F.col("_chunk").alias("_at"),
+    held = blocks.select(F.col("_conv").alias("_hv"), F.col("_chunk").alias("_hc"), content.alias("_held"))
+    asked = blocks.where(F.col("_chunk") > 0).select(F.col("_conv").alias("_av"), F.col("_chunk").alias("_ac"),
                                                      F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_chunk") - 1)).alias("_b"))
-    held = blocks.select("_conv", F.col("_chunk").alias("_hc"), content.alias("_held"))
-    prefix = (asked.join(held, F.col("_ac").eqNullSafe(F.col("_conv")) & (F.col("_b") == F.col("_hc")))
-              .groupBy("_ac", "_at").agg(F.array_sort(F.collect_list(F.struct("_b", "_held"))).alias("_parts"))
-              .select("_ac", "_at", joined(F.transform("_parts", lambda e: e["_held"])).alias("_prefix")))
-    both = blocks.join(prefix, F.col("_conv").eqNullSafe(F.col("_ac")) & (F.col("_chunk") == F.col("_at")), "left")
+    prefix = (asked.join(held, (F.col("_av") == F.col("_hv")) & (F.col("_b") == F.col("_hc")))
+              .groupBy("_av", "_ac").agg(F.array_sort(F.collect_list(F.struct("_b", "_held"))).alias("_parts")))
+    parts_before = F.transform("_parts", lambda e: e["_held"])
+    prefix = prefix.select("_av", "_ac", (F.array_join(parts_before, "") if as_text else F.flatten(parts_before)).alias("_prefix"))
+    both = blocks.join(prefix, (F.col("_conv") == F.col("_av")) & (F.col("_chunk") == F.col("_ac")), "left")
     rows = both.select("_prefix", "_xs", "_chunk", F.posexplode("_xs").alias("_i", "_x"))
     near = items(F.slice("_xs", F.lit(1), F.col("_i")))
     before = (F.concat(F.coalesce("_prefix", F.lit("")), F.array_join(near, "")) if as_text

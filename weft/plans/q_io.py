@@ -78,6 +78,27 @@ def s5(spark, sf):
     return RD.read_json(spark, out, PAIRS_SCHEMA, mode="FAILFAST")
 
 
+@register("S5_reject_table", sql=f"""
+WITH {X.PAIRS_SQL}
+SELECT conv_id, turn, CASE WHEN conv_id % 5 > 2 THEN query END AS query,
+       CASE conv_id % 5 WHEN 0 THEN 'not JSON' WHEN 1 THEN 'does not fit struct<conv_id:bigint,turn:bigint,query:string>' WHEN 2 THEN 'not an object' END AS reason
+FROM pairs
+""")
+def s5_rejects(spark, sf):
+    """Lines cut short, with a text for a number, and with an array are told from records in one pass."""
+    out = _dir(spark, "s5r")
+    p = X.pairs(spark, sf).select("conv_id", "turn", "query")
+    line, kind = F.to_json(F.struct("conv_id", "turn", "query")), F.col("conv_id") % 5
+    text = (F.when(kind == 0, F.left(line, F.length(line) - 1)).when(kind == 1, F.to_json(F.struct("conv_id", F.concat(F.lit("no "), "turn").alias("turn"))))
+            .when(kind == 2, F.concat(F.lit("["), "conv_id", F.lit(", "), "turn", F.lit("]"))).otherwise(line))
+    p.select(text.alias("value")).write.text(out)
+    records, rejects = RD.read_json_lines(spark, out, "conv_id bigint, turn bigint, query string")
+    told = F.regexp_extract_all(F.decode("value", "UTF-8"), F.lit(r"\d+"), 0)
+    return (records.withColumn("reason", F.lit(None).cast("string"))
+            .unionByName(rejects.select(F.get(told, F.lit(0)).cast("bigint").alias("conv_id"), F.get(told, F.lit(1)).cast("bigint").alias("turn"),
+                                        F.lit(None).cast("string").alias("query"), "reason")))
+
+
 # -- S4 -----------------------------------------------------------------------
 @register("S4_pretrain_lines", sql=f"SELECT unnest(string_split(text, {lit(NL)})) AS value FROM documents")
 def s4(spark, sf):

@@ -14,6 +14,7 @@ import contextlib
 import fnmatch
 import os
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -107,15 +108,13 @@ def json_arrays(spark: SparkSession, files: list[str], few: int = FEW_FILES) ->
                            "spark.sql.execution.arrow.maxRecordsPerBatch": "4"}):
         heads = lines.mapInArrow(first, "file string, start long, head string")
         found = heads.where((F.col("start") == 0) & F.col("head").rlike(r"^[\s\ufeff]*\[")).select("file").collect()
-    named = {_plain(r["file"]) for r in found}
-    return [f for f in files if _plain(f) in named]
+    named = {_slashes(unquote(r["file"])) for r in found}   # metadata writes paths as URIs
+    return [f for f in files if _slashes(f) in named]
 
 
-def _plain(path: str) -> str:
-    """A path as Spark's metadata and the file list both write it: decoded, one slash after a scheme without authority."""
-    from urllib.parse import unquote
-    path = unquote(path)
-    return path.replace(":///", ":/") if ":///" in path else path
+def _slashes(path: str) -> str:
+    """One slash after a scheme without authority, as file lists write it."""
+    return path.replace(":///", ":/")
 
 
 def read_json(spark: SparkSession, path: str, schema: StructType | str | None = None, mode: str = "FAILFAST",
@@ -145,7 +144,7 @@ def read_json(spark: SparkSession, path: str, schema: StructType | str | None =
 def _reason(value: Column, kind: str) -> Column:
     """Why a line is no record, most basic first."""
     return (F.when(~F.is_valid_utf8(value), "not UTF-8").when(F.try_parse_json(value).isNull(), "not JSON")
-            .when(F.left(F.ltrim(value), F.lit(1)) != "{", "not an object").otherwise(F.lit(f"does not fit {kind}")))
+            .when(~value.rlike(r"^[ \t\r]*\{"), "not an object").otherwise(F.lit(f"does not fit {kind}")))
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: StructType | str, recursive: bool = False,
@@ -165,13 +164,14 @@ def read_json_lines(spark: SparkSession, path: str, schema: StructType | str, re
     wide = StructType([*fields.fields, StructField(corrupt, StringType())])
     lines = read_text(spark, path, recursive, glob).select(
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at"))
-    value = F.when(F.length(F.btrim("value", F.lit(" \t\r"))) > 0, F.col("value"))
+    value = F.when(~F.col("value").rlike(r"^[ \t\r]*$"), F.col("value"))
     parsed = F.from_json(F.when(F.is_valid_utf8(value), value), wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
-    both = materialize(lines.select("file", "start", "at", value.alias("value"), parsed.alias("row"))
-                       .select("file", "start", "at", F.when(F.col("value").isNotNull() & (F.col("row").isNull() | F.col(f"row.{corrupt}").isNotNull()),
-                                                             F.struct(F.col("value").cast("binary").alias("value"), _reason(F.col("value"), fields.simpleString()).alias("reason"))).alias("bad"),
-                               F.when(F.col("value").isNotNull() & F.col(f"row.{corrupt}").isNull(), F.col("row")).alias("row")), "json_lines")
-    records = both.where("row is not null and bad is null").select(*[F.col(f"row.`{n}`") for n in fields.names])
+    d = lines.select("file", "start", "at", value.alias("value"), parsed.alias("row"))
+    good = F.col("row").isNotNull() & F.col(f"row.{corrupt}").isNull() & F.col("value").rlike(r"^[ \t\r]*\{")
+    bad = F.struct(F.col("value").cast("binary").alias("value"), _reason(F.col("value"), fields.simpleString()).alias("reason"))
+    both = materialize(d.select("file", "start", "at", F.when(F.col("value").isNotNull() & ~good, bad).alias("bad"),
+                                F.when(F.col("value").isNotNull() & good, F.col("row")).alias("row")), "json_lines")
+    records = both.where("row is not null").select(*[F.col(f"row.`{n}`") for n in fields.names])
     splits = both.groupBy("file", "start").agg(F.min("at").alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     splits = splits.select("file", "start", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))   # a row a split
