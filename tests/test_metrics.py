@@ -115,3 +115,52 @@ def test_any_segmenter_and_chat_expectations(spark):
                                "k long, chat array<struct<input:string,output:string>>, predict map<string,string>")
     out = M.evaluate_predictions(df, ["k"], "chat", segmenter=lambda c: F.split(c, "-")).first()
     assert (out["expect"], out["rouge_1_f"], out["rouge_2_f"], out["rouge_l_r"]) == ("ab-cd", 1.0, 0.0, 0.5)
+
+
+def test_smoothing_is_linear_in_a_series(spark):
+    """300,000 points in one series: every value against the recurrence, a null series beside it, broadcasts off."""
+    import math
+    n = 300_000
+    df = spark.range(n).select(F.lit("long").alias("run"), "id", ((F.col("id") * 37) % 101 / 10.0).alias("v")).repartition(4)
+    df = df.unionByName(spark.range(3).select(F.lit(None).cast("string").alias("run"), "id", F.col("id").cast("double").alias("v")))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = {(r["run"], r["id"]): r["smoothed"] for r in M.smooth(df, "run", "id", "v", chunk=64).collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(got) == n + 3
+    for run, size, value in (("long", n, lambda i: i * 37 % 101 / 10.0), (None, 3, float)):
+        w = 1.8 * (1 / (1 + math.exp(-0.05 * size)) - 0.5)
+        s = value(0)
+        for i in range(size):
+            s = s * w + (1 - w) * value(i) if i else s
+            assert abs(got[run, i] - s) < 1e-9
+
+
+def test_common_words_by_bits_match_the_table():
+    import random
+
+    from weft.functions.metrics_udf import lcs_words
+
+    def table(ref, hyp):
+        rows = [[0] * (len(hyp) + 1)]
+        for x in ref:
+            row = [0]
+            for j, y in enumerate(hyp):
+                row.append(rows[-1][j] + 1 if x == y else max(rows[-1][j + 1], row[j]))
+            rows.append(row)
+        words, i, j = set(), len(ref), len(hyp)
+        while i and j:
+            if ref[i - 1] == hyp[j - 1]:
+                i, j = i - 1, j - 1
+                words.add(ref[i])
+            elif rows[i - 1][j] > rows[i][j - 1]:
+                i -= 1
+            else:
+                j -= 1
+        return words
+
+    rnd = random.Random(2)
+    for _ in range(300):
+        a, b = ([rnd.choice("abcdefgh") + str(rnd.randrange(3)) for _ in range(rnd.randint(0, 25))] for _ in range(2))
+        assert lcs_words(a, b) == table(a, b)

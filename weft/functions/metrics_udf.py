@@ -47,19 +47,29 @@ def rouge_l(hyp: list, ref: list) -> tuple[float, float, float]:
 def lcs_words(ref: list, hyp: list) -> set:
     """The words of one longest common subsequence (of several, the one found
     by walking back from the ends and leaving the reference first only where
-    that is strictly longer)."""
-    rows = [[0] * (len(hyp) + 1)]
+    that is strictly longer).
+
+    The table of lengths is kept as a bit a cell (a 0 where a row's length
+    grows by one): two texts of 20,000 words take 50 MB."""
+    masks: dict = {}
+    for j, y in enumerate(hyp):
+        masks[y] = masks.get(y, 0) | (1 << j)
+    full = (1 << len(hyp)) - 1
+    rows = [full]
     for x in ref:
-        above, row = rows[-1], [0]
-        for j, y in enumerate(hyp):
-            row.append(above[j] + 1 if x == y else max(above[j + 1], row[j]))
-        rows.append(row)
+        v = rows[-1]
+        u = v & masks.get(x, 0)
+        rows.append(((v + u) | (v - u)) & full)
+
+    def length(i: int, j: int) -> int:
+        return j - (rows[i] & ((1 << j) - 1)).bit_count()
+
     words, i, j = set(), len(ref), len(hyp)
     while i and j:
         if ref[i - 1] == hyp[j - 1]:
             i, j = i - 1, j - 1
             words.add(ref[i])
-        elif rows[i - 1][j] > rows[i][j - 1]:
+        elif length(i - 1, j) > length(i, j - 1):
             i -= 1
         else:
             j -= 1

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weft.functions import text as TX
+from weft.session import materialize
 
 # Judge instructions and line formats of the evaluation harness.
 PAIR_RATING_PROMPT = (
@@ -114,6 +115,30 @@ def judge_scores(members: DataFrame, parsed: DataFrame, key: str = "batch", n_mo
     return j
 
 
+#: No group of a text join has more than this part of the rows.
+HOT_SHARE = 1024
+
+
+def _join_by_text(rows: DataFrame, table: DataFrame, on: str, by: list[str], hot_share: int = HOT_SHARE) -> DataFrame:
+    """Left join on a text that may be most rows' own; ``table`` has one row a text.
+
+    The texts that make up 1 / ``hot_share`` of the rows or more (at most
+    ``hot_share``, whatever the data: they are broadcast) come from a sketch of
+    one pass, which may add some that are rarer.  Each gets as many salts as
+    keep a group below that share; its rows take one by the hash of ``by``, its
+    table row is there for each.  The others have one salt, rows without a
+    text any."""
+    sketch = rows.where(F.col(on).isNotNull()).agg(F.expr(f"approx_top_k(`{on}`, {hot_share}, {8 * hot_share})").alias("top"), F.count(F.lit(1)).alias("n"))
+    hot = F.broadcast(sketch.select(F.explode("top").alias("t"), "n").where(F.col("t.count") * hot_share >= F.col("n"))
+                      .select(F.col("t.item").alias(on), F.ceil(F.col("t.count") * hot_share / F.col("n")).cast("int").alias("_salts")))
+    salts = F.coalesce("_salts", F.when(F.col(on).isNull(), hot_share).otherwise(1))
+    left = rows.join(hot, on, "left").withColumn("_salt", F.pmod(F.xxhash64(*by), salts).cast("int"))
+    right = (table.where(F.col(on).isNotNull()).join(hot, on, "left")
+             .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))))
+    return (left.drop("_salts").join(right.drop("_salts"), [on, "_salt"], "left")
+            .select(*rows.columns, *[c for c in table.columns if c != on]))
+
+
 # -- J5 -------------------------------------------------------------------------
 def apply_translations(turns: DataFrame, translations: DataFrame, keys: list[str], turn_map: str = "turn",
                        source: str = "source", target: str = "target",
@@ -126,15 +151,15 @@ def apply_translations(turns: DataFrame, translations: DataFrame, keys: list[str
     rows ``(keys..., output, seq, entry MAP)`` with output 'chats' or
     'missing'; ``seq`` orders the missing entries of a turn."""
     t = turns.where(TX.turn_passes(F.col(turn_map), allow_keys))
-    kv = t.select(*keys, turn_map, F.posexplode(F.map_entries(F.col(turn_map))).alias("_k", "_e"))
-    kv = kv.select(*keys, turn_map, "_k", F.col("_e")["key"].alias("_key"), F.col("_e")["value"].alias("_val"))
+    # the whole turn goes with its first value only
+    kv = (t.select(*keys, turn_map, F.posexplode(F.map_entries(F.col(turn_map))).alias("_k", "_e"))
+          .select(*keys, F.when(F.col("_k") == 0, F.col(turn_map)).alias("_orig"), "_k", F.col("_e")["key"].alias("_key"), F.col("_e")["value"].alias("_val")))
     # one translation a source, whatever the table repeats
     tr = translations.groupBy(F.col(source).alias("_val")).agg(F.min(target).alias("_tr"))
-    kv = kv.join(tr, "_val", "left")
+    kv = _join_by_text(materialize(kv, "values"), tr, "_val", [*keys, "_k"])   # read by the sketch and by the join
     ok = F.col("_tr").isNotNull() & ~TX.strip_ws(F.col("_tr")).isin(*TX.TRANSLATION_PLACEHOLDERS)
-    kv = kv.withColumn("_ok", ok)
-    g = kv.groupBy(*keys).agg(
-        F.first(turn_map).alias("_orig"),
+    g = kv.withColumn("_ok", ok).groupBy(*keys).agg(
+        F.any_value("_orig", True).alias("_orig"),
         F.array_sort(F.collect_list(F.struct("_k", "_key", "_ok", TX.strip_ws(F.col("_tr")).alias("_t")))).alias("_xs"))
     good = F.filter("_xs", lambda x: x["_ok"])
     new = F.map_from_entries(F.transform(good, lambda x: F.struct(x["_key"], x["_t"])))

@@ -9,7 +9,6 @@ ROUGE-1/2 are array expressions; ROUGE-L and BLEU use the Arrow UDFs in
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -18,7 +17,6 @@ from pyspark.sql import functions as F
 from weft.functions.metrics_udf import bleu_udf, rouge_l_sentences_udf, rouge_l_udf
 from weft.functions.tokens import TOKEN_PATTERN
 from weft.operators.pack import running_sums
-from weft.session import materialize
 
 METRICS = ("bleu", "rouge_1_r", "rouge_1_p", "rouge_1_f", "rouge_2_r", "rouge_2_p", "rouge_2_f",
            "rouge_l_r", "rouge_l_p", "rouge_l_f")
@@ -94,65 +92,95 @@ def cumulative_mean(df: DataFrame, key: str, order: str, val: str, chunk: int =
 
 
 # -- W2 ---------------------------------------------------------------------------
-def _affine_level(df: DataFrame, keys: list[str], pos: str, chunk: int,
-                  materialize_level: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Chunk-local prefix composition of s -> a*s + b.  Returns per-row
-    (A, B) with s_row = A * s_in(chunk) + B, and per-chunk summaries."""
-    d = df.withColumn("_c", F.floor(F.col(pos) / chunk).cast("bigint")).withColumn("_p", F.pmod(F.col(pos), F.lit(chunk)))
-    g = d.groupBy(*keys, "_c").agg(F.array_sort(F.collect_list(F.struct("_p", "a", "b"))).alias("_xs"))
-    init = F.struct(F.lit(1.0).alias("A"), F.lit(0.0).alias("B"),
-                    F.array().cast("array<struct<A:double,B:double>>").alias("L"))
-
-    def step(acc, x):
-        a2 = x["a"] * acc["A"]
-        b2 = x["a"] * acc["B"] + x["b"]
-        return F.struct(a2.alias("A"), b2.alias("B"),
-                        F.concat(acc["L"], F.array(F.struct(a2.alias("A"), b2.alias("B")))).alias("L"))
-
-    g = g.withColumn("_acc", F.aggregate(F.col("_xs"), init, step)).drop("_xs")
-    if materialize_level:
-        # rows and summaries both read this level; a reliable checkpoint in the
-        # shared folder keeps the upper levels from recomputing it
-        g = materialize(g)
-    rows = g.select(*keys, "_c", F.posexplode(F.col("_acc")["L"]).alias("_p", "_ab")).select(
-        *keys, "_c", (F.col("_c") * chunk + F.col("_p")).alias(pos), F.col("_ab")["A"].alias("A"), F.col("_ab")["B"].alias("B"))
-    summ = g.select(*keys, F.col("_c").alias(pos), F.col("_acc")["A"].alias("a"), F.col("_acc")["B"].alias("b"))
-    return rows, summ
-
-
-def affine_scan(df: DataFrame, keys: list[str], pos: str, chunk: int = 256, max_len: int | None = None) -> DataFrame:
-    """s_pos = a * s_{pos-1} + b with s_{-1} = 0, per key; ``pos`` dense 0..L-1.
-
-    Hierarchical: chunk-local compositions, then the same scan over chunk
-    summaries (L/chunk rows), recursively; no group ever exceeds ``chunk``
-    elements.  Returns (keys, pos, s)."""
-    if max_len is None:
-        max_len = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    rows, summ = _affine_level(df.select(*keys, pos, "a", "b"), keys, pos, chunk, materialize_level=max_len > chunk)
-    if max_len <= chunk:
-        s_in = rows.select(*keys, "_c").distinct().withColumn("_sin", F.lit(0.0))
-    else:
-        up = affine_scan(summ, keys, pos, chunk, math.ceil(max_len / chunk))
-        prev = up.select(*keys, (F.col(pos) + 1).alias("_c"), F.col("s").alias("_sin"))
-        first = summ.where(F.col(pos) == 0).select(*keys, F.lit(0).cast("bigint").alias("_c"), F.lit(0.0).alias("_sin"))
-        s_in = prev.unionByName(first)
-    out = rows.join(s_in, keys + ["_c"])
-    return out.select(*keys, pos, (F.col("A") * F.col("_sin") + F.col("B")).alias("s"))
+def _after(later: Column, earlier: Column) -> Column:
+    """The step ``s -> a * s + b`` that does ``earlier``, then ``later``."""
+    return F.struct((later["a"] * earlier["a"]).alias("a"), (later["a"] * earlier["b"] + later["b"]).alias("b"))
+
+
+def _composed(steps: Column) -> Column:
+    """All steps of an array as one."""
+    return F.aggregate(steps, F.struct(F.lit(1.0).alias("a"), F.lit(0.0).alias("b")), lambda acc, x: _after(x, acc))
+
+
+def _prefixes(steps: Column, size: int) -> Column:
+    """Each step of the array (of at most ``size``) composed with all before it.
+
+    The array is cut into sqrt(size) parts.  Steps are composed in order inside
+    a part, then each part with what the parts before it make together, so the
+    lists that grow by an element at a time have sqrt(size) elements."""
+    width = max(1, round(size ** 0.5))
+    pair, none = "struct<a:double,b:double>", F.struct(F.lit(1.0).alias("a"), F.lit(0.0).alias("b"))
+
+    def grown(acc: Column, now: Column, kept: Column) -> Column:
+        return F.struct(now.alias("now"), F.concat(acc["all"], F.array(kept)).alias("all"))
+
+    start = F.struct(none.alias("now"), F.array().cast(f"array<{pair}>").alias("all"))
+
+    def inside(part: Column) -> Column:
+        return F.aggregate(part, start, lambda acc, x: F.transform(F.array(_after(x, acc["now"])), lambda y: grown(acc, y, y))[0])["all"]
+
+    def joined(parts: Column) -> Column:
+        before = F.aggregate(parts, start, lambda acc, p: grown(acc, _after(F.element_at(p, -1), acc["now"]), acc["now"]))["all"]
+        return F.flatten(F.zip_with(parts, before, lambda p, e: F.transform(p, lambda x: _after(x, e))))
+
+    # an array of one binds a value, so that it is computed once
+    cut = F.transform(F.array(steps), lambda xs: F.transform(F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / width)),
+                                                             lambda k: inside(F.slice(xs, (k * width + 1).cast("int"), F.lit(width)))))
+    return F.transform(cut, joined)[0]
+
+
+def _entering(prefixes: Column, state: Column) -> Column:
+    """The state before each step, from the prefixes and the state before all."""
+    after = F.transform(prefixes, lambda p: p["a"] * state + p["b"])
+    return F.concat(F.array(state), F.slice(after, F.lit(1), F.greatest(F.size(after) - 1, F.lit(0))))
+
+
+def _scan(d: DataFrame, step: Callable[[Column, Column], Column], chunk: int, per_key: DataFrame) -> DataFrame:
+    """``(_row, s)``: the linear recurrence s = a * s + b from 0 over each ``_key``'s rows in the order of ``_pos`` (dense from 0).
+
+    ``step(x, w)`` gives ``struct(a, b)`` of an element ``x`` (``_pos``,
+    ``_row``) with ``w`` from ``per_key`` (``_key``, ``w``).  Three levels, of
+    fixed depth, planned without a job: rows in chunks, chunks in chunks, and
+    the summaries of those, of which a key has one in ``chunk * chunk`` rows.
+    The key's values join chunks, not rows."""
+    xs = F.array_sort(F.collect_list(F.struct("_pos", "_row")))
+    rows = d.groupBy("_key", F.floor(F.col("_pos") / chunk).alias("_c")).agg(xs.alias("_xs")).join(per_key, "_key")
+    rows = rows.withColumn("_steps", F.transform("_xs", lambda x: step(x, F.col("w"))))
+
+    def summary(df: DataFrame, at: str) -> DataFrame:
+        return df.select("_key", at, _composed(F.col("_steps")).alias("_step"))
+
+    mid = (summary(rows, "_c").groupBy("_key", F.floor(F.col("_c") / chunk).alias("_m"))
+           .agg(F.array_sort(F.collect_list(F.struct("_c", "_step"))).alias("_cs"))
+           .withColumn("_steps", F.transform("_cs", lambda x: x["_step"])))
+    top = summary(mid, "_m").groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("_m", "_step"))).alias("_ms"))
+    states = F.aggregate("_ms", F.struct(F.lit(0.0).alias("s"), F.array().cast("array<struct<m:bigint,s:double>>").alias("all")),
+                         lambda acc, x: F.struct((x["_step"]["a"] * acc["s"] + x["_step"]["b"]).alias("s"),
+                                                 F.concat(acc["all"], F.array(F.struct(x["_m"].alias("m"), acc["s"].alias("s")))).alias("all")))["all"]
+    into_mid = top.select("_key", F.explode(states).alias("_x")).select("_key", F.col("_x.m").alias("_m"), F.col("_x.s").alias("_in"))
+    mid = mid.join(into_mid, ["_key", "_m"]).withColumn("_steps", _prefixes(F.col("_steps"), chunk))
+    into_rows = (mid.select("_key", F.explode(F.arrays_zip(F.col("_cs"), _entering(F.col("_steps"), F.col("_in")).alias("_s"))).alias("_x"))
+                 .select("_key", F.col("_x._cs._c").alias("_c"), F.col("_x._s").alias("_in")))
+    rows = rows.join(into_rows, ["_key", "_c"]).withColumn("_steps", _prefixes(F.col("_steps"), chunk))
+    out = rows.select("_in", F.explode(F.arrays_zip("_xs", "_steps")).alias("_x"))
+    return out.select("_x._xs._row", (F.col("_x._steps.a") * F.col("_in") + F.col("_x._steps.b")).alias("s"))
 
 
 def smooth(df: DataFrame, key: str, order: str, val: str, chunk: int = 256) -> DataFrame:
     """TensorBoard-style EMA per series; rows without the metric are
-    skipped; weight = 1.8 * (sigmoid(0.05 * series length) - 0.5)."""
+    skipped; weight = 1.8 * (sigmoid(0.05 * series length) - 0.5).  A null
+    series is one too; a series of any length is spread (:func:`_scan`)."""
     from weft.operators.split import ordered_index
-    d = df.where(F.col(val).isNotNull()).select(key, order, val)
-    d = ordered_index(d, [order], out="_pos", partition_cols=[key])
-    n = d.groupBy(key).agg(F.count(F.lit(1)).alias("_len"))
-    d = d.join(n, key).withColumn("_w", F.lit(1.8) * (F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-0.05) * F.col("_len"))) - 0.5))
-    d = (d.withColumn("a", F.when(F.col("_pos") == 0, F.lit(0.0)).otherwise(F.col("_w")))
-          .withColumn("b", F.when(F.col("_pos") == 0, F.col(val)).otherwise((1 - F.col("_w")) * F.col(val))))
-    d = materialize(d)   # read by the scan and by the final join
-    s = affine_scan(d.select(key, "_pos", "a", "b"), [key], "_pos", chunk)
-    return d.join(s, [key, "_pos"]).select(key, order, val, F.col("s").alias("smoothed"))
+    d = df.where(F.col(val).isNotNull()).select(F.struct(F.col(key)).alias("_key"), F.col(order).alias("_order"), F.struct(key, order, val).alias("_row"))
+    d = ordered_index(d, ["_order"], out="_pos", partition_cols=["_key"])
+    w = F.lit(1.8) * (F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-0.05) * F.count(F.lit(1)))) - 0.5)
+
+    def step(x: Column, weight: Column) -> Column:
+        value, first = x["_row"][val].cast("double"), x["_pos"] == 0
+        return F.struct(F.when(first, 0.0).otherwise(weight).alias("a"), F.when(first, value).otherwise((1 - weight) * value).alias("b"))
+
+    out = _scan(d.select("_key", "_pos", "_row"), step, chunk, d.groupBy("_key").agg(w.alias("w")))
+    return out.select("_row.*", F.col("s").alias("smoothed"))
 
 
 # -- A8-A10 -----------------------------------------------------------------------
