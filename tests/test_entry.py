@@ -63,6 +63,8 @@ def test_every_query_matches_duckdb(spark):
     con = _duck()
     bad = []
     for name, q in qs.items():
+        if name not in sqls:   # compared with brute force elsewhere
+            continue
         sdf = q(spark, SF_SMALL)
         cols = sorted(sdf.columns)
         got = sorted(repr(tuple(norm(r[c]) for c in cols)) for r in sdf.collect())

@@ -213,3 +213,17 @@ def test_rounds_fit_of_a_hot_conversation(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert full == bounded and max(v[0] for v in full.values()) >= 5
+
+
+@pytest.mark.parametrize("look", [None, 2, 5])
+def test_locked_turns(spark, look):
+    """The first two turns apart, the history after them, bounded or not, over small chunks."""
+    rows = [(c, t, f"q{c}.{t}", f"a{t}") for c, n in ((1, 30), (2, 1), (3, 3), (None, 4)) for t in range(n)]
+    pairs = spark.createDataFrame(rows, "conv_id long, turn long, query string, response string")
+    out = H.expand_history(pairs, max_history=look, chunk=7, locked=2).collect()
+    assert len(out) == len(rows)
+    for r in out:
+        names = [f"q{r['conv_id']}.{t}" for t in range(r["turn"])]
+        assert [h["query"] for h in r["locked"]] == names[:2]
+        later = [f"q{r['conv_id']}.{t}" for t in range(2, r["turn"])]
+        assert [h["query"] for h in r["history"]] == (later if look is None else later[-look:])

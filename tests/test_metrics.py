@@ -164,3 +164,24 @@ def test_common_words_by_bits_match_the_table():
     for _ in range(300):
         a, b = ([rnd.choice("abcdefgh") + str(rnd.randrange(3)) for _ in range(rnd.randint(0, 25))] for _ in range(2))
         assert lcs_words(a, b) == table(a, b)
+
+
+def test_sentence_metrics_of_a_query(spark):
+    """Every row of the registered query against the plain helpers."""
+    import __spark_entry__ as E
+    from conftest import SF_SMALL
+    from weft.plans import fixtures as X
+    texts = {(r["conv_id"], r["turn"], r["model"]): r["text"] for r in X.predictions(spark, SF_SMALL).collect()}
+    wanted = {(r["conv_id"], r["turn"]): r["response"] for r in X.pairs(spark, SF_SMALL).collect()}
+    got = E.queries()["A10_evaluate_sentences"](spark, SF_SMALL).collect()
+    assert len(got) == len(texts) > 10
+
+    def sentences(text):
+        import re
+        tokens = re.findall(r"[A-Za-z0-9_]+|[^A-Za-z0-9_ \t\n\r]", text)
+        return [s.split() for s in " ".join(tokens).split(".") if s]
+
+    for r in got:
+        key = r["conv_id"], r["turn"], r["model"]
+        want = rouge_l_sentences(sentences(texts[key]), sentences(wanted[key[:2]]))
+        assert all(abs(a - b) <= 0.00051 for a, b in zip((r["rouge_l_r"], r["rouge_l_p"], r["rouge_l_f"]), want)), key

@@ -98,7 +98,7 @@ def with_earlier(df: DataFrame, conv: str, order: str, item: Column, out: str, a
 
 def expand_history(pairs: DataFrame, conv: str = "conv_id", order: str = "turn",
                    query: str = "query", response: str = "response", max_history: int | None = None,
-                   chunk: int = 4096, carry: dict[str, str] | None = None) -> DataFrame:
+                   chunk: int = 4096, carry: dict[str, str] | None = None, locked: int = 0) -> DataFrame:
     """One row per turn with all earlier turns of the conversation as
     ``history`` ARRAY<STRUCT<query, answer>> (chronological).
 
@@ -111,15 +111,23 @@ def expand_history(pairs: DataFrame, conv: str = "conv_id", order: str = "turn",
     into chunks of ``chunk`` positions, and the last ``max_history`` rows of
     each chunk are copied (one ``explode``, no self-union) into the next
     chunk as a halo.  The window then runs per (conversation, chunk), so no
-    partition holds more than ``chunk + max_history`` rows."""
+    partition holds more than ``chunk + max_history`` rows.
+
+    ``locked`` sets the conversation's first turns apart: column ``locked``
+    holds those of them that are earlier, ``history`` the turns after them.
+    They are read from the same positions and joined by salt."""
     extra = [F.col(src).alias(name) for name, src in (carry or {}).items()]
     struct = F.struct(F.col(query).alias("query"), F.col(response).alias("answer"), *extra)
     if max_history is None:
-        return with_earlier(pairs, conv, order, struct, "history")
-    if max_history <= 0:   # an empty array of the history struct type
+        out = with_earlier(pairs, conv, order, struct, "history")
+        if not locked:
+            return out
+        return (out.withColumn("locked", F.slice("history", F.lit(1), F.lit(locked)))
+                .withColumn("history", F.slice("history", F.lit(locked + 1), F.greatest(F.size("history") - locked, F.lit(0)))))
+    if max_history <= 0 and not locked:   # an empty array of the history struct type
         return pairs.withColumn("history", F.filter(F.array(struct), lambda x: F.lit(False)))
     from weft.operators.split import ordered_index
-    k, size = max_history, max(chunk, max_history)
+    k, size = max(max_history, 0), max(chunk, max_history)
     d = ordered_index(pairs, [order], out="_pos", partition_cols=[conv]).withColumn(
         "_chunk", F.floor(F.col("_pos") / size).cast("bigint"))
     tail = F.pmod(F.col("_pos"), F.lit(size)) >= size - k
@@ -128,8 +136,21 @@ def expand_history(pairs: DataFrame, conv: str = "conv_id", order: str = "turn",
               .otherwise(F.array(F.struct(F.col("_chunk").alias("c"), F.lit(False).alias("halo"))))
     d = d.withColumn("_copy", F.explode(copies)).withColumn("_chunk", F.col("_copy.c"))
     w = Window.partitionBy(conv, "_chunk").orderBy("_pos").rowsBetween(-k, -1)
-    out = d.withColumn("history", F.collect_list(struct).over(w)).where(~F.col("_copy.halo"))
-    return out.drop("_pos", "_chunk", "_copy")
+    later = F.when(F.col("_pos") >= locked, struct) if locked else struct   # null: left out of the list
+    out = d.withColumn("history", F.collect_list(later).over(w)).where(~F.col("_copy.halo")).drop("_chunk", "_copy")
+    return (_with_front(out, struct, conv, locked, "locked") if locked else out).drop("_pos")
+
+
+def _with_front(d: DataFrame, turn: Column, conv: str, limit: int, out: str) -> DataFrame:
+    """``out`` = the earlier rows among the conversation's first ``limit`` (by the dense ``_pos``), at most ``limit`` of
+    a conversation, joined on (conv, salt) so that a huge conversation is spread."""
+    front = (d.where(F.col("_pos") < limit).groupBy(F.col(conv).alias("_conv"))
+             .agg(F.transform(F.array_sort(F.collect_list(F.struct(F.col("_pos").alias("p"), turn.alias("t")))), lambda x: x["t"]).alias("_front"))
+             .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(PROMPT_SALTS - 1)))))
+    both = d.withColumn("_salted", F.pmod("_pos", F.lit(PROMPT_SALTS)).cast("int")).join(
+        front, F.col(conv).eqNullSafe(F.col("_conv")) & (F.col("_salted") == F.col("_salt")))
+    return (both.withColumn(out, F.slice("_front", F.lit(1), F.least(F.col("_pos"), F.lit(limit)).cast("int")))
+            .drop("_conv", "_front", "_salt", "_salted"))
 
 
 def expand_front(pairs: DataFrame, limit: int, conv: str = "conv_id", order: str = "turn",
@@ -144,14 +165,7 @@ def expand_front(pairs: DataFrame, limit: int, conv: str = "conv_id", order: str
     conversation is spread over tasks."""
     from weft.operators.split import ordered_index
     d = ordered_index(pairs, [order], out="_pos", partition_cols=[conv])
-    turn = F.struct(F.col("_pos").alias("p"), F.struct(F.col(query).alias("query"), F.col(response).alias("answer")).alias("t"))
-    front = (d.where(F.col("_pos") < limit).groupBy(F.col(conv).alias("_conv"))
-             .agg(F.transform(F.array_sort(F.collect_list(turn)), lambda x: x["t"]).alias("_front"))
-             .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(PROMPT_SALTS - 1)))))
-    d = d.withColumn("_salted", F.pmod("_pos", F.lit(PROMPT_SALTS)).cast("int"))
-    out = d.join(front, F.col(conv).eqNullSafe(F.col("_conv")) & (F.col("_salted") == F.col("_salt")))
-    earlier = F.slice("_front", F.lit(1), F.least(F.col("_pos"), F.lit(limit)).cast("int"))
-    return out.withColumn("history", earlier).drop("_pos", "_conv", "_front", "_salt", "_salted")
+    return _with_front(d, F.struct(F.col(query).alias("query"), F.col(response).alias("answer")), conv, limit, "history").drop("_pos")
 
 
 def expand_nested(df: DataFrame, chat: str = "chat", q: str = "input", a: str = "output") -> DataFrame:
@@ -396,7 +410,7 @@ def inference_context(df: DataFrame, budget: int, tokenizer=DEFAULT_TOKENIZER, s
 
     prompt_col = F.col(prompt) if prompt else F.lit(None).cast("string")
     empty = F.array().cast("array<int>")
-    locked_col = F.coalesce(F.col(locked), F.array().cast(HISTORY_TYPE)) if locked else F.array().cast(HISTORY_TYPE)
+    locked_col = F.coalesce(F.col(locked), F.array().cast(df.schema[locked].dataType)) if locked else F.array().cast(HISTORY_TYPE)
     hist = F.coalesce(F.col(history), F.array().cast(df.schema[history].dataType))
     out = (df.withColumn("_prompt_ids", F.when(F.coalesce(prompt_col, F.lit("")) != "", tk.ids(prompt_col)).otherwise(empty))
              .withColumn("_q_ids", tk.ids(F.concat(F.lit(s["user_token"]), F.coalesce(F.col(query), F.lit("")),

@@ -243,14 +243,12 @@ SELECT c.conv_id, c.turn,
 FROM c2 c LEFT JOIN kept k ON k.conv_id = c.conv_id AND k.turn = c.turn
 """)
 def t12(spark, sf):
-    """Locked turn = the conversation's first pair (joined by salt, not by
-    conversation); history = the pairs between it and the current one, through
-    the bounded, chunked history window, with token counts carried."""
+    """Locked turn = the conversation's first pair; history = the pairs
+    between it and the current one, through the bounded, chunked history
+    window, with token counts carried; one index of positions serves both."""
     pairs = X.pairs(spark, sf).withColumn("_n_tokens", H.turn_token_count())
-    p = H.expand_front(pairs, 1).withColumnRenamed("history", "locked")
-    later = H.expand_history(p.where(F.size("locked") > 0), max_history=H.max_fitting_turns(T12_BUDGET), carry={"n_tokens": "_n_tokens"})
-    firsts = p.where(F.size("locked") == 0).withColumn("history", F.lit(None).cast(later.schema["history"].dataType))
-    out = H.inference_context(later.unionByName(firsts), T12_BUDGET, locked="locked", length_field="n_tokens")
+    later = H.expand_history(pairs, max_history=H.max_fitting_turns(T12_BUDGET), carry={"n_tokens": "_n_tokens"}, locked=1)
+    out = H.inference_context(later, T12_BUDGET, locked="locked", length_field="n_tokens")
     return out.select("conv_id", "turn", "status", F.col("n_history").cast("bigint").alias("n_history"), "input_ids")
 
 

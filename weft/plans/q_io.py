@@ -294,3 +294,19 @@ def k7(spark, sf):
     assert first.inputFiles() == again.inputFiles()
     return again.select("doc_id", F.size("input_ids").alias("n_tokens"))
 
+
+@register("K7_materialize_by_sources", sql=f"SELECT doc_id, CAST(len({TK.sql_tokens('text')}) AS INTEGER) AS n_tokens FROM documents")
+def k7_sources(spark, sf):
+    """Prepared from half of the documents; when the others come, the key changes and all are prepared."""
+    src, base = _dir(spark, "k7s"), _dir(spark, "k7p")
+    docs = X.documents(spark, sf).select("doc_id", "text")
+    half = F.col("doc_id") % 2 == 0
+
+    def prepared():
+        build = lambda: spark.read.parquet(src).select("doc_id", F.size(TK.tokens(F.col("text"))).alias("n_tokens"))
+        return SK.materialize(spark, build, {"op": "count"}, base, sources=[src])
+
+    docs.where(half).write.parquet(src)
+    prepared()
+    docs.where(~half).write.mode("append").parquet(src)
+    return prepared()

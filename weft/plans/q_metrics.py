@@ -265,6 +265,13 @@ def a8l(spark, sf):
     return e.select("conv_id", "turn", "model", *[F.round(s[m], R6).alias(f"rouge_l_{m}") for m in ("r", "p", "f")])
 
 
+@register("A10_evaluate_sentences")
+def evaluation_sentences(spark, sf):
+    """The ten metrics with texts cut at full stops (summary-level ROUGE-L); the walk through its table has no SQL."""
+    e = X.predictions(spark, sf).join(X.pairs(spark, sf).select("conv_id", "turn", F.col("response").alias("expect")), ["conv_id", "turn"])
+    return M.nlp_metrics(e.withColumnRenamed("text", "predict"), sentences=True).select("conv_id", "turn", "model", *M.METRICS)
+
+
 def _rouge_cols3(n):
     p, rc = _rouge_sql(n)
     return (f"round_even({rc}, 3) AS rouge_{n}_r, round_even({p}, 3) AS rouge_{n}_p, "

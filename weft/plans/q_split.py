@@ -9,6 +9,7 @@ from weft.operators import adapters as AD
 from weft.operators import split as SP
 from weft.plans import fixtures as X
 from weft.plans.catalog import register
+from weft.session import materialize
 
 SEED = 42
 
@@ -63,6 +64,15 @@ def x1(spark, sf):
     return SP.train_dev_split(X.documents(spark, sf).select("doc_id"), 0.1, True, ["doc_id"], SEED)
 
 
+@register("X1_train_dev_threshold", sql=f"""
+SELECT doc_id, CASE WHEN CAST(('0x' || substr(md5('{SEED}:' || CAST(doc_id AS VARCHAR)), 1, 12))::BIGINT AS DOUBLE) / {float(16 ** 12)!r} < 0.1
+       THEN 'eval' ELSE 'train' END AS split FROM documents
+""")
+def x1_threshold(spark, sf):
+    """The approximate split: no count, no shuffle."""
+    return SP.train_dev_split(X.documents(spark, sf).select("doc_id"), 0.1, True, ["doc_id"], SEED, exact=False)
+
+
 # -- X2 / X3 ------------------------------------------------------------------
 def _x2(name, weights):
     ws = [float(w) for w in weights.split(",")]
@@ -141,7 +151,7 @@ SELECT source, conv_id, turn, prompt_and_chosen,
 FROM u
 """)
 def u3(spark, sf):
-    p = X.prefs(spark, sf)
+    p = materialize(X.prefs(spark, sf), "prefs")   # read by both branches, and by the buckets of the split
     cols = ["source", "conv_id", "turn", "prompt_and_chosen"]
     pairs = AD.identity_pairs(p).withColumn("source", F.lit("pairs")).select(*cols)
     sft = AD.local_json_pairs(p).withColumn("source", F.lit("sft")).select(*cols)

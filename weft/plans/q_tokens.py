@@ -317,6 +317,16 @@ def t19_1(spark, sf):
     return EN.phase_record(df, 1)
 
 
+@register("T19_phase1_masked_pads", sql=f"""
+WITH {PAIR_ENC_SQL}
+SELECT chosen_input_ids AS input_ids, chosen_attention_mask AS attention_mask,
+  list_transform(chosen_input_ids, lambda x, i: CASE WHEN chosen_attention_mask[i] = 1 THEN x ELSE -100 END) AS labels FROM pe2
+""")
+def t19_1_masked(spark, sf):
+    df = _pair_encoded(spark, sf).select(F.col("chosen_input_ids").alias("input_ids"), F.col("chosen_attention_mask").alias("attention_mask"))
+    return EN.phase_record(df, 1, mask_pads=True)
+
+
 @register("T19_phase2_record", sql=f"""
 WITH {PAIR_ENC_SQL}
 SELECT chosen_input_ids, chosen_attention_mask, rejected_input_ids, rejected_attention_mask FROM pe2
