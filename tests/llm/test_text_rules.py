@@ -3,6 +3,7 @@
 import collections
 import html
 import math
+import random
 import re
 
 import pytest
@@ -186,6 +187,54 @@ def test_every_rule_has_its_keyword_and_a_hint():
             assert len(text.split()) <= license_rules.REACH
 
 
+def detect(text, rules):
+    """Every rule tried on all words, then containment: (labels without the base's, detections, best priority)."""
+    words = " " + " ".join(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))) + " "
+    hits = set()
+    for rule, pattern in rules:
+        for m in pattern.finditer(words):
+            start = words.count(" ", 0, m.start()) - 1
+            hits.add((start, -(start + m.group().count(" ") + 1), -rule.priority, rule.label))
+    reach, kept = -1, []
+    for start, stop, priority, label in sorted(hits):
+        if -stop > reach:
+            reach = -stop
+            kept.append((label, -priority))
+    return {label for label, _ in kept}, len(kept), max([p for _, p in kept], default=0) / 100
+
+
+def test_detections_match_all_rules_tried(spark):
+    """All rules on every text of sf0.01 and on texts put together from what rules match, with fillers between."""
+    rules = [(r, re.compile(license_rules._framed(r.pattern))) for r in license_rules.RULES]
+    rnd = random.Random(8)
+    strings = [m for r in license_rules.RULES for m in matches(re._parser.parse(r.pattern))]
+    filler = ["the", "license", "gnu", "cc", "by", "mit", "version", "2", "public", "apache", "x"]
+    made = []
+    for i in range(400):
+        parts = [w for _ in range(rnd.randint(1, 12)) for w in (rnd.choice(strings), *rnd.choices(filler, k=rnd.randint(0, 3)))]
+        made.append((10**6 + i, rnd.choice([" ", ", ", "\n", " - "]).join(parts).title()))
+    docs = documents(spark, "/root/testdata/sf0.01").select("doc_id", "text").unionAll(spark.createDataFrame(made, "doc_id long, text string"))
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    found = 0
+    for r in license_rules.scan(docs).collect():
+        labels, n, score = detect(texts[r["doc_id"]], rules)
+        base = set(r["base_labels"].split(",")) - {""}
+        assert (set(r["labels"].split(",")) - {""}, r["detections"], r["score"]) == (labels | base, n, pytest.approx(score)), texts[r["doc_id"]][:300]
+        found += n
+    assert found > 1500
+
+
+def test_a_long_text_of_phrases(spark):
+    """A megabyte of one phrase: linear in the text."""
+    import time
+    n = 87_000
+    docs = spark.createDataFrame([(1, "mit license " * n)], "doc_id long, text string")
+    began = time.time()
+    r = license_rules.scan(docs).first()
+    assert (r["n_words"], r["n_base"], r["last_word"], r["labels"], r["detections"]) == (2 * n, n, 2 * n - 2, "mit", n)
+    assert time.time() - began < 60
+
+
 # ---- op8 --------------------------------------------------------------------------------------------
 
 def measured(text):

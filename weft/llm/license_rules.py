@@ -144,9 +144,8 @@ def _spaces(x: Column) -> Column:
     return F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit("")))
 
 
-def _places(words: Column, pattern: Column | str) -> Column:
-    """Intervals ``(start, stop)`` in words of a regex's matches, by counting the blanks between them."""
-    pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
+def _places(words: Column, pattern: Column) -> Column:
+    """Intervals ``(start, stop)`` in words of a regex's matches in a few words, by counting the blanks between them."""
     found, between = F.regexp_extract_all(words, pattern, F.lit(0)), F.split(words, pattern, F.lit(-1))
     empty = F.struct(F.lit(-1).alias("at"), F.array().cast("array<struct<start:int,stop:int>>").alias("spans"))
 
@@ -166,9 +165,10 @@ def _framed(pattern: str) -> str:
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: list[Rule] = RULES) -> DataFrame:
     """``(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, detections)`` for every row.
 
-    A text without any hint is only counted.  The others are brought to words
-    joined by single blanks; each keyword found there has its rules read the
-    ``REACH`` words on either side of it (no match is longer).
+    A text without any hint is only counted.  The others are split into words;
+    each word that begins with a keyword has that keyword's rules read the
+    ``REACH`` words on either side of it (no match is longer), and keeps the
+    matches that hold it, so work and memory are linear in the text.
     Detections are sorted by start, then the longer, then the higher priority;
     one that lies inside an earlier one is suppressed, so a mention inside a
     fuller notice (or the same place under a weaker rule) adds no label;
@@ -181,33 +181,42 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules:
     text = F.coalesce(F.col(text_col), F.lit(""))
     low = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.lower(text).alias("low"))
     text = F.col("text")
-    words = F.concat(F.lit(" "), F.translate(F.trim(F.regexp_replace(text, GAP, " ")), UPPER, UPPER.lower()), F.lit(" "))
+    words = F.split(F.translate(F.trim(F.regexp_replace(text, GAP, " ")), UPPER, UPPER.lower()), " ")
     hint = reduce(or_, [F.contains(F.col("low"), F.lit(h)) for h in HINTS]) | (F.contains(F.col("low"), F.lit("cc")) & text.rlike(CC_BY))
-    hinted = low.select("doc_id", F.regexp_count(text, F.lit(WORD)).cast("long").alias("n_words"), F.when(hint, words).alias("w"))
-    w = F.col("w")
-    table = F.array(*[F.struct(F.lit(r.keyword).alias("keyword"), F.lit(_framed(r.pattern)).alias("pattern"),
-                               F.lit(r.label).alias("label"), F.lit(r.priority).alias("priority")) for r in rules])
-    keyword = "(?<= )(?:" + "|".join(sorted({r.keyword for r in rules}, key=lambda k: (-len(k), k))) + ")"
-    found_at = F.zip_with(_places(w, keyword), F.regexp_extract_all(w, F.lit(keyword), F.lit(0)), lambda s, k: F.struct(
-        F.greatest(s["start"] - REACH, F.lit(0)).alias("from"), k.alias("keyword")))
-
-    def labelled(phrase: str, label: str) -> Column:
-        return F.transform(_places(w, _framed(phrase)), lambda s: F.struct(s["start"].alias("start"), F.lit(label).alias("label")))
-
-    base = F.flatten(F.array(*[labelled(p, label) for p, label in BASE.items()]))
-    near = F.transform("found_at", lambda a: F.struct(a["from"].alias("from"), a["keyword"].alias("keyword"), F.concat(
-        F.lit(" "), F.array_join(F.slice("ws", a["from"] + 1, F.lit(2 * REACH + 1)), " "), F.lit(" ")).alias("text")))
-
-    def hits_of(a: Column) -> Column:
-        mine = F.filter(table, lambda r: r["keyword"] == a["keyword"])
-        return F.flatten(F.transform(mine, lambda r: F.transform(_places(a["text"], r["pattern"]), lambda s: F.struct(
-            (a["from"] + s["start"]).alias("start"), (-(a["from"] + s["stop"])).alias("stop"), (-r["priority"]).alias("priority"),
-            r["label"].alias("label")))))
-
-    found = (hinted.withColumn("found_at", F.when(w.isNotNull(), found_at)).withColumn("ws", F.split(F.trim(w), " "))
-             .withColumn("near", F.when(w.isNotNull(), near))
-             .select("doc_id", "n_words", F.when(w.isNotNull(), base).alias("base"),
-                     F.when(w.isNotNull(), F.array_sort(F.array_distinct(F.flatten(F.transform("near", hits_of))))).alias("hits")))
+    hinted = low.select("doc_id", F.regexp_count(text, F.lit(WORD)).cast("long").alias("n_words"), F.when(hint, words).alias("ws"))
+    keywords = sorted({r.keyword for r in rules}, key=lambda k: (-len(k), k))
+    table = F.array(*[F.struct(F.lit(k).alias("keyword"), F.array(*[
+        F.struct(F.lit(_framed(r.pattern)).alias("pattern"), F.lit(r.label).alias("label"), F.lit(r.priority).alias("priority"))
+        for r in rules if r.keyword == k]).alias("rules")) for k in keywords])
+    starts = "^(?:" + "|".join(keywords) + ")"
+
+    def phrases(ws: Column) -> Column:
+        """The first words of all base phrases."""
+        def at(i: Column, phrase: str) -> Column:
+            return reduce(lambda a, b: a & b, [F.get(ws, i + j) == word for j, word in enumerate(phrase.split())])
+
+        first = F.sequence(F.lit(0), F.size(ws) - 1)
+        return F.flatten(F.array(*[F.transform(F.filter(first, lambda i: F.coalesce(at(i, phrase), F.lit(False))),
+                                               lambda i: F.struct(i.alias("start"), F.lit(label).alias("label"))) for phrase, label in BASE.items()]))
+
+    def hits(ws: Column) -> Column:
+        """Matches of each keyword's rules that hold the keyword, from the words around it."""
+        found = F.filter(F.transform(ws, lambda w, i: F.struct(i.alias("at"), F.regexp_extract(w, starts, 0).alias("keyword"))), lambda f: f["keyword"] != "")
+
+        def around(f: Column) -> Column:
+            low = F.greatest(f["at"] - REACH, F.lit(0))
+            near = F.concat(F.lit(" "), F.array_join(F.slice(ws, low + 1, F.lit(2 * REACH + 1)), " "), F.lit(" "))
+            return F.struct(f["at"].alias("at"), low.alias("from"), near.alias("text"), F.filter(table, lambda t: t["keyword"] == f["keyword"])[0]["rules"].alias("rules"))
+
+        def matched(a: Column) -> Column:
+            every = F.flatten(F.transform(a["rules"], lambda r: F.transform(_places(a["text"], r["pattern"]), lambda s: F.struct(
+                (a["from"] + s["start"]).alias("start"), (-(a["from"] + s["stop"])).alias("stop"), (-r["priority"]).alias("priority"), r["label"].alias("label")))))
+            return F.filter(every, lambda h: (h["start"] <= a["at"]) & (a["at"] < -h["stop"]))
+
+        return F.array_sort(F.flatten(F.transform(F.transform(found, around), matched)))
+
+    # an array of one binds the words, so that they are split once
+    found = hinted.select("doc_id", "n_words", F.transform(F.array("ws"), phrases)[0].alias("base"), F.transform(F.array("ws"), hits)[0].alias("hits"))
     none = F.struct(F.lit(-1).alias("reach"), F.lit(0).alias("best"), F.lit(0).alias("kept"), F.array().cast("array<string>").alias("labels"))
 
     def keep(acc, h):
