@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+import regex
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,36 +15,49 @@ from weft.llm.common import give_back, map_columns, training_row
 UNDETERMINED = "und"
 #: Words are packed in pieces of so many bytes: what a dictionary saves is bounded, and would be lost in a longer piece.
 PIECE = 8192
-find_words = re.compile(r"[^\W\d_]+").findall
+#: Runs of letters and number signs; the few with number signs (½, ², Ⅳ) are cut again into letters alone.
+find_words, find_letters = re.compile(r"[^\W\d_]+").findall, regex.compile(r"\p{L}+").findall
 
 
 def words_of(text: str | None) -> bytes:
-    """Each different word of a text once, in order of appearance, in lower case: repetition and marks say nothing."""
-    return " ".join(dict.fromkeys(find_words(text.lower()))).encode() if text else b""
+    """Each different word (run of Unicode letters) of a text once, in order of appearance, in lower case: repetition and marks say nothing."""
+    words = dict.fromkeys(find_words(text.lower())) if text else {}
+    if not all(map(str.isalpha, words)):
+        words = dict.fromkeys(w for run in words for w in find_letters(run))
+    return " ".join(words).encode()
 
 
 def fit_dictionaries(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                     samples: int = 600, sample_chars: int = 512, dictionary_bytes: int = 128 * 1024,
+                     samples: int = 600, sample_chars: int = 512, dictionary_bytes: int = 128 * 1024, languages: int = 64,
                      ) -> dict[str, bytes]:
     """Language -> dictionary, the most frequent language first.
 
-    The sample is bounded: for each language, ``sample_chars`` characters of the
-    ``samples`` labelled texts that come first by a hash of their id (an equal
-    number from each of 20 hash buckets, so that no task ranks a language), cut
-    to ``dictionary_bytes``.  The row limit is applied before the shuffle, so
-    each task sends at most ``samples`` short rows a language.  Rows with a null
-    label or text teach nothing.
+    The sample is bounded: of the ``languages`` labels with most texts (ties:
+    the smaller name) the ``samples`` texts that come first by a hash of their
+    id, an equal number from each of 20 hash buckets, so that no task ranks a
+    language; of each text ``sample_chars`` characters, in four pieces spread
+    over it if it is longer.  Dictionaries are cut to ``dictionary_bytes``.
+    Texts are counted first and only those whose hash is below what yields
+    some times ``samples`` are ranked, so tasks send few rows however many
+    there are.  Rows with a null label or text teach nothing.
     """
-    buckets = 20
-    known = docs.where(F.col(lang_col).isNotNull() & (F.length(text_col) > 0))
+    buckets, spare = 20, 4
+    known = docs.where(F.col(lang_col).isNotNull() & (F.length(text_col) > 0)).select(
+        F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col).cast("string")).alias("h"), F.col(text_col).alias("text"))
+    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()}
+    if not sizes:
+        return {}
+    share = docs.sparkSession.createDataFrame([(lang, min(1.0, spare * samples / n)) for lang, n in sizes.items()], "lang string, share double")
+    n, size = F.length("text"), sample_chars // 4
+    spread = F.concat_ws(" ", *[F.substr("text", (F.floor((n - size) * i / 3) + 1).cast("int"), F.lit(size)) for i in range(4)])
+    place = F.pmod(F.xxhash64("h"), F.lit(1 << 20)) / float(1 << 20)
     order = Window.partitionBy("lang", F.pmod("h", F.lit(buckets))).orderBy("h", "piece")
-    rows = (known.select(F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col).cast("string")).alias("h"),
-                         F.substring(text_col, 1, sample_chars).alias("piece"))
+    rows = (known.join(F.broadcast(share), "lang").where(place < F.col("share"))
+            .select("lang", "h", F.when(n <= sample_chars, F.col("text")).otherwise(spread).alias("piece"))
             .withColumn("n", F.row_number().over(order)).where(F.col("n") <= -(-samples // buckets)).collect())
     rows.sort(key=lambda r: (r["n"], r["h"], r["piece"]))
-    sizes = {r["lang"]: r["count"] for r in known.groupBy(F.col(lang_col).alias("lang")).count().collect()}
     found: dict[str, bytes] = {}
-    for lang in sorted(sizes, key=lambda x: (-sizes[x], x)):
+    for lang in sizes:
         pieces = dict.fromkeys(words_of(r["piece"]) for r in rows if r["lang"] == lang)
         content = b" ".join(p for p in pieces if p)[:dictionary_bytes]
         if len(content) >= 8:  # the least that the library takes
