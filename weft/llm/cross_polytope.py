@@ -15,7 +15,7 @@ from weft.llm.common import map_columns, materialise
 @dataclass(frozen=True)
 class Plan:
     """Tables, probes a table and query, neighbours, the seed of the rotations, rows in a cell's block, norm
-    bands an octave, and the rows up to which a band is searched whole."""
+    bands an octave, and the factor by which probes grow with ``k``'s share of a band's rows."""
 
     tables: int = 16
     probes: int = 8
@@ -23,7 +23,11 @@ class Plan:
     seed: int = 7
     block: int = 8192
     bands: int = 4
-    whole: int = 2048
+    spread: int = 25
+
+
+#: The most that probes grow.
+MOST = 16
 
 
 def _transform(x: np.ndarray) -> np.ndarray:
@@ -81,7 +85,7 @@ def _hash_rows(plan: Plan):
             found, asked = [], []
             for r in rotations(x, plan):
                 found.append(nearest_axes(r, 1)[:, 0])
-                asked.append(nearest_axes(r[ask], plan.probes))
+                asked.append(nearest_axes(r[ask], MOST * plan.probes))
             for i, c, b in zip(at, np.stack(found, 1).tolist(), norm_bands(x, plan).tolist()):
                 codes[i], band[i] = c, b
             for i, p in zip(ask, np.stack(asked, 1).tolist()):
@@ -184,8 +188,9 @@ def nearest(vectors: DataFrame, is_query: Column, plan: Plan = Plan(), id_col: s
     length, in blocks, so that small tables give every candidate.
 
     Hashing goes by direction, so rows are indexed by bands of like norms (a
-    quarter of an octave) and a query visits its axes in every band.  A band of
-    at most ``whole`` rows is searched whole: its best may lie at any angle.
+    quarter of an octave) and a query visits its axes in every band.  The fewer
+    rows a band has, the wider the angles its best ``k`` lie at: probes grow
+    with ``spread * k / rows``, up to ``MOST`` times.
     Scores that pass the largest double are infinite and tie.
     Vectors that are null, zero, or hold a null or non-finite component take no
     part, nor do rows with a null id; vectors of different lengths do not meet.
@@ -199,16 +204,14 @@ def nearest(vectors: DataFrame, is_query: Column, plan: Plan = Plan(), id_col: s
     hashed = materialise(map_columns(rows, [F.col(c) for c in ("n", "id", "vec", "__q")], _hash_rows(plan),
                                      f"n long, id long, vec {kind}, codes array<int>, probes array<array<int>>, band long"), "hashed")
     hashed = hashed.withColumn("dim", F.size("vec"))
-    sizes = F.broadcast(hashed.groupBy("dim", "band").agg((F.count("*") <= plan.whole).alias("whole")))  # a row a band
     columns = ["dim", "band", "n", "id", "vec"]
-    tab = F.when(F.col("whole"), -1).otherwise(F.col("tab")).alias("tab")
-    codes = F.when(F.col("whole"), F.array(F.lit(0))).otherwise(F.col("codes"))
-    cells = (hashed.join(sizes, ["dim", "band"]).select(*columns, "codes", "whole", F.posexplode(codes).alias("tab", "cell"))
-             .select(*columns, "codes", tab, "cell"))
+    cells = hashed.select(*columns, "codes", F.posexplode("codes").alias("tab", "cell"))
     asked = hashed.where("probes is not null").select("dim", "n", "id", "vec", "probes")
-    axes = F.when(F.col("whole"), F.array(F.array(F.lit(0)))).otherwise(F.col("probes"))
-    probes = (asked.join(sizes, "dim").select(*columns, "probes", "whole", F.posexplode(axes).alias("tab", "axes"))
-              .select(*columns, "probes", tab, F.explode("axes").alias("cell")))
+    share = F.lit(plan.k) / F.count("*")
+    axes = F.ceil(plan.probes * F.least(F.lit(MOST), F.greatest(F.lit(1), plan.spread * share))).cast("int")
+    bands = F.broadcast(hashed.groupBy("dim", "band").agg(axes.alias("axes")))  # a row a band
+    probes = (asked.join(bands, "dim").withColumn("probes", F.transform("probes", lambda p: F.slice(p, F.lit(1), F.col("axes"))))
+              .select(*columns, "probes", F.posexplode("probes").alias("tab", "some")).select(*columns, "probes", "tab", F.explode("some").alias("cell")))
     order = Window.partitionBy("qn").orderBy(F.desc("score"), "vec_id", "rn")
 
     def best(pairs: DataFrame) -> DataFrame:
