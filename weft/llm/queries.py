@@ -129,9 +129,69 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(vectors.select("vec_id", "embedding", label.alias("label")), F.col("vec_id") % 100 == 0, plan, scale=256)
 
 
+# ---- parts of operators that SQL can state: held against it over the whole tables ----------------------------------------
+
+PLACES_SQL = r"""
+WITH t AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+h AS (SELECT doc_id, w, list_concat(
+        list_transform(list_filter(range(1, len(w) + 1), lambda i: w[i] = 'gnu' AND w[i + 1] = 'general' AND w[i + 2] = 'public' AND w[i + 3] = 'license'), lambda i: {'p': i - 1, 'l': 'gpl'}),
+        list_transform(list_filter(range(1, len(w) + 1), lambda i: w[i] = 'apache' AND w[i + 1] = 'license'), lambda i: {'p': i - 1, 'l': 'apache'}),
+        list_transform(list_filter(range(1, len(w) + 1), lambda i: w[i] = 'cc' AND w[i + 1] = 'by'), lambda i: {'p': i - 1, 'l': 'cc-by'}),
+        list_transform(list_filter(range(1, len(w) + 1), lambda i: w[i] = 'mit' AND w[i + 1] = 'license'), lambda i: {'p': i - 1, 'l': 'mit'})) AS hits FROM t)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(hits) AS BIGINT) AS n_base, list_min(list_transform(hits, lambda x: x.p)) AS first_word,
+       list_max(list_transform(hits, lambda x: x.p)) AS last_word,
+       array_to_string(list_sort(list_distinct(list_transform(hits, lambda x: x.l))), ',') AS base_labels
+FROM h
+"""
+
+
+def base_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op3's contract fixes."""
+    return op3_license_rules(spark, sf_dir).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
+
+
+MEASURES_SQL = r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS rn FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM t),
+win AS (SELECT rn, i, count(*) OVER (PARTITION BY rn, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) AS c
+        FROM (SELECT rn, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
+rep AS (SELECT rn, count(DISTINCT p) AS n FROM (SELECT rn, unnest([i, i + 1, i + 2]) AS p FROM win WHERE c > 1) GROUP BY rn),
+m AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+             CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+             coalesce(n, 0) AS n_repeat_words FROM w LEFT JOIN rep USING (rn))
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m
+"""
+
+
+def quality_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op8's contract fixes."""
+    return quality_rules.with_measures(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+TARGETS_SQL = r"""
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+s AS (SELECT source, sum(size) AS n, [5.0, 2.0, 1.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS w FROM d GROUP BY source),
+-- the water level: the highest that the sources left over when the first are capped would need
+k AS (SELECT *, (sum(n) OVER () - coalesce(sum(3 * n) OVER (ORDER BY 3 * n / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                / sum(w) OVER (ORDER BY 3 * n / w DESC, source DESC) AS level FROM s),
+f AS (SELECT source, n, round(least(3 * n, w * max(level) OVER ()), 3) AS target FROM k)
+SELECT d.doc_id, d.size, CAST(f.n AS BIGINT) AS source_size, f.target FROM d JOIN f ON d.source IS NOT DISTINCT FROM f.source
+"""
+
+
+def mix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op9's contract fixes but for the words taken."""
+    return op9_mix_sources(spark, sf_dir).select("doc_id", "size", "source_size", F.round("target", 3).alias("target"))
+
+
+PARTS = {"llm_base_places": (base_places, PLACES_SQL), "llm_quality_measures": (quality_measures, MEASURES_SQL), "llm_mix_targets": (mix_targets, TARGETS_SQL)}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
+    return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)} | {k: f for k, (f, _) in PARTS.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op11_url_cascade": OP11_SQL, "op13_hard_negatives": OP13_SQL}
+    return {"op11_url_cascade": OP11_SQL, "op13_hard_negatives": OP13_SQL} | {k: sql for k, (_, sql) in PARTS.items()}
