@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from weft.operators import history as H
-from weft.session import checkpoint_dir, get_session, materialize
+from weft.session import checkpoint_dir, drop_scratch, get_session, materialize, scratch_root
 
 
 def test_get_session_reuses_active_and_keeps_settings(spark):
@@ -20,3 +20,13 @@ def test_classification_style_with_history(spark):
     r = H.encode_chat(df, "classification", 19).first()
     assert r["n_history"] == 1 and r["label"] == 1 and len(r["input_ids"]) == 19
     assert H.encode_chat(df, "classification", 8).count() == 0
+
+
+def test_steps_can_be_dropped(spark):
+    import os
+    df = materialize(spark.range(3))
+    root = scratch_root(spark).removeprefix("file:")
+    assert df.count() == 3 and os.listdir(root)
+    drop_scratch(spark)
+    assert not os.path.exists(root)
+    assert materialize(spark.range(4)).count() == 4

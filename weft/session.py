@@ -65,16 +65,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """The folder of this application's steps, below the shared checkpoint folder."""
+    return os.path.join(ensure_checkpoint_dir(spark), "weft", "steps", spark.sparkContext.applicationId)
+
+
 def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it back.
 
     It cuts the lineage, survives lost executors (unlike a local checkpoint),
-    and computes the plan once where an eager checkpoint computes it twice."""
-    path = os.path.join(ensure_checkpoint_dir(df.sparkSession), "weft", "steps", f"{name}-{uuid.uuid4().hex}")
+    and computes the plan once where an eager checkpoint computes it twice.
+    The copy stays until :func:`drop_scratch`."""
+    path = os.path.join(scratch_root(df.sparkSession), f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete all steps of this application; DataFrames that read them fail afterwards."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver tables: ``<sf_dir>/<name>.parquet``."""
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
