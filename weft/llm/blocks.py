@@ -46,6 +46,20 @@ def steps(sorted_values: np.ndarray) -> np.ndarray:
     return np.diff(sorted_values, prepend=U(0))
 
 
+def runs(sorted_shards: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """Each shard of a sorted column, and where it stands."""
+    cuts = np.flatnonzero(np.diff(sorted_shards)) + 1
+    starts = [0, *cuts.tolist()] if len(sorted_shards) else []
+    for a, b in zip(starts, [*starts[1:], len(sorted_shards)]):
+        yield int(sorted_shards[a]), slice(a, b)
+
+
+def run_of(sorted_shards: np.ndarray, shard: int) -> slice:
+    """Where one shard stands in a sorted column."""
+    a, b = np.searchsorted(sorted_shards, np.array([shard, shard + 1], sorted_shards.dtype))
+    return slice(int(a), int(b))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     for _ in range(2):
         x = (x ^ (x >> U(32))) * U(0xD6E8FEB86659FD93)

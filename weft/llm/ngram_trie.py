@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from weft.llm.blocks import ARROW_MESSAGE, MESSAGE, U, mix, pack, pack_documents, read_block, steps, to_batches, unpack
+from weft.llm.blocks import ARROW_MESSAGE, MESSAGE, U, mix, pack, pack_documents, read_block, run_of, runs, steps, to_batches, unpack
 from weft.llm.common import give_back, materialise, training_row
 
 #: Stands for the end of a document; it holds white space, so no word is like it.
@@ -27,8 +27,11 @@ def encode_monotone(values: np.ndarray) -> bytes:
     n = len(values)
     top = int(values[-1]) if n else 0
     low = max(0, (top // n).bit_length() - 1) if n else 0
-    bits = ((values[:, None] >> np.arange(low, dtype=U)) & U(1)).astype(np.uint8)
-    lows = np.packbits(bits.reshape(-1), bitorder="little").tobytes() if low else b""
+    parts = []
+    for at in range(0, n if low else 0, 1 << 16):  # a multiple of eight entries fills whole bytes
+        bits = ((values[at:at + (1 << 16), None] >> np.arange(low, dtype=U)) & U(1)).astype(np.uint8)
+        parts.append(np.packbits(bits.reshape(-1), bitorder="little").tobytes())
+    lows = b"".join(parts)
     unary = np.zeros((top >> low) + n + 1, np.uint8)
     unary[(values >> U(low)).astype(np.int64) + np.arange(n)] = 1
     highs = np.packbits(unary, bitorder="little").tobytes()
@@ -152,16 +155,15 @@ class Words:
     def ask(self, block: str, shards: int):
         """The words' hashes and training counts, by shard (the high bits of the hash)."""
         shard = ((self.hash >> U(32)) * U(shards)) >> U(32)
-        for s in np.unique(shard):
-            at = shard == s
-            yield block, int(s), pack(steps(self.hash[at]), self.count[at])
+        for s, at in runs(shard):
+            yield block, s, pack(steps(self.hash[at]), self.count[at])
 
     def learn(self, replies: list[tuple[int, bytes]], shards: int) -> tuple[np.ndarray, np.ndarray]:
         """Corpus count and number of each local word (number 0: never seen in training)."""
         shard = ((self.hash >> U(32)) * U(shards)) >> U(32)
         count, number = np.zeros(len(self.hash), U), np.zeros(len(self.hash), U)
         for s, body in replies:
-            at = shard == U(s)
+            at = run_of(shard, s)
             count[at], number[at] = unpack(body)[:2]
         out = np.zeros((2, len(self.hash)), U)
         out[0, self.order], out[1, self.order] = count, number
@@ -195,10 +197,9 @@ class Block:
         self.number, self.trained, self.pairs = number, trained[self.pair], len(distinct)
 
     def ask(self, block: str):
-        for s in np.unique(self.shard):
-            at = self.shard == s
+        for s, at in runs(self.shard):
             a, b = self.a[at], self.b[at]
-            yield block, int(s), pack(steps(self.number[a]), self.number[b], self.trained[at], self.count[a], self.count[b])
+            yield block, s, pack(steps(self.number[a]), self.number[b], self.trained[at], self.count[a], self.count[b])
 
     def scores(self, replies: pa.Table, tokens: int, words: int, mu: float) -> list[np.ndarray]:
         w = self.words
@@ -208,7 +209,7 @@ class Block:
         context = np.log10(mu / (count + mu))
         quantised = np.zeros(self.pairs, np.int64)
         for s, body in zip(replies.column("shard").to_pylist(), replies.column("body").to_pylist()):
-            quantised[self.pair[self.shard == s]] = unpack(body)[0].astype(np.int64)
+            quantised[self.pair[run_of(self.shard, s)]] = unpack(body)[0].astype(np.int64)
         value = quantised[self.of]
         score = np.where(value > 0, (value - 1) * -STEP, context[w.before] + alone[w.token])
         add = np.add.reduceat if len(w.first) else (lambda x, at: np.zeros(0))
@@ -242,24 +243,32 @@ def _answer_pairs(table: pa.Table, tokens: int, words: int, mu: float) -> pa.Tab
     An answer is 0 for a pair that training lacks, else one more than the quantised -log10 probability.
     """
     parts = [unpack(b)[:5] for b in table.column("body").to_pylist()]
-    cols = [np.concatenate([np.cumsum(p[0], dtype=U) for p in parts]), *[np.concatenate([p[i] for p in parts]) for i in range(1, 5)]]
+    asked = [(np.cumsum(p[0], dtype=U), p[1]) for p in parts]
+    cols = [np.concatenate([a for a, _ in asked]), *[np.concatenate([p[i] for p in parts]) for i in range(1, 5)]]
+    del parts
     order = np.lexsort((cols[1], cols[0]))
-    a, b, n, ca, cb = (c[order] for c in cols)
+    for i in range(5):
+        cols[i] = cols[i][order]
+    del order
+    a, b, n, ca, cb = cols
     at = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]))))
     total = np.add.reduceat(n, at).astype(np.float64)
     alone = (cb[at].astype(np.float64) + 1) / (tokens + words + 1)
     smooth = (total + mu * alone) / (ca[at].astype(np.float64) + mu)
     value = np.minimum(np.round(-np.log10(smooth) / STEP), 65534)
     seen = total > 0
+    a, b, value = a[at][seen], b[at][seen], value[seen]
+    del cols, n, ca, cb, at, total, alone, smooth, seen
     bodies = []
     with tempfile.NamedTemporaryFile(prefix="trie-") as file:  # gone with the task
-        file.write(Trie.build(a[at][seen], b[at][seen], value[seen]))
+        file.write(Trie.build(a, b, value))
         file.flush()
+        del a, b, value
         trie = Trie(file.name)
-        for p in parts:
-            known, found = trie.find(np.cumsum(p[0], dtype=U), p[1])
+        for context, word in asked:
+            known, found = trie.find(context, word)
             bodies.append(pack(np.where(known, found.astype(np.int64) + 1, 0)))
-    del parts, cols, a, b, n, ca, cb, trie
+    del asked, trie
     give_back()
     return pa.Table.from_arrays([table.column("block"), table.column("shard"), pa.array(bodies, pa.binary())], schema=ARROW_MESSAGE)
 

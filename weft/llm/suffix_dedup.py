@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from weft.llm.blocks import ARROW_MESSAGE, MESSAGE, U, mix, pack, pack_documents, read_block, steps, to_batches, unpack
+from weft.llm.blocks import ARROW_MESSAGE, MESSAGE, U, mix, pack, pack_documents, read_block, run_of, runs, steps, to_batches, unpack
 from weft.llm.common import give_back
 
 PLACE = 31  # low bits of a sliding minimum that hold the place
@@ -151,17 +151,17 @@ class Tuples:
 
     def messages(self, block: str) -> Iterator[tuple[str, int, bytes]]:
         shard = self.shard[self.sent]
-        for s in np.unique(shard):
-            at = self.sent[shard == s]
+        for s, run in runs(shard):
+            at = self.sent[run]
             name = np.where(self.many[at], U(0), self.name[at] + U(1))
-            yield block, int(s), pack(steps(self.anchor[at]), name, self.least[at])
+            yield block, s, pack(steps(self.anchor[at]), name, self.least[at])
 
     def answers(self, replies: list[tuple[int, bytes]]) -> tuple[np.ndarray, np.ndarray]:
         """For every tuple: the least id anywhere, and whether its anchor has several names."""
         least, several = self.least.copy(), self.many.copy()
         shard = self.shard[self.sent]
         for s, body in replies:
-            at = self.sent[shard == s]
+            at = self.sent[run_of(shard, s)]
             lower, flag = unpack(body)[:2]
             plain = ~self.many[at]
             least[at[plain]] -= lower[plain]
@@ -268,7 +268,7 @@ def mark_repeats(docs: DataFrame, length: int = 50, anchor: int = 22, id_col: st
         found = Block(table, length, anchor, shards)
         _, _, _, shard, name, least = found.windows(length, shards)
         block = table.column("block")[0].as_py()
-        out = [(block, int(s), pack(steps(name[shard == s]), least[shard == s])) for s in np.unique(shard)]
+        out = [(block, s, pack(steps(name[run]), least[run])) for s, run in runs(shard)]
         del found
         give_back()
         return pa.Table.from_batches(to_batches(out), schema=ARROW_MESSAGE)
@@ -282,8 +282,7 @@ def mark_repeats(docs: DataFrame, length: int = 50, anchor: int = 22, id_col: st
         found = Block(table, length, anchor, shards)
         place, doc, of, shard, _, least = found.windows(length, shards)
         for s, body in zip(replies.column("shard").to_pylist(), replies.column("body").to_pylist()):
-            at = np.flatnonzero(shard == s)
-            least[at] -= unpack(body)[0]
+            least[run_of(shard, s)] -= unpack(body)[0]
         units = found.units
         edge = np.zeros(len(units.data) + 1, np.int32)
         whole = found.gone
