@@ -16,6 +16,7 @@ are whole while no anchor's candidates are gathered.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -79,35 +80,40 @@ def residues(x: np.ndarray, p: int) -> np.ndarray:
     return np.where(r > p // 2, r - p, r).astype(np.float32)
 
 
+def centred(x: np.ndarray, p: int) -> np.ndarray:
+    """Integers below 2**50 (as doubles) modulo ``p``, around zero: ``p`` is odd, so no quotient lies near a half."""
+    return x - p * np.rint(x * (1.0 / p))
+
+
 def product_mod(a: np.ndarray, b: np.ndarray, p: int) -> np.ndarray:
-    """``a @ b.T`` modulo ``p``; ``a`` and ``b`` hold residues modulo ``p``."""
-    total = np.zeros((len(a), len(b)), np.int64)
+    """``a @ b.T`` modulo ``p``, around zero; ``a`` and ``b`` hold residues modulo ``p``."""
+    total = np.zeros((len(a), len(b)))
     for at in range(0, a.shape[1], INNER):
-        total += (a[:, at:at + INNER] @ b[:, at:at + INNER].T).astype(np.int32)
-    return total % p
+        total += a[:, at:at + INNER] @ b[:, at:at + INNER].T
+    return centred(total, p)
 
 
 def reconstruct(digits: list[np.ndarray], primes: list[int]) -> np.ndarray:
-    """Signed integers from residues: mixed radix digits, summed from the highest.
+    """Signed integers from residues around zero: balanced mixed radix digits, summed from the highest.
 
-    64-bit integers as long as the product of the primes fits; beyond, Python's integers, cut to the range of a long.
+    The sum is made in doubles as long as the product of the primes is exact
+    there, then in 64-bit integers, and beyond in Python's integers, cut to the
+    range of a long.
     """
     mixed: list[np.ndarray] = []
     for i, p in enumerate(primes):
-        value, weight = np.zeros_like(digits[i]), 1
+        value, weight = digits[i], 1
         for v, q in zip(mixed, primes):
-            value = (value + v * (weight % p)) % p
+            value = value - v * weight   # weights are below p, so values stay below p * p * primes
             weight = weight * q % p
-        mixed.append((digits[i] - value) * pow(weight, -1, p) % p)
-    modulus = 1
-    for p in primes:
-        modulus *= p
-    small = modulus <= LONG.max
-    total = mixed[-1] if small else mixed[-1].astype(object)
-    for v, p in zip(mixed[-2::-1], primes[-2::-1]):
+        mixed.append(centred(centred(value, p) * pow(weight, -1, p), p))
+    modulus = math.prod(primes)
+    kind = np.float64 if modulus < 1 << 53 else np.int64 if modulus <= LONG.max else None
+    exact = [v.astype(kind) if kind else v.astype(np.int64).astype(object) for v in mixed]
+    total = exact[-1]
+    for v, p in zip(exact[-2::-1], primes[-2::-1]):
         total = total * p + v
-    total = np.where(total > modulus // 2, total - modulus, total)
-    return total if small else np.clip(total, LONG.min, LONG.max).astype(np.int64)
+    return total.astype(np.int64) if kind else np.clip(total, LONG.min, LONG.max).astype(np.int64)
 
 
 def scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -186,7 +192,7 @@ def _cell(fields: list[tuple[str, pa.DataType]], pick):
             same = asked.column("label").to_numpy()[:, None] == labels[None, :]
             out += pick(asked, ids, score, same)
         give_back()
-        return pa.Table.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], schema=schema) if out else schema.empty_table()
+        return pa.Table.from_arrays([pa.array(np.concatenate(c), f.type) for c, f in zip(zip(*out), schema)], schema=schema) if out else schema.empty_table()
 
     return run
 
@@ -206,20 +212,27 @@ def window(score: int, plan: Plan) -> tuple[int, int]:
 
 
 def _negatives(plan: Plan):
+    """Candidates of all of an anchor's windows are sorted once; each window takes the first of them at or below its top."""
     def pick(asked, ids, score, same):
         out, n, own = [], asked.column("n").to_numpy(), asked.column("id").to_numpy()
         wanted = asked.column("wanted").to_pylist()
-        for slot in range(plan.positives):
-            at = np.array([i for i, w in enumerate(wanted) if len(w) > slot], np.int64)
-            if not len(at):
-                break
-            positive = np.array([wanted[i][slot]["positive_id"] for i in at])
-            value = np.array([wanted[i][slot]["positive_score"] for i in at])
-            low, high = np.array([window(v, plan) for v in value.tolist()]).T
-            s = score[at]
-            i, j = best(s, ids, ~same[at] & (s >= low[:, None]) & (s <= high[:, None]), plan.negatives)
-            out.append((n[at[i]], np.full(len(i), slot, np.int32), own[at[i]], positive[i], value[i], ids[j], s[i, j]))
-        return out
+        windows = [[window(w["positive_score"], plan) for w in of] for of in wanted]
+        low, high = np.array([(min(x for x, _ in of), max(x for _, x in of)) for of in windows]).T
+        i, j = np.nonzero(~same & (score >= low[:, None]) & (score <= high[:, None]))
+        order = np.lexsort((ids[j], ~score[i, j], i))
+        i, j = i[order], j[order]
+        falling = ~score[i, j]
+        ends = np.searchsorted(i, np.arange(len(wanted) + 1))
+        for at, of in enumerate(windows):
+            start, stop = ends[at], ends[at + 1]
+            for slot, (least, most) in enumerate(of):
+                first = start + np.searchsorted(falling[start:stop], ~most)
+                last = min(first + plan.negatives, start + np.searchsorted(falling[start:stop], ~least, "right"))
+                if first < last:
+                    positive = wanted[at][slot]
+                    fixed = (n[at], slot, own[at], positive["positive_id"], positive["positive_score"])
+                    out.append((*[np.full(last - first, v) for v in fixed], ids[j[first:last]], ~falling[first:last]))
+        return [tuple(np.concatenate(c) for c in zip(*out))] if out else []
 
     longs = ["anchor_id", "positive_id", "positive_score", "negative_id", "negative_score"]
     return _cell([("n", pa.int64()), ("slot", pa.int32()), *[(c, pa.int64()) for c in longs]], pick)
