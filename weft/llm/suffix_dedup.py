@@ -41,6 +41,8 @@ from weft.llm.common import give_back
 PLACE = 31  # low bits of a sliding minimum that hold the place
 #: Windows handled at once; a longer text is cut, and the units at a cut go on to the next level.
 SLICE = 1 << 20
+#: Windows hashed at once.
+TILE = 1 << 15
 #: Names of one anchor in one block above which a marker stands for them.
 MANY = 8
 
@@ -51,18 +53,21 @@ def _table() -> np.ndarray:
     return np.frombuffer(b"".join(hashlib.blake2b(bytes([b]), digest_size=8).digest() for b in range(256)), "<u8")
 
 
-def _hashes(letters: np.ndarray, width: int) -> np.ndarray:
-    """A hash of the ``width`` bytes from each position, from doubled widths."""
-    power, size, part, out, done = 0x9E3779B97F4A7C15, 1, letters, None, 0
+def _hashes(letters: np.ndarray, *widths: int) -> list[np.ndarray]:
+    """Hashes of the bytes from each position, one array for each of the widths; all come from the same doubled widths."""
+    power, size, part = 0x9E3779B97F4A7C15, 1, letters
+    out: list = [None] * len(widths)
+    done = [0] * len(widths)
     while True:
-        if width & size:
-            if out is None:
-                out, done = part, size
-            else:
-                m = len(letters) - done - size + 1
-                out, done = out[:m] * U(power) + part[done:done + m], done + size
-        if done == width:
-            return mix(out)
+        for i, width in enumerate(widths):
+            if width & size:
+                if out[i] is None:
+                    out[i], done[i] = part, size
+                else:
+                    m = len(letters) - done[i] - size + 1
+                    out[i], done[i] = out[i][:m] * U(power) + part[done[i]:done[i] + m], done[i] + size
+        if list(widths) == done:
+            return [mix(o) for o in out]
         part = part[:-size] * U(power) + part[size:]
         power, size = power * power % (1 << 64), size * 2
 
@@ -76,47 +81,53 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
 
 
 class Units:
-    """Units of a block: first window, number of windows, anchor hash, name, document; in text order."""
+    """Units of a block: first window, number of windows, anchor hash, name, document; in text order.
+
+    ``names`` are the hashes of the windows at all positions.
+    """
 
     def __init__(self, texts: list[bytes], length: int, anchor: int):
         self.data = np.frombuffer(b"".join(texts), np.uint8)
         self.ends = np.cumsum([len(t) for t in texts]) if texts else np.zeros(0, np.int64)
-        found = [self._slice(at, length, anchor) for at in range(0, max(0, len(self.data) - length + 1), SLICE)]
+        windows = max(0, len(self.data) - length + 1)
+        self.names = np.empty(windows, U)
+        # no window of the last length - 1 positions of a text stays inside it
+        self.crosses = np.zeros(windows, bool)
+        for end in self.ends.tolist():
+            self.crosses[max(0, end - length + 1):end] = True
+        found = [self._slice(at, length, anchor) for at in range(0, windows, SLICE)]
         cols = [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0, np.int64)] * 2 + [np.zeros(0, U)] * 2
         self.first, self.count, self.anchor, self.name = cols
         self.doc = np.searchsorted(self.ends, self.first, side="right")
 
     def _slice(self, at: int, length: int, anchor: int):
-        letters = _table()[self.data[at:at + SLICE + length - 1]]
-        k = _hashes(letters, anchor)
-        names = _hashes(letters, length)
-        high = k & ~U((1 << PLACE) - 1)
-        place = (_least(high | np.arange(len(k), dtype=U), length - anchor + 1) & U((1 << PLACE) - 1)).astype(np.int64)
-        start = np.arange(at, at + len(place))
-        inside = np.flatnonzero(start + length <= self.ends[np.searchsorted(self.ends, start, side="right")])
+        """The units of ``SLICE`` windows, hashed in tiles that fit a processor's cache."""
+        stop = min(at + SLICE, len(self.names))
+        table, spread, low = _table(), length - anchor + 1, U((1 << PLACE) - 1)
+        place, anchors = np.empty(stop - at, np.int64), np.empty(stop - at, U)
+        for a in range(at, stop, TILE):
+            b = min(a + TILE, stop)
+            k, names = _hashes(table[self.data[a:b + length - 1]], anchor, length)
+            least = _least((k & ~low) | np.arange(a - at, a - at + len(k), dtype=U), spread)
+            self.names[a:b] = names
+            place[a - at:b - at] = least & low
+            anchors[a - at:b - at] = k[(least & low).astype(np.int64) - (a - at)]
+        inside = np.flatnonzero(~self.crosses[at:stop])
         place = place[inside]
         if not len(place):
             return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U), np.zeros(0, U)
         new = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
         count = np.diff(np.append(new, len(place)))
         first = inside[new]
+        names = self.names[at:stop]
         name = mix(names[first] * U(3) + names[first + count - 1] * U(7) + count.astype(U))
-        return first + at, count, k[place[new]], name >> U(16)
+        return first + at, count, anchors[first], name >> U(16)
 
-    def windows(self, chosen: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    def windows(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places and names of all windows of the chosen units."""
         first, count = self.first[chosen], self.count[chosen]
         place = np.repeat(first - np.concatenate(([0], np.cumsum(count)[:-1])), count) + np.arange(count.sum()) if len(first) else first
-        names = np.zeros(len(place), U)
-        for i in range(0, len(place), SLICE // 16):  # units are spread over the text: gather, then hash
-            at = place[i:i + SLICE // 16]
-            value = np.zeros(len(at), U)
-            rows = _table()[self.data[at[:, None] + np.arange(length)]]
-            power = 1
-            for j in range(length - 1, -1, -1):
-                value, power = value + rows[:, j] * U(power), power * 0x9E3779B97F4A7C15 % (1 << 64)
-            names[i:i + SLICE // 16] = mix(value)
-        return place, names
+        return place, self.names[place]
 
 
 # ---- tuples and messages -----------------------------------------------------------------------------
@@ -226,10 +237,10 @@ class Block:
         # undecided: windows of a unit that no other block owns
         self.open = several[t] & (least[t] == tuples.least[t])
 
-    def windows(self, length: int, shards: int):
+    def windows(self, shards: int):
         """Distinct windows of the undecided units, by shard; and where each place finds its answer."""
         chosen = np.flatnonzero(self.open)
-        place, name = self.units.windows(chosen, length)
+        place, name = self.units.windows(chosen)
         doc = np.repeat(self.units.doc[chosen], self.units.count[chosen])
         shard = ((name >> U(48)) % U(shards)).astype(np.int64)
         order = np.lexsort((name, shard))
@@ -266,7 +277,7 @@ def mark_repeats(docs: DataFrame, length: int = 50, anchor: int = 22, id_col: st
 
     def ask_windows(table):
         found = Block(table, length, anchor, shards)
-        _, _, _, shard, name, least = found.windows(length, shards)
+        _, _, _, shard, name, least = found.windows(shards)
         block = table.column("block")[0].as_py()
         out = [(block, s, pack(steps(name[run]), least[run])) for s, run in runs(shard)]
         del found
@@ -280,7 +291,7 @@ def mark_repeats(docs: DataFrame, length: int = 50, anchor: int = 22, id_col: st
 
     def finish(table, replies):
         found = Block(table, length, anchor, shards)
-        place, doc, of, shard, _, least = found.windows(length, shards)
+        place, doc, of, shard, _, least = found.windows(shards)
         for s, body in zip(replies.column("shard").to_pylist(), replies.column("body").to_pylist()):
             least[run_of(shard, s)] -= unpack(body)[0]
         units = found.units
