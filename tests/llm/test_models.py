@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import mmap
 import random
 import re
 import zlib
@@ -281,19 +282,23 @@ def test_scores_without_rows_or_training(spark, no_docs):
     assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score) == (True, 3, 0, 0, 0.0)
 
 
-def test_elias_fano_and_trie(tmp_path):
+def test_elias_fano_and_trie():
     rng = np.random.default_rng(2)
-    for n, top in ((1, 5), (1000, 10), (1000, 10**6), (500, 2**50), (3, 0)):
+    for n, top in ((1, 5), (1000, 10), (1000, 10**6), (500, 2**50), (3, 0), (64, 63), (20_000, 30_000), (20_000, 2**40)):
         values = np.sort(rng.integers(0, top + 1, n).astype(np.uint64))
+        values[n // 2:n // 2 + n // 4] = values[n // 2]    # a long run in one place
+        values.sort()
         seq = ngram_trie.Monotone(np.frombuffer(ngram_trie.encode_monotone(values), np.uint8))
         assert (seq[np.arange(n)] == values).all()
-        asked = np.concatenate([values, rng.integers(0, top + 2, 200).astype(np.uint64)])
+        asked = np.concatenate([values, rng.integers(0, top + 2, 200).astype(np.uint64), np.array([2 * top + 9, 2**62], np.uint64)])
+        assert sum(part.nbytes for part in (seq.lows, seq.words, seq.ones, seq.zeros)) <= 128 + n * (seq.low / 8 + 1.2)
         assert (seq.successor(asked) == np.searchsorted(values, asked)).all()
         assert (unpack(pack(steps(values), values))[0].cumsum(dtype=np.uint64) == values).all()
     pairs = np.unique(rng.integers(0, 40, (600, 2)), axis=0).astype(np.uint64)
-    path = tmp_path / "trie"
-    path.write_bytes(ngram_trie.Trie.build(pairs[:, 0], pairs[:, 1], np.arange(len(pairs))))
-    trie = ngram_trie.Trie(str(path))
+    body = ngram_trie.Trie.build(pairs[:, 0], pairs[:, 1], np.arange(len(pairs)))
+    mapped = mmap.mmap(-1, len(body))
+    mapped.write(body)
+    trie = ngram_trie.Trie(mapped)
     known = {tuple(p): i for i, p in enumerate(pairs.tolist())}
     a, b = (g.reshape(-1).astype(np.uint64) for g in np.meshgrid(np.arange(45), np.arange(45)))
     there, value = trie.find(a, b)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import mmap
 from collections import defaultdict
 
 import numpy as np
@@ -32,36 +32,73 @@ def encode_monotone(values: np.ndarray) -> bytes:
         bits = ((values[at:at + (1 << 16), None] >> np.arange(low, dtype=U)) & U(1)).astype(np.uint8)
         parts.append(np.packbits(bits.reshape(-1), bitorder="little").tobytes())
     lows = b"".join(parts)
+    lows += bytes(-len(lows) % 8)
     unary = np.zeros((top >> low) + n + 1, np.uint8)
     unary[(values >> U(low)).astype(np.int64) + np.arange(n)] = 1
     highs = np.packbits(unary, bitorder="little").tobytes()
+    highs += bytes(-len(highs) % 8)
     return np.array([n, low, len(lows), len(highs)], "<i8").tobytes() + lows + b"\0" * 8 + highs
 
 
+def _bit(words: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """The place of the one with ``rank`` ones below it in each word, by halves."""
+    at = np.zeros(len(words), np.int64)
+    for width in (32, 16, 8, 4, 2, 1):
+        below = np.bitwise_count(words & U((1 << width) - 1))
+        up = rank >= below
+        rank = rank - below * up
+        shift = up * np.int64(width)
+        words = words >> shift.astype(U)
+        at += shift
+    return at
+
+
 class Monotone:
-    """Reads an encoded sequence from a (memory-mapped) buffer, many places at a time."""
+    """Reads an encoded sequence from a (memory-mapped) buffer, many places at a time.
+
+    The bits stay packed; beside them stand the ones and the zeros before each
+    word of 64 high bits, at most a byte an entry.
+    """
 
     def __init__(self, buffer: np.ndarray):
         self.n, self.low, lows, highs = buffer[:32].view("<i8").tolist()
-        self.lows = buffer[32:32 + lows + 8]
+        self.lows = buffer[32:32 + lows + 8].view("<u8")
         self.length = 32 + lows + 8 + highs
-        ones = np.flatnonzero(np.unpackbits(buffer[self.length - highs:self.length], bitorder="little"))
-        self.high = ones - np.arange(len(ones))  # the directory of the unary part
+        self.words = buffer[self.length - highs:self.length].view("<u8")
+        self.ones = np.cumsum(np.bitwise_count(self.words), dtype=np.int64)
+        self.zeros = 64 * np.arange(1, len(self.words) + 1) - self.ones
+        #: high parts are below this
+        self.parts = 64 * len(self.words) - self.n
 
     def low_bits(self, at: np.ndarray) -> np.ndarray:
         if not self.low:
             return np.zeros(len(at), U)
         bit = at.astype(np.int64) * self.low
-        word = self.lows[(bit >> 3)[:, None] + np.arange(8)].reshape(-1).view("<u8")
-        return (word >> (bit & 7).astype(U)) & U((1 << self.low) - 1)
+        word, shift = bit >> 6, (bit & 63).astype(U)
+        return (self.lows[word] >> shift | self.lows[word + 1] << U(1) << (U(63) - shift)) & U((1 << self.low) - 1)
 
     def __getitem__(self, at: np.ndarray) -> np.ndarray:
-        return (self.high[at].astype(U) << U(self.low)) | self.low_bits(at)
+        at = at.astype(np.int64)
+        word = np.searchsorted(self.ones, at, "right")
+        high = self.words[word]
+        rank = at - self.ones[word] + np.bitwise_count(high)
+        return ((64 * word + _bit(high, rank) - at).astype(U) << U(self.low)) | self.low_bits(at)
+
+    def up_to(self, part: np.ndarray) -> np.ndarray:
+        """How many entries have a high part of ``part`` at most: the ones before the zero that ends it."""
+        word = np.searchsorted(self.zeros, part, "right")
+        low = ~self.words[word]
+        rank = part - self.zeros[word] + np.bitwise_count(low)
+        return 64 * word + _bit(low, rank) - part
 
     def successor(self, x: np.ndarray) -> np.ndarray:
         """The first place whose value is at least x (n if there is none)."""
         part = (x >> U(self.low)).astype(np.int64)
-        at, end = np.searchsorted(self.high, part, "left"), np.searchsorted(self.high, part, "right")
+        beyond = part >= self.parts
+        part = np.where(beyond, 0, part)
+        end = self.up_to(part)
+        at = np.where(part > 0, self.up_to(np.maximum(part - 1, 0)), 0)
+        at[beyond] = end[beyond] = self.n
         rest = x & U((1 << self.low) - 1)
         while True:  # binary search among the few that share the high bits
             open_ = np.flatnonzero(at < end)
@@ -82,13 +119,13 @@ class Trie:
     search for id + that base.
     """
 
-    def __init__(self, path: str):
-        buffer = np.memmap(path, np.uint8, "r")
+    def __init__(self, mapped: mmap.mmap):
+        buffer = np.frombuffer(mapped, np.uint8)
         self.levels = []
         for _ in range(3):
             self.levels.append(Monotone(buffer))
             buffer = buffer[self.levels[-1].length:]
-        self.values = buffer.view("<u2")
+        self.values = buffer[:len(buffer) // 2 * 2].view("<u2")
 
     @staticmethod
     def build(context: np.ndarray, word: np.ndarray, value: np.ndarray) -> bytes:
@@ -102,22 +139,25 @@ class Trie:
         return body + value.astype("<u2").tobytes()
 
     def find(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Whether each (context, word) is in the trie, and its quantised value."""
+        """Whether each (context, word) is in the trie, and its quantised value; a run of one context is looked up once."""
         contexts, pointers, words = self.levels
         known = np.zeros(len(context), bool)
         value = np.zeros(len(context), np.uint16)
-        if not contexts.n:
+        if not contexts.n or not len(context):
             return known, value
-        at = contexts.successor(context)
-        there = np.flatnonzero(at < contexts.n)
-        there = there[contexts[at[there]] == context[there]]
-        rank = at[there]
+        first = np.flatnonzero(np.concatenate(([True], context[1:] != context[:-1])))
+        run = np.diff(np.append(first, len(context)))
+        at = contexts.successor(context[first])
+        held = at < contexts.n
+        held[held] = contexts[at[held]] == context[first[held]]
+        rank = at[held]
         begin, end = pointers[rank].astype(np.int64), pointers[rank + 1].astype(np.int64)
         base = np.zeros(len(rank), U)
         base[begin > 0] = words[begin[begin > 0] - 1] + U(1)
-        target = word[there] + base
+        there = np.flatnonzero(np.repeat(held, run))
+        target = word[there] + np.repeat(base, run[held])
         place = words.successor(target)
-        inside = np.flatnonzero(place < end)
+        inside = np.flatnonzero(place < np.repeat(end, run[held]))
         hit = inside[words[place[inside]] == target[inside]]
         known[there[hit]] = True
         value[there[hit]] = self.values[place[hit]]
@@ -147,7 +187,7 @@ class Words:
         before[1:] = self.token[:-1]
         before[self.first] = self.end  # a document starts after an end
         self.before = before
-        hashes = np.fromiter((xxh64_intdigest(w) for w in number), U, len(number))
+        hashes = np.fromiter(map(xxh64_intdigest, number), U, len(number))
         self.order = np.argsort(hashes)
         self.hash = hashes[self.order]
         self.count = np.bincount(self.token[self.train], minlength=len(number))[self.order]
@@ -260,14 +300,15 @@ def _answer_pairs(table: pa.Table, tokens: int, words: int, mu: float) -> pa.Tab
     a, b, value = a[at][seen], b[at][seen], value[seen]
     del cols, n, ca, cb, at, total, alone, smooth, seen
     bodies = []
-    with tempfile.NamedTemporaryFile(prefix="trie-") as file:  # gone with the task
-        file.write(Trie.build(a, b, value))
-        file.flush()
-        del a, b, value
-        trie = Trie(file.name)
-        for context, word in asked:
-            known, found = trie.find(context, word)
-            bodies.append(pack(np.where(known, found.astype(np.int64) + 1, 0)))
+    body = Trie.build(a, b, value)
+    del a, b, value
+    mapped = mmap.mmap(-1, len(body))  # pages that go back to the system with the task, and no file of one machine
+    mapped.write(body)
+    del body
+    trie = Trie(mapped)
+    for context, word in asked:
+        known, found = trie.find(context, word)
+        bodies.append(pack(np.where(known, found.astype(np.int64) + 1, 0)))
     del asked, trie
     give_back()
     return pa.Table.from_arrays([table.column("block"), table.column("shard"), pa.array(bodies, pa.binary())], schema=ARROW_MESSAGE)
