@@ -216,3 +216,19 @@ def test_two_writers_of_one_key(spark, tmp_dir):
     with pytest.raises(Exception):
         SK.materialize(spark, lambda: spark.range(4).select(F.raise_error(F.lit("stop"))), {"k": 3}, f"{tmp_dir}/out")
     assert SK.materialize(spark, lambda: spark.range(5), {"k": 3}, f"{tmp_dir}/out").count() == 5
+
+
+def test_format_probe_packs_small_files(spark, tmp_dir):
+    """Many small files share a task, where each had one (and a Python worker) of its own."""
+    for i in range(30):
+        _w(f"{tmp_dir}/many/k={i % 3}/{i}.json", "[1]" if i % 2 else '{"x": 1}')
+    found = RD.list_files(spark, f"{tmp_dir}/many", recursive=True)
+    assert len(found) == 30
+    spark.sparkContext.setJobGroup("probe", "probe")
+    try:
+        assert len(RD.json_arrays(spark, found, few=0)) == 15
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    status = spark.sparkContext.statusTracker()
+    stages = [s for j in status.getJobIdsForGroup("probe") for s in status.getJobInfo(j).stageIds]
+    assert stages and max(info.numTasks for s in stages if (info := status.getStageInfo(s))) < 30

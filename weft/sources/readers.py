@@ -10,13 +10,10 @@ Malformed records stop the read (``FAILFAST``) unless a ``mode`` says otherwise;
 
 from __future__ import annotations
 
-import contextlib
 import fnmatch
 import os
-from collections.abc import Iterator
 from urllib.parse import unquote
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -34,14 +31,18 @@ def _hadoop_fs(spark: SparkSession, path: str):
 
 def list_files(spark: SparkSession, path: str, recursive: bool = False, glob: str | None = None) -> list[str]:
     """Files under ``path`` (or ``[path]`` for a file) via the Hadoop
-    FileSystem, so any cluster file system works.  Names that start with
-    ``_`` or ``.`` are skipped, as Spark does; ``glob`` filters by name."""
+    FileSystem, so any cluster file system works.  Names (and folders below
+    ``path``) that start with ``_`` or ``.`` are skipped, as Spark does; ``glob`` filters by name."""
     fs, p = _hadoop_fs(spark, path)
     if not fs.exists(p):
         raise FileNotFoundError(path)
     if fs.isFile(p):
         return [path]
-    found, each = [], fs.listFiles(p, recursive)
+    if recursive:   # listed by Spark: the driver's own walk takes milliseconds a file
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path").collect()
+        found = [_slashes(r["path"]) for r in listed]
+        return sorted(f for f in found if glob is None or fnmatch.fnmatchcase(os.path.basename(f), glob))
+    found, each = [], fs.listFiles(p, False)
     while each.hasNext():
         f = each.next().getPath()
         name = f.getName()
@@ -68,19 +69,6 @@ def is_json_array(spark: SparkSession, path: str) -> bool:
         stream.close()
 
 
-@contextlib.contextmanager
-def _settings(spark: SparkSession, values: dict[str, str]):
-    """Session settings for the jobs inside."""
-    before = {k: spark.conf.get(k, None) for k in values}
-    for k, v in values.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-
-
 #: Up to so many files the driver looks itself, which is quicker than a job.
 FEW_FILES = 16
 
@@ -88,26 +76,18 @@ FEW_FILES = 16
 def json_arrays(spark: SparkSession, files: list[str], few: int = FEW_FILES) -> list[str]:
     """Which of ``files`` hold a JSON array: their first character, past white space and a byte order mark, is ``[``.
 
-    A job with a task a file (a file is never packed with others, since an
-    opened file counts as a full partition): text up to the first ``{`` is a
-    record, and a task stops after its first records, so no file is read
-    through.  Only the arrays' names come back, as the driver's file list does."""
+    A job over the files, many small ones to a task and without Python: text up
+    to a ``{`` is a record, and a file's first one (in its first split) tells.
+    The rest of the files is passed over unparsed.  Only the arrays' names come
+    back, as the driver's file list does."""
     if len(files) <= few:
         return [f for f in files if is_json_array(spark, f)]
-
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield batch.slice(0, 1)
-                return
-
-    lines = spark.read.option("lineSep", "{").text(files).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.substring("value", 1, 4096).alias("head"))
-    whole = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    with _settings(spark, {"spark.sql.files.openCostInBytes": whole, "spark.sql.files.minPartitionNum": "1",
-                           "spark.sql.execution.arrow.maxRecordsPerBatch": "4"}):
-        heads = lines.mapInArrow(first, "file string, start long, head string")
-        found = heads.where((F.col("start") == 0) & F.col("head").rlike(r"^[\s\ufeff]*\[")).select("file").collect()
+    records = spark.read.option("lineSep", "{").text(files).where("_metadata.file_block_start = 0").select(
+        F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"),
+        F.substring("value", 1, 4096).rlike(r"^[\s\ufeff]*\[").alias("array"))
+    # the least place, doubled, is odd where that record opens no array
+    first = records.groupBy("file").agg(F.min(F.col("at") * 2 + F.when(F.col("array"), 0).otherwise(1)).alias("first"))
+    found = first.where("first % 2 = 0").select("file").collect()
     named = {_slashes(unquote(r["file"])) for r in found}   # metadata writes paths as URIs
     return [f for f in files if _slashes(f) in named]
 
