@@ -185,3 +185,25 @@ def test_sentence_metrics_of_a_query(spark):
         key = r["conv_id"], r["turn"], r["model"]
         want = rouge_l_sentences(sentences(texts[key]), sentences(wanted[key[:2]]))
         assert all(abs(a - b) <= 0.00051 for a, b in zip((r["rouge_l_r"], r["rouge_l_p"], r["rouge_l_f"]), want)), key
+
+
+def test_scores_are_taken_a_slice_at_a_time(spark):
+    """More rows than a slice, some of them null, against the plain function; no more rows at once are Python objects."""
+    import pyarrow as pa
+
+    from weft.functions import metrics_udf as MU
+    rows = [None if i % 7 == 0 else [["a", "b"], [str(i % 5)]] for i in range(3 * MU.SLICE + 5)]
+    got = MU.rouge_l_sentences_udf.func(pa.array(rows), pa.array(rows[::-1])).to_pylist()
+    assert [(g["r"], g["p"], g["f"]) for g in got] == [rouge_l_sentences(h or [], r or []) for h, r in zip(rows, rows[::-1])]
+    sizes = []
+
+    class Column:
+        def __len__(self):
+            return len(rows)
+
+        def slice(self, at, n):
+            sizes.append(min(n, len(rows) - at))
+            return pa.array(rows[at:at + n])
+
+    assert len(MU._scores(lambda s: 0.5, pa.float64(), Column())) == len(rows)
+    assert max(sizes) <= MU.SLICE and sum(sizes) == len(rows)
