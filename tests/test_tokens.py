@@ -81,3 +81,22 @@ def test_plugs_into_encoders(spark, table, texts):
 def test_a_vocabulary_is_bounded(spark, table):
     with pytest.raises(ValueError):
         VocabTokenizer(table, unk_id=3, max_size=5)
+
+
+def test_a_word_is_cut_once_a_batch():
+    """Greedy cutting does the work of a batch's different words, not of all."""
+    import pyarrow as pa
+
+    from weft.functions.tokens import _longest_pieces
+    looked = []
+
+    class Counted(dict):
+        def get(self, key):
+            looked.append(key)
+            return super().get(key)
+
+    one, many = (u.func for u in _longest_pieces(Counted(VOCAB), 3, 32, 200))
+    words = [["thethe", "zz"] * 500, None, [], ["abcab"]]
+    assert one(pa.array(words)).to_pylist() == [[4, 4, 3, 3] * 500, None, [], [9, 8]]
+    assert len(looked) < 40
+    assert many(pa.array([[["thethe"], None], None, [[], ["t"]]])).to_pylist() == [[[4, 4], None], None, [[], [6]]]

@@ -12,11 +12,16 @@ from __future__ import annotations
 import uuid
 from typing import Callable, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weft.session import materialize
+
 # The label sentinel ignored by the loss.
 IGNORE_INDEX = -100
 
@@ -114,6 +119,8 @@ class VocabTokenizer:
     ``greedy`` they are cut from the left into the longest vocabulary tokens
     (of up to ``max_piece`` characters); a character that begins none is
     ``unk_id``, and so is a whole word of more than ``max_word`` characters.
+    An Arrow function cuts them, each different word of a batch once; it
+    carries the vocabulary, bounded by ``max_size`` too.
     A token listed twice has its smallest id; rows with a null are ignored."""
 
     def __init__(self, table: DataFrame, unk_id: int, pad_id: int = 0, bos_id: int = 1, eos_id: int = 2, token_col: str = "token",
@@ -125,9 +132,10 @@ class VocabTokenizer:
         spark = table.sparkSession
         rows = (table.select(F.col(token_col).alias("token"), F.col(id_col).cast("int").alias("id"))
                 .where("token is not null and id is not null").groupBy("token").agg(F.min("id").alias("id")))
+        rows = materialize(rows.limit(max_size + 1), "vocabulary")   # its own query runs once
         size = rows.count()
         if size > max_size:
-            raise ValueError(f"a vocabulary of {size} tokens; at most {max_size} are held by each executor")
+            raise ValueError(f"a vocabulary of more than {max_size} tokens, which each executor would hold")
         self.buckets = 1 << max(0, size - 1).bit_length()
         own = rows.groupBy(self._bucket(F.col("token")).alias("b")).agg(F.collect_list(F.struct("token", "id")).alias("e"))
         every = spark.range(self.buckets).select(F.col("id").cast("int").alias("b")).join(own, "b", "left")
@@ -137,6 +145,8 @@ class VocabTokenizer:
         spark.sql(f"SET VAR {name} = (SELECT v FROM {name})")
         spark.catalog.dropTempView(name)
         self._held = F.expr(name)
+        if greedy:
+            self._cut, self._cut_many = _longest_pieces(dict(rows.collect()), unk_id, max_piece, max_word)
 
     def _bucket(self, token: Column) -> Column:
         return F.pmod(F.xxhash64(token), F.lit(self.buckets)).cast("int")
@@ -145,28 +155,12 @@ class VocabTokenizer:
         """Id of a token; null if the vocabulary has none."""
         return F.get(F.filter(F.get(self._held, self._bucket(token)), lambda e: e["token"] == token), F.lit(0))["id"]
 
-    def _cut(self, word: Column) -> Column:
-        """ARRAY<INT>: the longest tokens from the left."""
-        start = F.struct(F.lit(1).alias("next"), F.array().cast("array<int>").alias("ids"))
-
-        def step(acc: Column, i: Column) -> Column:
-            sizes = F.sequence(F.least(F.lit(self.max_piece), F.length(word) - i + 1), F.lit(1), F.lit(-1))
-            found = F.filter(F.transform(sizes, lambda n: F.struct(n.alias("n"), self.lookup(F.substr(word, i, n)).alias("id"))),
-                             lambda x: x["id"].isNotNull())
-            best = F.coalesce(F.get(found, F.lit(0)), F.struct(F.lit(1).alias("n"), F.lit(self.unk_id).alias("id")))
-            longer = F.transform(F.array(best), lambda b: F.struct((i + b["n"]).alias("next"), F.concat(acc["ids"], F.array(b["id"])).alias("ids")))[0]
-            return F.when(i < acc["next"], acc).otherwise(longer)
-
-        cut = F.aggregate(F.sequence(F.lit(1), F.length(word)), start, step)["ids"]
-        return F.when(F.length(word) <= self.max_word, cut).otherwise(F.array(F.lit(self.unk_id)))
-
     def tokens(self, text) -> Column:
         return F.regexp_extract_all(_col(text), F.lit(self.pattern), 0)
 
     def ids(self, text, add_special: bool = False) -> Column:
         if self.greedy:
-            out = F.flatten(F.transform(self.tokens(text), lambda w: F.transform(
-                F.array(self.lookup(w)), lambda i: F.when(i.isNull(), self._cut(w)).otherwise(F.array(i)))[0]))
+            out = self._cut(self.tokens(text))
         else:
             out = F.transform(self.tokens(text), lambda w: F.coalesce(self.lookup(w), F.lit(self.unk_id)))
         return F.concat(F.array(F.lit(self.bos_id)), out) if add_special else out
@@ -176,13 +170,62 @@ class VocabTokenizer:
         return n + 1 if add_special else n
 
     def ids_many(self, texts) -> Column:
-        """ARRAY<STRING> -> ARRAY<ARRAY<INT>>."""
+        """ARRAY<STRING> -> ARRAY<ARRAY<INT>>; greedily in one call, as no Python function runs inside a lambda."""
+        if self.greedy:
+            return self._cut_many(F.transform(_col(texts), self.tokens))
         return F.transform(_col(texts), lambda t: self.ids(t))
 
     def count_many(self, texts) -> Column:
+        if self.greedy:
+            return F.transform(self.ids_many(texts), lambda x: F.size(x))
         return F.transform(_col(texts), lambda t: self.count(t))
 
 
+def _regrouped(lists: pa.ListArray, items: pa.ListArray) -> pa.ListArray:
+    """``lists`` with the lists of ``items`` (one for each of their elements) joined in place of the elements."""
+    ends = np.cumsum(np.concatenate([[0], pc.fill_null(pc.list_value_length(lists), 0).to_numpy()]))
+    return pa.ListArray.from_arrays(pa.array(items.offsets.to_numpy()[ends], pa.int32()), items.flatten(), mask=lists.is_null())
+
+
+def _longest_pieces(vocabulary: dict[str, int], unk_id: int, max_piece: int, max_word: int):
+    """Arrow UDFs that cut words from the left into the longest tokens: of a list of words, of a list of such lists.
+
+    A batch's different words are cut once each, whatever their number."""
+    longest = min(max_piece, max(map(len, vocabulary), default=0))
+
+    def cut(word: str) -> list[int]:
+        if word in vocabulary:
+            return [vocabulary[word]]
+        if len(word) > max_word:
+            return [unk_id]
+        out, i = [], 0
+        while i < len(word):
+            for n in range(min(longest, len(word) - i), 0, -1):
+                if (found := vocabulary.get(word[i:i + n])) is not None:
+                    out.append(found)
+                    i += n
+                    break
+            else:
+                out.append(unk_id)
+                i += 1
+        return out
+
+    def ids(words: pa.Array) -> pa.Array:
+        words = words.cast(pa.list_(pa.string()))
+        coded = words.flatten().dictionary_encode()
+        cuts = pa.array([cut(w) for w in coded.dictionary.to_pylist()], pa.list_(pa.int32()))
+        return _regrouped(words, cuts.take(coded.indices))
+
+    def ids_many(texts: pa.Array) -> pa.Array:
+        texts = texts.cast(pa.list_(pa.list_(pa.string())))
+        each = ids(texts.flatten())
+        ends = np.cumsum(np.concatenate([[0], pc.fill_null(pc.list_value_length(texts), 0).to_numpy()]))
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), each, mask=texts.is_null())
+
+    numbers = T.ArrayType(T.IntegerType())
+    return F.arrow_udf(ids, numbers), F.arrow_udf(ids_many, T.ArrayType(numbers))
+
+
 class PandasTokenizer:
     """Wrap a user encode function ``list[str] -> list[list[int]]``.
 
