@@ -94,6 +94,31 @@ def test_teaser_articles_do_not_hide_the_real_text(spark):
     assert text_of(body(0, 3)) == ["real text a", "more of a", "a card a", "a card b", "a card c", "our site"]
 
 
+def test_classes_that_repeat_in_a_page_are_ordered_and_nested(spark):
+    """The constant label of a record that repeats as often as its element is template; words that only share the number are not."""
+    def body(i):
+        x = chr(97 + i)
+        return (f"<div class=post><h1>Title {x}</h1><p>{f'body words {x} ' * 9}</p>" + "".join(
+            f"<div class=item><b class=label>Our review of it</b><p>{x} record {chr(97 + c)} is told here</p></div>" for c in range(1 + i % 3)) + "</div>")
+    got = host_texts(spark, map(body, range(12)))
+    for i in range(12):
+        x = chr(97 + i)
+        assert got[i] == [f"Title {x}", " ".join([f"body words {x}"] * 9), *(f"{x} record {chr(97 + c)} is told here" for c in range(1 + i % 3))]
+
+
+def test_class_checks():
+    check = html_template.check_page
+    assert check([1, 2, 9, 1, 2], [[1, 2]]) == ([], [])
+    assert check([1, 1, 2, 2], [[1, 2]]) == ([0], [])                            # not round by round
+    assert check([2, 1], [[1, 2]]) == ([0], [])
+    assert check([1, 3, 4, 3, 4, 2], [[1, 2], [3, 4]]) == ([], [])               # in one gap
+    assert check([1, 3, 2, 4], [[1, 2], [3, 4]]) == ([], [(0, 1)])
+    assert check([1, 3, 2, 4, 5], [[1, 2, 5], [3, 4]]) == ([], [(0, 1)])         # over two gaps
+    many, few = {"on": 20, "tokens": [1, 2]}, {"on": 9, "tokens": [3, 4]}
+    assert html_template.nested([few, many], set(), {(0, 1)}) == [many]
+    assert html_template.nested([few, many], {1}, {(0, 1)}) == [few]             # a class that is not ordered pushes none out
+
+
 @pytest.mark.parametrize("page,lines", [
     ("<div class='content has-sidebar'><p>text of it</p></div>", ["text of it"]),
     ("<div id='ad-free-article'><p>text of it</p></div><div class=sidebar-left>x</div>", ["text of it"]),

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from weft.llm.common import map_columns
+from weft.llm.common import map_columns, materialise
 
 ATTRIBUTE = r"""(?:"[^"]*"|'[^']*'|[^>"'])*"""
 TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)({ATTRIBUTE})>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
@@ -38,6 +38,8 @@ MAIN = frozenset(("article", "main"))
 KEEP = frozenset(("html", "body", "article", "main", "#root"))
 #: Pages that a host needs before it has a template.
 SUPPORT = 8
+#: A class is on one page in so many of its host's, or more.
+SHARE = 8
 #: Groups that a host's pages meet its template in.
 SALTS = 32
 mask_numbers = re.compile(r"\d+").sub
@@ -65,6 +67,7 @@ class Page:
     def __init__(self, html: str | None):
         self.key, self.tag, self.parent, self.banned, self.main, self.named = [0], ["#root"], [-1], [False], [False], [False]
         self.blocks: list[tuple[int, str]] = []
+        self.order: list[int] = [0]  # elements, and ~i for block i, as they come
         self.open: list[int] = [0]
         self.parts: list[tuple[int, str]] = []  # pieces of the block at hand: element, text
         if html:
@@ -106,6 +109,7 @@ class Page:
                     low = max(nodes)
                     nodes.remove(low)
                     nodes.add(self.parent[low])
+                self.order.append(~len(self.blocks))
                 self.blocks.append((nodes.pop(), " ".join(words)))
             self.parts = []
 
@@ -149,6 +153,7 @@ class Page:
         self.banned.append(banned)
         self.named.append(tag == "form" or (tag not in KEEP and any(map(names_furniture, marks.split()))))
         self.main.append(self.main[up] or tag in MAIN or found.get("role", "").lower() == "main")
+        self.order.append(len(self.tag) - 1)
         self.open.append(len(self.tag) - 1)
 
     def _close(self, tag: str) -> None:
@@ -202,21 +207,64 @@ class Page:
                 out.add(i)
         return out
 
-    def tokens(self) -> dict[int, tuple[bool, int]]:
-        """Token -> (whether it is a text, occurrences): tags by path, blocks of text by path and content (also without numbers); 0 is the page."""
-        counts = Counter(self.key)
-        texts = Counter(map(self.text_key, self.blocks))
-        for block in self.blocks:
-            if (k := self.masked_key(block)) != self.text_key(block):
-                texts[k] += 1
-        return {k: (False, n) for k, n in counts.items()} | {k: (True, n) for k, n in texts.items()}
+    def tokens(self) -> list[tuple[int, bool]]:
+        """(token, whether it is a text) in page order: tags by path, blocks of text by path and content (also without numbers); 0 is the page."""
+        out = []
+        for i in self.order:
+            if i >= 0:
+                out.append((self.key[i], False))
+                continue
+            block = self.blocks[~i]
+            out.append((self.text_key(block), True))
+            if (masked := self.masked_key(block)) != self.text_key(block):
+                out.append((masked, True))
+        return out
+
+
+def check_page(line: list[int], classes: list[list[int]]) -> tuple[list[int], list[tuple[int, int]]]:
+    """What a page has against the classes (lists of tokens in their order): those not ordered on it, and pairs that cross.
+
+    A class is ordered if its tokens come in their order, round by round.  Two
+    ordered classes nest if each round of one lies in one gap of a round of the
+    other, or outside it."""
+    place = {t: (c, k) for c, tokens in enumerate(classes) for k, t in enumerate(tokens)}
+    events = [place[t] for t in line if t in place]
+    due = [0] * len(classes)
+    broken = set()
+    for c, k in events:
+        if k != due[c]:
+            broken.add(c)
+        due[c] = (k + 1) % len(classes[c])
+    broken.update(c for c, k in enumerate(due) if k)
+    crossed, running = set(), []  # running: classes in a round, the innermost last
+    for c, k in events:
+        if c in broken:
+            continue
+        if k == 0:
+            running.append(c)
+        else:
+            at = running.index(c)  # rounds that began inside this one's gap and have not ended
+            crossed.update((min(c, r), max(c, r)) for r in running[at + 1:])
+            running.append(running.pop(at))
+        if k == len(classes[c]) - 1:
+            running.remove(c)
+    return sorted(broken), sorted(crossed)
+
+
+def nested(classes: list[dict], broken: set[int], crossed: set[tuple[int, int]]) -> list[dict]:
+    """The classes that are ordered on every page and nest; of two that cross, the one on more pages (then with more tokens) stays."""
+    kept: list[int] = []
+    for c in sorted(range(len(classes)), key=lambda c: (-classes[c]["on"], -len(classes[c]["tokens"]), c)):
+        if c not in broken and not any((min(c, k), max(c, k)) in crossed for k in kept):
+            kept.append(c)
+    return [classes[c] for c in kept]
 
 
 def main_text(page: Page, template: dict[int, bool]) -> str:
     """The blocks of the page's main region, without its furniture and its host's constant texts.
 
-    ``template`` maps the tokens of the host's page class to whether they are
-    texts.  The region is the innermost template element that holds every slot:
+    ``template`` maps the tokens of the host's page class, and the constant texts
+    of classes nested in it, to whether they are texts.  The region is the innermost template element that holds every slot:
     every block that is not template (texts that are constant but for their
     numbers are none), in an article element or not.  Without a template it is
     the page's one article or main element, or else the body.
@@ -246,29 +294,83 @@ def main_text(page: Page, template: dict[int, bool]) -> str:
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """``(host, template)`` from ``(page_id, host, html)``: the tokens of the host's page class.
+    """``(host, template)`` from ``(page_id, host, html)``: the tokens of the host's nested classes.
 
     Tokens of a host with the same occurrence vector (how often on which page)
-    are one class; a vector is compared by the XOR of hashes of its entries, so
-    a host's pages are combined before and after the shuffle and never meet in
-    one place.  The page's own class holds the tags and texts that occur once on
-    each page; it counts on hosts of ``SUPPORT`` pages or more.  Tags are told
-    apart by path, which nests them.  A template is at most an average page.
+    are one class; a vector is compared by sums of hashes of its entries, so a
+    host's pages are combined before and after the shuffle and never meet in
+    one place.  A class counts on ``SUPPORT`` pages and a ``SHARE``-th of the
+    host's, so all of a host's are at most ``SHARE`` average pages.  The page's
+    own class holds the tags and texts that occur once on each page; tags, told
+    apart by path, nest it.  The others (records that repeat in a page, parts
+    of some pages) are valid if ordered on every page, and nested
+    (:func:`check_page`, over the pages' tokens; pages are parsed once).  Of a
+    valid class, a text counts whose own element is in the class: it is all
+    that this element ever holds.
     """
-    tokens = map_columns(pages, [F.col("page_id"), F.col("host"), F.col("html")], _page_tokens,
-                         "host string, page_id long, tokens array<struct<token:long,text:boolean,n:int>>")
-    each = tokens.where("host is not null").select("host", "page_id", F.explode("tokens").alias("t"))
-    seen = each.groupBy("host", "t.token").agg(F.max("t.text").alias("text"), F.count("*").alias("on"),
-                                               F.bit_xor(F.xxhash64("page_id", "t.n")).alias("class"))
-    page = seen.where(F.col("token") == 0).where(F.col("on") >= SUPPORT).select("host", "on", "class")
-    return seen.join(page, ["host", "on", "class"]).groupBy("host").agg(F.collect_list(F.struct("token", "text")).alias("template"))
+    lines = materialise(map_columns(pages.where("host is not null"), [F.col("page_id"), F.col("host"), F.col("html")], _page_tokens,
+                                    "host string, page_id long, tokens array<struct<token:long,text:boolean,inside:long,n:int,at:int>>, line array<int>"), "page_tokens")
+    each = lines.select("host", "page_id", F.explode("tokens").alias("t"))
+    entry = F.xxhash64("page_id", "t.n")
+    seen = each.groupBy("host", "t.token").agg(
+        F.max("t.text").alias("text"), F.max("t.inside").alias("inside"), F.count("*").alias("on"), F.sum("t.at").alias("place"),
+        F.sum(entry.bitwiseAND(F.lit(0x7FFFFFFF))).alias("low"), F.sum(F.shiftrightunsigned(entry, 33)).alias("high"))
+    own = F.xxhash64("page_id", F.lit(1))  # the page's token is once on each
+    page = lines.groupBy("host").agg(F.count("*").alias("pages"), F.sum(own.bitwiseAND(F.lit(0x7FFFFFFF))).alias("p_low"), F.sum(F.shiftrightunsigned(own, 33)).alias("p_high"))
+    counted = seen.join(page.where(F.col("pages") >= SUPPORT), "host").where((F.col("on") >= SUPPORT) & (F.col("on") * SHARE >= F.col("pages")))
+    root = (F.col("on") == F.col("pages")) & (F.col("low") == F.col("p_low")) & (F.col("high") == F.col("p_high"))
+    classes = counted.groupBy("host", "on", "low", "high").agg(
+        F.first(root).alias("page"), F.array_sort(F.collect_list(F.struct("place", "token", "text", "inside"))).alias("tokens")).where(F.col("page") | (F.size("tokens") > 1))
+    classes = materialise(classes.groupBy("host").agg(F.array_sort(F.collect_list(F.struct("on", "low", "high", "page", "tokens"))).alias("classes")), "page_classes")
+    others = classes.select("host", F.transform(F.filter("classes", lambda c: ~c["page"]), lambda c: F.transform(c["tokens"], lambda t: t["token"])).alias("others")).where(F.size("others") > 0)
+    checked = map_columns(_with_host(lines, others, "page_id"), [F.col("host"), F.col("tokens.token"), F.col("line"), F.col("others")], _page_faults,
+                          "host string, broken array<int>, crossed array<struct<a:int,b:int>>").where("size(broken) + size(crossed) > 0")
+    broken = checked.select("host", F.explode("broken").alias("c")).groupBy("host").agg(F.collect_set("c").alias("broken"))
+    crossed = checked.select("host", F.explode("crossed").alias("c")).groupBy("host").agg(F.collect_set("c").alias("crossed"))
+    joined = classes.join(broken, "host", "left").join(crossed, "host", "left")
+    return map_columns(joined, [F.col("host"), F.col("classes"), F.col("broken"), F.col("crossed")], _host_templates,
+                       "host string, template array<struct<token:long,text:boolean>>")
+
+
+def _with_host(rows: DataFrame, table: DataFrame, *by: str, how: str = "inner") -> DataFrame:
+    """``rows`` with their host's row of ``table``, which goes to every salt, so that the pages of one host are spread over as many groups."""
+    known = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("salt", F.pmod(F.xxhash64(*by), F.lit(SALTS)).cast("int")).join(known, ["host", "salt"], how)
 
 
 def _page_tokens(columns):
-    out = []
+    tokens, lines = [], []
     for html in columns[2]:
-        out.append([{"token": k, "text": t, "n": n} for k, (t, n) in Page(html).tokens().items()])
-    return [columns[1], columns[0], out]
+        page = Page(html)
+        found: dict[int, dict] = {}
+        line = []
+        for at, (token, text) in enumerate(page.tokens()):
+            t = found.setdefault(token, {"token": token, "text": text, "inside": None, "n": 0, "at": at, "id": len(found)})
+            t["n"] += 1
+            line.append(t["id"])
+        for block in page.blocks:
+            for token in (page.text_key(block), page.masked_key(block)):
+                found[token]["inside"] = page.key[block[0]]
+        tokens.append([{k: v for k, v in t.items() if k != "id"} for t in found.values()])
+        lines.append(line)
+    return [columns[1], columns[0], tokens, lines]
+
+
+def _page_faults(columns):
+    found = [check_page([tokens[i] for i in line], classes) for tokens, line, classes in zip(*columns[1:])]
+    return [columns[0], [b for b, _ in found], [[{"a": x, "b": y} for x, y in c] for _, c in found]]
+
+
+def _host_templates(columns):
+    out = []
+    for classes, broken, crossed in zip(*columns[1:]):
+        others = nested([c for c in classes if not c["page"]], set(broken or ()), {(c["a"], c["b"]) for c in crossed or ()})
+        template = [t for c in classes if c["page"] for t in c["tokens"]]
+        for c in others:
+            held = {t["token"] for t in c["tokens"] if not t["text"]}
+            template += [t for t in c["tokens"] if t["text"] and t["inside"] in held]
+        out.append([{"token": t["token"], "text": t["text"]} for t in template])
+    return [columns[0], out]
 
 
 def _page_texts(columns):
@@ -289,9 +391,6 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """
     host = F.lower(F.regexp_extract(url_col, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.nullif(host, F.lit("")).alias("host"), F.col(html_col).alias("html"))
-    # each template goes to every salt, so that the pages of one host are spread over as many groups
-    known = templates(rows).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
-    both = salted.join(known, ["host", "salt"], "left")
+    both = _with_host(rows, templates(rows), "page_id", "url", how="left")
     return map_columns(both, [F.col("page_id"), F.col("url"), F.col("html"), F.col("template")], _page_texts,
                        "page_id long, url string, text string, n_chars long")
