@@ -39,9 +39,8 @@ def list_files(spark: SparkSession, path: str, recursive: bool = False, glob: st
     if fs.isFile(p):
         return [path]
     if recursive:   # listed by Spark: the driver's own walk takes milliseconds a file
-        listed = spark.read.option("recursiveFileLookup", True).text(path)._jdf.inputFiles()
-        joined = spark.sparkContext._jvm.java.lang.String.join("\n", listed)   # names come URL-encoded
-        found = [_slashes(unquote(f)) for f in joined.split("\n") if f]
+        listed = spark.read.option("recursiveFileLookup", True).text(path).inputFiles()
+        found = [_slashes(unquote(f)) for f in listed]   # names come URL-encoded
         return sorted(f for f in found if glob is None or fnmatch.fnmatchcase(os.path.basename(f), glob))
     found, each = [], fs.listFiles(p, False)
     while each.hasNext():
