@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import json
 import math
 import mmap
 import random
@@ -238,6 +239,56 @@ def test_runs_of_mixed_white_space_match_the_library(library):
         assert mine.encode(text) == library.encode(text, add_special_tokens=False).ids, ascii(text)
 
 
+def test_rare_words_are_merged_together(library):
+    """Pieces that the cache lacks, a lot at a time; the heap is for long ones."""
+    with open(VOCABULARY, encoding="utf-8") as f:
+        mine = bpe.ByteBPE(f.read(), cache=300)
+    heaps = []
+    one = mine.encode_piece
+    mine.encode_piece = lambda piece: heaps.append(piece) or one(piece)
+    rng = random.Random(3)
+    parts = ["the", "tion", "ing", "ß", "漢", "e", "on", "1", "22", "'s", ".", "\n", "\xa0", "__", "Th"]
+    word = lambda: "".join(rng.choices(parts, k=rng.randint(1, 9)))
+    texts = [" ".join(word() for _ in range(rng.randint(0, 60))) for _ in range(200)] + [None, "", "x" * 65, "a  b" * 9, "q<|endoftext|> w", "b"]
+    assert [a.tolist() for a in mine.encode_all(texts)] == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert all(len(h.encode()) > bpe.WIDTHS[-1] for h in heaps) and "x" * 65 in heaps
+
+
+def test_small_lots_match_the_library(library, monkeypatch):
+    """Texts of many lots, and words of more pieces than a lot."""
+    monkeypatch.setattr(bpe, "LOT", 7)
+    monkeypatch.setattr(bpe, "CELLS", 150)
+    with open(VOCABULARY, encoding="utf-8") as f:
+        mine = bpe.ByteBPE(f.read(), cache=9)
+    rng = random.Random(4)
+    texts = ["".join(rng.choices("ab.1é \n", (5, 5, 3, 3, 2, 4, 1), k=rng.choice([0, 3, 40, 400]))) for _ in range(120)] + ["a.b1" * 50, "c " * 30 + "d"]
+    assert [a.tolist() for a in mine.encode_all(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_merges_in_any_order_of_ranks():
+    """A later rule may make what an earlier one merges; arrays, heap and plain search agree."""
+    rng = random.Random(5)
+    for _ in range(20):
+        strings, merges = set("abc"), []
+        for _ in range(40):
+            left, right = rng.choice(sorted(strings)), rng.choice(sorted(strings))
+            if len(left + right) <= 6 and [left, right] not in merges:
+                strings.add(left + right)
+                merges.append([left, right])
+        rng.shuffle(merges)
+        vocab = {c: i for i, c in enumerate(bpe.byte_letters())}
+        vocab |= {s: 256 + i for i, s in enumerate(sorted(strings - set("abc")))}
+        mine = bpe.ByteBPE(json.dumps({"model": {"vocab": vocab, "merges": merges}}))
+        rank = {(vocab[a], vocab[b]): (r, vocab[a + b]) for r, (a, b) in enumerate(merges)}
+        pieces = sorted({"".join(rng.choices("aabc", k=rng.randint(1, 70))) for _ in range(150)})
+        for piece, ids in zip(pieces, mine.encode_pieces(pieces)):
+            want = [vocab[c] for c in piece]
+            while found := [(rank[p][0], i) for i, p in enumerate(zip(want, want[1:])) if p in rank]:
+                i = min(found)[1]
+                want[i:i + 2] = [rank[want[i], want[i + 1]][1]]
+            assert np.frombuffer(ids, np.int32).tolist() == want == np.frombuffer(mine.encode_piece(piece), np.int32).tolist()
+
+
 def test_round_trip_through_tables(spark, odd_docs):
     ids = bpe.encode(odd_docs, VOCABULARY)
     back = sorted((str(r.doc_id), r.text) for r in bpe.decode(ids, VOCABULARY).collect())
