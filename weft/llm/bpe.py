@@ -12,7 +12,7 @@ import json
 import re
 from collections.abc import Iterable, Iterator
 from heapq import heapify, heappop, heappush
-from itertools import chain
+from itertools import chain, filterfalse
 
 import numpy as np
 import regex
@@ -35,7 +35,7 @@ def byte_letters() -> dict[str, int]:
 
 
 #: Strings, and every eighth character of the texts, that are looked up together.
-LOT = 1 << 17
+LOT = 1 << 16
 #: Bytes of the pieces that are merged together, by powers of 2 up to the last; longer ones have a heap each.
 WIDTHS = (8, 16, 32, 64)
 #: Cells of the arrays that hold such pieces.
@@ -60,10 +60,9 @@ class Known(dict):
         if len(self) >= self.limit:
             self.older = dict(self)
             self.clear()
-        missing = wanted - self.keys()
-        known = missing & self.older.keys()
-        self.update(zip(known, map(self.older.__getitem__, known)))
-        new = list(missing - known)
+        missing = [*filterfalse(self.__contains__, wanted)]
+        new = [*filterfalse(self.older.__contains__, missing)]
+        self.update({s: self.older[s] for s in filter(self.older.__contains__, missing)})
         self.update(zip(new, self.encode(new)))
 
     def look_up(self, strings: list[str]) -> Iterator[bytes]:
